@@ -9,17 +9,19 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, functions as F
 
 
-def epoch_us(c: Column) -> Column:
-    """Microseconds since 1970-01-01 00:00 on the column's own clock."""
-    day = F.unix_date(c.cast("date")).cast("bigint")
-    minutes = day * 1440 + F.hour(c) * 60 + F.minute(c)
-    return minutes * 60000000 + (F.extract(F.lit("SECOND"), c) * 1000000).cast("bigint")
+def _since_epoch(c: Column) -> Column:
+    # Both sides are zone-free, so this is a plain difference of clock readings.
+    return c - ntz(datetime(1970, 1, 1))
 
 
 def epoch_ms(c: Column) -> Column:
     """Milliseconds since 1970-01-01 00:00 on the column's own clock."""
-    us = epoch_us(c)
-    return ((us - F.pmod(us, F.lit(1000))) / 1000).cast("bigint")
+    return (_since_epoch(c) * 1000).cast("interval second").cast("bigint")
+
+
+def epoch_seconds(c: Column) -> Column:
+    """Whole seconds since 1970-01-01 00:00 on the column's own clock."""
+    return _since_epoch(c).cast("interval second").cast("bigint")
 
 
 def from_epoch_ms(ms: Column) -> Column:

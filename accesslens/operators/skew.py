@@ -1,0 +1,49 @@
+"""Splitting of hot keys for ordered per-key work.
+
+``lag``-style operators need all neighbours of a row in one task, so one key that holds a large
+share of the rows would make one task as large. The rows of such a key are cut into consecutive
+time chunks; whoever uses the chunks hands the state from one chunk to the next.
+
+Key sizes are judged per hash slice, not per key, so the table that is broadcast has a size bound
+that does not depend on the data: a slice is hot when it holds over ``factor`` times the mean, and
+at most ``slices / factor`` slices can.
+"""
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+SLICES = 1 << 16
+FACTOR = 4
+# Slices below this many rows are never worth splitting.
+MIN_ROWS = 2_000_000
+
+
+def hot_slices(
+    df: DataFrame, key: str, at_ms: str, slices: int = SLICES, factor: int = FACTOR,
+    min_rows: int = MIN_ROWS,
+) -> DataFrame:
+    """(slice, lo, width): start and chunk width in ms of every hot slice; at most slices / factor rows."""
+    sizes = df.groupBy(_slice(key, slices).alias("slice")).agg(
+        F.count("*").alias("n"), F.min(at_ms).alias("lo"), F.max(at_ms).alias("hi")
+    )
+    # One row per slice from here on.
+    mean = F.expr("sum(n) over ()") / slices
+    target = F.greatest(F.lit(float(min_rows)), mean * factor)
+    parts = F.ceil(F.col("n") / F.col("target"))
+    return sizes.withColumn("target", target).filter("n > target").select(
+        "slice", "lo", F.ceil((F.col("hi") - F.col("lo") + 1) / parts).cast("bigint").alias("width")
+    )
+
+
+def with_chunks(
+    df: DataFrame, key: str, at_ms: str, slices: int = SLICES, factor: int = FACTOR,
+    min_rows: int = MIN_ROWS,
+) -> DataFrame:
+    """Add ``chunk``: -1 for rows of ordinary keys, a time-ordered chunk number for hot ones."""
+    hot = hot_slices(df.select(key, at_ms), key, at_ms, slices, factor, min_rows)
+    marked = df.withColumn("slice", _slice(key, slices)).join(F.broadcast(hot), "slice", "left")
+    number = F.floor((F.col(at_ms) - F.col("lo")) / F.col("width")).cast("bigint")
+    return marked.withColumn("chunk", F.coalesce(number, F.lit(-1))).drop("slice", "lo", "width")
+
+
+def _slice(key: str, slices: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(slices))

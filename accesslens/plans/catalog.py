@@ -4,9 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from accesslens.operators import latest, rollups
-from accesslens.plans import reports
-from accesslens.sources import fixtures
+from accesslens.functions import keys, text, times
+from accesslens.operators import (
+    accounting, decode, events, latest, pairing, quality, retention, rollups, spans, terminal,
+)
+from accesslens.plans import ingest, reports
+from accesslens.sources import fixtures, packets, tables
 from accesslens.sources.fixtures import NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,5 +96,119 @@ REPORTS: dict[str, Query] = {
 }
 
 
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.events(spark, sf_dir)
+    return packets.capture(fixtures.auth_log(ev), fixtures.acct_log(ev))
+
+
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.decode_stage(_frames(spark, sf_dir))
+
+
+def _over_decoded(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(_decoded(spark, sf_dir))
+
+
+def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acct = fixtures.acct_log(fixtures.events(spark, sf_dir))
+    return accounting.accounting_deltas(acct).withColumns({
+        "event_time": F.col("ts"), "event_id": F.col("id"),
+    })
+
+
+def _dedup(acct: DataFrame) -> DataFrame:
+    copies = fixtures.with_duplicates(acct)
+    return accounting.dedup_events(accounting.with_event_id(copies)).drop("event_id")
+
+
+def _versions(auth: DataFrame) -> DataFrame:
+    versioned = auth.select("username", "nas_ip", "result", F.col("id").alias("version"))
+    return latest.latest_version(versioned, ["username", "result"], "version")
+
+
+def _merged(auth: DataFrame) -> DataFrame:
+    """The terminal rollup from three partial inputs, folded in two steps."""
+    spec = rollups.USER_MAC_10M
+    first, second, third = (spec.partial(auth.filter(F.col("id") % 3 == n)) for n in range(3))
+    return rollups.final(spec, rollups.merge_rollup(spec, spec.merge(third, first), second))
+
+
+def _terminal_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    auth = fixtures.auth_log(fixtures.events(spark, sf_dir))
+    snapshots, batches = fixtures.snapshots(auth)
+    return terminal.terminal_path(auth.select("id", "ts", "mac_addr"), snapshots, batches)
+
+
+def _text_functions(auth: DataFrame) -> DataFrame:
+    raw = F.concat(F.lit("\u0001"), "raw_username", F.when(F.col("id") % 2 == 0, "!").otherwise(""))
+    mixed = (
+        F.when(F.col("id") % 4 == 0, raw).when(F.col("id") % 4 == 1, F.col("nas_port_id"))
+        .when(F.col("id") % 4 == 2, F.concat(F.lit(" "), F.col("id").cast("string"), F.lit("\t")))
+        .otherwise("")
+    )
+    reason, risk = keys.reply_reason(F.col("reply_msg"))
+    return auth.select(
+        "id", text.normalize_mac(F.col("calling_sta")).alias("mac"),
+        text.normalize_mac(F.col("called_sta")).alias("not_a_mac"),
+        text.normalize_username(mixed).alias("username"),
+        text.is_business_account(F.trim(mixed)).alias("is_business"),
+        text.clip_or_null(F.col("called_sta"), 4).alias("clipped"),
+        reason.alias("reason"), risk.alias("risk"), keys.code_name(F.col("result")).alias("code_name"),
+        keys.code_name(F.col("id") % 50).alias("any_code_name"),
+        keys.stable_key(*[F.col(c) for c in ("username", "mac_addr", "result")]).alias("stable_key"),
+        times.latency_ms(F.col("req_ts"), F.col("ts")).alias("latency"),
+        times.slot_label(F.col("ts"), 420).alias("slot"),
+        times.parse_timestamp(F.col("req_ts").cast("string"), F.col("ts")).alias("parsed"),
+    )
+
+
+STATEFUL: dict[str, Query] = {
+    "dedup_events": _over_acct(_dedup),
+    "sample_interim": _over_acct(
+        lambda a: accounting.sample_interim(a, 300).select("id", "ts", "username", "acct_status_type"),
+        factor=600,
+    ),
+    "accounting_deltas": lambda spark, sf_dir: _deltas(spark, sf_dir).select(
+        "id", "input_total", "output_total", "input_delta", "output_delta", "counter_rollback"
+    ),
+    "acct_rollup_1h_exact": lambda spark, sf_dir: rollups.acct_rollup_1h_exact(_deltas(spark, sf_dir)),
+    "acct_rollup_1h_sketch": lambda spark, sf_dir: rollups.acct_rollup_1h(_deltas(spark, sf_dir)),
+    "event_spans": _over_auth(spans.auth_event_spans, factor=600),
+    "latest_version": _over_auth(_versions),
+    "merge_rollup": _over_auth(_merged),
+    "retention": _over_auth(lambda a: retention.retain(
+        tables.with_partition(a), "ts", 0, NOW.replace(hour=7, minute=30)
+    ).select("id", "ts", "dt")),
+    "terminal_path": _terminal_path,
+    "text_functions": _over_auth(_text_functions),
+}
+
+DECODING: dict[str, Query] = {
+    "extract_udp": lambda spark, sf_dir: decode.extract_udp(_frames(spark, sf_dir)).select(
+        "seq", "pkt_time", "src_ip", "dst_ip", "src_port", "dst_port",
+        F.length("payload").alias("payload_length"),
+    ),
+    "decode_accounting": _over_decoded(decode.project_accounting),
+    "decode_control": _over_decoded(decode.project_control),
+    "pair_auth": _over_decoded(pairing.pair_auth),
+    "unmatched_responses": _over_decoded(
+        lambda d: pairing.unmatched_responses(d).select("seq", "resp_ts", "result_code", "dst_ip")
+    ),
+    "expired_requests": _over_decoded(
+        lambda d: pairing.expired_requests(d).select("seq", "req_ts", "username", "src_ip")
+    ),
+    "stream_quality": lambda spark, sf_dir: quality.stream_quality(_frames(spark, sf_dir)),
+    "aaa_events": _over_decoded(
+        lambda d: ingest.unified(ingest.records(d)).drop("event_id")
+    ),
+    "auth_log_from_packets": _over_decoded(
+        lambda d: tables.to_auth_log(ingest.records(d).auth)
+    ),
+    "acct_log_from_packets": _over_decoded(
+        lambda d: tables.to_acct_log(ingest.records(d).accounting)
+    ),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**ROLLUPS, **REPORTS}
+    return {**ROLLUPS, **REPORTS, **STATEFUL, **DECODING}

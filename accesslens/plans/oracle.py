@@ -265,5 +265,295 @@ ACCOUNTING = {
 }
 
 
+
+# --- Stateful operators -----------------------------------------------------------------------
+
+_DELTAS = """totals AS (SELECT *,
+    (coalesce(input_gigawords, 0) * 4294967296 + coalesce(input_octets, 0)) * 1024 AS input_total,
+    (coalesce(output_gigawords, 0) * 4294967296 + coalesce(output_octets, 0)) * 1024 AS output_total
+    FROM acct),
+  counters AS (SELECT *, lag(input_total) OVER w AS p_in, lag(output_total) OVER w AS p_out,
+      lag(acct_status_type) OVER w AS p_status, lag(ts) OVER w AS p_ts FROM totals
+    WINDOW w AS (PARTITION BY username, coalesce(nas_ip, src_ip), acct_session_id ORDER BY ts, id)),
+  deltas AS (SELECT * EXCLUDE (input_total, output_total),
+      CAST(input_total AS BIGINT) AS input_total, CAST(output_total AS BIGINT) AS output_total,
+      CAST(CASE WHEN live THEN greatest(input_total - p_in, 0) ELSE 0 END AS BIGINT) AS input_delta,
+      CAST(CASE WHEN live THEN greatest(output_total - p_out, 0) ELSE 0 END AS BIGINT) AS output_delta,
+      CASE WHEN live AND (input_total < p_in OR output_total < p_out) THEN 1 ELSE 0 END
+        AS counter_rollback
+    FROM (SELECT *, coalesce(acct_session_id <> '' AND p_in IS NOT NULL AND p_status <> 2
+      AND ts - p_ts <= INTERVAL 2 DAY, false) AS live FROM counters))"""
+
+_SPANS = f"""marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 10 MINUTE THEN 0 ELSE 1 END
+    AS opens FROM auth
+    WINDOW w AS (PARTITION BY username, src_ip, mac_addr, nas_port_id, result ORDER BY ts, id)),
+  numbered AS (SELECT *, sum(opens) OVER (PARTITION BY username, src_ip, mac_addr, nas_port_id,
+    result ORDER BY ts, id) AS span FROM marked),
+  spans AS (SELECT username, src_ip, mac_addr, nas_port_id, result, count(*) AS request_count,
+      {_L}, min(ts) AS first_seen, max(ts) AS last_seen, max((ts, id))[2] AS last_id,
+      min((ts, id))[2] AS first_id FROM numbered
+    GROUP BY username, src_ip, mac_addr, nas_port_id, result, span)"""
+
+_INTERIM = """interim AS (SELECT concat_ws('|', coalesce(nullif(nas_ip, ''), src_ip),
+      coalesce(nullif(acct_session_id, ''), username)) AS key, ts, min(id) AS id
+    FROM acct WHERE acct_status_type = 3 GROUP BY 1, 2),
+  succ AS (SELECT a.id, arg_min(b.id, b.ts) AS next_id FROM interim a JOIN interim b
+    ON a.key = b.key AND a.ts + INTERVAL 300 SECOND <= b.ts GROUP BY a.id),
+  kept AS (SELECT arg_min(id, ts) AS id FROM interim GROUP BY key
+    UNION ALL SELECT s.next_id FROM kept k JOIN succ s ON s.id = k.id)"""
+
+_SNAPSHOTS = """hourly AS (SELECT date_trunc('hour', ts) AS hour, mac_addr, max(id) AS snap_id,
+      min(ts) AS collected_at, max(nas_port) AS olt_device_id, min(nas_port_id) AS port_name
+    FROM auth WHERE mac_addr IS NOT NULL GROUP BY 1, 2),
+  paths AS (SELECT *, 'batch-' || hour(hour) AS batch_id, 100 + hour(hour) AS vlan_id,
+      '0a00000000' || lpad(CAST(hour(hour) AS VARCHAR), 2, '0') AS onu_mac
+    FROM hourly WHERE hour(hour) % 4 <> 3)"""
+
+STATEFUL = {
+    "dedup_events": _with(_acct(), body="""SELECT id, ts, username, raw_username, acct_status_type,
+      acct_session_id, input_octets, input_gigawords, output_octets, output_gigawords, mac_addr,
+      calling_sta, called_sta, nas_ip, nas_identifier, nas_port, nas_port_id, nas_port_type,
+      framed_ip, src_ip, dst_ip FROM acct"""),
+    "sample_interim": "WITH RECURSIVE " + _acct(factor=600) + ",\n" + _INTERIM + """
+      SELECT id, ts, username, acct_status_type FROM acct
+      WHERE acct_status_type <> 3 OR id IN (SELECT id FROM kept)""",
+    "accounting_deltas": _with(_acct(), _DELTAS, body="""SELECT id, input_total, output_total,
+      input_delta, output_delta, counter_rollback FROM deltas"""),
+    "acct_rollup_1h_exact": _with(_acct(), _DELTAS, body=f"""SELECT date_trunc('hour', ts) AS bucket,
+      username, coalesce(mac_addr, '') AS mac_addr, nas_ip,
+      {_sums(input_bytes='input_delta', output_bytes='output_delta')},
+      count(*) FILTER (acct_status_type = 1) AS starts,
+      count(*) FILTER (acct_status_type = 2) AS stops,
+      count(*) FILTER (acct_status_type = 3) AS interims,
+      count(*) FILTER (acct_status_type IN (7, 8)) AS nas_restarts,
+      count(DISTINCT nullif(acct_session_id, '')) AS sessions, max(ts) AS last_seen
+      FROM deltas GROUP BY 1, 2, 3, 4"""),
+    "event_spans": _with(_auth(factor=600), _SPANS, body="""SELECT s.username, s.src_ip, s.mac_addr,
+      s.nas_port_id, s.result, request_count, latency_count, latency_sum_ms, latency_min_ms,
+      latency_max_ms, first_seen, last_seen, r.raw_username, r.reply_msg, r.risk_level,
+      r.calling_sta, r.called_sta, r.nas_ip, r.nas_port, r.nas_identifier, r.nas_port_type,
+      r.framed_ip, r.req_ts AS latest_req_ts, r.latency_ms, f.reason_zh,
+      sha256(concat_ws(chr(31), s.username, s.src_ip, coalesce(s.mac_addr, '<NULL>'),
+        s.nas_port_id, CAST(s.result AS VARCHAR))) AS event_key
+      FROM spans s JOIN auth r ON r.id = s.last_id JOIN auth f ON f.id = s.first_id"""),
+    "latest_version": _with(_auth(), body="""SELECT username, arg_max(nas_ip, id) AS nas_ip, result,
+      max(id) AS version FROM auth GROUP BY username, result"""),
+    "merge_rollup": _with(_auth(), _USER_MAC10, body="SELECT * FROM terminals"),
+    "retention": _with(_auth(), body="""SELECT id, ts, CAST(ts AS DATE) AS dt FROM auth
+      WHERE ts >= TIMESTAMP '2024-01-01 07:30:00'"""),
+    "terminal_path": _with(_auth(), _SNAPSHOTS, body="""SELECT a.id, a.ts, a.mac_addr, p.batch_id,
+      p.collected_at, p.olt_device_id, CASE WHEN p.batch_id IS NOT NULL THEN 'olt' END AS olt_name,
+      p.vlan_id, CASE WHEN p.batch_id IS NOT NULL THEN '0/1' END AS if_index, p.port_name, p.onu_mac
+      FROM auth a ASOF LEFT JOIN paths p ON a.mac_addr = p.mac_addr AND a.ts >= p.collected_at"""),
+    "text_functions": _with(_auth(), body=f"""SELECT id,
+      CASE WHEN calling_sta IS NOT NULL THEN lower(replace(calling_sta, '-', ':')) END AS mac,
+      lower(called_sta) AS not_a_mac,
+      CASE id % 4 WHEN 3 THEN '' WHEN 1 THEN '(未匹配)'
+        WHEN 2 THEN CASE WHEN id >= 1000 THEN CAST(id AS VARCHAR) ELSE '(未匹配)' END
+        ELSE username END AS username,
+      id % 4 = 2 AND false AS is_business, left(called_sta, 4) AS clipped,
+      nullif(reason_zh, '') AS reason, risk_level AS risk,
+      CASE result WHEN 2 THEN 'Access-Accept' WHEN 3 THEN 'Access-Reject' ELSE 'Access-Challenge' END
+        AS code_name,
+      CASE id % 50 WHEN 1 THEN 'Access-Request' WHEN 2 THEN 'Access-Accept' WHEN 3 THEN 'Access-Reject'
+        WHEN 4 THEN 'Accounting-Request' WHEN 5 THEN 'Accounting-Response'
+        WHEN 11 THEN 'Access-Challenge' WHEN 40 THEN 'Disconnect-Request'
+        WHEN 41 THEN 'Disconnect-ACK' WHEN 42 THEN 'Disconnect-NAK' WHEN 43 THEN 'CoA-Request'
+        WHEN 44 THEN 'CoA-ACK' WHEN 45 THEN 'CoA-NAK' ELSE 'code=' || (id % 50) END AS any_code_name,
+      sha256(concat_ws(chr(31), username, coalesce(mac_addr, '<NULL>'), CAST(result AS VARCHAR)))
+        AS stable_key,
+      latency_ms AS latency,
+      strftime(make_timestamp((epoch_us(ts) // 420000000) * 420000000), '%Y-%m-%d %H:%M') AS slot,
+      CASE WHEN epoch_us(req_ts) % 1000000 <> 0 THEN req_ts END AS parsed FROM auth"""),
+}
+
+# --- Packets ----------------------------------------------------------------------------------
+
+# What the encoder put on the wire, as rows. Sizes count the 20 byte header and two bytes per
+# attribute in front of its value.
+_WIRE = """sent AS (SELECT *, id % 256 AS ident, 40000 + id % 4 AS client_port,
+    coalesce(2 + strlen(calling_sta), 0) AS sta_len FROM auth WHERE latency_ms IS NOT NULL),
+  request AS (
+    SELECT id, id * 8 AS seq, req_ts - INTERVAL 50 MILLISECOND AS at FROM sent
+    UNION ALL SELECT id, id * 8 + 1, req_ts - INTERVAL 10 MILLISECOND FROM sent WHERE k % 10 = 1),
+  response AS (
+    SELECT id, id * 8 + 2 AS seq, ts AS at FROM sent WHERE k % 13 <> 0
+    UNION ALL SELECT id, id * 8 + 3, ts + INTERVAL 5 MILLISECOND FROM sent
+      WHERE k % 17 = 0 AND k % 13 <> 0),
+  flow AS (SELECT e.*, s.src_ip, s.client_port, s.ident FROM (
+      SELECT id, seq, at, true AS is_request FROM request
+      UNION ALL SELECT id, seq, at, false FROM response) e JOIN sent s USING (id)),
+  seen AS (SELECT *, lag(is_request) OVER w AS p_request, lag(at) OVER w AS p_at,
+      lag(id) OVER w AS p_id, lead(at) OVER w AS n_at FROM flow
+    WINDOW w AS (PARTITION BY src_ip, client_port, ident ORDER BY at, seq)),
+  answered AS (SELECT * FROM seen WHERE NOT is_request AND p_request
+    AND at - p_at <= INTERVAL 30 SECOND)"""
+_NO_TEXT = "CAST(NULL AS VARCHAR)"
+_NO_INT = "CAST(NULL AS BIGINT)"
+_PAIRED = f"""paired AS (SELECT a.seq, q.username, q.raw_username, q.username AS subscriber_id,
+    q.nas_ip, q.nas_identifier, q.nas_port, q.nas_port_id, CAST(q.nas_port_type AS BIGINT) AS nas_port_type, q.calling_sta, q.mac_addr,
+    q.called_sta, q.ident AS packet_identifier, q.client_port AS src_port, 1812 AS dst_port,
+    q.src_ip, '10.9.0.1' AS dst_ip, a.p_at AS req_ts,
+    CASE WHEN r.result = 2 THEN r.framed_ip END AS framed_ip, {_NO_TEXT} AS framed_ip_netmask,
+    {_NO_TEXT} AS class_attr, {_NO_TEXT} AS connect_info, {_NO_INT} AS service_type,
+    {_NO_INT} AS framed_protocol, a.at AS resp_ts, r.result AS result_code,
+    CASE r.result WHEN 2 THEN 'Access-Accept' WHEN 3 THEN 'Access-Reject' ELSE 'Access-Challenge' END
+      AS result,
+    r.reply_msg AS reply_raw, nullif(r.reason_zh, '') AS reason_zh, r.risk_level AS risk,
+    true AS matched
+  FROM answered a JOIN sent r ON r.id = a.id JOIN sent q ON q.id = a.p_id)"""
+_ACCT_WIRE = f"""acct_sent AS (SELECT id * 8 AS seq, username, raw_username, '' AS subscriber_id,
+    nas_ip, mac_addr, {_NO_TEXT} AS nas_identifier, {_NO_TEXT} AS nas_port_id, calling_sta,
+    {_NO_TEXT} AS called_sta, {_NO_TEXT} AS class_attr, {_NO_TEXT} AS connect_info, framed_ip,
+    {_NO_TEXT} AS framed_ip_netmask, {_NO_INT} AS nas_port, {_NO_INT} AS nas_port_type,
+    {_NO_INT} AS service_type, {_NO_INT} AS framed_protocol, acct_session_id,
+    {_NO_TEXT} AS acct_multi_session_id, CAST(acct_status_type AS BIGINT) AS acct_status_type,
+    {_NO_INT} AS acct_authentic, {_NO_INT} AS acct_session_time, input_octets, input_gigawords,
+    output_octets, output_gigawords, {_NO_INT} AS input_packets, {_NO_INT} AS output_packets,
+    {_NO_INT} AS terminate_cause, {_NO_INT} AS acct_delay_time, {_NO_INT} AS event_timestamp,
+    CAST(0 AS BIGINT) AS input_average_rate, CAST(0 AS BIGINT) AS output_average_rate,
+    '' AS product_id, id % 256 AS packet_identifier, src_ip, dst_ip, 40000 + id % 4 AS src_port,
+    1813 AS dst_port, ts, 'accounting' AS record_type, id FROM acct)"""
+_CONTROL_WIRE = f"""control_sent AS (SELECT id * 8 + 4 AS seq, 'control' AS record_type, username,
+    username AS raw_username, '' AS subscriber_id,
+    CASE WHEN code IN (40, 43) THEN '10.9.0.1' ELSE src_ip END AS nas_ip, {_NO_TEXT} AS mac_addr,
+    {_NO_TEXT} AS nas_identifier, {_NO_TEXT} AS nas_port_id, {_NO_TEXT} AS calling_sta,
+    {_NO_TEXT} AS called_sta, {_NO_TEXT} AS class_attr, {_NO_TEXT} AS connect_info,
+    {_NO_TEXT} AS framed_ip, {_NO_TEXT} AS framed_ip_netmask, {_NO_INT} AS nas_port,
+    {_NO_INT} AS nas_port_type, {_NO_INT} AS service_type, {_NO_INT} AS framed_protocol,
+    acct_session_id, {_NO_TEXT} AS acct_multi_session_id,
+    CAST(CASE WHEN code IN (42, 45) THEN 503 END AS BIGINT) AS error_cause,
+    {_NO_INT} AS event_timestamp, code AS result_code,
+    CASE code WHEN 40 THEN 'Disconnect-Request' WHEN 41 THEN 'Disconnect-ACK'
+      WHEN 42 THEN 'Disconnect-NAK' WHEN 43 THEN 'CoA-Request' WHEN 44 THEN 'CoA-ACK'
+      ELSE 'CoA-NAK' END AS result,
+    id % 256 AS packet_identifier, src_ip, dst_ip, 51000 AS src_port, 3799 AS dst_port, ts
+  FROM (SELECT *, CAST(40 + (id // 10) % 6 AS INTEGER) AS code FROM acct WHERE id % 10 = 0))"""
+# Interim updates at the default interval of 60 s. The sampler tells sessions apart by the session
+# id and falls back on the account name.
+_INTERIM_60 = _INTERIM.replace("INTERVAL 300 SECOND", "INTERVAL 60 SECOND")
+_KEPT = """acct_kept AS (SELECT * FROM acct_sent WHERE acct_status_type <> 3
+  OR id IN (SELECT id FROM kept))"""
+_KEPT_DELTAS = _DELTAS.replace("FROM acct)", "FROM acct_kept)")
+
+
+def _with_recursive(*ctes: str, body: str) -> str:
+    return _with(*ctes, body=body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _event(kind: str, at: str, **values: str) -> str:
+    """One branch of the unified table; whatever is not given is blank or zero."""
+    from accesslens.constants import EVENT_COLUMNS, EVENT_TEXT_COLUMNS
+    from accesslens.schemas import _EVENT_SMALL_INTS
+
+    out = []
+    for c in EVENT_COLUMNS:
+        if c == "event_id":
+            continue
+        if c == "event_time":
+            out.append(f"{at} AS event_time")
+        elif c == "event_type":
+            out.append(f"'{kind}' AS event_type")
+        elif c in EVENT_TEXT_COLUMNS:
+            out.append(f"coalesce({values.get(c, c)}, '') AS {c}")
+        else:
+            width = "INTEGER" if c in _EVENT_SMALL_INTS else "BIGINT"
+            out.append(f"CAST(coalesce({values.get(c, c)}, 0) AS {width}) AS {c}")
+    return "SELECT " + ", ".join(out)
+
+
+def _blank(*columns: str) -> dict:
+    from accesslens.constants import EVENT_TEXT_COLUMNS
+
+    return {c: "''" if c in EVENT_TEXT_COLUMNS else "0" for c in columns}
+
+
+_TRAFFIC = (
+    "acct_authentic acct_session_time input_total output_total input_delta output_delta "
+    "input_packets output_packets terminate_cause acct_delay_time input_average_rate "
+    "output_average_rate counter_rollback"
+).split()
+_EVENTS = "\nUNION ALL ".join([
+    _event("auth", "resp_ts", **_blank(
+        "acct_status_type", "acct_session_id", "acct_multi_session_id", "error_cause",
+        "event_timestamp", "product_id", *_TRAFFIC)) + " FROM paired",
+    _event("accounting", "ts", **_blank(
+        "result_code", "result", "reply_raw", "reason_zh", "risk", "error_cause")) + " FROM deltas",
+    _event("control", "ts", **_blank(
+        "reply_raw", "reason_zh", "risk", "acct_status_type", "product_id", *_TRAFFIC))
+    + " FROM control_sent",
+])
+
+_LENGTHS = f"""lengths AS (
+  SELECT q.seq, q.at AS pkt_time, s.src_ip, '10.9.0.1' AS dst_ip, s.client_port AS src_port,
+    1812 AS dst_port, 20 + 7 + 2 + strlen(s.raw_username) + 6 + 6 + 6 + 2 + strlen(s.nas_port_id)
+      + 2 + strlen(s.nas_identifier) + s.sta_len + 2 + strlen(s.called_sta)
+      + 8 + strlen(s.username) + CASE WHEN s.calling_sta IS NULL THEN 0 ELSE 8 + strlen(s.calling_sta) END
+      AS payload_length
+  FROM request q JOIN sent s USING (id)
+  UNION ALL SELECT p.seq, p.at, '10.9.0.1', s.src_ip, 1812, s.client_port,
+    20 + CASE WHEN s.reply_msg = '' THEN 0 ELSE 2 + strlen(s.reply_msg) END
+      + CASE WHEN s.result = 2 THEN 6 ELSE 0 END
+  FROM response p JOIN sent s USING (id)
+  UNION ALL SELECT id * 8, ts, src_ip, '10.9.0.1', 40000 + id % 4, 1813,
+    20 + 2 + strlen(raw_username) + 6 * 6 + coalesce(2 + strlen(acct_session_id), 0)
+      + coalesce(2 + strlen(calling_sta), 0) + 6 FROM acct
+  UNION ALL SELECT id * 8 + 4, ts, src_ip, '10.9.0.1', 51000, 3799, 20 + 2 + strlen(username)
+      + coalesce(2 + strlen(acct_session_id), 0)
+      + CASE WHEN 40 + (id // 10) % 6 IN (42, 45) THEN 6 ELSE 0 END FROM acct WHERE id % 10 = 0
+  UNION ALL SELECT id * 8 + n, ts + INTERVAL 3 MILLISECOND, '10.9.0.1', src_ip, 1813, 40000, len
+  FROM acct, (VALUES (1, 3, 20), (2, 7, 20), (3, 11, 2)) o(n, every, len) WHERE id % every = 0)"""
+
+DECODING = {
+    "extract_udp": _with(_auth(), _acct(), _WIRE, _LENGTHS, body="SELECT * FROM lengths"),
+    "decode_accounting": _with(_acct(), _ACCT_WIRE, body="SELECT * EXCLUDE (id) FROM acct_sent"),
+    "decode_control": _with(_acct(), _CONTROL_WIRE, body="SELECT * FROM control_sent"),
+    "pair_auth": _with(_auth(), _WIRE, _PAIRED, body="SELECT * FROM paired"),
+    "unmatched_responses": _with(_auth(), _WIRE, body="""SELECT s.seq, s.at AS resp_ts,
+      r.result AS result_code, s.src_ip AS dst_ip FROM seen s JOIN sent r ON r.id = s.id
+      WHERE NOT is_request AND s.seq NOT IN (SELECT seq FROM answered)"""),
+    "expired_requests": _with(_auth(), _WIRE, body="""SELECT s.seq, s.at AS req_ts, r.username,
+      s.src_ip FROM seen s JOIN sent r ON r.id = s.id
+      WHERE is_request AND coalesce(n_at - s.at > INTERVAL 30 SECOND, true)"""),
+    "stream_quality": _with_recursive(_auth(), _acct(), _WIRE, _LENGTHS, _INTERIM_60, body="""
+      SELECT time_bucket(INTERVAL 10 MINUTE, at) AS metric_time,
+        CAST(sum(cap) AS BIGINT) AS captured_packets,
+        CAST(sum(au + ac + co) AS BIGINT) AS parsed_records, CAST(sum(au) AS BIGINT) AS auth_records,
+        CAST(sum(ac - drp) AS BIGINT) AS accounting_records,
+        CAST(sum(co) AS BIGINT) AS control_records, CAST(sum(ch) AS BIGINT) AS challenge_records,
+        CAST(sum(drp) AS BIGINT) AS interim_sampled_out,
+        CAST(sum(un) AS BIGINT) AS unmatched_auth_responses,
+        CAST(sum(ex) AS BIGINT) AS expired_auth_requests, CAST(sum(bad) AS BIGINT) AS malformed_packets,
+        CAST(sum(ar) AS BIGINT) AS accounting_responses, CAST(sum(uk) AS BIGINT) AS unknown_codes
+      FROM (
+        SELECT pkt_time AS at, 1 AS cap, 0 AS au, CAST(seq % 8 = 0 AND dst_port = 1813 AS INT) AS ac,
+          CAST(dst_port = 3799 AS INT) AS co, 0 AS ch, CAST(seq % 8 = 0 AND dst_port = 1813
+            AND seq // 8 IN (SELECT id FROM acct WHERE acct_status_type = 3)
+            AND seq // 8 NOT IN (SELECT id FROM kept) AS INT) AS drp, 0 AS un, 0 AS ex,
+          CAST(payload_length < 20 AS INT) AS bad,
+          CAST(src_port = 1813 AND seq % 8 = 1 AS INT) AS ar,
+          CAST(src_port = 1813 AND seq % 8 = 2 AS INT) AS uk FROM lengths
+        UNION ALL SELECT s.at, 0, CAST(a.seq IS NOT NULL AS INT), 0, 0,
+          CAST(a.seq IS NOT NULL AND r.result = 11 AS INT), 0,
+          CAST(NOT s.is_request AND a.seq IS NULL AS INT),
+          CAST(s.is_request AND coalesce(s.n_at - s.at > INTERVAL 30 SECOND, true) AS INT), 0, 0, 0
+        FROM seen s JOIN sent r ON r.id = s.id LEFT JOIN answered a ON a.seq = s.seq)
+      GROUP BY 1"""),
+    "aaa_events": _with_recursive(
+        _auth(), _acct(), _WIRE, _PAIRED, _ACCT_WIRE, _CONTROL_WIRE, _INTERIM_60, _KEPT,
+        _KEPT_DELTAS, body=_EVENTS),
+    "auth_log_from_packets": _with(_auth(), _WIRE, _PAIRED, body="""SELECT seq AS id, resp_ts AS ts,
+      req_ts, CAST((epoch_us(resp_ts) - epoch_us(req_ts)) // 1000 AS INTEGER) AS latency_ms, username,
+      raw_username, result_code AS result, reply_raw AS reply_msg, coalesce(reason_zh, '') AS reason_zh,
+      risk AS risk_level, mac_addr, calling_sta, called_sta, nas_ip, nas_port, nas_identifier,
+      nas_port_id, nas_port_type, framed_ip, src_ip FROM paired"""),
+    "acct_log_from_packets": _with_recursive(_acct(), _ACCT_WIRE, _INTERIM_60, _KEPT,
+      body="""SELECT seq AS id, ts, username, raw_username, acct_status_type, acct_session_id,
+      input_octets, input_gigawords, output_octets, output_gigawords, mac_addr, calling_sta,
+      called_sta, nas_ip, nas_identifier, nas_port, nas_port_id, nas_port_type, framed_ip, src_ip,
+      dst_ip FROM acct_kept"""),
+}
+
+
 def statements() -> dict[str, str]:
-    return {**AUTH, **ACCOUNTING}
+    return {**AUTH, **ACCOUNTING, **STATEFUL, **DECODING}

@@ -313,12 +313,8 @@ def timeline(
 
 def ingest_status(stat10m: DataFrame, acct: DataFrame, now: datetime) -> DataFrame:
     """Newest response and accounting times and their lag behind ``now`` in seconds."""
-    at = times.epoch_us(times.ntz(now))
-
     def lag(c: str):
-        behind = at - times.epoch_us(F.col(c))
-        # Whole seconds, cut towards zero.
-        return (behind / 1000000).cast("bigint")
+        return (times.ntz(now) - F.col(c)).cast("interval second").cast("bigint")
 
     auth_seen = stat10m.agg(F.max("last_seen").alias("last_response_ts"))
     acct_seen = acct.agg(F.max("ts").alias("last_accounting_ts"))

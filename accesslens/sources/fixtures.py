@@ -8,103 +8,103 @@ makes the DuckDB comparison possible.
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from accesslens.constants import REPLY_REASONS
-from accesslens.functions import times
 from accesslens.functions.keys import reply_reason
-from accesslens.functions.text import blank_to_null
 from accesslens.schemas import ACCT_LOG, AUTH_LOG
 
-BASE = datetime(2024, 1, 1)
 NOW = datetime(2024, 1, 1, 12, 0, 0)
 UNKNOWN_REPLY = "099:Some other failure"
 
-
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+_BASE = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
+_US = f"cast(cast((ts - {_BASE}) * 1000000 AS INTERVAL SECOND) AS BIGINT)"
 
 
-def _compressed_ts(ts: Column, factor: int) -> Column:
-    since = times.epoch_us(ts) - times.epoch_us(times.ntz(BASE))
-    ms = F.expr("0L") + (since - F.pmod(since, F.lit(factor * 1000)))
-    return times.ntz(BASE) + (ms / (factor * 1000)).cast("bigint") * F.expr("INTERVAL '0.001' SECOND")
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ).parquet(f"{sf_dir}/events.parquet")
 
 
 def _common(ev: DataFrame, factor: int) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    uid = F.col("user_id").cast("string")
-    user = (F.col("user_id") + 10000).cast("string")
-    base = ev.select(
-        F.col("event_id").alias("id"), "user_id", "event_type", "value", k.alias("k"),
-        _compressed_ts(F.col("ts"), factor).alias("ts"),
-        F.concat(F.lit("GDF"), user).alias("username"),
-        F.concat(F.lit("a:"), uid, F.lit("::gdf"), user).alias("raw_username"),
-    )
-    mod8 = (F.col("user_id") % 8).cast("string")
-    mac_tail = (F.col("k") % 4).cast("string")
-    has_mac = F.col("k") % 9 != 0
-    return base.select(
-        "*",
-        F.when(has_mac, F.concat(F.lit("02:00:00:00:00:0"), mac_tail)).alias("mac_addr"),
-        F.when(has_mac, F.concat(F.lit("02-00-00-00-00-0"), mac_tail)).alias("calling_sta"),
-        F.concat(F.lit("bras-"), mod8).alias("called_sta"),
-        F.concat(F.lit("10.0.0."), mod8).alias("nas_ip"),
-        (F.col("user_id") % 16).cast("bigint").alias("nas_port"),
-        F.concat(F.lit("nas-"), mod8).alias("nas_identifier"),
-        F.concat(F.lit("slot=0;port="), (F.col("user_id") % 16).cast("string")).alias("nas_port_id"),
-        F.lit(15).alias("nas_port_type"),
-        F.concat(
-            F.lit("100.64."), (F.col("user_id") % 256).cast("string"), F.lit("."),
-            F.col("k").cast("string"),
-        ).alias("framed_ip"),
-        F.concat(F.lit("10.0.0."), mod8).alias("src_ip"),
-        F.lit("10.9.0.1").alias("dst_ip"),
+    return ev.selectExpr(
+        "event_id AS id", "user_id", "event_type", "value",
+        "cast(get_json_object(props, '$.k') AS INT) AS k",
+        f"{_BASE} + ({_US} div {factor * 1000}) * INTERVAL '0.001' SECOND AS ts",
+    ).selectExpr(
+        "*", "concat('GDF', user_id + 10000) AS username",
+        "concat('a:', user_id, '::gdf', user_id + 10000) AS raw_username",
+        "if(k % 9 <> 0, concat('02:00:00:00:00:0', k % 4), NULL) AS mac_addr",
+        "if(k % 9 <> 0, concat('02-00-00-00-00-0', k % 4), NULL) AS calling_sta",
+        "concat('bras-', user_id % 8) AS called_sta", "concat('10.0.0.', user_id % 8) AS nas_ip",
+        "user_id % 16 AS nas_port", "concat('nas-', user_id % 8) AS nas_identifier",
+        "concat('slot=0;port=', user_id % 16) AS nas_port_id", "15 AS nas_port_type",
+        "concat('100.64.', user_id % 256, '.', k) AS framed_ip",
+        "concat('10.0.0.', user_id % 8) AS src_ip", "'10.9.0.1' AS dst_ip",
     )
 
 
+def _reply_message() -> str:
+    arms = " ".join(f"WHEN {n} THEN '{m}'" for n, m in enumerate(REPLY_REASONS))
+    return f"CASE k % 7 {arms} ELSE '{UNKNOWN_REPLY}' END"
+
+
 def auth_log(ev: DataFrame, factor: int = 60) -> DataFrame:
     """Authentication detail rows from the signup, purchase and error events."""
-    k = F.col("k")
-    rows = _common(ev.filter(F.col("event_type").isin("signup", "purchase", "error")), factor)
-    result = (
-        F.when(F.col("event_type") == "error", 3)
-        .when((F.col("event_type") == "signup") & (k % 10 == 0), 11)
-        .otherwise(2)
-    )
-    message = F.lit(UNKNOWN_REPLY)
-    for n, known in enumerate(REPLY_REASONS):
-        message = F.when(k % 7 == n, known).otherwise(message)
-    rows = rows.select(
-        "*", result.alias("result"),
-        F.when(k % 7 != 0, F.floor("value")).cast("int").alias("latency_ms"),
-        F.when(result == 3, message).otherwise("").alias("reply_msg"),
-    )
-    reason, risk = reply_reason(blank_to_null(F.col("reply_msg")))
-    return rows.select(
+    rows = _common(ev.filter("event_type IN ('signup', 'purchase', 'error')"), factor).selectExpr(
         "*",
-        (F.col("ts") - F.col("latency_ms") * F.expr("INTERVAL '0.001' SECOND")).alias("req_ts"),
-        F.coalesce(reason, F.lit("")).alias("reason_zh"), risk.alias("risk_level"),
+        "CASE WHEN event_type = 'error' THEN 3 "
+        "WHEN event_type = 'signup' AND k % 10 = 0 THEN 11 ELSE 2 END AS result",
+        f"if(event_type = 'error', {_reply_message()}, '') AS reply_msg",
+        "cast(if(k % 7 <> 0, floor(value), NULL) AS INT) AS latency_ms",
+    )
+    reason, risk = reply_reason(rows["reply_msg"])
+    return rows.select("*", reason.alias("reason"), risk.alias("risk_level")).selectExpr(
+        "*", "ts - latency_ms * INTERVAL '0.001' SECOND AS req_ts",
+        "coalesce(reason, '') AS reason_zh",
     ).select(AUTH_LOG.fieldNames())
 
 
 def acct_log(ev: DataFrame, factor: int = 60) -> DataFrame:
     """Accounting detail rows from the click and view events."""
-    k, value = F.col("k"), F.col("value")
-    rows = _common(ev.filter(F.col("event_type").isin("click", "view")), factor)
-    giga = F.when(k % 20 == 0, 1).otherwise(0).cast("bigint")
-    return rows.select(
+    return _common(ev.filter("event_type IN ('click', 'view')"), factor).selectExpr(
         "*",
-        F.when(k < 5, 1).when(k >= 95, 2).when(k == 50, 7).otherwise(3).alias("acct_status_type"),
-        F.when(
-            k != 77,
-            F.concat(F.lit("s-"), F.col("user_id").cast("string"), F.lit("-"), (k % 3).cast("string")),
-        ).alias("acct_session_id"),
-        F.floor(value * 100).cast("bigint").alias("input_octets"), giga.alias("input_gigawords"),
-        F.floor(value * 50).cast("bigint").alias("output_octets"), giga.alias("output_gigawords"),
+        "CASE WHEN k < 5 THEN 1 WHEN k >= 95 THEN 2 WHEN k = 50 THEN 7 ELSE 3 END "
+        "AS acct_status_type",
+        "if(k <> 77, concat('s-', user_id, '-', k % 3), NULL) AS acct_session_id",
+        "cast(floor(value * 100) AS BIGINT) AS input_octets",
+        "cast(floor(value * 50) AS BIGINT) AS output_octets",
+        "if(k % 20 = 0, 1L, 0L) AS input_gigawords", "if(k % 20 = 0, 1L, 0L) AS output_gigawords",
     ).select(ACCT_LOG.fieldNames())
 
 
 def with_duplicates(df: DataFrame, id_col: str = "id") -> DataFrame:
     """Every fiftieth row once more, as a mirrored capture would deliver it."""
-    return df.unionByName(df.filter(F.col(id_col) % 50 == 0))
+    return df.unionByName(df.filter(f"{id_col} % 50 = 0"))
+
+
+def snapshots(auth: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Terminal-path snapshots, one per hour and terminal seen in it, and their batches.
+
+    Every fourth batch failed; later snapshots of a batch come from other devices.
+    """
+    hourly = auth.filter("mac_addr IS NOT NULL").selectExpr(
+        "window(ts, '1 hour').start AS hour", "mac_addr", "ts", "nas_port", "nas_port_id", "id"
+    ).groupBy("hour", "mac_addr").agg(
+        {"ts": "min", "nas_port": "max", "nas_port_id": "min", "id": "max"}
+    )
+    batch = "concat('batch-', hour(hour))"
+    rows = hourly.selectExpr(
+        "`max(id)` AS id", f"{batch} AS batch_id", "`min(ts)` AS collected_at",
+        "cast(`max(nas_port)` AS INT) AS olt_device_id", "'olt' AS olt_name",
+        "cast(100 + hour(hour) AS INT) AS vlan_id", "'0/1' AS if_index",
+        "`min(nas_port_id)` AS port_name", "concat('0a00000000', lpad(hour(hour), 2, '0')) AS onu_mac",
+        "upper(replace(mac_addr, ':', '')) AS terminal_mac", "'show' AS source_command",
+    )
+    batches = hourly.groupBy("hour").agg({"min(ts)": "max"}).selectExpr(
+        f"{batch} AS batch_id", "`max(min(ts))` AS finished_at",
+        "if(hour(hour) % 4 = 3, 'failed', 'completed') AS status",
+    )
+    return rows, batches

@@ -12,6 +12,7 @@ def make_session() -> SparkSession:
         SparkSession.builder.master("local[8]").appName("accesslens-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         # A zone with daylight saving: results must not depend on it.
         .config("spark.sql.session.timeZone", "America/New_York")
