@@ -82,10 +82,27 @@ def sample_interim(
     """
     if interval_s <= 0:
         return acct
+    kept = kept_interims(acct, interval_s, ts, tie, chunk_ms).select(tie)
+    flagged = acct.join(kept.withColumn("is_kept", F.lit(True)), tie, "left")
+    stays = ~sampled(acct) | F.coalesce("is_kept", F.lit(False))
+    return flagged.filter(stays).select(*acct.columns)
+
+
+def sampled(acct: DataFrame) -> Column:
+    """Whether a row is subject to down-sampling."""
+    interim = (F.col("acct_status_type") == ACCT_INTERIM) & _interim_key().isNotNull()
+    return F.coalesce(interim, F.lit(False))
+
+
+def kept_interims(
+    acct: DataFrame, interval_s: int = INTERIM_INTERVAL_SECONDS, ts: str = "ts", tie: str = "id",
+    chunk_ms: int = _CHUNK_MS,
+) -> DataFrame:
+    """Tie and time (epoch ms) of the interim updates that stay."""
     interval = int(interval_s) * 1000
-    slim = acct.filter(F.col("acct_status_type") == ACCT_INTERIM).select(
+    slim = acct.filter(sampled(acct)).select(
         _interim_key().alias("key"), times.epoch_ms(F.col(ts)).alias("ms"), F.col(tie).alias("tie")
-    ).filter(F.col("key").isNotNull())
+    )
     # Of rows at the same time only the first can stay.
     distinct = slim.groupBy("key", "ms").agg(F.min("tie").alias("tie"))
     chunk = F.floor(F.col("ms") / chunk_ms).cast("bigint")
@@ -93,39 +110,61 @@ def sample_interim(
         F.array_sort(F.collect_list(F.struct("ms", "tie"))).alias("rows")
     )
     starts = _chunk_starts(chunks.select("key", "chunk", F.col("rows.ms").alias("ms")), interval, chunk_ms)
-    kept = chunks.join(starts, ["key", "chunk"]).select(
-        F.explode(F.expr(
-            f"""aggregate(rows, named_struct('resume', resume, 'kept', cast(array() AS array<{_type(acct, tie)}>)),
-              (s, r) -> if(r.ms >= s.resume,
-                named_struct('resume', r.ms + {interval}L, 'kept', array_append(s.kept, r.tie)), s),
-              s -> s.kept)"""
-        )).alias(tie)
+    entry = f"struct<ms: bigint, tie: {acct.schema[tie].dataType.simpleString()}>"
+    kept = F.expr(
+        f"""aggregate(rows, named_struct('resume', resume, 'kept', cast(array() AS array<{entry}>)),
+          (s, r) -> if(r.ms >= s.resume,
+            named_struct('resume', r.ms + {interval}L, 'kept', array_append(s.kept, r)), s),
+          s -> s.kept)"""
+    )
+    return chunks.join(starts, ["key", "chunk"]).select(F.inline(kept)).select(
+        "ms", F.col("tie").alias(tie)
     )
-    interim = (F.col("acct_status_type") == ACCT_INTERIM) & _interim_key().isNotNull()
-    flagged = acct.join(kept.withColumn("is_kept", F.lit(True)), tie, "left")
-    stays = ~F.coalesce(interim, F.lit(False)) | F.coalesce("is_kept", F.lit(False))
-    return flagged.filter(stays).select(*acct.columns)
-
-
-def _type(df: DataFrame, name: str) -> str:
-    return df.schema[name].dataType.simpleString()
 
 
 def _chunk_starts(chunks: DataFrame, interval: int, chunk_ms: int) -> DataFrame:
     """(key, chunk, resume): from which time on a row of the chunk may be kept."""
 
+    # The helpers are local so that they travel to the workers with the function itself.
+    def steps_of(t: np.ndarray, reach: int):
+        """Step function of one chunk as (upper bounds of the start, resulting restart).
+
+        ``t`` is sorted and distinct; starts lie below ``reach``, so only rows up to the first one
+        beyond it can be kept first.
+        """
+        n = len(t)
+        following = np.searchsorted(t, t + interval)
+        last = np.where(following == n, np.arange(n), np.minimum(following, n - 1))
+        while True:
+            jumped = last[last]
+            if np.array_equal(jumped, last):
+                break
+            last = jumped
+        first = min(int(np.searchsorted(t, reach)) + 1, n)
+        bound, resume = t[:first], t[last[:first]] + interval
+        ends = np.append(resume[1:] != resume[:-1], True)
+        return bound[ends], resume[ends]
+
+    def chain_of(parts) -> list:
+        at, out = np.iinfo(np.int64).min, []
+        for part in parts:
+            out.append({"chunk": part["chunk"], "resume": at})
+            f = part["f"]
+            step = int(np.searchsorted(f["bound"], at))
+            if step < len(f["bound"]):
+                at = int(f["resume"][step])
+        return out
+
     @F.pandas_udf("struct<bound: array<bigint>, resume: array<bigint>>")
     def steps(chunk: pd.Series, ms: pd.Series) -> pd.DataFrame:
-        bounds, resumes = [], []
-        for c, t in zip(chunk, ms):
-            b, r = _steps(np.asarray(t), int(c) * chunk_ms + interval, interval)
-            bounds.append(b)
-            resumes.append(r)
-        return pd.DataFrame({"bound": bounds, "resume": resumes})
+        found = [
+            steps_of(np.asarray(t), int(c) * chunk_ms + interval) for c, t in zip(chunk, ms)
+        ]
+        return pd.DataFrame({"bound": [f[0] for f in found], "resume": [f[1] for f in found]})
 
     @F.pandas_udf("array<struct<chunk: bigint, resume: bigint>>")
     def chain(parts: pd.Series) -> pd.Series:
-        return pd.Series([_chain(p) for p in parts])
+        return pd.Series([chain_of(p) for p in parts])
 
     summary = chunks.select("key", "chunk", steps("chunk", "ms").alias("f"))
     chained = summary.groupBy("key").agg(
@@ -134,37 +173,6 @@ def _chunk_starts(chunks: DataFrame, interval: int, chunk_ms: int) -> DataFrame:
     return chained.select("key", F.inline(chain("parts")))
 
 
-def _steps(t: np.ndarray, reach: int, interval: int):
-    """Step function of one chunk as (upper bounds of the start, resulting restart).
-
-    ``t`` is sorted and distinct; starts lie below ``reach``, so only rows up to the first one
-    beyond it can be kept first.
-    """
-    n = len(t)
-    following = np.searchsorted(t, t + interval)
-    last = np.where(following == n, np.arange(n), np.minimum(following, n - 1))
-    while True:
-        jumped = last[last]
-        if np.array_equal(jumped, last):
-            break
-        last = jumped
-    first = min(int(np.searchsorted(t, reach)) + 1, n)
-    bound, resume = t[:first], t[last[:first]] + interval
-    ends = np.append(resume[1:] != resume[:-1], True)
-    return bound[ends], resume[ends]
-
-
-def _chain(parts) -> list:
-    at, out = np.iinfo(np.int64).min, []
-    for part in parts:
-        out.append({"chunk": part["chunk"], "resume": at})
-        f = part["f"]
-        step = int(np.searchsorted(f["bound"], at))
-        if step < len(f["bound"]):
-            at = int(f["resume"][step])
-    return out
-
-
 # --- Counter deltas ---------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ the first match is the last duplicate on the wire, which is the one that counts.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from accesslens import constants as C
-from accesslens.functions.keys import code_name, reply_reason
+from accesslens.functions.keys import code_name
 from accesslens.functions.text import normalize_mac, normalize_username, or_else, strip
 
 
@@ -60,7 +60,9 @@ def extract_udp(packets: DataFrame) -> DataFrame:
 
     Link types: 1 Ethernet with VLAN tags, 101 and 228 raw IP, 113 and 276 Linux cooked capture.
     """
-    return packets.select("seq", "pkt_time", F.inline(F.expr(_DATAGRAM)))
+    found = packets.select("seq", "pkt_time", F.inline_outer(F.expr(_DATAGRAM)))
+    # With the plain inline, Spark would add a filter that evaluates the whole list twice.
+    return found.filter("payload IS NOT NULL")
 
 
 def filter_ports(df: DataFrame, ports: list[int] | None = None) -> DataFrame:
@@ -126,18 +128,27 @@ def _vsa_walk() -> str:
       s -> s.out)"""
 
 
+def _with_walked(df: DataFrame, name: str, walk: str) -> DataFrame:
+    """Add a list column that is computed exactly once.
+
+    As a plain column the walk would be copied into every filter on a decoded attribute that Spark
+    pushes down. The output of a generator is not.
+    """
+    return df.select("*", F.inline_outer(F.array(F.struct(F.expr(walk).alias(name)))))
+
+
 def decode_attributes(df: DataFrame) -> DataFrame:
     """Add ``attrs``, the (type, value) list of each well-formed packet, newest first."""
     body = df.withColumn(
         "body", F.expr("if(is_malformed, X'', substring(payload, 21, packet_length - 20))")
     )
-    return body.withColumn("attrs", F.expr(_walk("body", 1, _ATTR, _ATTR_TYPE, 2))).drop("body")
+    return _with_walked(body, "attrs", _walk("body", 1, _ATTR, _ATTR_TYPE, 2)).drop("body")
 
 
 def decode_vsa(df: DataFrame) -> DataFrame:
     """Add ``vsas``, the vendor sub-attributes of all containers of the packet, newest first."""
     containers = f"filter(attrs, a -> a.t = {C.ATTR_VENDOR_SPECIFIC})"
-    return df.withColumn("vsas", F.expr(f"flatten(transform({containers}, c -> {_vsa_walk()}))"))
+    return _with_walked(df, "vsas", f"flatten(transform({containers}, c -> {_vsa_walk()}))")
 
 
 def _value(attr: int) -> str:
@@ -238,22 +249,31 @@ def _common() -> list[Column]:
     ]
 
 
+def request_columns() -> list[Column]:
+    return [
+        F.col("seq"), F.col("pkt_time").alias("req_ts"), *_identity(F.col("src_ip")), *_common(),
+        *[F.col(c) for c in _ENDPOINTS],
+    ]
+
+
+def response_columns() -> list[Column]:
+    return [
+        F.col("seq"), F.col("pkt_time").alias("resp_ts"), F.col("code").alias("result_code"),
+        F.coalesce(attr_text(C.ATTR_REPLY_MESSAGE), F.lit("")).alias("reply_raw"), *_common(),
+        *[F.col(c) for c in _ENDPOINTS],
+    ]
+
+
 def project_request(decoded: DataFrame) -> DataFrame:
     """Access requests with their identity and access attributes."""
     rows = decoded.filter(f"NOT is_malformed AND code = {C.ACCESS_REQUEST}")
-    return rows.select(
-        "seq", F.col("pkt_time").alias("req_ts"), *_identity(F.col("src_ip")), *_common(), *_ENDPOINTS
-    )
+    return rows.select(*request_columns())
 
 
 def project_response(decoded: DataFrame) -> DataFrame:
     """Access responses (accept, reject, challenge) with the attributes that may override the request."""
     rows = decoded.filter(F.col("code").isin(C.AUTH_RESPONSE_CODES) & ~F.col("is_malformed"))
-    return rows.select(
-        "seq", F.col("pkt_time").alias("resp_ts"), F.col("code").alias("result_code"),
-        F.coalesce(attr_text(C.ATTR_REPLY_MESSAGE), F.lit("")).alias("reply_raw"), *_common(),
-        *_ENDPOINTS,
-    )
+    return rows.select(*response_columns())
 
 
 def project_accounting(decoded: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from accesslens import constants as C
 from accesslens.functions import times
 from accesslens.functions.keys import code_name, reply_reason
 from accesslens.functions.text import blank_to_null
-from accesslens.operators.decode import project_request, project_response
+from accesslens.operators.decode import request_columns, response_columns
 
 _CHUNK_SECONDS = 300
 _FLOW = ["client_ip", "client_port", "server_ip", "server_port", "packet_identifier"]
@@ -24,27 +24,27 @@ _OVERRIDDEN_TEXTS = ["framed_ip", "framed_ip_netmask", "class_attr", "connect_in
 _OVERRIDDEN_NUMBERS = ["service_type", "framed_protocol"]
 
 
-def _flow(client: str, server: str) -> list[Column]:
-    return [
-        F.col(f"{client}_ip").alias("client_ip"), F.col(f"{client}_port").alias("client_port"),
-        F.col(f"{server}_ip").alias("server_ip"), F.col(f"{server}_port").alias("server_port"),
-    ]
-
-
 def auth_packets(decoded: DataFrame) -> DataFrame:
     """Requests and responses as one table of flow, time, and a struct for either role.
 
-    A request comes from the client, so its source is the client; a response is the reverse.
+    A request comes from the client, so its source is the client; a response is the reverse. Both
+    roles are cut out of one pass over the packets.
     """
-    request = project_request(decoded).select(
-        "seq", F.col("req_ts").alias("at"), "packet_identifier", *_flow("src", "dst"),
-        F.struct("*").alias("request"),
+    is_request = F.col("code") == C.ACCESS_REQUEST
+    rows = decoded.filter(
+        F.col("code").isin(C.ACCESS_REQUEST, *C.AUTH_RESPONSE_CODES) & ~F.col("is_malformed")
     )
-    response = project_response(decoded).select(
-        "seq", F.col("resp_ts").alias("at"), "packet_identifier", *_flow("dst", "src"),
-        F.struct("*").alias("response"),
+
+    def end(client: str, server: str) -> Column:
+        return F.when(is_request, F.col(client)).otherwise(F.col(server))
+
+    return rows.select(
+        "seq", F.col("pkt_time").alias("at"), "packet_identifier",
+        end("src_ip", "dst_ip").alias("client_ip"), end("src_port", "dst_port").alias("client_port"),
+        end("dst_ip", "src_ip").alias("server_ip"), end("dst_port", "src_port").alias("server_port"),
+        F.when(is_request, F.struct(*request_columns())).alias("request"),
+        F.when(~is_request, F.struct(*response_columns())).alias("response"),
     )
-    return request.unionByName(response, allowMissingColumns=True)
 
 
 def auth_exchanges(

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from accesslens import constants as C
+from accesslens.functions import times
 from accesslens.operators import accounting, decode, pairing
 
 COUNTERS = [
@@ -30,18 +31,20 @@ def stream_quality(
     Every source of counters is reduced to one row per interval before they are brought together.
     """
     datagrams = decode.filter_ports(decode.extract_udp(packets), ports)
-    header = decode.decode_header(datagrams)
-    decoded = decode.decode_vsa(decode.decode_attributes(header))
+    decoded = decode.decode_packets(datagrams)
     exchanges = pairing.auth_exchanges(pairing.auth_packets(decoded))
     named = f"coalesce(matched.username, '') NOT IN ('', '{C.UNMATCHED_USER}')"
     acct = accounting.identifiable_accounting(decode.project_accounting(decoded))
-    kept = accounting.sample_interim(acct, sample_s, tie="seq")
     control = accounting.identifiable_control(decode.project_control(decoded))
+    kept = accounting.kept_interims(acct, sample_s, tie="seq").select(
+        times.from_epoch_ms(F.col("ms")).alias("ts")
+    )
+    thinned = acct.select("ts", accounting.sampled(acct).alias("thinned"))
     known = ", ".join(str(c) for c in C.CODE_NAMES)
     parts = [
         _counts(packets, "pkt_time", interval, captured_packets="true"),
         _counts(
-            header, "pkt_time", interval, malformed_packets="is_malformed",
+            decode.decode_header(datagrams), "pkt_time", interval, malformed_packets="is_malformed",
             accounting_responses=f"NOT is_malformed AND code = {C.ACCOUNTING_RESPONSE}",
             unknown_codes=f"NOT is_malformed AND code NOT IN ({known})",
         ),
@@ -51,8 +54,11 @@ def stream_quality(
             unmatched_auth_responses="response IS NOT NULL AND matched IS NULL",
             expired_auth_requests="is_expired",
         ),
-        _counts(acct, "ts", interval, parsed_records="true", interim_sampled_out="true"),
-        # What was kept is taken off again: read minus kept is what was sampled out.
+        _counts(
+            thinned, "ts", interval, parsed_records="true", accounting_records="NOT thinned",
+            interim_sampled_out="thinned",
+        ),
+        # A kept update moves from the sampled-out count to the records.
         _counts(kept, "ts", interval, accounting_records="true").withColumn(
             "interim_sampled_out", -F.col("accounting_records")
         ),

@@ -97,8 +97,10 @@ REPORTS: dict[str, Query] = {
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = fixtures.events(spark, sf_dir)
-    return packets.capture(fixtures.auth_log(ev), fixtures.acct_log(ev))
+    # Encoding is heavy and the test file is one small split, so the rows are spread first.
+    width = spark.sparkContext.defaultParallelism
+    ev = fixtures.events(spark, sf_dir).repartition(width, "event_id")
+    return packets.capture(fixtures.all_rows(ev))
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:

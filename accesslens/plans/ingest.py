@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from accesslens import constants as C
 from accesslens.operators import accounting, decode, events, pairing
+from accesslens.operators.staging import staged
 
 
 @dataclass(frozen=True)
@@ -21,8 +22,11 @@ def decode_stage(packets: DataFrame, ports: list[int] | None = None) -> DataFram
 
 
 def records(decoded: DataFrame, sample_s: int = C.INTERIM_INTERVAL_SECONDS) -> Records:
-    """Identifiable records; interim updates are thinned out here, before any delta is taken."""
-    acct = accounting.identifiable_accounting(decode.project_accounting(decoded))
+    """Identifiable records; interim updates are thinned out here, before any delta is taken.
+
+    Accounting records are read twice by the sampler, so they are decoded once and staged.
+    """
+    acct = staged(accounting.identifiable_accounting(decode.project_accounting(decoded)))
     return Records(
         accounting.identifiable_auth(pairing.pair_auth(decoded)),
         accounting.sample_interim(acct, sample_s, tie="seq"),
@@ -35,5 +39,6 @@ def unified(rec: Records, scale: int = C.COUNTER_SCALE) -> DataFrame:
     def once(df: DataFrame) -> DataFrame:
         return accounting.dedup_events(events.identify(df))
 
-    deltas = accounting.accounting_deltas(once(rec.accounting), scale, tie="event_id")
+    # Counter sizes, carried records and the records themselves: three readers.
+    deltas = accounting.accounting_deltas(staged(once(rec.accounting)), scale, tie="event_id")
     return events.aaa_events(once(rec.auth), deltas, once(rec.control))

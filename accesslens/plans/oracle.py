@@ -374,20 +374,20 @@ STATEFUL = {
 _WIRE = """sent AS (SELECT *, id % 256 AS ident, 40000 + id % 4 AS client_port,
     coalesce(2 + strlen(calling_sta), 0) AS sta_len FROM auth WHERE latency_ms IS NOT NULL),
   request AS (
-    SELECT id, id * 8 AS seq, req_ts - INTERVAL 50 MILLISECOND AS at FROM sent
+    SELECT id, id * 8 AS seq, req_ts - INTERVAL 50 MILLISECOND AS sent_at FROM sent
     UNION ALL SELECT id, id * 8 + 1, req_ts - INTERVAL 10 MILLISECOND FROM sent WHERE k % 10 = 1),
   response AS (
-    SELECT id, id * 8 + 2 AS seq, ts AS at FROM sent WHERE k % 13 <> 0
+    SELECT id, id * 8 + 2 AS seq, ts AS sent_at FROM sent WHERE k % 13 <> 0
     UNION ALL SELECT id, id * 8 + 3, ts + INTERVAL 5 MILLISECOND FROM sent
       WHERE k % 17 = 0 AND k % 13 <> 0),
   flow AS (SELECT e.*, s.src_ip, s.client_port, s.ident FROM (
-      SELECT id, seq, at, true AS is_request FROM request
-      UNION ALL SELECT id, seq, at, false FROM response) e JOIN sent s USING (id)),
-  seen AS (SELECT *, lag(is_request) OVER w AS p_request, lag(at) OVER w AS p_at,
-      lag(id) OVER w AS p_id, lead(at) OVER w AS n_at FROM flow
-    WINDOW w AS (PARTITION BY src_ip, client_port, ident ORDER BY at, seq)),
+      SELECT id, seq, sent_at, true AS is_request FROM request
+      UNION ALL SELECT id, seq, sent_at, false FROM response) e JOIN sent s USING (id)),
+  seen AS (SELECT *, lag(is_request) OVER w AS p_request, lag(sent_at) OVER w AS p_at,
+      lag(id) OVER w AS p_id, lead(sent_at) OVER w AS n_at FROM flow
+    WINDOW w AS (PARTITION BY src_ip, client_port, ident ORDER BY sent_at, seq)),
   answered AS (SELECT * FROM seen WHERE NOT is_request AND p_request
-    AND at - p_at <= INTERVAL 30 SECOND)"""
+    AND sent_at - p_at <= INTERVAL 30 SECOND)"""
 _NO_TEXT = "CAST(NULL AS VARCHAR)"
 _NO_INT = "CAST(NULL AS BIGINT)"
 _PAIRED = f"""paired AS (SELECT a.seq, q.username, q.raw_username, q.username AS subscriber_id,
@@ -396,7 +396,7 @@ _PAIRED = f"""paired AS (SELECT a.seq, q.username, q.raw_username, q.username AS
     q.src_ip, '10.9.0.1' AS dst_ip, a.p_at AS req_ts,
     CASE WHEN r.result = 2 THEN r.framed_ip END AS framed_ip, {_NO_TEXT} AS framed_ip_netmask,
     {_NO_TEXT} AS class_attr, {_NO_TEXT} AS connect_info, {_NO_INT} AS service_type,
-    {_NO_INT} AS framed_protocol, a.at AS resp_ts, r.result AS result_code,
+    {_NO_INT} AS framed_protocol, a.sent_at AS resp_ts, r.result AS result_code,
     CASE r.result WHEN 2 THEN 'Access-Accept' WHEN 3 THEN 'Access-Reject' ELSE 'Access-Challenge' END
       AS result,
     r.reply_msg AS reply_raw, nullif(r.reason_zh, '') AS reason_zh, r.risk_level AS risk,
@@ -441,7 +441,7 @@ def _with_recursive(*ctes: str, body: str) -> str:
     return _with(*ctes, body=body).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def _event(kind: str, at: str, **values: str) -> str:
+def _event(kind: str, sent_at: str, **values: str) -> str:
     """One branch of the unified table; whatever is not given is blank or zero."""
     from accesslens.constants import EVENT_COLUMNS, EVENT_TEXT_COLUMNS
     from accesslens.schemas import _EVENT_SMALL_INTS
@@ -451,7 +451,7 @@ def _event(kind: str, at: str, **values: str) -> str:
         if c == "event_id":
             continue
         if c == "event_time":
-            out.append(f"{at} AS event_time")
+            out.append(f"{sent_at} AS event_time")
         elif c == "event_type":
             out.append(f"'{kind}' AS event_type")
         elif c in EVENT_TEXT_COLUMNS:
@@ -485,13 +485,13 @@ _EVENTS = "\nUNION ALL ".join([
 ])
 
 _LENGTHS = f"""lengths AS (
-  SELECT q.seq, q.at AS pkt_time, s.src_ip, '10.9.0.1' AS dst_ip, s.client_port AS src_port,
+  SELECT q.seq, q.sent_at AS pkt_time, s.src_ip, '10.9.0.1' AS dst_ip, s.client_port AS src_port,
     1812 AS dst_port, 20 + 7 + 2 + strlen(s.raw_username) + 6 + 6 + 6 + 2 + strlen(s.nas_port_id)
       + 2 + strlen(s.nas_identifier) + s.sta_len + 2 + strlen(s.called_sta)
       + 8 + strlen(s.username) + CASE WHEN s.calling_sta IS NULL THEN 0 ELSE 8 + strlen(s.calling_sta) END
       AS payload_length
   FROM request q JOIN sent s USING (id)
-  UNION ALL SELECT p.seq, p.at, '10.9.0.1', s.src_ip, 1812, s.client_port,
+  UNION ALL SELECT p.seq, p.sent_at, '10.9.0.1', s.src_ip, 1812, s.client_port,
     20 + CASE WHEN s.reply_msg = '' THEN 0 ELSE 2 + strlen(s.reply_msg) END
       + CASE WHEN s.result = 2 THEN 6 ELSE 0 END
   FROM response p JOIN sent s USING (id)
@@ -509,14 +509,14 @@ DECODING = {
     "decode_accounting": _with(_acct(), _ACCT_WIRE, body="SELECT * EXCLUDE (id) FROM acct_sent"),
     "decode_control": _with(_acct(), _CONTROL_WIRE, body="SELECT * FROM control_sent"),
     "pair_auth": _with(_auth(), _WIRE, _PAIRED, body="SELECT * FROM paired"),
-    "unmatched_responses": _with(_auth(), _WIRE, body="""SELECT s.seq, s.at AS resp_ts,
+    "unmatched_responses": _with(_auth(), _WIRE, body="""SELECT s.seq, s.sent_at AS resp_ts,
       r.result AS result_code, s.src_ip AS dst_ip FROM seen s JOIN sent r ON r.id = s.id
       WHERE NOT is_request AND s.seq NOT IN (SELECT seq FROM answered)"""),
-    "expired_requests": _with(_auth(), _WIRE, body="""SELECT s.seq, s.at AS req_ts, r.username,
+    "expired_requests": _with(_auth(), _WIRE, body="""SELECT s.seq, s.sent_at AS req_ts, r.username,
       s.src_ip FROM seen s JOIN sent r ON r.id = s.id
-      WHERE is_request AND coalesce(n_at - s.at > INTERVAL 30 SECOND, true)"""),
+      WHERE is_request AND coalesce(n_at - s.sent_at > INTERVAL 30 SECOND, true)"""),
     "stream_quality": _with_recursive(_auth(), _acct(), _WIRE, _LENGTHS, _INTERIM_60, body="""
-      SELECT time_bucket(INTERVAL 10 MINUTE, at) AS metric_time,
+      SELECT time_bucket(INTERVAL 10 MINUTE, sent_at) AS metric_time,
         CAST(sum(cap) AS BIGINT) AS captured_packets,
         CAST(sum(au + ac + co) AS BIGINT) AS parsed_records, CAST(sum(au) AS BIGINT) AS auth_records,
         CAST(sum(ac - drp) AS BIGINT) AS accounting_records,
@@ -526,17 +526,17 @@ DECODING = {
         CAST(sum(ex) AS BIGINT) AS expired_auth_requests, CAST(sum(bad) AS BIGINT) AS malformed_packets,
         CAST(sum(ar) AS BIGINT) AS accounting_responses, CAST(sum(uk) AS BIGINT) AS unknown_codes
       FROM (
-        SELECT pkt_time AS at, 1 AS cap, 0 AS au, CAST(seq % 8 = 0 AND dst_port = 1813 AS INT) AS ac,
+        SELECT pkt_time AS sent_at, 1 AS cap, 0 AS au, CAST(seq % 8 = 0 AND dst_port = 1813 AS INT) AS ac,
           CAST(dst_port = 3799 AS INT) AS co, 0 AS ch, CAST(seq % 8 = 0 AND dst_port = 1813
             AND seq // 8 IN (SELECT id FROM acct WHERE acct_status_type = 3)
             AND seq // 8 NOT IN (SELECT id FROM kept) AS INT) AS drp, 0 AS un, 0 AS ex,
           CAST(payload_length < 20 AS INT) AS bad,
           CAST(src_port = 1813 AND seq % 8 = 1 AS INT) AS ar,
           CAST(src_port = 1813 AND seq % 8 = 2 AS INT) AS uk FROM lengths
-        UNION ALL SELECT s.at, 0, CAST(a.seq IS NOT NULL AS INT), 0, 0,
+        UNION ALL SELECT s.sent_at, 0, CAST(a.seq IS NOT NULL AS INT), 0, 0,
           CAST(a.seq IS NOT NULL AND r.result = 11 AS INT), 0,
           CAST(NOT s.is_request AND a.seq IS NULL AS INT),
-          CAST(s.is_request AND coalesce(s.n_at - s.at > INTERVAL 30 SECOND, true) AS INT), 0, 0, 0
+          CAST(s.is_request AND coalesce(s.n_at - s.sent_at > INTERVAL 30 SECOND, true) AS INT), 0, 0, 0
         FROM seen s JOIN sent r ON r.id = s.id LEFT JOIN answered a ON a.seq = s.seq)
       GROUP BY 1"""),
     "aaa_events": _with_recursive(

@@ -51,33 +51,45 @@ def _reply_message() -> str:
     return f"CASE k % 7 {arms} ELSE '{UNKNOWN_REPLY}' END"
 
 
+_AUTH_EVENTS = "event_type IN ('signup', 'purchase', 'error')"
+_ACCT_EVENTS = "event_type IN ('click', 'view')"
+_AUTH_COLUMNS = [
+    "CASE WHEN event_type = 'error' THEN 3 "
+    "WHEN event_type = 'signup' AND k % 10 = 0 THEN 11 ELSE 2 END AS result",
+    f"if(event_type = 'error', {_reply_message()}, '') AS reply_msg",
+    "cast(if(k % 7 <> 0, floor(value), NULL) AS INT) AS latency_ms",
+]
+_REQ_TS = "ts - latency_ms * INTERVAL '0.001' SECOND AS req_ts"
+_ACCT_COLUMNS = [
+    "CASE WHEN k < 5 THEN 1 WHEN k >= 95 THEN 2 WHEN k = 50 THEN 7 ELSE 3 END AS acct_status_type",
+    "if(k <> 77, concat('s-', user_id, '-', k % 3), NULL) AS acct_session_id",
+    "cast(floor(value * 100) AS BIGINT) AS input_octets",
+    "cast(floor(value * 50) AS BIGINT) AS output_octets",
+    "if(k % 20 = 0, 1L, 0L) AS input_gigawords", "if(k % 20 = 0, 1L, 0L) AS output_gigawords",
+]
+
+
 def auth_log(ev: DataFrame, factor: int = 60) -> DataFrame:
     """Authentication detail rows from the signup, purchase and error events."""
-    rows = _common(ev.filter("event_type IN ('signup', 'purchase', 'error')"), factor).selectExpr(
-        "*",
-        "CASE WHEN event_type = 'error' THEN 3 "
-        "WHEN event_type = 'signup' AND k % 10 = 0 THEN 11 ELSE 2 END AS result",
-        f"if(event_type = 'error', {_reply_message()}, '') AS reply_msg",
-        "cast(if(k % 7 <> 0, floor(value), NULL) AS INT) AS latency_ms",
-    )
+    rows = _common(ev.filter(_AUTH_EVENTS), factor).selectExpr("*", *_AUTH_COLUMNS)
     reason, risk = reply_reason(rows["reply_msg"])
     return rows.select("*", reason.alias("reason"), risk.alias("risk_level")).selectExpr(
-        "*", "ts - latency_ms * INTERVAL '0.001' SECOND AS req_ts",
-        "coalesce(reason, '') AS reason_zh",
+        "*", _REQ_TS, "coalesce(reason, '') AS reason_zh",
     ).select(AUTH_LOG.fieldNames())
 
 
 def acct_log(ev: DataFrame, factor: int = 60) -> DataFrame:
     """Accounting detail rows from the click and view events."""
-    return _common(ev.filter("event_type IN ('click', 'view')"), factor).selectExpr(
-        "*",
-        "CASE WHEN k < 5 THEN 1 WHEN k >= 95 THEN 2 WHEN k = 50 THEN 7 ELSE 3 END "
-        "AS acct_status_type",
-        "if(k <> 77, concat('s-', user_id, '-', k % 3), NULL) AS acct_session_id",
-        "cast(floor(value * 100) AS BIGINT) AS input_octets",
-        "cast(floor(value * 50) AS BIGINT) AS output_octets",
-        "if(k % 20 = 0, 1L, 0L) AS input_gigawords", "if(k % 20 = 0, 1L, 0L) AS output_gigawords",
-    ).select(ACCT_LOG.fieldNames())
+    rows = _common(ev.filter(_ACCT_EVENTS), factor).selectExpr("*", *_ACCT_COLUMNS)
+    return rows.select(ACCT_LOG.fieldNames())
+
+
+def all_rows(ev: DataFrame, factor: int = 60) -> DataFrame:
+    """Both kinds in one pass, marked by ``is_auth``, with the columns of either."""
+    rows = _common(ev, factor).selectExpr(
+        "*", f"{_AUTH_EVENTS} AS is_auth", *_AUTH_COLUMNS, *_ACCT_COLUMNS
+    )
+    return rows.selectExpr("*", _REQ_TS)
 
 
 def with_duplicates(df: DataFrame, id_col: str = "id") -> DataFrame:

@@ -3,7 +3,7 @@
 Encoding is plain SQL over the same rows the other fixtures use, so the decoded result is known.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def _byte(n: str) -> str:
@@ -60,89 +60,62 @@ _CONTROL = _payload(
 )
 
 
-def _datagrams(rows: DataFrame, payload: str, client: bool, seq: str, at: str) -> DataFrame:
-    ends = ("src_ip", "'10.9.0.1'", "client_port", "server_port") if client else (
-        "'10.9.0.1'", "src_ip", "server_port", "client_port"
-    )
-    return rows.selectExpr(
-        f"{seq} AS seq", f"{at} AS pkt_time", f"{ends[0]} AS src_ip", f"{ends[1]} AS dst_ip",
-        f"cast({ends[2]} AS INT) AS src_port", f"cast({ends[3]} AS INT) AS dst_port",
-        # A generator, so that the encoding is not repeated in whatever reads the payload.
-        f"inline(array(named_struct('payload', {payload})))",
-    )
-
-
-def auth_datagrams(auth: DataFrame) -> DataFrame:
-    """One request per authentication row with a known latency, its response, and the anomalies:
-    a retransmission when k % 10 = 1, no response when k % 13 = 0, a second one when k % 17 = 0."""
-    rows = auth.filter("latency_ms IS NOT NULL").selectExpr(
-        "*", "id % 256 AS identifier", "40000 + id % 4 AS client_port", "1812 AS server_port",
-        "cast(split_part(framed_ip, '.', 4) AS INT) AS k",
-    )
-    ms = "INTERVAL '0.001' SECOND"
-    parts = [
-        _datagrams(rows, _REQUEST, True, "id * 8", f"req_ts - 50 * {ms}"),
-        _datagrams(rows.filter("k % 10 = 1"), _REQUEST, True, "id * 8 + 1", f"req_ts - 10 * {ms}"),
-        _datagrams(rows.filter("k % 13 <> 0"), _RESPONSE, False, "id * 8 + 2", "ts"),
-        _datagrams(rows.filter("k % 17 = 0 AND k % 13 <> 0"), _RESPONSE, False, "id * 8 + 3", f"ts + 5 * {ms}"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def acct_datagrams(acct: DataFrame) -> DataFrame:
-    rows = acct.selectExpr(
-        "*", "id % 256 AS identifier", "40000 + id % 4 AS client_port", "1813 AS server_port"
-    )
-    return _datagrams(rows, _ACCOUNTING, True, "id * 8", "ts")
-
-
-def control_datagrams(acct: DataFrame) -> DataFrame:
-    """A control packet for every tenth accounting row, going through all six codes."""
-    rows = acct.filter("id % 10 = 0").selectExpr(
-        "*", "id % 256 AS identifier", "51000 AS client_port", "3799 AS server_port",
+# kind -> (condition, seq, time, sent by the client?, client port, server port, payload).
+# One request per authentication row with a known latency and its response, with anomalies: a
+# retransmission when k % 10 = 1, no response when k % 13 = 0, a second one when k % 17 = 0.
+# Every tenth accounting row also yields a control packet, going through all six codes. Accounting
+# responses, an unknown code and cut packets complete the picture.
+_MS = "INTERVAL '0.001' SECOND"
+_SENT = "is_auth AND latency_ms IS NOT NULL"
+_KINDS = [
+    (_SENT, "id * 8", f"req_ts - 50 * {_MS}", True, "auth_port", "1812", _REQUEST),
+    (f"{_SENT} AND k % 10 = 1", "id * 8 + 1", f"req_ts - 10 * {_MS}", True, "auth_port", "1812", _REQUEST),
+    (f"{_SENT} AND k % 13 <> 0", "id * 8 + 2", "ts", False, "auth_port", "1812", _RESPONSE),
+    (
+        f"{_SENT} AND k % 17 = 0 AND k % 13 <> 0", "id * 8 + 3", f"ts + 5 * {_MS}", False,
+        "auth_port", "1812", _RESPONSE,
+    ),
+    ("NOT is_auth", "id * 8", "ts", True, "auth_port", "1813", _ACCOUNTING),
+    ("NOT is_auth AND id % 10 = 0", "id * 8 + 4", "ts", True, "51000", "3799", _CONTROL),
+    ("NOT is_auth AND id % 3 = 0", "id * 8 + 1", f"ts + 3 * {_MS}", False, "40000", "1813", _payload("5", "X''")),
+    ("NOT is_auth AND id % 7 = 0", "id * 8 + 2", f"ts + 3 * {_MS}", False, "40000", "1813", _payload("12", "X''")),
+    ("NOT is_auth AND id % 11 = 0", "id * 8 + 3", f"ts + 3 * {_MS}", False, "40000", "1813", "X'0401'"),
+]
+
+
+def _datagram(condition, seq, at, by_client, client_port, server_port, payload) -> str:
+    ends = ("src_ip", "dst_ip") if by_client else ("dst_ip", "src_ip")
+    ports = (client_port, server_port) if by_client else (server_port, client_port)
+    return f"""if({condition}, named_struct('seq', {seq}, 'pkt_time', {at},
+      'src_ip', {ends[0]}, 'dst_ip', {ends[1]}, 'src_port', cast({ports[0]} AS INT),
+      'dst_port', cast({ports[1]} AS INT), 'payload', {payload}), NULL)"""
+
+
+def datagrams(rows: DataFrame) -> DataFrame:
+    """All packets of the rows of :func:`fixtures.all_rows`, in one pass."""
+    prepared = rows.selectExpr(
+        "*", "id % 256 AS identifier", "cast(40000 + id % 4 AS INT) AS auth_port",
         "cast(40 + (id div 10) % 6 AS INT) AS code",
     )
-    return _datagrams(rows, _CONTROL, True, "id * 8 + 4", "ts")
-
-
-def other_datagrams(acct: DataFrame) -> DataFrame:
-    """Accounting responses, an unknown code, and packets cut short."""
-    rows = acct.selectExpr("*", "id % 256 AS identifier", "40000 AS client_port", "1813 AS server_port")
-    at = "ts + INTERVAL '0.003' SECOND"
-    kinds = [
-        ("id % 3 = 0", _payload("5", "X''"), "id * 8 + 1"),
-        ("id % 7 = 0", _payload("12", "X''"), "id * 8 + 2"),
-        ("id % 11 = 0", "X'0401'", "id * 8 + 3"),
-    ]
-    parts = [_datagrams(rows.filter(c), p, False, seq, at) for c, p, seq in kinds]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    packets = ", ".join(_datagram(*kind) for kind in _KINDS)
+    listed = prepared.selectExpr(f"array_compact(array({packets})) AS packets")
+    return listed.selectExpr("inline_outer(packets)").filter("seq IS NOT NULL")
 
 
-def capture(auth: DataFrame, acct: DataFrame) -> DataFrame:
-    """A captured stream with all kinds of packets."""
-    parts = [acct_datagrams(acct), control_datagrams(acct), other_datagrams(acct)]
-    all_of = auth_datagrams(auth)
-    for p in parts:
-        all_of = all_of.unionByName(p)
-    return frames(all_of)
-
-
-def frames(datagrams: DataFrame) -> DataFrame:
+def capture(rows: DataFrame) -> DataFrame:
     """Datagrams wrapped into UDP, IPv4 and a link header that depends on ``seq``."""
     udp = f"concat({_short('src_port')}, {_short('dst_port')}, {_short('length(payload) + 8')}, {_short('0')}, payload)"
     ip = (
         f"concat(X'4500', {_short('length(payload) + 28')}, X'000000004011', {_short('0')}, "
         f"{_ip('src_ip')}, {_ip('dst_ip')}, {udp})"
     )
-    return datagrams.selectExpr(
+    wrapped = datagrams(rows).selectExpr("seq", "pkt_time", f"{ip} AS ip", "seq div 8 % 5 AS kind")
+    return wrapped.selectExpr(
         "seq", "pkt_time",
-        "cast(CASE seq div 8 % 5 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 101 WHEN 3 THEN 113 ELSE 276 END AS INT) AS link_type",
-        f"""CASE seq div 8 % 5
-          WHEN 0 THEN concat(unhex(repeat('02', 12)), X'0800', {ip})
-          WHEN 1 THEN concat(unhex(repeat('02', 12)), X'88A800648100000A0800', {ip})
-          WHEN 2 THEN {ip} WHEN 3 THEN concat(unhex(repeat('00', 14)), X'0800', {ip})
-          ELSE concat(X'0800', unhex(repeat('00', 18)), {ip}) END AS framed""",
-    ).selectExpr("seq", "pkt_time", "link_type", "inline(array(named_struct('frame', framed)))")
+        "cast(CASE kind WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 101 WHEN 3 THEN 113 ELSE 276 END AS INT) AS link_type",
+        """concat(CASE kind
+          WHEN 0 THEN concat(unhex(repeat('02', 12)), X'0800')
+          WHEN 1 THEN concat(unhex(repeat('02', 12)), X'88A800648100000A0800')
+          WHEN 2 THEN X'' WHEN 3 THEN concat(unhex(repeat('00', 14)), X'0800')
+          ELSE concat(X'0800', unhex(repeat('00', 18))) END, ip) AS frame""",
+    )
