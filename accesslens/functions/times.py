@@ -34,6 +34,16 @@ def ntz(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def instant(c: Column) -> Column:
+    """The clock reading as an instant (ms), for watermarks, which Spark keeps on instants only."""
+    return F.timestamp_millis(epoch_ms(c))
+
+
+def from_instant(c: Column) -> Column:
+    """Inverse of :func:`instant`."""
+    return from_epoch_ms(F.unix_millis(c))
+
+
 def to_ms_precision(c: Column) -> Column:
     return from_epoch_ms(epoch_ms(c))
 

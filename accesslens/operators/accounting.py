@@ -60,7 +60,7 @@ def dedup_events(df: DataFrame) -> DataFrame:
 _CHUNK_MS = 6 * 3600 * 1000
 
 
-def _interim_key() -> Column:
+def interim_key() -> Column:
     place = text(or_else(F.col("nas_ip"), F.col("src_ip")))
     who = or_else(*[F.col(c) for c in ("acct_session_id", "username", "framed_ip", "mac_addr")])
     # NULL when there is nothing to tell sessions apart by.
@@ -90,7 +90,7 @@ def sample_interim(
 
 def sampled(acct: DataFrame) -> Column:
     """Whether a row is subject to down-sampling."""
-    interim = (F.col("acct_status_type") == ACCT_INTERIM) & _interim_key().isNotNull()
+    interim = (F.col("acct_status_type") == ACCT_INTERIM) & interim_key().isNotNull()
     return F.coalesce(interim, F.lit(False))
 
 
@@ -101,7 +101,7 @@ def kept_interims(
     """Tie and time (epoch ms) of the interim updates that stay."""
     interval = int(interval_s) * 1000
     slim = acct.filter(sampled(acct)).select(
-        _interim_key().alias("key"), times.epoch_ms(F.col(ts)).alias("ms"), F.col(tie).alias("tie")
+        interim_key().alias("key"), times.epoch_ms(F.col(ts)).alias("ms"), F.col(tie).alias("tie")
     )
     # Of rows at the same time only the first can stay.
     distinct = slim.groupBy("key", "ms").agg(F.min("tie").alias("tie"))

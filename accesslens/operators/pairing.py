@@ -78,6 +78,11 @@ def auth_exchanges(
 
 def paired_records(exchanges: DataFrame) -> DataFrame:
     """Authentication records of the matched responses. Attributes in the response win."""
+    return record_columns(exchanges.filter("matched IS NOT NULL"))
+
+
+def record_columns(pairs: DataFrame) -> DataFrame:
+    """Records from rows of ``seq``, the request ``matched`` and the ``response`` to it."""
     request, response = F.col("matched"), F.col("response")
     reason, risk = reply_reason(blank_to_null(response["reply_raw"]))
     from_request = [
@@ -85,7 +90,7 @@ def paired_records(exchanges: DataFrame) -> DataFrame:
         "nas_port_id", "nas_port_type", "calling_sta", "mac_addr", "called_sta",
         "packet_identifier", "src_port", "dst_port", "src_ip", "dst_ip", "req_ts",
     ]
-    return exchanges.filter("matched IS NOT NULL").select(
+    return pairs.select(
         "seq", *[request[c].alias(c) for c in from_request],
         *[F.coalesce(blank_to_null(response[c]), request[c]).alias(c) for c in _OVERRIDDEN_TEXTS],
         # A zero in the response counts as absent.

@@ -13,7 +13,7 @@ per key whatever share of the rows that key holds.
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from accesslens.functions.keys import stable_key
 
@@ -42,6 +42,11 @@ class Rollup:
     def partial(self, detail: DataFrame) -> DataFrame:
         rows = detail.filter(self.where)
         keyed = rows.select("*", *[F.expr(c).alias(f"key_{n}") for n, c in self.keys.items()])
+        out = keyed.groupBy(*[f"key_{n}" for n in self.keys]).agg(*self.aggregates())
+        return out.withColumnsRenamed({f"key_{n}": n for n in self.keys})
+
+    def aggregates(self) -> list[Column]:
+        """The measures of a partial, over detail rows."""
         aggs = [F.expr(c).cast("bigint").alias(n) for n, c in self.sums.items()]
         aggs += [F.min(F.expr(c)).alias(n) for n, c in self.mins.items()]
         aggs += [F.max(F.expr(c)).alias(n) for n, c in self.maxs.items()]
@@ -53,8 +58,7 @@ class Rollup:
         if self.first_row:
             aggs.append(F.min(F.struct(*self.order, *self.first_row)).alias(_STATE + "first"))
         aggs += [F.hll_sketch_agg(F.expr(c)).alias(_STATE + n) for n, c in self.sketches.items()]
-        out = keyed.groupBy(*[f"key_{n}" for n in self.keys]).agg(*aggs)
-        return out.withColumnsRenamed({f"key_{n}": n for n in self.keys})
+        return aggs
 
     def merge(self, *partials: DataFrame) -> DataFrame:
         rows = reduce(DataFrame.unionByName, partials)
