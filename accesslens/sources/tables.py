@@ -2,25 +2,30 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from accesslens import schemas
 from accesslens.functions import times
 from accesslens.functions.text import clip, clip_or_null, is_business_account, or_else
 
 
+def _stored(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    by_day = T.StructType([*schema.fields, T.StructField("dt", T.DateType())])
+    return spark.read.schema(by_day).parquet(path)
+
+
 def auth_log(spark: SparkSession, path: str) -> DataFrame:
     """Stored authentication detail."""
-    return spark.read.schema(schemas.AUTH_LOG.add("dt", "date")).parquet(path)
+    return _stored(spark, schemas.AUTH_LOG, path)
 
 
 def acct_log(spark: SparkSession, path: str) -> DataFrame:
     """Stored accounting detail."""
-    return spark.read.schema(schemas.ACCT_LOG.add("dt", "date")).parquet(path)
+    return _stored(spark, schemas.ACCT_LOG, path)
 
 
 def aaa_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.AAA_EVENTS.add("dt", "date")).parquet(path)
+    return _stored(spark, schemas.AAA_EVENTS, path)
 
 
 def packets(spark: SparkSession, path: str) -> DataFrame:
