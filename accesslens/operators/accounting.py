@@ -55,9 +55,9 @@ def dedup_events(df: DataFrame) -> DataFrame:
 
 # --- Interim down-sampling --------------------------------------------------------------------
 
-# A chunk holds at most one entry per millisecond once equal times are folded, so six hours bound
+# A chunk holds at most one entry per millisecond once equal times are folded, so two hours bound
 # the array of one chunk whatever the number of rows.
-_CHUNK_MS = 6 * 3600 * 1000
+_CHUNK_MS = 2 * 3600 * 1000
 
 
 def interim_key() -> Column:
@@ -230,7 +230,7 @@ def accounting_deltas(
 
 def _carried_tails(rows: DataFrame, state: list[str]) -> DataFrame:
     """The last record of every chunk of a split counter, addressed to the counter's next chunk."""
-    tails = rows.filter("chunk >= 0").groupBy("counter_key", "chunk").agg(
+    tails = rows.filter("is_hot").groupBy("counter_key", "chunk").agg(
         F.max(F.struct(*state)).alias("tail")
     )
     # One row per chunk: few, however many records the counter has.

@@ -38,11 +38,15 @@ def with_chunks(
     df: DataFrame, key: str, at_ms: str, slices: int = SLICES, factor: int = FACTOR,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    """Add ``chunk``: -1 for rows of ordinary keys, a time-ordered chunk number for hot ones."""
+    """Add ``chunk``, -1 for rows of ordinary keys and a time-ordered number for hot ones, and
+    ``is_hot``. A filter on the latter turns into an inner join with the hot slices: when there are
+    none, adaptive execution skips that branch without a scan."""
     hot = hot_slices(df.select(key, at_ms), key, at_ms, slices, factor, min_rows)
     marked = df.withColumn("slice", _slice(key, slices)).join(F.broadcast(hot), "slice", "left")
     number = F.floor((F.col(at_ms) - F.col("lo")) / F.col("width")).cast("bigint")
-    return marked.withColumn("chunk", F.coalesce(number, F.lit(-1))).drop("slice", "lo", "width")
+    return marked.withColumns({
+        "chunk": F.coalesce(number, F.lit(-1)), "is_hot": F.col("lo").isNotNull(),
+    }).drop("slice", "lo", "width")
 
 
 def _slice(key: str, slices: int) -> Column:

@@ -1,8 +1,9 @@
 """Materialised intermediate results."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -14,6 +15,15 @@ def staged(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="accesslens-checkpoint-"))
+        context.setCheckpointDir(_base(df.sparkSession))
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder next to the checkpoints, for the state and output of a streaming run."""
+    return f"{_base(spark)}/{uuid.uuid4().hex}"
+
+
+def _base(spark: SparkSession) -> str:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or tempfile.mkdtemp(prefix="accesslens-checkpoint-")

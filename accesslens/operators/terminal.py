@@ -35,9 +35,8 @@ def terminal_path(
     )
     order = Window.partitionBy("terminal").orderBy("collected_at")
     until = F.lead("collected_at").over(order)
-    horizon = events.agg(F.max(ts).alias("horizon"))
-    # The horizon is one row.
-    ranges = latest.withColumn("until", until).join(F.broadcast(horizon), F.lit(True))
+    horizon = events.agg(F.max(ts)).scalar()
+    ranges = latest.withColumns({"until": until, "horizon": horizon})
     step = F.expr(f"INTERVAL {slot}")
     first = F.window("collected_at", slot).getField("start")
     last = F.least(

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from accesslens.functions import keys, text, times
 from accesslens.operators import (
-    accounting, decode, events, latest, pairing, quality, retention, rollups, spans, terminal,
+    accounting, decode, events, latest, pairing, quality, retention, rollups, spans, staging,
+    terminal,
 )
 from accesslens.plans import ingest, reports
-from accesslens.sources import fixtures, packets, tables
+from accesslens.sources import fixtures, packets, sinks, tables
+from accesslens.streaming import stateful, windows, writes
 from accesslens.sources.fixtures import NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +187,17 @@ STATEFUL: dict[str, Query] = {
     "text_functions": _over_auth(_text_functions),
 }
 
+def _event_views(decoded: DataFrame) -> DataFrame:
+    """Rows per typed view and result of the unified table."""
+    unified = staging.staged(ingest.unified(ingest.records(decoded)))
+    views = [events.auth_events, events.accounting_events, events.control_events]
+    counts = [
+        view(unified).groupBy("event_type", "result_code").agg(F.count("*").alias("n"))
+        for view in views
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 DECODING: dict[str, Query] = {
     "extract_udp": lambda spark, sf_dir: decode.extract_udp(_frames(spark, sf_dir)).select(
         "seq", "pkt_time", "src_ip", "dst_ip", "src_port", "dst_port",
@@ -200,6 +213,11 @@ DECODING: dict[str, Query] = {
         lambda d: pairing.expired_requests(d).select("seq", "req_ts", "username", "src_ip")
     ),
     "stream_quality": lambda spark, sf_dir: quality.stream_quality(_frames(spark, sf_dir)),
+    "decode_requests": _over_decoded(decode.project_request),
+    "business_auth_log": lambda spark, sf_dir: accounting.business_only(
+        tables.to_auth_log(pairing.pair_auth(_decoded(spark, sf_dir)))
+    ).select("id", "username", "result"),
+    "event_views": _over_decoded(_event_views),
     "aaa_events": _over_decoded(
         lambda d: ingest.unified(ingest.records(d)).drop("event_id")
     ),
@@ -212,5 +230,52 @@ DECODING: dict[str, Query] = {
 }
 
 
+def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.event_stream(spark, sf_dir)
+
+
+def _drain(stream: DataFrame) -> DataFrame:
+    """Everything the stream yields for the input there is, through a Parquet sink."""
+    spark = stream.sparkSession
+    base = staging.scratch(spark)
+    stream.writeStream.format("parquet").option("path", f"{base}/out").option(
+        "checkpointLocation", f"{base}/state"
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+def _stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acct = fixtures.acct_log(_stream_events(spark, sf_dir))
+    return _drain(stateful.stream_deltas(acct).select(
+        "id", "input_total", "output_total", "input_delta", "output_delta", "counter_rollback"
+    ))
+
+
+def _stream_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acct = fixtures.acct_log(_stream_events(spark, sf_dir), 600)
+    return _drain(stateful.stream_sample(acct, 300).select("id", "ts", "username", "acct_status_type"))
+
+
+def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    copies = fixtures.with_duplicates(fixtures.acct_log(_stream_events(spark, sf_dir)))
+    marked = accounting.with_event_id(copies).withColumn("event_time", F.col("ts"))
+    return _drain(windows.stream_dedup(marked).drop("event_id", "event_time"))
+
+
+def _stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    auth, base = fixtures.auth_log(_stream_events(spark, sf_dir)), staging.scratch(spark)
+    writer = writes.stream_merge(auth, f"{base}/out", rollups.USER_MAC_10M, f"{base}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return sinks.load_rollup(spark, f"{base}/out", rollups.USER_MAC_10M)
+
+
+STREAMING: dict[str, Query] = {
+    "stream_deltas": _stream_deltas,
+    "stream_sample": _stream_sample,
+    "stream_dedup": _stream_dedup,
+    "stream_merge": _stream_merge,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**ROLLUPS, **REPORTS, **STATEFUL, **DECODING}
+    return {**ROLLUPS, **REPORTS, **STATEFUL, **DECODING, **STREAMING}

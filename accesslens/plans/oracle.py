@@ -555,5 +555,33 @@ DECODING = {
 }
 
 
+DECODING["decode_requests"] = _with(_auth(), _WIRE, body=f"""SELECT q.seq, q.sent_at AS req_ts,
+  s.username, s.raw_username, s.username AS subscriber_id, s.nas_ip, s.mac_addr, s.nas_identifier,
+  s.nas_port_id, s.calling_sta, s.called_sta, {_NO_TEXT} AS class_attr, {_NO_TEXT} AS connect_info,
+  {_NO_TEXT} AS framed_ip, {_NO_TEXT} AS framed_ip_netmask, s.nas_port,
+  CAST(s.nas_port_type AS BIGINT) AS nas_port_type, {_NO_INT} AS service_type,
+  {_NO_INT} AS framed_protocol, s.ident AS packet_identifier, s.src_ip, s.dst_ip,
+  s.client_port AS src_port, 1812 AS dst_port FROM request q JOIN sent s USING (id)""")
+DECODING["business_auth_log"] = _with(
+    _auth(), _WIRE, _PAIRED, body="SELECT seq AS id, username, result_code AS result FROM paired"
+)
+DECODING["event_views"] = _with_recursive(
+    _auth(), _acct(), _WIRE, _PAIRED, _ACCT_WIRE, _CONTROL_WIRE, _INTERIM_60, _KEPT, body="""
+  SELECT 'auth' AS event_type, result_code, count(*) AS n FROM paired GROUP BY 2
+  UNION ALL SELECT 'accounting', 0, count(*) FROM acct_kept
+  UNION ALL SELECT 'control', result_code, count(*) FROM control_sent GROUP BY 2"""
+)
+
+# The streaming twins give what the batch operators give.
+STREAMING = {
+    "stream_deltas": STATEFUL["accounting_deltas"],
+    "stream_sample": STATEFUL["sample_interim"].replace(
+        "acct_status_type <> 3 OR id IN", "id IN"
+    ),
+    "stream_dedup": STATEFUL["dedup_events"],
+    "stream_merge": AUTH["rollup_user_mac_10m"],
+}
+
+
 def statements() -> dict[str, str]:
-    return {**AUTH, **ACCOUNTING, **STATEFUL, **DECODING}
+    return {**AUTH, **ACCOUNTING, **STATEFUL, **DECODING, **STREAMING}

@@ -115,13 +115,14 @@ def acct_dashboard_stats(acct: DataFrame, limit: int = 80, sample_rows: int = 10
         c: F.coalesce(F.sum(F.col(c).cast("decimal(38,0)")), zero.cast("decimal(38,0)")).alias(c)
         for c in ("input_bytes", "output_bytes", "total_bytes")
     }
+    # A single row, taken along as a scalar.
+    counts = reports.select(F.struct("*")).scalar()
     sessions = _with_bytes(latest_per_session(sample)).agg(
         F.count("*").alias("session_count"),
         F.count_if(status.isin(1, 3)).alias("active_sessions"),
         *sums.values(), F.max("ts").alias("last_seen"),
     )
-    # Both sides are global aggregates of exactly one row.
-    return reports.join(F.broadcast(sessions), F.lit(True))
+    return sessions.withColumn("counts", counts).select("counts.*", *sessions.columns)
 
 
 def acct_dashboard_sessions(
@@ -316,9 +317,9 @@ def ingest_status(stat10m: DataFrame, acct: DataFrame, now: datetime) -> DataFra
     def lag(c: str):
         return (times.ntz(now) - F.col(c)).cast("interval second").cast("bigint")
 
-    auth_seen = stat10m.agg(F.max("last_seen").alias("last_response_ts"))
-    acct_seen = acct.agg(F.max("ts").alias("last_accounting_ts"))
-    both = auth_seen.join(F.broadcast(acct_seen), F.lit(True))
+    both = stat10m.agg(F.max("last_seen").alias("last_response_ts")).withColumn(
+        "last_accounting_ts", acct.agg(F.max("ts")).scalar()
+    )
     return both.select(
         times.ntz(now).alias("db_now"), "last_response_ts",
         F.lit(None).cast("timestamp_ntz").alias("last_request_ts"),

@@ -21,11 +21,17 @@ _BASE = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 _US = f"cast(cast((ts - {_BASE}) * 1000000 AS INTERVAL SECOND) AS BIGINT)"
 
 
+_EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(
-        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
-        "props STRING"
-    ).parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.readStream.schema(_EVENTS).parquet(f"{sf_dir}/events*.parquet")
 
 
 def _common(ev: DataFrame, factor: int) -> DataFrame:
