@@ -18,6 +18,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from accesslens.functions.keys import stable_key
 
 _STATE = "state_"
+_MAX = 2**63 - 1
+
+
+def _added(name: str) -> Column:
+    """Sum of partial sums; it stays at the largest BIGINT instead of overflowing."""
+    return F.coalesce(F.try_sum(name), F.lit(_MAX)).alias(name)
 
 
 @dataclass(frozen=True)
@@ -62,7 +68,7 @@ class Rollup:
 
     def merge(self, *partials: DataFrame) -> DataFrame:
         rows = reduce(DataFrame.unionByName, partials)
-        aggs = [F.sum(n).alias(n) for n in self.sums]
+        aggs = [_added(n) for n in self.sums]
         aggs += [F.min(n).alias(n) for n in self.mins]
         aggs += [F.max(n).alias(n) for n in self.maxs]
         aggs += [F.max(_STATE + n).alias(_STATE + n) for n in self.latest]
@@ -172,7 +178,9 @@ _ACCT_1H_KEYS = {
     "mac_addr": "coalesce(mac_addr, '')", "nas_ip": "coalesce(nas_ip, '')",
 }
 _ACCT_1H_SUMS = {
-    "input_bytes": "sum(input_delta)", "output_bytes": "sum(output_delta)",
+    # Saturating: corrupt counters must not fail the job.
+    "input_bytes": f"coalesce(try_sum(input_delta), {_MAX})",
+    "output_bytes": f"coalesce(try_sum(output_delta), {_MAX})",
     "starts": "count_if(acct_status_type = 1)", "stops": "count_if(acct_status_type = 2)",
     "interims": "count_if(acct_status_type = 3)",
     "nas_restarts": "count_if(acct_status_type IN (7, 8))",
@@ -241,7 +249,7 @@ def acct_rollup_1h_exact(deltas: DataFrame) -> DataFrame:
     """
     by_session = ACCT_1H_BY_SESSION.partial(deltas)
     return by_session.groupBy(*_ACCT_1H_KEYS).agg(
-        *[F.sum(c).alias(c) for c in _ACCT_1H_SUMS],
+        *[_added(c) for c in _ACCT_1H_SUMS],
         F.count("session").alias("sessions"), F.max("last_seen").alias("last_seen"),
     )
 

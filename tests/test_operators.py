@@ -133,6 +133,11 @@ def test_corrupt_counters_saturate(spark):
     got = accounting.accounting_deltas(spark.createDataFrame(rows, ACCT_LOG)).orderBy("id").collect()
     assert got[0].input_total == 5 * 1024
     assert got[1].input_total == 2**62 - 1 and got[1].input_delta == 2**62 - 1 - 5 * 1024
+    rows = [acct_row(i, i, session=f"s{i // 2}", octets=i % 2, giga=(i % 2) * (2**32 - 1)) for i in range(8)]
+    deltas = accounting.accounting_deltas(spark.createDataFrame(rows, ACCT_LOG)).withColumns(
+        {"event_time": F.col("ts"), "event_id": F.col("id")})
+    assert rollups.acct_rollup_1h(deltas).first().input_bytes == 2**63 - 1
+    assert rollups.acct_rollup_1h_exact(deltas).first().input_bytes == 2**63 - 1
 
 
 def test_deltas_of_repeated_record(spark):
