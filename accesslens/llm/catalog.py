@@ -6,16 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslens.llm import bpe, exact
+from accesslens.llm import bpe, chat, decontaminate, exact, license
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": bpe.query,
+        "op2_decontaminate": decontaminate.query,
+        "op3_chat": chat.query,
+        "op7_license": license.query,
         "op8_exact_copies": exact.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express the result; the others are tested against brute force."""
-    return {"op8_exact_copies": exact.SQL}
+    return {
+        "op2_decontaminate": decontaminate.SQL,
+        "op3_chat": chat.SQL,
+        "op8_exact_copies": exact.SQL,
+    }
