@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslens.llm import bpe, chat, decontaminate, exact, license
+from accesslens.llm import bpe, chat, decontaminate, exact, license, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_chat": chat.query,
         "op7_license": license.query,
         "op8_exact_copies": exact.query,
+        "op10_substring": substring.query,
     }
 
 
@@ -25,4 +26,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_decontaminate": decontaminate.SQL,
         "op3_chat": chat.SQL,
         "op8_exact_copies": exact.SQL,
+        "op10_substring": substring.SQL,
     }
