@@ -6,11 +6,14 @@ polynomials over random 64-bit values, wrapped to 64 bits, taken from prefix sum
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 BLOCK_BYTES = 4 << 20
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -111,10 +114,16 @@ def ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int)
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SEEDS[0]) -> np.ndarray:
-    """A hash of every word's bytes."""
+    """A hash of every word's bytes; words in order, none inside another. Works on a slice of the bytes at a time."""
     if ("bytes", seed) not in _tables:
         _tables[("bytes", seed)] = np.random.default_rng(seed & 0xFFFFFFFF).integers(1, 1 << 64, 256, np.uint64)
-    return ranges(_tables[("bytes", seed)][data], starts, ends, seed)
+    table, out, at = _tables[("bytes", seed)], np.zeros(len(starts), np.uint64), 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(ends, starts[at] + (1 << 20), "right")))
+        low = starts[at]
+        out[at:end] = ranges(table[data[low : ends[end - 1]]], starts[at:end] - low, ends[at:end] - low, seed)
+        at = end
+    return out
 
 
 def windows(hashes: np.ndarray, width: int, seed: int = SEEDS[0]) -> np.ndarray:
@@ -127,3 +136,13 @@ def windows(hashes: np.ndarray, width: int, seed: int = SEEDS[0]) -> np.ndarray:
 def rows_of(firsts: np.ndarray) -> np.ndarray:
     """The row of every word, from how many words come before each row."""
     return np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+
+
+def shared(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A broadcast value of bounded size, to be fetched in tasks; its class goes with it."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def fetch() -> object:
+        return pickle.loads(sent.value)
+
+    return fetch

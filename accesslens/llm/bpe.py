@@ -184,10 +184,11 @@ class Decoder:
 
 
 def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str, text: str, schema: str, made) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Merges(ranks))  # bounded by the vocabulary
+    fetch = arrays.shared(docs.sparkSession, Merges(ranks))  # bounded by the vocabulary
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(shared.value, pattern), Decoder(shared.value.ids)
+        merges = fetch()
+        encoder, decoder = Encoder(merges, pattern), Decoder(merges.ids)
         for batch in arrays.blocks(batches, "text", 6 << 20):
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(*made(batch.column("id"), list(encoder.encode(texts)), decoder))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslens.llm import bpe, chat, decontaminate, exact, license, substring
+from accesslens.llm import bpe, chat, decontaminate, exact, jaccard, license, lines, quality, substring, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,17 +14,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_byte_bpe": bpe.query,
         "op2_decontaminate": decontaminate.query,
         "op3_chat": chat.query,
+        "op4_line_chunks": lines.query,
+        "op5_ngram_jaccard": jaccard.query,
+        "op6_quality": quality.query,
         "op7_license": license.query,
         "op8_exact_copies": exact.query,
+        "op9_toxicity": toxicity.query,
         "op10_substring": substring.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """Where SQL can express the result; the others are tested against brute force."""
+    """Where SQL can express the result; the others are tested against brute force or held-out labels."""
     return {
         "op2_decontaminate": decontaminate.SQL,
         "op3_chat": chat.SQL,
+        "op5_ngram_jaccard": jaccard.SQL,
         "op8_exact_copies": exact.SQL,
         "op10_substring": substring.SQL,
     }

@@ -11,12 +11,12 @@ Nothing is shuffled. The benchmark is a stated query set: it reaches the tasks i
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from accesslens.llm import arrays
 
@@ -202,13 +202,13 @@ def _blocks(benchmark: DataFrame, item: str, text: str, width: int, most: int) -
         yield Windows(items, width)
 
 
-NAMES = ["id", "text", "n_words", "spans", "items"]
+NAMES = ["rest", "id", "text", "n_words", "spans", "items"]
 SCHEMA = ("id long, text string, n_words long, spans array<struct<start: long, end: long>>, "
           "items array<string>")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-         item_text: str = "text", width: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = True) -> DataFrame:
+         item_text: str = "text", width: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = True, rest: bool = False) -> DataFrame:
     """key, text (unless told otherwise), n_words, spans, items: where items of the benchmark stand in each document.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A window is ``width``
@@ -216,23 +216,25 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     [start, end) of all occurring windows, in order; items are the distinct ids, as sorted strings, of the
     items that occurring windows come from (a null id marks words but is not listed). Null and empty
     texts have no words, nor windows. Rows that repeat are judged each; a null key stays null. Empty
-    tables give no rows, or rows without spans.
+    tables give no rows, or rows without spans. With ``rest`` the other columns go along as a struct of this name.
     """
-    rows = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"))
-    none = "array()"
-    rows = rows.selectExpr("id", "text", "0L AS n_words", f"CAST({none} AS array<struct<start: bigint, end: bigint>>) AS spans",
-                           f"CAST({none} AS array<string>) AS items")
+    others = [docs[c] for c in docs.columns if c != text] if rest else [F.lit(0).alias("none")]
+    rows = docs.select(
+        F.struct(*others).alias("rest"), docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"),
+        F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans"),
+        F.array().cast("array<string>").alias("items"))
+    schema = f"rest {rows.schema['rest'].dataType.simpleString()}, {SCHEMA}"
     blocks = list(_blocks(benchmark, item, item_text, width, block_words)) or [Windows([], width)]
     for i, block in enumerate(blocks):
-        shared = docs.sparkSession.sparkContext.broadcast(block)  # bounded by block_words
+        fetch = arrays.shared(docs.sparkSession, block)  # bounded by block_words
         text_too = keep_text or i < len(blocks) - 1
-        rows = rows.mapInArrow(_task(shared, text_too), SCHEMA if text_too else SCHEMA.replace("text string, ", ""))
-    return rows.withColumnRenamed("id", key)
+        rows = rows.mapInArrow(_task(fetch, text_too), schema if text_too else schema.replace("text string, n_words", "n_words"))
+    return (rows if rest else rows.drop("rest")).withColumnRenamed("id", key)
 
 
-def _task(shared, text_too: bool):
+def _task(fetch, text_too: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, lower, keep = shared.value, arrays.lower_table(), arrays.alphanumeric()
+        windows, lower, keep = fetch(), arrays.lower_table(), arrays.alphanumeric()
         for batch in arrays.blocks(batches, "text"):
             data, offsets = arrays.flat(batch.column("text"))
             low = lower[data]
@@ -267,7 +269,7 @@ def _task(shared, text_too: bool):
             joined = [(_merged([(s["start"], s["end"]) for s in old] + new), sorted({*had, *more}))
                       for (old, had), new, more in zip(before, spans, names)]
             out = pa.RecordBatch.from_arrays([
-                batch.column("id"), batch.column("text"), pa.array(counts, pa.int64()),
+                batch.column("rest"), batch.column("id"), batch.column("text"), pa.array(counts, pa.int64()),
                 pa.array([[{"start": a, "end": b} for a, b in s] for s, _ in joined],
                          pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 pa.array([i for _, i in joined], pa.list_(pa.string())),
@@ -312,12 +314,21 @@ def clean(found: DataFrame, text: str = "text") -> DataFrame:
     return found.mapInArrow(task, found.schema)
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
+def decontaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """All columns of ``docs`` with the benchmark's spans cut out of the text; texts without spans stay as they
+    are, and documents that have no word left go."""
+    found = clean(find(docs, benchmark, key, text, rest=True, **options), text).where(f"size(spans) = 0 OR ({HIT}) < n_words")
+    return found.select(*[F.col(text) if c == text else F.col("rest")[c].alias(c) for c in docs.columns])
+
+
+#: Words inside spans.
+HIT = "aggregate(spans, 0L, (n, s) -> n + s.end - s.start)"
 
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
                  keep_text=False)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    hit = F.expr(HIT)
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (hit > 0).alias("contaminated"))
