@@ -25,7 +25,7 @@ from accesslens.llm import arrays
 
 WINDOW = 35
 FIRST = 9
-PART_BYTES = 12 << 20
+PART_BYTES = 6 << 20
 
 TESTS = "part int, bucket int, hashes binary, more binary, numbers binary, again binary"
 TEST_NAMES = ["part", "bucket", "hashes", "more", "numbers", "again"]
@@ -61,6 +61,8 @@ class _Part:
     def chosen(self, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of all windows of a length, and for each word which window its full one chooses."""
         hashes = arrays.windows(self.hashes, length)
+        if len(self.rows) < window:  # no full-length window
+            return hashes, np.zeros(len(self.rows), np.int64)
         if length == window:
             return hashes, np.arange(len(self.rows))
         # 32 bits of the hash, then the place: the leftmost of the smallest.
