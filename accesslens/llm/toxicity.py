@@ -244,4 +244,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs.select("text"), sample)
     return score(docs, model).select(
         "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
-        F.col("evidence").getItem(0)["id"].alias("nearest"))
+        F.get("evidence", F.lit(0))["id"].alias("nearest"))
