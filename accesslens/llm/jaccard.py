@@ -6,14 +6,15 @@ of its own tokens, and only such groups are opened.
 
 The matrix is kept sparse by columns: tokens are dealt into parts by their hash, finely enough that two
 linked sets agree in a part that isn't empty. (With sizes a and b they differ in at most 15 (a + b) / 185
-tokens at a threshold of 85 in 100, so of one part more than that, one has no differing token.) A part's
-fingerprint leads from a document to the groups worth bounding. The steps:
+tokens at a threshold of 85 in 100, so of n parts more than that, n have no differing token.) The parts'
+fingerprints lead from a document to the groups worth bounding. The steps:
 
 1. Documents with equal sets are one class; only its smallest id goes on.
-2. Fingerprints are shared out in buckets. Every class that shares one is compared with the smallest class
-   that has it, at most one comparison for a class and fingerprint; linked classes are a group.
-3. For fingerprints that still stand in several groups, each class is bounded by the other groups'
-   unions, in chunks of at most ``CHUNK`` members, and qualifying chunks are opened.
+2. Fingerprints are shared out in buckets. Classes that share enough of them with the smallest class that has
+   them are compared with it, one comparison for a class and fingerprint at most.
+3. Classes that share most with the same class are a group, of ``CHUNK`` members or so. For fingerprints that
+   stand in several components so far, each class that shares enough with a group is bounded by the group's
+   union, and qualifying groups are opened.
 
 All decisions compare the sets themselves. Sets are of 64-bit shingle hashes.
 """
@@ -32,7 +33,7 @@ from accesslens.llm.components import components, cut
 
 PERCENT = 85
 WORDS = 4
-CHUNK = 64  # members of a group in one row of the matrix
+CHUNK = 64  # members of a group, which is one row of the matrix
 QUERIES = 512  # bounded by a chunk in one task
 PACK = 1_000_000  # fingerprints worked on together in a task
 PACK_BUCKET = 400_000  # fingerprints of a bucket, about
@@ -68,7 +69,8 @@ class Scheme:
             low.append(max(low[-1], int(ratio * low[-1])) + 1)
         self.low = np.array(low, np.int64)
         top = self.differing(self.low[1:] - 1, self.low[1:] - 1)
-        self.parts = np.r_[np.ceil(spread * (top + 1)).astype(np.int64) + 3, 1]
+        self.needed = np.r_[(top + 1) // 4 + 1, 1]  # parts in which linked sets agree at least, as many more are shown
+        self.parts = np.r_[np.ceil(spread * (top + self.needed[:-1])).astype(np.int64) + 3, 1]
 
     def differing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """In how many tokens linked sets of these sizes differ at most."""
@@ -78,7 +80,8 @@ class Scheme:
         """(row, fingerprint) of the parts that each set has to show, and how many sets have too few parts.
 
         A set shows, in the deal of its own class and of the next one if it can link there, its first parts
-        that aren't empty, one more than tokens can differ.
+        that aren't empty: as many as tokens can differ, and ``needed`` more, in which links agree. The last 7
+        bits of a fingerprint tell the deal.
         """
         sizes = np.bincount(rows, minlength=n_rows)
         own = np.searchsorted(self.low, sizes, "right") - 1
@@ -103,10 +106,13 @@ class Scheme:
             begin = np.flatnonzero(np.r_[True, np.diff(cell) != 0])
             sums, r, part = np.add.reduceat(w, begin), r[begin], part[begin]
             first = np.searchsorted(r, np.arange(n_rows + 1))
-            shown = np.arange(len(r)) - first[r] <= differ[r]
-            lacking += int((np.diff(first)[takes] <= differ[takes]).sum())
+            most = differ + self.needed[kind]
+            shown = np.arange(len(r)) - first[r] < most[r]
+            lacking += int((np.diff(first)[takes] < most[takes]).sum())
             out_rows.append(r[shown])
-            out.append(arrays.mixed(sums[shown] + arrays.mixed((kind[r[shown]] << 40 | part[shown]).astype(np.uint64))))
+            deal = kind[r[shown]].astype(np.uint64)
+            prints = arrays.mixed(sums[shown] + arrays.mixed(deal << np.uint64(40) | part[shown].astype(np.uint64)))
+            out.append(prints & ~np.uint64(127) | deal)
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64), lacking
         return np.concatenate(out_rows), np.concatenate(out), lacking
@@ -211,8 +217,8 @@ def _sent(held: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[p
         rows.append((b, p[at].tobytes(), np.diff(i[at], prepend=0).tobytes(), None, None, None))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), PACKED_TYPES)], PACKED_NAMES)
-    led = np.flatnonzero(many & ~alone)
-    if len(led):  # to any bucket: they only pass through
+    led = np.flatnonzero(many)
+    if len(led):  # to any bucket: they only pass through, their leader's own row too
         n = len(led)
         yield pa.RecordBatch.from_arrays([
             pa.array((ids[led] % buckets).astype(np.int32)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
@@ -227,10 +233,7 @@ def _bucket(table: pa.Table) -> pa.Table:
         return passed
     prints, ids, leaders, many = _starred(
         np.concatenate([np.frombuffer(p, np.uint64) for p in raw]), np.concatenate([np.cumsum(np.frombuffer(i, np.int64)) for i in ids]))
-    # A pack's leader stays where others of its pack were led by it, even if no other pack has the print.
-    led = np.isin(prints.view(np.int64), passed.column("print").to_numpy()) if passed.num_rows else False
-    keep = many | led
-    own = pa.table([pa.array(prints[keep].view(np.int64)), pa.array(leaders[keep]), pa.array(ids[keep])], names=["print", "leader", "id"])
+    own = pa.table([pa.array(prints[many].view(np.int64)), pa.array(leaders[many]), pa.array(ids[many])], names=["print", "leader", "id"])
     return pa.concat_tables([own, passed])
 
 
@@ -291,50 +294,75 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def _opened(queries: pa.Table, members: pa.Table, percent: int) -> pa.Table:
-    """(a, b): queries and members of one chunk that link; the union of the chunk bounds each query first."""
+    """(a, b): queries that link to members of one matrix row in another component; the row's union bounds each
+    query first, and only then are its postings opened."""
     if not queries.num_rows or not members.num_rows:
         return pa.table([pa.array([], pa.int64())] * 2, names=["a", "b"])
     sets_ = [np.frombuffer(t, np.uint64) for t in members.column("tokens").to_pylist()]
-    union = np.unique(np.concatenate(sets_))
-    least, most = min(map(len, sets_)), max(map(len, sets_))
-    found = []
-    for q, raw in zip(queries.column("q").to_pylist(), queries.column("held").to_pylist()):
-        own = np.frombuffer(raw, np.uint64)
-        if 100 * most < percent * len(own) or 100 * len(own) < percent * least:
+    ids, parts, sizes = members.column("id").to_numpy(), members.column("g").to_numpy(), np.array([len(x) for x in sets_])
+    tokens, owners = np.concatenate(sets_), np.repeat(np.arange(len(sets_)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[order], owners[order]
+    begin = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+    union, end = tokens[begin], np.append(begin[1:], len(tokens))
+    found, top = [], {}
+
+    def root(g: int) -> int:
+        while (up := top.get(g, g)) != g:
+            top[g] = top.get(up, up)
+            g = up
+        return g
+
+    for q, own, raw in zip(*(queries.column(n).to_pylist() for n in ("q", "own", "held"))):
+        asked = np.frombuffer(raw, np.uint64)
+        at = np.minimum(np.searchsorted(union, asked), len(union) - 1)
+        at = at[union[at] == asked]
+        if 100 * len(at) < percent * len(asked):
             continue
-        at = np.minimum(np.searchsorted(union, own), len(union) - 1)
-        if 100 * int((union[at] == own).sum()) < percent * len(own):
-            continue
-        for m, other in zip(members.column("id").to_pylist(), sets_):
-            if _links(own, other, percent):
+        counts = end[at] - begin[at]
+        inside = np.repeat(begin[at] - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+        both = np.bincount(owners[inside], minlength=len(ids))
+        ok = (100 * both >= percent * (len(asked) + sizes - both)) & (parts != own) & (ids != q)
+        for m, other in zip(ids[ok].tolist(), parts[ok].tolist()):
+            if (x := root(own)) != (y := root(other)):  # links inside what is joined already add nothing
+                top[max(x, y)] = min(x, y)
                 found.append((q, m))
-                break  # one link joins the group
     return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
 
-def _between(shared: DataFrame, groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different groups that share a fingerprint."""
-    entries = shared.select("print", "id").join(groups.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "print", "id", F.coalesce("component", "id").alias("g"))
-    mixed = entries.groupBy("print").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("print")
-    entries = cut(entries.join(mixed, "print", "left_semi").distinct())
-    places = entries.select("print", "g").distinct()
-    asked = entries.select("print", F.col("id").alias("q"), F.col("g").alias("own")).join(places, "print").where("own > g").select("q", "g").distinct()
-    asked = cut(asked)
-    # The groups asked for, in chunks; the queries of a group, in portions.
-    sizes = groups.select(F.col("node").alias("id"), F.col("component").alias("g")).unionByName(
-        entries.select("id", "g").where("id = g")).distinct()
-    wanted = asked.groupBy("g").agg(F.count("*").alias("n"))
-    counts = sizes.join(wanted, "g").groupBy("g").agg(
-        F.ceil(F.count("*") / CHUNK).alias("chunks"), F.ceil(F.first("n") / QUERIES).alias("portions"))
-    members = sizes.join(counts, "g").select(
-        "g", "id", F.pmod(F.xxhash64("id"), "chunks").alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("portion"))
-    queries = asked.join(counts, "g").select(
-        "g", "q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.pmod(F.xxhash64("q"), "portions").alias("portion"))
-    keys = ["g", "chunk", "portion"]
-    asking = queries.join(tokens.select(F.col("id").alias("q"), F.col("tokens").alias("held")), "q")
-    return asking.groupBy(*keys).cogroup(
-        members.join(tokens, "id").groupBy(*keys)).applyInArrow(lambda q, m: _opened(q, m, percent), "a long, b long")
+def _enough(rows: DataFrame, keys: list[str], scheme: Scheme) -> DataFrame:
+    """The keys that have as many fingerprints of one deal as links have at least."""
+    needed = F.array(*[F.lit(int(n)) for n in scheme.needed])
+    counts = rows.groupBy(*keys, (F.col("print").bitwiseAND(127)).cast("int").alias("deal")).agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") >= needed[F.col("deal")]).select(*keys).distinct()
+
+
+def _between(shared: DataFrame, groups: DataFrame, tokens: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
+    """Links between classes of different components so far.
+
+    A row of the matrix holds up to about ``CHUNK`` classes that share most fingerprints with the same class.
+    """
+    led = shared.groupBy("id", "leader").agg(F.count("*").alias("n"))
+    cluster = led.groupBy("id").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("cluster"))
+    chunks = cluster.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    rows = cut(cluster.join(chunks, "cluster").select("id", "cluster", F.pmod(F.xxhash64("id"), "chunks").alias("chunk")).join(
+        groups.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        "id", "cluster", "chunk", F.coalesce("component", "id").alias("g")))
+    entries = shared.select("print", "id").distinct().join(rows, "id")
+    several = entries.groupBy("print").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("print")
+    entries = cut(entries.join(several, "print", "left_semi"))
+    places = entries.groupBy("print", "cluster", "chunk").agg(F.min("g").alias("low"), F.max("g").alias("high"))
+    asking = entries.select("print", F.col("id").alias("q"), F.col("g").alias("own"), F.struct("cluster", "chunk").alias("at"))
+    # Of two rows the later one asks the earlier; a fingerprint counts where others than the own component show it.
+    met = asking.join(places, "print").where((F.col("at") >= F.struct("cluster", "chunk")) & ~((F.col("low") == F.col("own")) & (F.col("high") == F.col("own"))))
+    asked = cut(_enough(met, ["q", "own", "cluster", "chunk"], scheme))
+    portions = asked.groupBy("cluster", "chunk").agg(F.ceil(F.count("*") / QUERIES).alias("portions"))
+    keys = ["cluster", "chunk", "portion"]
+    members = rows.join(portions, ["cluster", "chunk"]).join(tokens, "id").select(
+        "cluster", "chunk", "g", "id", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("portion"))
+    queries = asked.join(portions, ["cluster", "chunk"]).join(tokens.select(F.col("id").alias("q"), F.col("tokens").alias("held")), "q").select(
+        "cluster", "chunk", "q", "own", "held", F.pmod(F.xxhash64("q"), "portions").alias("portion"))
+    return queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(lambda q, m: _opened(q, m, percent), "a long, b long")
 
 
 def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str = "doc_id", text: str = "text",
@@ -356,27 +384,19 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str =
     member = cut(whole.select("digest", "id").distinct().join(classes, "digest").select("id", "class"))
     while True:
         lacking = spark.sparkContext.accumulator(0)
-        shared = cut(_shared(_shown(rows, words, Scheme(percent, spread), lacking), buckets))
+        scheme = Scheme(percent, spread)
+        shared = cut(_shared(_shown(rows, words, scheme, lacking), buckets))
         if not lacking.value:
             break
         spread *= 2  # some set has too few parts that aren't empty: deal all more finely
-    pairs = shared.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    shared = cut(shared.join(_enough(shared, ["id"], scheme), "id", "left_semi"))
+    pairs = _enough(shared.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"), "print"), ["a", "b"], scheme)
     tokens = cut(_tokens(rows, shared.select("id").distinct(), words).dropDuplicates(["id"]))
     same = member.where("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
     linked = cut(_verified(pairs, tokens, percent).unionByName(same))
     groups = cut(components(linked))
-    between = cut(_between(shared, groups, tokens, percent))
-    if between.isEmpty():
-        final = groups
-    else:
-        merged = between.join(groups.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left").join(
-            groups.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left").select(
-            F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
-        tops = groups.select(F.col("component").alias("a"), F.col("component").alias("b")).distinct()
-        roots = components(merged.unionByName(tops)).select(F.col("node").alias("component"), F.col("component").alias("root"))
-        known = groups.unionByName(between.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(
-            groups, "node", "left_anti").select("node", F.col("node").alias("component")))
-        final = known.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    between = cut(_between(shared, groups, tokens, scheme, percent))
+    final = groups if between.isEmpty() else components(linked.unionByName(between))
     return slim.join(final.select(F.col("node").alias("id"), "component"), "id", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(
             F.col("id")).alias("component_id"))
