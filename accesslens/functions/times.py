@@ -80,8 +80,11 @@ def slot_label(c: Column, seconds: int) -> Column:
     return F.substring(from_epoch_ms(floored).cast("string"), 1, 16)
 
 
-def clamp(value: int, low: int, high: int) -> int:
-    return max(low, min(int(value), high))
+def at_least(value: int, least: int, name: str) -> int:
+    """The number as it is; an error if it makes no sense, never another number."""
+    if int(value) < least:
+        raise ValueError(f"{name} must be {least} or more, not {value}")
+    return int(value)
 
 
 def window_start(now: datetime, hours: int, valid_from: datetime | None = None) -> datetime:
@@ -93,13 +96,14 @@ def window_start(now: datetime, hours: int, valid_from: datetime | None = None)
 
 
 def date_range(
-    start: date | None, end: date | None, max_days: int = 30
+    start: date | None, end: date | None, max_days: int | None = None
 ) -> tuple[datetime, datetime] | None:
-    """Half-open time range for inclusive dates: swapped when reversed, cut to ``max_days``."""
+    """Half-open time range for inclusive dates, swapped when reversed. Longer than ``max_days``: an error."""
     if start is None and end is None:
         return None
     low, high = sorted((start or end, end or start))
-    high = min(high, low + timedelta(days=max(1, max_days) - 1))
+    if max_days is not None and (high - low).days >= max_days:
+        raise ValueError(f"{low} to {high} is more than {max_days} days")
     midnight = datetime.min.time()
     return datetime.combine(low, midnight), datetime.combine(high + timedelta(days=1), midnight)
 
@@ -111,7 +115,7 @@ def in_report_window(
     start: date | None = None,
     end: date | None = None,
     valid_from: datetime | None = None,
-    max_days: int = 30,
+    max_days: int | None = None,
 ) -> Column:
     """Predicate on literals only, so that it reaches the Parquet scan."""
     chosen = date_range(start, end, max_days)

@@ -27,8 +27,8 @@ def latest_per_session(acct: DataFrame) -> DataFrame:
     return ranked.filter("latest_rank = 1").drop("latest_rank")
 
 
-def newest(df: DataFrame, limit: int, ts: str = "ts", tie: str = "id") -> DataFrame:
-    """The ``limit`` newest rows, newest first.
+def newest(df: DataFrame, limit: int | None, ts: str = "ts", tie: str = "id") -> DataFrame:
+    """The ``limit`` newest rows, newest first; all rows without a limit.
 
     A plain top-k sends ``limit`` rows from every task to one reducer, which at hundreds of
     thousands of scan tasks is a bottleneck. So a first pass over the time column alone counts rows
@@ -36,6 +36,9 @@ def newest(df: DataFrame, limit: int, ts: str = "ts", tie: str = "id") -> DataFr
     subquery, which Spark pushes into the Parquet scan, so the second pass reads only the newest
     row groups and the top-k sees about ``limit`` rows in all.
     """
+    if limit is None:
+        return df.orderBy(F.desc(ts), F.desc(tie))
+    times.at_least(limit, 0, "limit")
     minute = times.bucket(F.col(ts), "1 minute").alias("minute")
     per_minute = df.groupBy(minute).agg(F.count("*").alias("n"))
     # One row per minute: the running total is bounded by the time range, not by the data.

@@ -1,6 +1,6 @@
 """Terminal paths: which network path a terminal had at the time of an event."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from accesslens.functions.text import compact_mac
 
@@ -10,57 +10,57 @@ PATH_COLUMNS = [
 ]
 
 
+def _terminal(address: Column) -> Column:
+    """The 12 hex digits of a whole address, else NULL."""
+    digits = compact_mac(address)
+    return F.when(F.length(digits) == 12, digits)
+
+
 def terminal_path(
     events: DataFrame, snapshots: DataFrame, batches: DataFrame, ts: str = "ts",
     slot: str = "1 hour",
 ) -> DataFrame:
     """Events with the newest completed snapshot row of their terminal at or before the event.
 
-    Left outer: events of unknown terminals keep NULL path columns. Of several rows of a terminal
-    at the same time the last one (by id) counts.
+    Left outer: events of unknown terminals, and those whose address isn't 12 hex digits, keep NULL
+    path columns. Snapshots without such an address belong to no terminal. Of several rows of a
+    terminal at the same time the last one (by id) counts.
 
-    Every snapshot row is valid until the terminal's next one. The validity ranges are listed per
-    time slot, which turns the as-of lookup into an equi-join on (terminal, slot) in which each
-    event meets only the ranges that touch its slot. A busy terminal is spread over its slots, and
-    adaptive execution can split a slot further because the event side is the outer one. Neither
-    side is assumed small.
+    Events and snapshots of a (terminal, slot) are ordered together, so a busy terminal is spread over its
+    slots. The newest snapshot of each slot is carried into the later slots that have events: one row
+    per terminal and slot with anything in it, however long a snapshot stays valid.
     """
     done = batches.filter("status = 'completed'").select("batch_id")
     rows = snapshots.join(done, "batch_id", "left_semi").withColumn(
-        "terminal", compact_mac(F.col("terminal_mac"))
-    )
+        "terminal", _terminal(F.col("terminal_mac"))
+    ).filter("terminal IS NOT NULL AND collected_at IS NOT NULL")
     # One row per terminal and collection time, before any ordering.
     latest = rows.groupBy("terminal", "collected_at").agg(
-        F.max(F.struct("id", *[c for c in PATH_COLUMNS if c != "collected_at"])).alias("path")
+        F.max(F.struct("id", *[c for c in PATH_COLUMNS if c != "collected_at"])).alias("row")
+    )
+    path = F.struct(*[F.col("collected_at") if c == "collected_at" else F.col(f"row.{c}") for c in PATH_COLUMNS])
+    placed = latest.select(
+        "terminal", F.col("collected_at").alias("at"), F.lit(0).alias("kind"), path.alias("path")
+    )
+    keyed = events.select(
+        _terminal(F.col("mac_addr")).alias("terminal"), F.col(ts).alias("at"), F.lit(1).alias("kind"),
+        F.struct("*").alias("event"),
+    )
+    named = F.col("terminal").isNotNull() & F.col("at").isNotNull()
+    both = placed.unionByName(keyed.filter(named), allowMissingColumns=True).withColumn(
+        "slot", F.window("at", slot).getField("start")
     )
-    order = Window.partitionBy("terminal").orderBy("collected_at")
-    until = F.lead("collected_at").over(order)
-    horizon = events.agg(F.max(ts)).scalar()
-    ranges = latest.withColumns({"until": until, "horizon": horizon})
-    step = F.expr(f"INTERVAL {slot}")
-    first = F.window("collected_at", slot).getField("start")
-    last = F.least(
-        F.coalesce(F.col("until"), F.col("horizon")), F.greatest("horizon", "collected_at")
+    until_now = Window.partitionBy("terminal", "slot").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("path", F.last("path", ignorenulls=True).over(until_now)).filter("kind = 1")
+    slots = both.groupBy("terminal", "slot").agg(
+        F.max_by("path", F.when(F.col("kind") == 0, F.col("at"))).alias("newest")
     )
-    listed = ranges.withColumn("first_slot", first).filter(
-        F.col("collected_at") <= F.col("horizon")
-    ).select(
-        "terminal", F.col("collected_at").alias("valid_from"), F.col("until").alias("valid_until"),
-        "path", F.explode(F.sequence(F.col("first_slot"), last, step)).alias("slot"),
+    earlier = Window.partitionBy("terminal").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slots.select("terminal", "slot", F.last("newest", ignorenulls=True).over(earlier).alias("carried"))
+    joined = met.join(carried.filter("carried IS NOT NULL"), ["terminal", "slot"], "left").select(
+        "event", F.coalesce("path", "carried").alias("path")
     )
-    keyed = events.withColumns({
-        "terminal": F.coalesce(compact_mac(F.col("mac_addr")), F.lit("")),
-        "slot": F.window(ts, slot).getField("start"),
-    })
-    valid = (F.col(ts) >= F.col("valid_from")) & (
-        F.col("valid_until").isNull() | (F.col(ts) < F.col("valid_until"))
+    others = keyed.filter(~named).select("event")
+    return joined.unionByName(others, allowMissingColumns=True).select(
+        "event.*", *[F.col("path")[c].alias(c) for c in PATH_COLUMNS]
     )
-    ev, sn = keyed.alias("ev"), listed.alias("sn")
-    same = (F.col("ev.terminal") == F.col("sn.terminal")) & (F.col("ev.slot") == F.col("sn.slot"))
-    joined = ev.join(sn, same & valid, "left")
-    path = [
-        F.col("sn.valid_from").alias("collected_at") if c == "collected_at"
-        else F.col("sn.path")[c].alias(c)
-        for c in PATH_COLUMNS
-    ]
-    return joined.select(*[F.col(f"ev.{c}") for c in events.columns], *path)

@@ -140,7 +140,11 @@ def _merged(auth: DataFrame) -> DataFrame:
 def _terminal_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     auth = fixtures.auth_log(fixtures.events(spark, sf_dir))
     snapshots, batches = fixtures.snapshots(auth)
-    return terminal.terminal_path(auth.select("id", "ts", "mac_addr"), snapshots, batches)
+    # Addresses that name no terminal, on both sides, and other spellings of those that do.
+    seen = auth.selectExpr("id", "ts", """CASE id % 19 WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN 'zz'
+        WHEN 4 THEN upper(replace(mac_addr, ':', '-')) ELSE mac_addr END AS mac_addr""")
+    nameless = snapshots.withColumn("terminal_mac", F.when(F.col("id") % 2 == 0, "--"))
+    return terminal.terminal_path(seen, snapshots.unionByName(nameless), batches)
 
 
 def _text_functions(auth: DataFrame) -> DataFrame:

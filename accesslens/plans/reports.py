@@ -8,13 +8,11 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from accesslens.constants import RETAIN_DAYS
 from accesslens.functions import times
 from accesslens.functions.counters import octet_total
 from accesslens.functions.text import normalize_mac, strip
 from accesslens.operators.latest import latest_per_session, newest
 
-_TOP_LIMIT = 500
 _RECENT = [
     "username", "raw_username", "result", "reason_zh", "mac_addr", "nas_ip", "nas_identifier",
     "nas_port_id", "nas_port_type", "nas_port",
@@ -30,7 +28,7 @@ def _record_columns(*rest: str) -> list:
 
 def stats(stat10m: DataFrame, now: datetime, hours: int = 24, valid_from=None) -> DataFrame:
     """Totals, accept and reject percentages and mean latency; one row."""
-    hours = times.clamp(hours, 1, 720)
+    hours = times.at_least(hours, 1, "hours")
     total, accepts, rejects = F.col("total"), F.col("accepts"), F.col("rejects")
     zero = F.lit(0)
 
@@ -51,39 +49,45 @@ def stats(stat10m: DataFrame, now: datetime, hours: int = 24, valid_from=None) -
     )
 
 
-def recent(auth: DataFrame, limit: int = 100) -> DataFrame:
+def recent(auth: DataFrame, limit: int | None = 100) -> DataFrame:
     """Newest authentication records."""
-    top = newest(auth, times.clamp(limit, 0, 500))
+    top = newest(auth, limit)
     return top.select(*_record_columns(*_RECENT, "latency_ms", "reply_msg"))
 
 
 def record_search(
     auth: DataFrame, now: datetime, hours: int = 3, username: str | None = None,
-    mac: str | None = None, result: int | None = None, limit: int = 300,
+    mac: str | None = None, result: int | None = None, limit: int | None = 300,
 ) -> DataFrame:
     """Authentication records by window, account, terminal address and result; newest first."""
-    found = auth.filter(times.in_report_window(F.col("ts"), now, times.clamp(hours, 1, 720)))
+    found = auth.filter(times.in_report_window(F.col("ts"), now, times.at_least(hours, 1, "hours")))
     if (username or "").strip():
         found = found.filter(F.col("username") == username.strip().upper())
     if (mac or "").strip():
         found = found.filter(F.col("mac_addr") == normalize_mac(F.lit(mac)))
     if result in (2, 3):
         found = found.filter(F.col("result") == result)
-    top = newest(found, times.clamp(limit, 1, 1000))
+    top = newest(found, limit)
     return top.select(
         *_record_columns(*_RECENT, "framed_ip", "src_ip", "latency_ms", "reply_msg")
     )
 
 
-def user_detail(auth: DataFrame, username: str, limit: int = 50) -> DataFrame:
+def user_detail(auth: DataFrame, username: str, limit: int | None = 50) -> DataFrame:
     """One account's newest authentication records."""
-    top = newest(auth.filter(F.col("username") == username), times.clamp(limit, 0, 200))
+    top = newest(auth.filter(F.col("username") == username), limit)
     return top.select(*_record_columns(
         "raw_username", "result", "reason_zh", "mac_addr", "nas_ip", "nas_identifier",
         "nas_port_id", "nas_port_type", "nas_port", "reply_msg", "latency_ms", "framed_ip",
     ))
 
 
+def _top(rows: DataFrame, limit: int | None, *order) -> DataFrame:
+    """The first rows in this order; all of them without a limit."""
+    ordered = rows.orderBy(*order)
+    return ordered if limit is None else ordered.limit(times.at_least(limit, 0, "limit"))
+
+
 def _with_bytes(acct: DataFrame) -> DataFrame:
     incoming = octet_total(F.col("input_octets"), F.col("input_gigawords"))
     outgoing = octet_total(F.col("output_octets"), F.col("output_gigawords"))
@@ -99,13 +103,13 @@ _COUNTERS = [
 ]
 
 
-def _dashboard_sample(acct: DataFrame, limit: int, sample_rows: int) -> DataFrame:
-    return newest(acct, max(limit, min(sample_rows, 20000)))
+def _dashboard_rows(acct: DataFrame, newest_rows: int | None) -> DataFrame:
+    return acct if newest_rows is None else newest(acct, newest_rows)
 
 
-def acct_dashboard_stats(acct: DataFrame, limit: int = 80, sample_rows: int = 1000) -> DataFrame:
-    """Counts over the newest rows, and traffic over the latest row of each session among them."""
-    sample = _dashboard_sample(acct, limit, sample_rows)
+def acct_dashboard_stats(acct: DataFrame, newest_rows: int | None = None) -> DataFrame:
+    """Counts over all rows, and traffic over the latest row of each session; over the newest rows if asked."""
+    sample = _dashboard_rows(acct, newest_rows)
     status, zero = F.col("acct_status_type"), F.lit(0)
     reports = sample.agg(
         F.count("*").alias("report_count"),
@@ -126,26 +130,25 @@ def acct_dashboard_stats(acct: DataFrame, limit: int = 80, sample_rows: int = 10
 
 
 def acct_dashboard_sessions(
-    acct: DataFrame, limit: int = 80, sample_rows: int = 1000
+    acct: DataFrame, limit: int | None = 80, newest_rows: int | None = None
 ) -> DataFrame:
-    """The latest row of each session among the newest rows, newest first."""
-    limit = times.clamp(limit, 1, 300)
-    latest = latest_per_session(_dashboard_sample(acct, limit, sample_rows))
-    top = _with_bytes(latest).orderBy(F.desc("ts"), F.desc("id")).limit(limit)
+    """The latest row of each session, newest first; of those among the newest rows if asked."""
+    latest = latest_per_session(_dashboard_rows(acct, newest_rows))
+    top = _top(_with_bytes(latest), limit, F.desc("ts"), F.desc("id"))
     return top.select(*_COUNTERS, "framed_ip", "nas_ip", "nas_identifier", "nas_port_id", "nas_port")
 
 
 def acct_history(
-    acct: DataFrame, username: str | None, now: datetime, hours: int = 48, limit: int = 300
+    acct: DataFrame, username: str | None, now: datetime, hours: int = 48, limit: int | None = 300
 ) -> DataFrame:
     """One account's newest accounting records; no account, no rows."""
     name = (username or "").strip().upper()
-    hours = times.clamp(hours or 48, 1, RETAIN_DAYS["acct_log"] * 24)
+    hours = times.at_least(hours, 1, "hours")
     found = acct.filter(
         (F.col("username") == name) & (F.lit(name) != "")
         & times.in_report_window(F.col("ts"), now, hours)
     )
-    top = newest(_with_bytes(found), times.clamp(limit or 300, 1, 1000))
+    top = newest(_with_bytes(found), limit)
     return top.select(
         *_COUNTERS, "calling_sta", "framed_ip", "nas_ip", "nas_identifier", "nas_port_id",
         "nas_port", "src_ip", "dst_ip",
@@ -154,7 +157,7 @@ def acct_history(
 
 def top_reject(
     user10m: DataFrame, now: datetime, hours: int = 24, start: date | None = None,
-    end: date | None = None, limit: int = 20, valid_from=None,
+    end: date | None = None, limit: int | None = 20, valid_from=None,
 ) -> DataFrame:
     """Accounts with the most rejects."""
     window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
@@ -163,9 +166,7 @@ def top_reject(
         F.sum("request_count").alias("total_cnt"), F.max("main_reason").alias("last_reason"),
         F.max("last_seen").alias("last_seen"),
     )
-    top = totals.filter("reject_cnt > 0").orderBy(
-        F.desc("reject_cnt"), F.desc("last_seen"), "username"
-    ).limit(times.clamp(limit, 0, 100))
+    top = _top(totals.filter("reject_cnt > 0"), limit, F.desc("reject_cnt"), F.desc("last_seen"), F.asc("username"))
     return top.select(
         "username", "reject_cnt", "accept_cnt", "total_cnt", F.lit(0).alias("mac_count"),
         F.lit(0).alias("nas_count"), "last_reason", "last_seen", F.lit("").alias("mac_list"),
@@ -184,7 +185,7 @@ def risk_accounts(
     rows up to this page plus one when there is more: one row past the page is read, nothing is
     counted.
     """
-    page, size = max(1, int(page or 1)), times.clamp(page_size or 100, 1, 500)
+    page, size = times.at_least(page, 1, "page"), times.at_least(page_size, 1, "page_size")
     offset = (page - 1) * size
     window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
     totals = user10m.filter(window).groupBy("username").agg(
@@ -193,7 +194,7 @@ def risk_accounts(
     )
     order = [F.desc("reject_cnt"), F.desc("total_cnt"), F.desc("last_seen"), F.asc("username")]
     rows = (
-        totals.filter(F.col("total_cnt") > max(0, int(min_count or 0)))
+        totals.filter(F.col("total_cnt") > times.at_least(min_count, 0, "min_count"))
         .orderBy(*order).offset(offset).limit(size + 1)
     )
     # At most size + 1 rows are left here.
@@ -216,7 +217,7 @@ def _terminals(user_mac10m: DataFrame, window) -> DataFrame:
 
 def multi_mac_summary(
     user_mac10m: DataFrame, now: datetime, hours: int = 24, start: date | None = None,
-    end: date | None = None, min_mac: int = 2, limit: int = 100, valid_from=None,
+    end: date | None = None, min_mac: int = 2, limit: int | None = 100, valid_from=None,
 ) -> DataFrame:
     """Accounts seen on at least ``min_mac`` terminals."""
     window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
@@ -236,21 +237,20 @@ def multi_mac_summary(
         F.sum("reject_cnt").alias("reject_cnt"), F.sum("mac_count").alias("mac_count"),
         F.count("nas_ip").alias("nas_count"), F.max("last_seen").alias("last_seen"),
     )
-    return per_user.filter(F.col("mac_count") >= max(2, int(min_mac))).orderBy(
-        F.desc("mac_count"), F.desc("total_cnt"), F.desc("reject_cnt"), "username"
-    ).limit(times.clamp(limit, 0, _TOP_LIMIT))
+    return _top(
+        per_user.filter(F.col("mac_count") >= times.at_least(min_mac, 1, "min_mac")), limit,
+        F.desc("mac_count"), F.desc("total_cnt"), F.desc("reject_cnt"), F.asc("username"),
+    )
 
 
 def multi_mac_detail(
     user_mac10m: DataFrame, now: datetime, hours: int = 24, start: date | None = None,
-    end: date | None = None, min_mac: int = 2, limit: int = 100, valid_from=None,
+    end: date | None = None, min_mac: int = 2, limit: int | None = 100, valid_from=None,
 ) -> DataFrame:
     """The terminals of the accounts in :func:`multi_mac_summary`, one row each."""
     window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
     top = multi_mac_summary(user_mac10m, now, hours, start, end, min_mac, limit, valid_from)
-    # The summary has at most 500 rows by its limit, so it may be broadcast.
-    chosen = F.broadcast(top.select("username"))
-    return _terminals(user_mac10m, window).join(chosen, "username", "left_semi").groupBy(
+    return _terminals(user_mac10m, window).join(top.select("username"), "username", "left_semi").groupBy(
         "username", "mac_addr"
     ).agg(
         F.sum("request_count").alias("total_cnt"), F.sum("accept_count").alias("accept_cnt"),
@@ -262,7 +262,7 @@ def multi_mac_detail(
 
 def multi_mac(
     user_mac10m: DataFrame, now: datetime, hours: int = 24, start: date | None = None,
-    end: date | None = None, min_mac: int = 2, limit: int = 100, valid_from=None,
+    end: date | None = None, min_mac: int = 2, limit: int | None = 100, valid_from=None,
 ) -> DataFrame:
     """Summary rows with their terminals nested in ``mac_details``, newest terminal first.
 
@@ -278,14 +278,14 @@ def multi_mac(
     nested = multi_mac_detail(user_mac10m, *args).groupBy("username").agg(
         F.sort_array(F.collect_list(F.struct(*fields)), asc=False).alias("mac_details")
     )
-    return F.broadcast(top).join(nested, "username").orderBy(
+    return top.join(nested, "username").orderBy(
         F.desc("mac_count"), F.desc("total_cnt"), F.desc("reject_cnt"), "username"
     )
 
 
 def reason_distribution(reason10m: DataFrame, now: datetime, hours: int = 24, valid_from=None) -> DataFrame:
     """Rejects per reason, most frequent first."""
-    window = times.in_report_window(F.col("bucket_start"), now, times.clamp(hours, 1, 720), valid_from=valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from)
     return reason10m.filter(window & (F.col("result") == 3)).groupBy("reason_zh").agg(
         F.sum("request_count").alias("cnt")
     ).orderBy(F.desc("cnt"), "reason_zh")
@@ -293,7 +293,7 @@ def reason_distribution(reason10m: DataFrame, now: datetime, hours: int = 24, va
 
 def nas_distribution(nas10m: DataFrame, now: datetime, hours: int = 24, valid_from=None) -> DataFrame:
     """Requests per access server, busiest first."""
-    window = times.in_report_window(F.col("bucket_start"), now, times.clamp(hours, 1, 720), valid_from=valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from)
     return nas10m.filter(window & (F.col("nas_ip") != "")).groupBy("nas_ip").agg(
         F.sum("request_count").alias("total"), F.sum("accept_count").alias("accepts"),
         F.sum("reject_count").alias("rejects"), F.max("last_seen").alias("last_seen"),
@@ -304,8 +304,8 @@ def timeline(
     stat10m: DataFrame, now: datetime, hours: int = 6, interval_min: int = 5, valid_from=None
 ) -> DataFrame:
     """Accepts and rejects per time slot, oldest first; empty slots are not filled in."""
-    seconds = max(60, min(int(interval_min), 60) * 60)
-    window = times.in_report_window(F.col("bucket_start"), now, times.clamp(hours, 1, 720), valid_from=valid_from)
+    seconds = 60 * times.at_least(interval_min, 1, "interval_min")
+    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from)
     slot = times.slot_label(F.col("bucket_start"), seconds).alias("bucket")
     return stat10m.filter(window).groupBy(slot).agg(
         F.sum("accept_count").alias("accepts"), F.sum("reject_count").alias("rejects")

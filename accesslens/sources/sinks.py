@@ -4,7 +4,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from accesslens.functions import times
 from accesslens.operators.latest import newest
 from accesslens.operators.rollups import Rollup, final
 from accesslens.sources.tables import with_partition
@@ -30,7 +29,7 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "append") -> None:
 
 def export_csv(auth: DataFrame, path: str, limit: int = 1000) -> None:
     """The newest records as one CSV file with a header; at most 5000 rows by contract."""
-    rows = newest(auth, times.clamp(limit, 0, 5000))
+    rows = newest(auth, limit)
     # To whole seconds, printed like "2024-01-31 23:59:59".
     shown = F.substring(F.col("ts").cast("string"), 1, 19)
     out = rows.select(

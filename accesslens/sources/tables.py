@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from accesslens import schemas
 from accesslens.functions import times
-from accesslens.functions.text import clip, clip_or_null, is_business_account, or_else
+from accesslens.functions.text import blank_to_null, is_business_account, or_else, text
 
 
 def _stored(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
@@ -45,18 +45,17 @@ def with_partition(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("dt", F.to_date(ts))
 
 
-# Widths of the stored text columns; longer values are cut.
-_NULLABLE = {
-    "mac_addr": 20, "calling_sta": 64, "called_sta": 64, "nas_ip": 46, "nas_identifier": 128,
-    "nas_port_id": 128, "framed_ip": 46, "src_ip": 46,
-}
+# Stored text columns in which the empty string is NULL. Texts are stored whole.
+_NULLABLE = [
+    "mac_addr", "calling_sta", "called_sta", "nas_ip", "nas_identifier", "nas_port_id", "framed_ip", "src_ip",
+]
 
 
 def _name_columns(empty: str) -> dict:
     raw = F.coalesce(or_else(F.col("raw_username"), F.col("username")), F.lit(empty))
     return {
-        "username": clip(F.coalesce(or_else(F.col("username")), raw), 128),
-        "raw_username": clip(raw, 256),
+        "username": F.coalesce(or_else(F.col("username")), raw),
+        "raw_username": raw,
     }
 
 
@@ -69,10 +68,10 @@ def to_auth_log(records: DataFrame, id_col: str = "seq") -> DataFrame:
         times.latency_ms(F.col("req_ts"), F.col("resp_ts")).alias("latency_ms"),
         *[c.alias(n) for n, c in _name_columns("(空)").items()],
         F.col("result_code").cast("int").alias("result"),
-        F.coalesce(clip(F.col("reply_raw"), 256), F.lit("")).alias("reply_msg"),
-        F.coalesce(clip(F.col("reason_zh"), 64), F.lit("")).alias("reason_zh"),
-        F.coalesce(clip_or_null(F.col("risk"), 16), F.lit("unknown")).alias("risk_level"),
-        *[clip_or_null(F.col(n), w).alias(n) for n, w in _NULLABLE.items()],
+        text(F.col("reply_raw")).alias("reply_msg"),
+        text(F.col("reason_zh")).alias("reason_zh"),
+        F.coalesce(blank_to_null(F.col("risk")), F.lit("unknown")).alias("risk_level"),
+        *[blank_to_null(F.col(n)).alias(n) for n in _NULLABLE],
         F.col("nas_port").cast("bigint"), F.col("nas_port_type").cast("int"),
     )
     return shaped.filter(is_business_account(F.col("username"))).select(
@@ -88,12 +87,12 @@ def to_acct_log(records: DataFrame, id_col: str = "seq") -> DataFrame:
         names["username"].alias("username"),
         F.nullif(names["raw_username"], F.lit("")).alias("raw_username"),
         F.col("acct_status_type").cast("int"),
-        clip_or_null(F.col("acct_session_id"), 128).alias("acct_session_id"),
+        blank_to_null(F.col("acct_session_id")).alias("acct_session_id"),
         *[
             F.col(c).cast("bigint")
             for c in ("input_octets", "input_gigawords", "output_octets", "output_gigawords")
         ],
-        *[clip_or_null(F.col(n), w).alias(n) for n, w in {**_NULLABLE, "dst_ip": 46}.items()],
+        *[blank_to_null(F.col(n)).alias(n) for n in [*_NULLABLE, "dst_ip"]],
         F.col("nas_port").cast("bigint"), F.col("nas_port_type").cast("int"),
     )
     return shaped.filter(is_business_account(F.col("username"))).select(

@@ -76,7 +76,9 @@ def test_report_window():
     assert times.date_range(None, None) is None
     assert times.date_range(date(2024, 1, 5), date(2024, 1, 3)) == (datetime(2024, 1, 3), datetime(2024, 1, 6))
     assert times.date_range(date(2024, 1, 5), None) == (datetime(2024, 1, 5), datetime(2024, 1, 6))
-    assert times.date_range(date(2024, 1, 1), date(2024, 6, 1))[1] == datetime(2024, 1, 31)
+    assert times.date_range(date(2024, 1, 1), date(2024, 6, 1))[1] == datetime(2024, 6, 2)
+    with pytest.raises(ValueError):
+        times.date_range(date(2024, 1, 1), date(2024, 2, 1), max_days=31)
 
 
 @pytest.fixture(scope="module")
@@ -170,4 +172,4 @@ def test_detail_shaping(spark):
         "reply_raw string, reason_zh string, risk string, calling_sta string, mac_addr string, nas_ip string, nas_port long, nas_port_type long",
     ).selectExpr("*", *[f"CAST(NULL AS STRING) AS {c}" for c in ("called_sta", "nas_identifier", "nas_port_id", "framed_ip", "src_ip")])
     (r,) = tables.to_auth_log(df).collect()
-    assert (r.id, r.latency_ms, len(r.raw_username), len(r.calling_sta), r.mac_addr, r.reason_zh) == (1, 1000, 256, 64, None, "")
+    assert (r.id, r.latency_ms, len(r.raw_username), len(r.calling_sta), r.mac_addr, r.reason_zh) == (1, 1000, 300, 300, None, "")
