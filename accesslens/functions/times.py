@@ -6,7 +6,7 @@ how a cluster is configured.
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _since_epoch(c: Column) -> Column:
@@ -116,9 +116,24 @@ def in_report_window(
     end: date | None = None,
     valid_from: datetime | None = None,
     max_days: int | None = None,
+    day: Column | None = None,
 ) -> Column:
-    """Predicate on literals only, so that it reaches the Parquet scan."""
+    """Predicate on literals only, so that it reaches the Parquet scan.
+
+    ``day``, the date that a table is laid out by, is bounded too, so that other days aren't listed.
+    """
     chosen = date_range(start, end, max_days)
-    if chosen is None:
-        return c >= ntz(window_start(now, hours, valid_from))
-    return (c >= ntz(chosen[0])) & (c < ntz(chosen[1]))
+    low, high = chosen or (window_start(now, hours, valid_from), None)
+    inside = c >= ntz(low)
+    if high is not None:
+        inside = inside & (c < ntz(high))
+    if day is not None:
+        inside = inside & (day >= F.lit(low.date()))
+        if high is not None:
+            inside = inside & (day < F.lit(high.date()))
+    return inside
+
+
+def stored_day(df: DataFrame) -> Column | None:
+    """The date that a stored table is laid out by, if it is."""
+    return F.col("dt") if "dt" in df.columns else None

@@ -10,6 +10,7 @@ the first match is the last duplicate on the wire, which is the one that counts.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from accesslens import constants as C
+from accesslens.functions import times
 from accesslens.functions.keys import code_name
 from accesslens.functions.text import normalize_mac, normalize_username, or_else, strip
 
@@ -264,14 +265,14 @@ def _common() -> list[Column]:
 
 def request_columns() -> list[Column]:
     return [
-        F.col("seq"), F.col("pkt_time").alias("req_ts"), *_identity(F.col("src_ip")), *_common(),
+        F.col("seq"), times.to_ms_precision(F.col("pkt_time")).alias("req_ts"), *_identity(F.col("src_ip")), *_common(),
         *[F.col(c) for c in _ENDPOINTS],
     ]
 
 
 def response_columns() -> list[Column]:
     return [
-        F.col("seq"), F.col("pkt_time").alias("resp_ts"), F.col("code").alias("result_code"),
+        F.col("seq"), times.to_ms_precision(F.col("pkt_time")).alias("resp_ts"), F.col("code").alias("result_code"),
         F.coalesce(attr_text(C.ATTR_REPLY_MESSAGE), F.lit("")).alias("reply_raw"), *_common(),
         *[F.col(c) for c in _ENDPOINTS],
     ]
@@ -299,7 +300,7 @@ def project_accounting(decoded: DataFrame) -> DataFrame:
         vsa_uint(C.VENDOR_ID, C.VSA_INPUT_AVERAGE_RATE).alias("input_average_rate"),
         vsa_uint(C.VENDOR_ID, C.VSA_OUTPUT_AVERAGE_RATE).alias("output_average_rate"),
         vsa_text(C.VENDOR_ID, C.VSA_PRODUCT_ID).alias("product_id"), *_ENDPOINTS,
-        F.col("pkt_time").alias("ts"),
+        times.to_ms_precision(F.col("pkt_time")).alias("ts"),
     )
 
 
@@ -316,5 +317,5 @@ def project_control(decoded: DataFrame) -> DataFrame:
         attr_uint(C.ATTR_ERROR_CAUSE).alias("error_cause"),
         attr_uint(C.ATTR_EVENT_TIMESTAMP).alias("event_timestamp"),
         F.col("code").alias("result_code"), code_name(F.col("code")).alias("result"), *_ENDPOINTS,
-        F.col("pkt_time").alias("ts"),
+        times.to_ms_precision(F.col("pkt_time")).alias("ts"),
     )

@@ -35,7 +35,7 @@ def stats(stat10m: DataFrame, now: datetime, hours: int = 24, valid_from=None) -
     def percent(part):
         return F.coalesce(F.round(part * 100.0 / F.nullif(total, zero), 1), F.lit(0.0))
 
-    sums = stat10m.filter(times.in_report_window(F.col("bucket_start"), now, hours, valid_from=valid_from)).agg(
+    sums = stat10m.filter(times.in_report_window(F.col("bucket_start"), now, hours, valid_from=valid_from, day=times.stored_day(stat10m))).agg(
         F.coalesce(F.sum("request_count"), zero).alias("total"),
         F.coalesce(F.sum("accept_count"), zero).alias("accepts"),
         F.coalesce(F.sum("reject_count"), zero).alias("rejects"),
@@ -60,7 +60,7 @@ def record_search(
     mac: str | None = None, result: int | None = None, limit: int | None = 300,
 ) -> DataFrame:
     """Authentication records by window, account, terminal address and result; newest first."""
-    found = auth.filter(times.in_report_window(F.col("ts"), now, times.at_least(hours, 1, "hours")))
+    found = auth.filter(times.in_report_window(F.col("ts"), now, times.at_least(hours, 1, "hours"), day=times.stored_day(auth)))
     if (username or "").strip():
         found = found.filter(F.col("username") == username.strip().upper())
     if (mac or "").strip():
@@ -146,7 +146,7 @@ def acct_history(
     hours = times.at_least(hours, 1, "hours")
     found = acct.filter(
         (F.col("username") == name) & (F.lit(name) != "")
-        & times.in_report_window(F.col("ts"), now, hours)
+        & times.in_report_window(F.col("ts"), now, hours, day=times.stored_day(acct))
     )
     top = newest(_with_bytes(found), limit)
     return top.select(
@@ -160,7 +160,7 @@ def top_reject(
     end: date | None = None, limit: int | None = 20, valid_from=None,
 ) -> DataFrame:
     """Accounts with the most rejects."""
-    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from, day=times.stored_day(user10m))
     totals = user10m.filter(window).groupBy("username").agg(
         F.sum("reject_count").alias("reject_cnt"), F.sum("accept_count").alias("accept_cnt"),
         F.sum("request_count").alias("total_cnt"), F.max("main_reason").alias("last_reason"),
@@ -187,7 +187,7 @@ def risk_accounts(
     """
     page, size = times.at_least(page, 1, "page"), times.at_least(page_size, 1, "page_size")
     offset = (page - 1) * size
-    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from, day=times.stored_day(user10m))
     totals = user10m.filter(window).groupBy("username").agg(
         F.sum("request_count").alias("total_cnt"), F.sum("reject_count").alias("reject_cnt"),
         F.sum("accept_count").alias("accept_cnt"), F.max("last_seen").alias("last_seen"),
@@ -220,7 +220,7 @@ def multi_mac_summary(
     end: date | None = None, min_mac: int = 2, limit: int | None = 100, valid_from=None,
 ) -> DataFrame:
     """Accounts seen on at least ``min_mac`` terminals."""
-    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from, day=times.stored_day(user_mac10m))
     per_mac = _terminals(user_mac10m, window).groupBy("username", "mac_addr").agg(
         F.sum("request_count").alias("total_cnt"), F.sum("accept_count").alias("accept_cnt"),
         F.sum("reject_count").alias("reject_cnt"), F.max("nas_ip").alias("nas_ip"),
@@ -248,7 +248,7 @@ def multi_mac_detail(
     end: date | None = None, min_mac: int = 2, limit: int | None = 100, valid_from=None,
 ) -> DataFrame:
     """The terminals of the accounts in :func:`multi_mac_summary`, one row each."""
-    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from, day=times.stored_day(user_mac10m))
     top = multi_mac_summary(user_mac10m, now, hours, start, end, min_mac, limit, valid_from)
     return _terminals(user_mac10m, window).join(top.select("username"), "username", "left_semi").groupBy(
         "username", "mac_addr"
@@ -285,7 +285,7 @@ def multi_mac(
 
 def reason_distribution(reason10m: DataFrame, now: datetime, hours: int = 24, valid_from=None) -> DataFrame:
     """Rejects per reason, most frequent first."""
-    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from, day=times.stored_day(reason10m))
     return reason10m.filter(window & (F.col("result") == 3)).groupBy("reason_zh").agg(
         F.sum("request_count").alias("cnt")
     ).orderBy(F.desc("cnt"), "reason_zh")
@@ -293,7 +293,7 @@ def reason_distribution(reason10m: DataFrame, now: datetime, hours: int = 24, va
 
 def nas_distribution(nas10m: DataFrame, now: datetime, hours: int = 24, valid_from=None) -> DataFrame:
     """Requests per access server, busiest first."""
-    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from, day=times.stored_day(nas10m))
     return nas10m.filter(window & (F.col("nas_ip") != "")).groupBy("nas_ip").agg(
         F.sum("request_count").alias("total"), F.sum("accept_count").alias("accepts"),
         F.sum("reject_count").alias("rejects"), F.max("last_seen").alias("last_seen"),
@@ -305,7 +305,7 @@ def timeline(
 ) -> DataFrame:
     """Accepts and rejects per time slot, oldest first; empty slots are not filled in."""
     seconds = 60 * times.at_least(interval_min, 1, "interval_min")
-    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from)
+    window = times.in_report_window(F.col("bucket_start"), now, times.at_least(hours, 1, "hours"), valid_from=valid_from, day=times.stored_day(stat10m))
     slot = times.slot_label(F.col("bucket_start"), seconds).alias("bucket")
     return stat10m.filter(window).groupBy(slot).agg(
         F.sum("accept_count").alias("accepts"), F.sum("reject_count").alias("rejects")

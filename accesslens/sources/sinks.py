@@ -27,8 +27,8 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("compression", "gzip").option("ignoreNullFields", False).json(path)
 
 
-def export_csv(auth: DataFrame, path: str, limit: int = 1000) -> None:
-    """The newest records as one CSV file with a header; at most 5000 rows by contract."""
+def export_csv(auth: DataFrame, path: str, limit: int | None = 1000) -> None:
+    """The newest records as CSV with a header: one file, or several in order if all rows are asked for."""
     rows = newest(auth, limit)
     # To whole seconds, printed like "2024-01-31 23:59:59".
     shown = F.substring(F.col("ts").cast("string"), 1, 19)
@@ -38,8 +38,9 @@ def export_csv(auth: DataFrame, path: str, limit: int = 1000) -> None:
         "mac_addr", "nas_ip", "nas_identifier", "nas_port_id", "nas_port_type", "nas_port",
         "latency_ms", "reply_msg",
     )
-    # The limit above already brought the rows into one partition.
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    # A limit already brought the rows into one partition; without one, files follow each other in order.
+    out = out if limit is None else out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def store_partial(partial: DataFrame, path: str, batch_id: int | str, bucket: str = "bucket_start") -> None:

@@ -173,3 +173,11 @@ def test_detail_shaping(spark):
     ).selectExpr("*", *[f"CAST(NULL AS STRING) AS {c}" for c in ("called_sta", "nas_identifier", "nas_port_id", "framed_ip", "src_ip")])
     (r,) = tables.to_auth_log(df).collect()
     assert (r.id, r.latency_ms, len(r.raw_username), len(r.calling_sta), r.mac_addr, r.reason_zh) == (1, 1000, 300, 300, None, "")
+
+
+def test_reports_read_only_the_days_they_need(spark, auth, tmp_path):
+    path = str(tmp_path / "auth")
+    sinks.append(auth, path)
+    stored = spark.read.parquet(path)
+    scan = reports.record_search(stored, datetime(2024, 1, 2), hours=24)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "dt#" in scan.split("PartitionFilters: [")[1].split("]")[0]
