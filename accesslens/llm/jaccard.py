@@ -35,7 +35,8 @@ PERCENT = 85
 WORDS = 4
 CHUNK = 64  # members of a group, which is one row of the matrix
 QUERIES = 512  # bounded by a chunk in one task
-PACK = 1_000_000  # fingerprints worked on together in a task
+BLOCK_BYTES = 2 << 20  # of texts worked on together
+PACK = 400_000  # fingerprints worked on together in a task
 PACK_BUCKET = 400_000  # fingerprints of a bucket, about
 FILTER_BITS = 1 << 23
 
@@ -125,7 +126,7 @@ def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _slim(rows: DataFrame, words: int) -> DataFrame:
     """id, n, and a 128-bit digest of each set."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.blocks(batches, "text"):
+        for batch in arrays.blocks(batches, "text", BLOCK_BYTES):
             own, tokens = sets(batch.column("text"), words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.bincount(own, minlength=batch.num_rows).astype(np.int64)),
@@ -147,7 +148,7 @@ def _digests(rows: np.ndarray, tokens: np.ndarray, n_rows: int) -> list[bytes]:
 def _shown(rows: DataFrame, words: int, scheme: Scheme, lacking) -> DataFrame:
     """digest, id and fingerprints of every set, one row a digest."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.blocks(batches, "text"):
+        for batch in arrays.blocks(batches, "text", BLOCK_BYTES):
             own, tokens = sets(batch.column("text"), words)
             r, prints, few = scheme.fingerprints(own, tokens, batch.num_rows)
             if few:
@@ -261,7 +262,7 @@ def _tokens(rows: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             for i in range(3):
                 p = batch.column(f"p{i}").to_numpy()
                 ok &= (bits[p // 62] >> (p % 62)) & 1 == 1
-            for block in arrays.blocks(iter([batch.filter(pa.array(ok))]), "text"):
+            for block in arrays.blocks(iter([batch.filter(pa.array(ok))]), "text", BLOCK_BYTES):
                 own, tokens = sets(block.column("text"), words)
                 cuts = np.searchsorted(own, np.arange(block.num_rows + 1)).tolist()
                 yield pa.RecordBatch.from_arrays(
