@@ -12,7 +12,7 @@ fingerprints lead from a document to the groups worth bounding. The steps:
 1. Documents with equal sets are one class; only its smallest id goes on.
 2. Fingerprints are shared out in buckets. Classes that share enough of them with the smallest class that has
    them are compared with it, one comparison for a class and fingerprint at most.
-3. Classes that share most with the same class are a group, of ``CHUNK`` members or so. For fingerprints that
+3. Classes with the same smallest leader are a group, of ``CHUNK`` members or so. For fingerprints that
    stand in several components so far, each class that shares enough with a group is bounded by the group's
    union, and qualifying groups are opened.
 
@@ -33,7 +33,7 @@ from accesslens.llm.components import components, cut
 
 PERCENT = 85
 WORDS = 4
-CHUNK = 64  # members of a group, which is one row of the matrix
+CHUNK = 256  # members of a group, which is one row of the matrix
 QUERIES = 512  # bounded by a chunk in one task
 BLOCK_BYTES = 2 << 20  # of texts worked on together
 PACK = 400_000  # fingerprints worked on together in a task
@@ -341,10 +341,9 @@ def _enough(rows: DataFrame, keys: list[str], scheme: Scheme) -> DataFrame:
 def _between(shared: DataFrame, groups: DataFrame, tokens: DataFrame, scheme: Scheme, percent: int) -> DataFrame:
     """Links between classes of different components so far.
 
-    A row of the matrix holds up to about ``CHUNK`` classes that share most fingerprints with the same class.
+    A row of the matrix holds up to about ``CHUNK`` classes that have the same smallest leader.
     """
-    led = shared.groupBy("id", "leader").agg(F.count("*").alias("n"))
-    cluster = led.groupBy("id").agg(F.max_by("leader", F.struct("n", -F.col("leader"))).alias("cluster"))
+    cluster = shared.groupBy("id").agg(F.min("leader").alias("cluster"))
     chunks = cluster.groupBy("cluster").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     rows = cut(cluster.join(chunks, "cluster").select("id", "cluster", F.pmod(F.xxhash64("id"), "chunks").alias("chunk")).join(
         groups.select(F.col("node").alias("id"), "component"), "id", "left").select(
