@@ -12,7 +12,6 @@ from accesslens.functions import times
 from accesslens.functions.counters import octet_total
 from accesslens.functions.keys import counter_session_key, event_id
 from accesslens.functions.text import blank_to_null, is_business_account, or_else, text
-from accesslens.operators import skew
 
 
 def _named_user() -> Column:
@@ -175,10 +174,14 @@ def _chunk_starts(chunks: DataFrame, interval: int, chunk_ms: int) -> DataFrame:
 
 # --- Counter deltas ---------------------------------------------------------------------------
 
+# A counter's records are ordered within pieces of six hours; a counter that is alive costs one
+# more row, its last, per piece.
+_COUNTER_CHUNK_MS = 6 * 3600 * 1000
+
 
 def accounting_deltas(
     acct: DataFrame, scale: int = COUNTER_SCALE, ts: str = "ts", tie: str = "id",
-    start_resets: bool = False, slices: int = skew.SLICES, min_rows: int = skew.MIN_ROWS,
+    start_resets: bool = False, chunk_ms: int = _COUNTER_CHUNK_MS,
 ) -> DataFrame:
     """Add totals and the traffic since the previous record of the same counter.
 
@@ -186,8 +189,8 @@ def accounting_deltas(
     predecessor are baselines with zero traffic. A total that went down counts zero for its side
     and sets ``counter_rollback``. Records without a session id have no counter.
 
-    One shuffle on the counter key. Counters that hold a large share of all rows are cut into time
-    chunks; the last record of a chunk is repeated in front of the next one.
+    One shuffle on (counter, time chunk), so that a busy counter is spread over many tasks. The
+    last record of a chunk is repeated in front of the counter's next one.
     """
     incoming = octet_total(F.col("input_octets"), F.col("input_gigawords"), scale)
     outgoing = octet_total(F.col("output_octets"), F.col("output_gigawords"), scale)
@@ -198,14 +201,14 @@ def accounting_deltas(
     rows = acct.withColumns({
         "input_total": incoming, "output_total": outgoing,
         "counter_key": F.when(blank_to_null(session).isNull(), lone).otherwise(key),
-        "at_ms": times.epoch_ms(F.col(ts)),
+        "chunk": F.floor(times.epoch_ms(F.col(ts)) / chunk_ms).cast("bigint"),
     })
-    rows = skew.with_chunks(rows, "counter_key", "at_ms", slices, min_rows=min_rows)
     state = [ts, tie, "acct_status_type", "input_total", "output_total"]
+    counted = rows.filter(blank_to_null(session).isNotNull() & F.col("chunk").isNotNull())
     both = rows.withColumn("carried", F.lit(False)).unionByName(
-        _carried_tails(rows, state), allowMissingColumns=True
+        _carried_tails(counted, state), allowMissingColumns=True
     )
-    order = Window.partitionBy("counter_key", "chunk").orderBy(ts, tie)
+    order = Window.partitionBy("counter_key", "chunk").orderBy(F.desc("carried"), ts, tie)
     before = F.lag(F.struct(*state)).over(order)
     out = both.withColumn("before", before).filter(~F.col("carried"))
     stale = F.col(ts) - F.col("before")[ts] > F.expr(f"INTERVAL {SESSION_STATE_DAYS} DAY")
@@ -229,10 +232,8 @@ def accounting_deltas(
 
 
 def _carried_tails(rows: DataFrame, state: list[str]) -> DataFrame:
-    """The last record of every chunk of a split counter, addressed to the counter's next chunk."""
-    tails = rows.filter("is_hot").groupBy("counter_key", "chunk").agg(
-        F.max(F.struct(*state)).alias("tail")
-    )
+    """The last record of every chunk of a counter, addressed to the counter's next chunk."""
+    tails = rows.groupBy("counter_key", "chunk").agg(F.max(F.struct(*state)).alias("tail"))
     # One row per chunk: few, however many records the counter has.
     following = F.lead("chunk").over(Window.partitionBy("counter_key").orderBy("chunk"))
     return tails.withColumn("chunk", following).filter("chunk IS NOT NULL").select(

@@ -1,4 +1,4 @@
-"""Materialised intermediate results."""
+"""Materialised intermediate results and folders for streaming state."""
 
 import tempfile
 import uuid
@@ -7,16 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and go on from there.
+    """Write the rows to the checkpoint folder and go on from there. Runs at once.
 
     For results that several later steps read and that are expensive to make again, such as decoded
-    packets. The folder is the one the cluster names in ``spark.checkpoint.dir``, so the rows
-    survive the loss of executors; only where none is named (tests) a temporary one is set.
+    packets. The rows are in the folder that ``spark.checkpoint.dir`` names, so they survive the
+    loss of executors; the caller removes them.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_base(df.sparkSession))
-    return df.checkpoint()
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch(spark: SparkSession) -> str:
@@ -26,4 +25,8 @@ def scratch(spark: SparkSession) -> str:
 
 def _base(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="accesslens-checkpoint-")
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="accesslens-checkpoint-")

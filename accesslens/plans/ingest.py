@@ -1,12 +1,14 @@
 """From captured packets to records, detail tables and unified events."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from accesslens import constants as C
 from accesslens.operators import accounting, decode, events, pairing
-from accesslens.operators.staging import staged
+
+Keep = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -21,24 +23,28 @@ def decode_stage(packets: DataFrame, ports: list[int] | None = None) -> DataFram
     return decode.decode_packets(decode.filter_ports(decode.extract_udp(packets), ports))
 
 
-def records(decoded: DataFrame, sample_s: int = C.INTERIM_INTERVAL_SECONDS) -> Records:
+def records(
+    decoded: DataFrame, sample_s: int = C.INTERIM_INTERVAL_SECONDS, keep: Keep | None = None,
+) -> Records:
     """Identifiable records; interim updates are thinned out here, before any delta is taken.
 
-    Accounting records are read twice by the sampler, so they are decoded once and staged.
+    The sampler reads accounting records twice. They are decoded twice, unless ``keep`` stores them
+    (such as ``staging.staged``, or a function that writes and rereads a table). Without it nothing
+    runs here.
     """
-    acct = staged(accounting.identifiable_accounting(decode.project_accounting(decoded)))
+    acct = accounting.identifiable_accounting(decode.project_accounting(decoded))
     return Records(
         accounting.identifiable_auth(pairing.pair_auth(decoded)),
-        accounting.sample_interim(acct, sample_s, tie="seq"),
+        accounting.sample_interim(keep(acct) if keep else acct, sample_s, tie="seq"),
         accounting.identifiable_control(decode.project_control(decoded)),
     )
 
 
-def unified(rec: Records, scale: int = C.COUNTER_SCALE) -> DataFrame:
-    """De-duplicated events with counter deltas."""
+def unified(rec: Records, scale: int = C.COUNTER_SCALE, keep: Keep | None = None) -> DataFrame:
+    """De-duplicated events with counter deltas. ``keep`` as in ``records``: deltas read twice."""
     def once(df: DataFrame) -> DataFrame:
         return accounting.dedup_events(events.identify(df))
 
-    # Counter sizes, carried records and the records themselves: three readers.
-    deltas = accounting.accounting_deltas(staged(once(rec.accounting)), scale, tie="event_id")
+    acct = once(rec.accounting)
+    deltas = accounting.accounting_deltas(keep(acct) if keep else acct, scale, tie="event_id")
     return events.aaa_events(once(rec.auth), deltas, once(rec.control))

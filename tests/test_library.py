@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from accesslens.functions import counters, keys, text, times
-from accesslens.operators import retention, rollups
-from accesslens.plans import reports
+from accesslens.operators import retention, rollups, staging
+from accesslens.plans import catalog, reports
 from accesslens.schemas import AUTH_LOG
 from accesslens.sources import fixtures, sinks, tables
 from tests.test_operators import auth_row
@@ -181,3 +181,26 @@ def test_reports_read_only_the_days_they_need(spark, auth, tmp_path):
     stored = spark.read.parquet(path)
     scan = reports.record_search(stored, datetime(2024, 1, 2), hours=24)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in scan and "dt#" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_building_a_batch_query_runs_nothing(spark):
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        for part in (catalog.ROLLUPS, catalog.REPORTS, catalog.STATEFUL, catalog.DECODING):
+            for query in part.values():
+                query(spark, SF)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_intermediate_results_need_a_shared_folder():
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "spark://cluster:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.scratch(Elsewhere)

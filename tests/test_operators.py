@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from accesslens.operators import accounting, events, latest, pairing, rollups, skew, spans, terminal
+from accesslens.operators import accounting, events, latest, pairing, rollups, spans, terminal
 from accesslens.schemas import ACCT_LOG, AUTH_LOG
 
 BASE = datetime(2024, 3, 10, 1, 30)  # an hour that daylight saving removes in some zones
@@ -93,9 +93,9 @@ def simulate_deltas(rows, start_resets=False):
     return out
 
 
-@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("chunk_ms", [60_000, 6 * 3_600_000, 10**12])
 @pytest.mark.parametrize("start_resets", [False, True])
-def test_deltas_equal_simulation(spark, split, start_resets):
+def test_deltas_equal_simulation(spark, chunk_ms, start_resets):
     rnd = random.Random(11)
     rows = []
     for i in range(5000):
@@ -108,7 +108,7 @@ def test_deltas_equal_simulation(spark, split, start_resets):
         ))
     df = spark.createDataFrame(rows, ACCT_LOG).repartition(8)
     got = accounting.accounting_deltas(
-        df, scale=1, start_resets=start_resets, slices=64, min_rows=50 if split else 10**9
+        df, scale=1, start_resets=start_resets, chunk_ms=chunk_ms
     )
     fields = ACCT_LOG.fieldNames()
     expect = simulate_deltas([dict(zip(fields, r)) for r in rows], start_resets)
@@ -116,18 +116,6 @@ def test_deltas_equal_simulation(spark, split, start_resets):
     assert have == expect
 
 
-def test_hot_slices_are_few_and_split(spark):
-    df = spark.range(100_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("key"),
-        F.col("id").alias("ms"),
-    )
-    hot = skew.hot_slices(df, "key", "ms", slices=256, min_rows=10)
-    assert 1 <= hot.count() <= 256 // skew.FACTOR
-    chunks = skew.with_chunks(df, "key", "ms", slices=256, min_rows=10)
-    largest = chunks.groupBy("key", "chunk").count().agg(F.max("count")).first()[0]
-    assert largest < 3000 and chunks.count() == 100_000
-
-
 def test_corrupt_counters_saturate(spark):
     rows = [acct_row(0, 0, octets=5), acct_row(1, 1000, octets=2**32 - 1, giga=2**32 - 1)]
     got = accounting.accounting_deltas(spark.createDataFrame(rows, ACCT_LOG)).orderBy("id").collect()
