@@ -274,13 +274,55 @@ def _stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.load_rollup(spark, f"{base}/out", rollups.USER_MAC_10M)
 
 
+def _stream_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captured = packets.capture(fixtures.all_rows(_stream_events(spark, sf_dir)))
+    return _drain(stateful.stream_pair(ingest.decode_stage(captured)))
+
+
+def _stream_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    auth, base = fixtures.auth_log(_stream_events(spark, sf_dir)), staging.scratch(spark)
+    writer = writes.stream_writes(auth, f"{base}/out", f"{base}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return sinks.load_rollup(spark, f"{base}/out/{rollups.STAT_10M.name}", rollups.STAT_10M)
+
+
 STREAMING: dict[str, Query] = {
     "stream_deltas": _stream_deltas,
     "stream_sample": _stream_sample,
     "stream_dedup": _stream_dedup,
     "stream_merge": _stream_merge,
+    "stream_pair": _stream_pair,
+    "stream_writes": _stream_writes,
+}
+
+
+def _record_search_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging.scratch(spark)
+    sinks.append(fixtures.auth_log(fixtures.events(spark, sf_dir)), path)
+    return reports.record_search(tables.auth_log(spark, path), NOW, mac="0200.0000.0001", result=3)
+
+
+def _nas_stats_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, auth = staging.scratch(spark), fixtures.auth_log(fixtures.events(spark, sf_dir))
+    sinks.write_ndjson(auth, path)
+    return rollups.nas_stats(spark.read.schema(auth.schema).json(path))
+
+
+def _top_reject_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From two stored batches of partials, one of which is delivered again."""
+    path, auth = staging.scratch(spark), fixtures.auth_log(fixtures.events(spark, sf_dir))
+    for batch in (0, 1, 0):
+        half = auth.filter(F.col("id") % 2 == batch)
+        sinks.store_partial(rollups.USER_10M.partial(half), path, batch)
+    return reports.top_reject(sinks.load_rollup(spark, path, rollups.USER_10M), NOW)
+
+
+STORED: dict[str, Query] = {
+    "record_search_stored": _record_search_stored,
+    "nas_stats_ndjson": _nas_stats_ndjson,
+    "top_reject_stored": _top_reject_stored,
 }
 
 
 def queries() -> dict[str, Query]:
-    return {**ROLLUPS, **REPORTS, **STATEFUL, **DECODING, **STREAMING}
+    return {**ROLLUPS, **REPORTS, **STATEFUL, **DECODING, **STREAMING, **STORED}

@@ -577,11 +577,18 @@ DECODING["event_views"] = _with_recursive(
 # The streaming twins give what the batch operators give.
 STREAMING = {
     "stream_deltas": STATEFUL["accounting_deltas"],
-    "stream_sample": STATEFUL["sample_interim"].replace(
-        "acct_status_type <> 3 OR id IN", "id IN"
-    ),
+    "stream_sample": STATEFUL["sample_interim"],
     "stream_dedup": STATEFUL["dedup_events"],
     "stream_merge": AUTH["rollup_user_mac_10m"],
+    "stream_pair": DECODING["pair_auth"],
+    "stream_writes": AUTH["rollup_stat_10m"],
+}
+
+# Reports over stored tables give what they give over the rows that were stored.
+STORED = {
+    "record_search_stored": AUTH["record_search"],
+    "nas_stats_ndjson": AUTH["nas_stats"],
+    "top_reject_stored": AUTH["top_reject"],
 }
 
 
@@ -593,6 +600,7 @@ _INTEGERS = {
     "decode_accounting": ["packet_identifier", "src_port"],
     "decode_control": ["packet_identifier"],
     "pair_auth": ["packet_identifier", "src_port"],
+    "stream_pair": ["packet_identifier", "src_port"],
     "decode_requests": ["packet_identifier", "src_port"],
     "auth_log_from_packets": ["nas_port_type"],
     "acct_log_from_packets": ["acct_status_type", "nas_port_type"],
@@ -607,5 +615,5 @@ def _narrowed(name: str, sql: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    every = {**AUTH, **ACCOUNTING, **STATEFUL, **DECODING, **STREAMING}
+    every = {**AUTH, **ACCOUNTING, **STATEFUL, **DECODING, **STREAMING, **STORED}
     return {name: _narrowed(name, sql) for name, sql in every.items()}

@@ -98,8 +98,8 @@ def stream_sample(
     acct: DataFrame, interval_s: int = INTERIM_INTERVAL_SECONDS, delay: str = "10 minutes",
     ts: str = "ts", tie: str = "id",
 ) -> DataFrame:
-    """Streaming :func:`accounting.sample_interim` of the rows that are subject to it; the others
-    need no state and are the caller's to union. Returns the kept rows."""
+    """Streaming :func:`accounting.sample_interim`. Rows that aren't subject to it need no state and
+    pass beside it."""
     interval = int(interval_s) * 1000
     rows = _marked(acct.filter(accounting.sampled(acct)), ts, delay).select(
         "mark", F.col(ts).alias("at"), times.epoch_ms(F.col(ts)).alias("ms"), F.col(tie).alias("tie"),
@@ -125,7 +125,8 @@ def stream_sample(
     out = rows.groupBy("key").applyInPandasWithState(
         step, "record string", "ms long", "append", _TIMEOUT
     )
-    return out.select(_unpacked("record", acct.schema).alias("r")).select("r.*")
+    kept = out.select(_unpacked("record", acct.schema).alias("r")).select("r.*")
+    return kept.unionByName(acct.filter(~accounting.sampled(acct)))
 
 
 def stream_exchanges(
