@@ -1,8 +1,8 @@
 """Retention by age."""
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from accesslens.functions import times
 
@@ -23,3 +23,27 @@ def retain(
     if "dt" in df.columns:
         kept = kept.filter(F.col("dt") >= F.lit(cutoff.date()))
     return kept
+
+
+def drop_days(spark: SparkSession, path: str, days: int, now: datetime) -> list[date]:
+    """Delete the day directories of a stored table that lie wholly before the cut-off; returns
+    their days. Only ``dt=YYYY-MM-DD`` directories directly below ``path`` are ever touched, and no
+    data is read. Deleting again does nothing, so an interrupted run can be repeated."""
+    cutoff = (now - timedelta(days=days)).date()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    dropped = []
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if not (status.isDirectory() and name.startswith("dt=")):
+            continue
+        try:
+            day = date.fromisoformat(name.removeprefix("dt="))
+        except ValueError:  # rows without a day
+            continue
+        if day < cutoff:
+            if not files.delete(status.getPath(), True):
+                raise OSError(f"could not delete {status.getPath()}")
+            dropped.append(day)
+    return sorted(dropped)

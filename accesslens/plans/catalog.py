@@ -317,7 +317,26 @@ def _top_reject_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_reject(sinks.load_rollup(spark, path, rollups.USER_10M), NOW)
 
 
+def _retention_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month of days, of which those before the tenth are dropped; dropping twice is harmless."""
+    path = staging.scratch(spark)
+    sinks.append(fixtures.auth_log(fixtures.events(spark, sf_dir), factor=1), path)
+    for _ in range(2):
+        retention.drop_days(spark, path, 10, NOW.replace(day=20))
+    return tables.auth_log(spark, path).select("id", "ts")
+
+
+def _range_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per day of a range that leaves out days at both ends; its bounds reach the directories."""
+    path = staging.scratch(spark)
+    sinks.append(fixtures.auth_log(fixtures.events(spark, sf_dir), factor=1), path)
+    stored = tables.between(tables.auth_log(spark, path), NOW.replace(day=5), NOW.replace(day=25))
+    return stored.groupBy("dt").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
 STORED: dict[str, Query] = {
+    "retention_stored": _retention_stored,
+    "range_stored": _range_stored,
     "record_search_stored": _record_search_stored,
     "nas_stats_ndjson": _nas_stats_ndjson,
     "top_reject_stored": _top_reject_stored,

@@ -586,6 +586,9 @@ STREAMING = {
 
 # Reports over stored tables give what they give over the rows that were stored.
 STORED = {
+    "retention_stored": _with(_auth(factor=1), body="SELECT id, ts FROM auth WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'"),
+    "range_stored": _with(_auth(factor=1), body="""SELECT CAST(ts AS DATE) AS dt, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
+      FROM auth WHERE ts >= TIMESTAMP '2024-01-05 12:00:00' AND ts < TIMESTAMP '2024-01-25 12:00:00' GROUP BY 1"""),
     "record_search_stored": AUTH["record_search"],
     "nas_stats_ndjson": AUTH["nas_stats"],
     "top_reject_stored": AUTH["top_reject"],

@@ -204,3 +204,17 @@ def test_intermediate_results_need_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.scratch(Elsewhere)
+
+
+def test_only_whole_days_are_dropped(spark, auth, tmp_path):
+    path = str(tmp_path / "auth")
+    sinks.append(auth, path)
+    sinks.append(auth.withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 DAY")), path)
+    (tmp_path / "auth" / "dt=__HIVE_DEFAULT_PARTITION__").mkdir()
+    # The day of the cut-off itself stays.
+    assert retention.drop_days(spark, path, 1, datetime(2024, 1, 2, 18)) == []
+    assert retention.drop_days(spark, path, 1, datetime(2024, 1, 5, 18)) == [date(2024, 1, 1)]
+    assert retention.drop_days(spark, path, 1, datetime(2024, 1, 5, 18)) == []
+    left = sorted(p.name for p in (tmp_path / "auth").glob("dt=*"))
+    assert left == ["dt=2024-01-04", "dt=__HIVE_DEFAULT_PARTITION__"]
+    assert tables.auth_log(spark, path).count() == auth.count()
