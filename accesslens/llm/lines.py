@@ -4,6 +4,9 @@ A rolling hash over the hashes of the last ``ROLL`` lines ends a chunk where it
 borders depend on nearby lines only and move with them. Chunks of two lines and more that stand twice in
 the corpus are compared byte by byte; the first stays, the others go. Chunk rows are slim, hashes are folded in
 each map task first, and texts are shuffled once, for the comparison and the cut alike.
+
+Chunks alone lose the border pieces of a repeated block in every new context. With ``runs`` each pair of
+neighbouring lines is a piece of its own beside them, so no repeated block of two lines or more is missed.
 """
 
 from __future__ import annotations
@@ -13,7 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from accesslens.llm import arrays
@@ -49,32 +53,100 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 KEYS = ["id", "print"]  # a row is its key and the MD5 of its text: rows with one key may differ
 
 
-def _chunks(rows: DataFrame, roll: int, divisor: int) -> DataFrame:
-    """id, print, begin, size, hash: the chunks of two lines and more that aren't blank."""
-    kind = pa.list_(pa.struct([("begin", pa.int32()), ("size", pa.int32()), ("hash", pa.binary())]))
+def _pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray, hashes: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """begin, size, span of the pairs of neighbouring lines that aren't blank both; ``span`` lines are compared.
+
+    A run of an equal line is one piece, found by its first two lines, and a second one from its third line on if
+    it has four, since these repeat the first two. Two lines around three blank ones or more are a piece too.
+    """
+    if len(hashes) < 2:
+        return np.zeros((0, 3), np.int64)
+    near = owner[1:] == owner[:-1]
+    equal = near & full[1:] & (hashes[1:] == hashes[:-1]) & (np.diff(ends - starts) == 0)
+    for i in np.flatnonzero(equal).tolist():
+        equal[i] = (data[starts[i] : ends[i]] == data[starts[i + 1] : ends[i + 1]]).all()
+    plain = np.flatnonzero(near & ~equal & (full[1:] | full[:-1]))
+    steps = np.diff(np.r_[False, equal, False].astype(np.int8))
+    begin = np.flatnonzero(steps == 1)
+    size = np.flatnonzero(steps == -1) - begin + 1
+    long = size >= 4
+    inner = np.flatnonzero(full)
+    apart = (np.diff(inner) > 3) & (owner[inner[1:]] == owner[inner[:-1]])
+    around, wide = inner[:-1][apart], np.diff(inner)[apart] + 1
+    found = [(plain, np.full(len(plain), 2), 2), (begin, size, 2), (begin[long] + 2, size[long] - 2, 2), (around, wide, wide)]
+    return np.concatenate([np.column_stack(np.broadcast_arrays(*f)) for f in found]).astype(np.int64)
+
+
+def _chunks(rows: DataFrame, roll: int, divisor: int, runs: bool) -> DataFrame:
+    """id, print, begin, size, span, hash: the chunks of two lines and more that aren't blank, with ``runs`` pairs too.
+
+    The hash is that of the first ``span`` lines, which are all but in runs of an equal line.
+    """
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("size", pa.int32()), ("span", pa.int32()), ("hash", pa.binary())]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.blocks(batches, "text"):
             data, offsets = arrays.flat(batch.column("text"))
             starts, ends, firsts = lines_of(data, offsets)
-            owner = arrays.rows_of(firsts)
-            last = np.flatnonzero(chunk_ends(arrays.word_hashes(data, starts, ends), owner, roll, divisor))
+            owner, hashes = arrays.rows_of(firsts), arrays.word_hashes(data, starts, ends)
+            last = np.flatnonzero(chunk_ends(hashes, owner, roll, divisor))
             begin = np.r_[0, last[:-1] + 1]
             seen = np.r_[0, np.cumsum(arrays.not_space()[data])]
-            many = (last > begin) & (seen[ends[last]] > seen[starts[begin]])
-            out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            for a, b in zip(begin[many].tolist(), last[many].tolist()):
-                row = int(owner[a])
-                digest = hashlib.blake2b(data[starts[a] : ends[b]], digest_size=16).digest()
-                out[row].append({"begin": a - int(firsts[row]), "size": b - a + 1, "hash": digest})
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("print"), pa.array(out, kind)], ["id", "print", "chunks"])
-
-    listed = rows.mapInArrow(task, "id long, print binary, chunks array<struct<begin: int, size: int, hash: binary>>")
-    return listed.select("id", "print", F.explode("chunks").alias("c")).select("id", "print", "c.begin", "c.size", "c.hash")
+            # Chunks of two lines are pairs.
+            many = (last > begin + int(runs)) & (seen[ends[last]] > seen[starts[begin]])
+            size = last[many] - begin[many] + 1
+            pieces = np.column_stack([begin[many], size, size])
+            if runs:
+                pieces = np.concatenate([pieces, _pairs(data, starts, ends, owner, hashes, seen[ends] > seen[starts])])
+                pieces = pieces[np.argsort(pieces[:, 0], kind="stable")]
+            text = data.tobytes()
+            digests = [
+                hashlib.blake2b(text[a:b], digest_size=16).digest()
+                for a, b in zip(starts[pieces[:, 0]].tolist(), ends[pieces[:, 0] + pieces[:, 2] - 1].tolist())]
+            row = owner[pieces[:, 0]]
+            fields = [pa.array(x, pa.int32()) for x in (pieces[:, 0] - firsts[row], pieces[:, 1], pieces[:, 2])]
+            out = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32()),
+                pa.StructArray.from_arrays([*fields, pa.array(digests, pa.binary())], fields=list(kind.value_type)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("print"), out], ["id", "print", "chunks"])
+
+    listed = rows.mapInArrow(task, "id long, print binary, chunks array<struct<begin: int, size: int, span: int, hash: binary>>")
+    return listed.select("id", "print", F.explode("chunks").alias("c")).select("id", "print", "c.begin", "c.size", "c.span", "c.hash")
+
+
+def _bytes(texts: DataFrame) -> DataFrame:
+    """hash, bytes: what each piece of ``chunks`` is compared by."""
 
-
-def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR) -> DataFrame:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrays.blocks(batches, "text"):
+            data, offsets = arrays.flat(batch.column("text"))
+            starts, ends, firsts = lines_of(data, offsets)
+            chunks = batch.column("chunks")
+            found = chunks.flatten()
+            begin = firsts[pc.list_parent_indices(chunks).to_numpy()] + found.field("begin").to_numpy()
+            last = begin + found.field("span").to_numpy() - 1
+            text = data.tobytes()
+            parts = [text[a:b] for a, b in zip(starts[begin].tolist(), ends[last].tolist())]
+            yield pa.RecordBatch.from_arrays([found.field("hash"), pa.array(parts, pa.binary())], ["hash", "bytes"])
+
+    return texts.select("text", "chunks").mapInArrow(task, "hash binary, bytes binary")
+
+
+def _joined(marked: DataFrame) -> DataFrame:
+    """id, print, gone (begin, size): the pieces that go, overlapping and touching ones as one."""
+    sets = marked.groupBy(*KEYS).agg(F.collect_set(F.struct("begin", "size")).alias("gone"))
+    each = sets.select(*KEYS, F.explode("gone").alias("g")).select(*KEYS, "g.begin", (F.col("g.begin") + F.col("g.size")).alias("end"))
+    row = Window.partitionBy(*KEYS).orderBy("begin", "end")
+    before = F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    opens = each.withColumn("opens", F.coalesce((F.col("begin") > before).cast("int"), F.lit(0)))
+    part = opens.withColumn("part", F.sum("opens").over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = part.groupBy(*KEYS, "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return whole.groupBy(*KEYS).agg(F.collect_list(F.struct("begin", (F.col("end") - F.col("begin")).alias("size"))).alias("gone"))
+
+
+def remove_repeated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR, runs: bool = False,
+) -> DataFrame:
     """key, kept, n_lines, n_removed: each text without its repeated chunks, and its lines before and gone.
 
     Lines are parted by \\n. Of equal chunks the one with the smallest key stays, then the earliest; kept lines
@@ -86,33 +158,33 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", ro
     return _cut(docs, key, text, roll, divisor).select(F.col("id").alias(key), "kept", "n_lines", "n_removed")
 
 
-def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR) -> DataFrame:
+def cleaned(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR, runs: bool = False,
+) -> DataFrame:
     """All columns of ``docs`` with the text as ``remove_repeated`` keeps it; unchanged texts, null ones too, stay
     as they are. Documents of which no line but blank ones is left by the removal go."""
-    found = _cut(docs, key, text, roll, divisor)
+    found = _cut(docs, key, text, roll, divisor, runs)
     left = found.where((F.col("n_removed") == 0) | (F.trim(F.translate("kept", "\n\t\r", "   ")) != ""))
     now = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     return left.select(*[now.alias(c) if c == text else F.col("rest")[c].alias(c) for c in docs.columns])
 
 
-def _cut(docs: DataFrame, key: str, text: str, roll: int, divisor: int) -> DataFrame:
+def _cut(docs: DataFrame, key: str, text: str, roll: int, divisor: int, runs: bool) -> DataFrame:
     """rest (the other columns of ``docs``), id, text, kept, n_lines, n_removed."""
     others = [F.col(c) for c in docs.columns if c != text]
     whole = F.coalesce("text", F.lit(""))
     rows = docs.select(F.struct(*others).alias("rest"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("print", F.unhex(F.md5(whole)))
-    chunks = cut(_chunks(rows.select("id", "print", "text"), roll, divisor))
+    chunks = cut(_chunks(rows.select("id", "print", "text"), roll, divisor, runs))
     repeated = chunks.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "begin")).alias("first")).where("n > 1")
     marked = chunks.join(repeated.select("hash", "first"), "hash")
-    by_row = marked.groupBy(*KEYS).agg(F.collect_set(F.struct("begin", "size", "hash", "first")).alias("chunks"))
+    by_row = marked.groupBy(*KEYS).agg(F.collect_set(F.struct("begin", "span", "hash")).alias("chunks"))
     texts = rows.join(by_row, [rows.id.eqNullSafe(by_row.id), rows.print == by_row.print], "left").select(
         rows.id, rows.print, "text", "chunks")
     lines = F.split(whole, "\n", -1)
-    bytes_of = texts.where("chunks IS NOT NULL").select(F.explode("chunks").alias("c"), lines.alias("lines")).select(
-        "c.hash", F.array_join(F.slice("lines", F.col("c.begin") + 1, F.col("c.size")), "\n").alias("bytes"))
+    bytes_of = _bytes(texts.where("chunks IS NOT NULL"))
     equal = bytes_of.groupBy("hash").agg((F.min("bytes") == F.max("bytes")).alias("equal")).where("equal").select("hash")
-    gone = marked.where(~F.struct("id", "begin").eqNullSafe(F.col("first"))).join(equal, "hash").groupBy(*KEYS).agg(
-        F.collect_set(F.struct("begin", "size")).alias("gone"))
+    gone = _joined(marked.where(~F.struct("id", "begin").eqNullSafe(F.col("first"))).join(equal, "hash"))
     found = rows.join(gone, [rows.id.eqNullSafe(gone.id), rows.print == gone.print], "left").select("rest", rows.id, "text", "gone")
     stays = F.filter(lines, lambda line, i: ~F.exists("gone", lambda g: (i >= g["begin"]) & (i < g["begin"] + g["size"])))
     removed = F.aggregate(F.coalesce("gone", F.array().cast("array<struct<begin:int,size:int>>")), F.lit(0), lambda n, g: n + g["size"])
@@ -122,5 +194,5 @@ def _cut(docs: DataFrame, key: str, text: str, roll: int, divisor: int) -> DataF
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeated(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = remove_repeated(spark.read.parquet(f"{sf_dir}/documents.parquet"), runs=True)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

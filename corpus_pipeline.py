@@ -27,8 +27,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go; so do documents that were nothing else."""
-    return _counted(lines.cleaned(docs))
+    """Repeated blocks of lines go; so do documents that were nothing else."""
+    return _counted(lines.cleaned(docs, runs=True))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

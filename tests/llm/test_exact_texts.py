@@ -309,6 +309,39 @@ def test_line_chunks(docs, nothing, divisor):
     assert lines.remove_repeated(nothing).collect() == []
 
 
+def repeated_runs(texts):
+    """Lines of blocks of two lines and more that stand earlier too; pairs of neighbours are all such blocks."""
+    first = {}
+    order = sorted(range(len(texts)), key=lambda row: (texts[row][0] is not None, texts[row][0] or 0))
+    for row in order:
+        own = (texts[row][1] or "").split("\n")
+        gone = set()
+        for i, pair in enumerate(zip(own, own[1:])):
+            if NOT_SPACE.search("".join(pair)):
+                where, at = first.setdefault(pair, (row, i))
+                if where != row or i >= at + 2:
+                    gone |= {i, i + 1}
+        yield texts[row][0], "\n".join(x for j, x in enumerate(own) if j not in gone), len(own), len(gone)
+
+
+def test_no_repeated_run_is_lost(spark):
+    rng = random.Random(7)
+    blocks = [[f"block {b} line {i} {rng.random()}" for i in range(rng.choice([2, 2, 3, 4, 9]))] for b in range(12)]
+    texts = [(1, "x\n" * 50), (2, "y\nx\nx\nz"), (3, "y\ny\ny"), (4, None), (5, "a\n\n\n\n\nb"), (6, "\n\n\n"), (8, "y\nx"), (9, "c d\na b\na b")]
+    for key in range(10, 90):
+        own = [f"own {key} {i}" for i in range(rng.randrange(5))]
+        for block in rng.sample(blocks, 2):
+            cut = rng.randrange(len(block) - 1)
+            own += [*block[cut:], f"own {key}"] if rng.random() < 0.7 else [*block, *block[:1] * rng.randrange(5)]
+        texts.append((key, "\n".join(own)))
+    texts += [(None, "\n".join(blocks[0])), (100, "head\na\n\n\n\n\nb\ntail")]
+    frame = spark.createDataFrame(rows(texts), SCHEMA).repartition(4)
+    got = {r.doc_id: r for r in lines.remove_repeated(frame, runs=True).collect()}
+    assert (got[100].kept, got[100].n_removed) == ("head\ntail", 6)
+    same([tuple(r) for k, r in got.items() if k != 100], [w for w in repeated_runs(texts) if w[0] != 100])
+    assert sum(r.n_removed for r in got.values()) > sum(r.n_removed for r in lines.remove_repeated(frame).collect())
+
+
 def test_borders_move_with_the_lines():
     import numpy as np
 
