@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TEST_FOLDER = "/tmp/accesslens-checkpoints"
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors share. Only a session on this machine that names none, as
+    in tests, gets a temporary one; elsewhere that raises, as executors would write to their own disks."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    return f"{tempfile.gettempdir()}/accesslens-checkpoints"
 
 
 def cut(rows: DataFrame) -> DataFrame:
-    """The rows, written as Parquet under the folder in spark.checkpoint.dir that all executors share, and read again.
+    """The rows, written as Parquet under the shared folder and read again.
 
-    Only where no folder is named, as in tests, a local one serves. Unlike checkpoint(), this works the rows out once.
+    Unlike checkpoint(), this works the rows out once. The folder is the job's scratch space: whoever runs the job
+    empties it, as results that are read lazily may still need it here.
     """
     spark = rows.sparkSession
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or TEST_FOLDER}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
