@@ -4,9 +4,9 @@ Both tokenizers cut at the white space between words, so a text is dealt into ch
 what follows it) that are aligned once and then looked up. Inside a chunk the byte offsets where tokens of both
 end cut it into groups, and two tokens are linked where their bytes overlap.
 
-First pass: every task adds up its id pairs, dealt into ``SLOTS`` slots by hash. A tree of merges makes the
+First pass: every task stores its documents' ids and adds up its id pairs, dealt into ``SLOTS`` slots by hash. A tree of merges makes the
 distinct pairs of each slot, over which a minimal perfect hash is built; the tasks' counts become dense vectors
-indexed by that hash, and a second tree adds the vectors. Second pass: documents are aligned again, their pairs are
+indexed by that hash, and a second tree adds the vectors. Second pass: documents are aligned again from their ids, their pairs are
 hashed, the key that lies there is verified, and its count is read. No group holds more than ``FAN`` tasks' rows of
 a slot, and a slot can't hold more pairs than the vocabularies allow.
 """
@@ -14,9 +14,11 @@ a slot, and a slot can't hold more pairs than the vocabularies allow.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,12 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.llm import arrays
+from accesslens.llm import arrays, bpe
 from accesslens.llm.components import cut
 
 SLOTS = 256
 FAN = 64  # rows of a slot merged or added up by one task
-KEPT_BYTES = 48 << 20  # of chunks kept by a task, about; beyond, it starts anew
+KEPT_BYTES = 160 << 20  # of chunks kept by a task, about; beyond, it starts anew
+BLOCK_BYTES = 6 << 20  # of texts, or of a tokenizer's ids, worked on together
+ID = np.dtype("<u4")
 PACK_BYTES = 32 << 20  # of keys and counts in one broadcast
 SPACE = "▁"  # fixed: how the second tokenizer writes a space
 #: White space by any definition that isn't ASCII's; no chunk begins there, or right behind it.
@@ -45,16 +49,47 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def merge_ranks(first: bytes) -> dict[bytes, int] | None:
+    """Ranks that give the same ids as a byte-level tokenizer's list of merges, for a faster encoder; None if it can't
+    be shown that they do.
+
+    They do if tokens are numbered as merges follow each other, and each token's bytes, encoded with the merges before
+    it, end in the two halves of its merge: then no other two tokens with these bytes ever lie side by side.
+    """
+    made = json.loads(first)
+    split = made.get("pre_tokenizer") or {}
+    if made.get("normalizer") or made["model"].get("type") != "BPE" or split.get("type") != "ByteLevel":
+        return None
+    if split.get("add_prefix_space") or not split.get("use_regex", True) or made["model"].get("ignore_merges"):
+        return None
+    letters, vocabulary = byte_alphabet(), made["model"]["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in made["model"]["merges"]]
+    plain = lambda token: bytes(letters[c] for c in token)
+    ranks = {plain(c): vocabulary[c] for c in letters if c in vocabulary}
+    last = max(ranks.values(), default=0)
+    for left, right in merges:
+        token, rank = left + right, vocabulary[left + right]
+        if rank <= last or bpe.one_by_one(plain(token), ranks) != [vocabulary[left], vocabulary[right]]:
+            return None
+        ranks[plain(token)] = last = rank
+    return ranks if len(ranks) == len(letters) + len(merges) else None
+
+
 class Pair:
-    """Both tokenizers, loaded from the files' bytes in every task that needs them."""
+    """Both tokenizers, loaded from the files' bytes in every task that needs them. ``ranks``: of ``merge_ranks``."""
 
-    def __init__(self, first: bytes, second: bytes):
+    def __init__(self, first: bytes, second: bytes, ranks: dict[bytes, int] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         import sentencepiece
         import tokenizers
 
         self.a = tokenizers.Tokenizer.from_buffer(first)
         self.a.encode_special_tokens = True
+        self.ranked = None
+        if ranks:
+            import tiktoken
+
+            self.ranked = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         letters = byte_alphabet()
         size = max(self.a.get_vocab().values()) + 1
@@ -77,6 +112,8 @@ class Pair:
         return [c for c in self.split(" " + text) if c]
 
     def encode_a(self, found: list[str]) -> list[list[int]]:
+        if self.ranked:
+            return list(map(self.ranked, found))
         return [e.ids for e in self.a.encode_batch(found, add_special_tokens=False)]
 
     def encode_b(self, found: list[str]) -> list[list[int]]:
@@ -93,82 +130,76 @@ class Pair:
         return out
 
 
-class Aligned:
-    """Chunks aligned so far; chunk ``i`` has the links ``left[i]``, ``right[i]`` and the other values at ``i``."""
+def linked(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token numbers of both sides of every link, and whether each token ends where one of the other side does.
+
+    Two cuts of the same bytes: a link ends wherever either of its tokens does.
+    """
+    mark = np.zeros(int(ends_a[-1]) + 1 if len(ends_a) else 1, np.uint8)
+    mark[ends_a] = 1
+    mark[ends_b] |= 2
+    mark = mark[mark > 0]
+    in_a, in_b = (mark & 1).astype(np.int64), (mark >> 1).astype(np.int64)
+    return np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b, mark[in_a > 0] == 3, mark[in_b > 0] == 3
+
+
+class Chunks:
+    """Chunks met so far. ``a`` and ``b`` are their ids as bytes, ``fine`` whether both tokenizers keep their bytes."""
 
     def __init__(self, pair: Pair):
         self.pair = pair
-        self.size_a = np.array([len(b) for b in pair.a_bytes])
-        self.size_b = np.array([len(b) for b in pair.b_bytes])
+        self.size_a, self.size_b = (np.array([len(x) for x in names]) for names in (pair.a_bytes, pair.b_bytes))
         self.reset()
 
     def reset(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.shown: list[str] = []
-        self.links: list[np.ndarray] = []  # links of the chunks met together, as pairs
-        self.sizes: list[np.ndarray] = []  # and links, tokens, groups of each chunk; links are -1 where bytes differ
+        self.a: list[bytes] = []
+        self.b: list[bytes] = []
+        self.fine: list[bool] = []
+        self.links: list[np.ndarray] = []  # of the chunks met together, as pairs
+        self.sizes: list[np.ndarray] = []  # how many links each chunk has
         self.held = 0
 
+    def _kept(self, names: list[bytes], sizes: np.ndarray, coded: list[list[int]], raw: list[bytes]) -> list[bool]:
+        """Whether the ids of each chunk spell its bytes."""
+        flat = list(chain.from_iterable(coded))
+        spelt = names.__getitem__
+        if -1 not in flat and b"".join(map(spelt, flat)) == b"".join(raw):
+            before = np.r_[0, np.cumsum(sizes[np.array(flat, np.int64)])][np.cumsum([0, *map(len, coded)])]
+            if np.array_equal(np.diff(before), [len(x) for x in raw]):
+                return [True] * len(raw)
+        return [-1 not in ids and b"".join(map(spelt, ids)) == x for ids, x in zip(coded, raw)]
+
     def meet(self, new: list[str]) -> None:
         """Aligns chunks that aren't known yet, all at once."""
-        if not new:
-            return
-        a, b = self.pair.encode_a(new), self.pair.encode_b(new)
-        bytes_a, bytes_b = self.pair.a_bytes, self.pair.b_bytes
-        same = []
-        for c, x, y in zip(new, a, b):
-            raw = c.encode()
-            same.append(-1 not in y and SPACE not in c and b"".join(map(bytes_a.__getitem__, x)) == raw and b"".join(map(bytes_b.__getitem__, y)) == raw)
-        a = [x if s else [] for x, s in zip(a, same)]
-        b = [y if s else [] for y, s in zip(b, same)]
-        count_a, count_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        ids_a = np.fromiter((i for x in a for i in x), np.int64, count_a.sum())
-        ids_b = np.fromiter((i for x in b for i in x), np.int64, count_b.sum())
-        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
-        ends = np.union1d(ends_a, ends_b)  # a link ends where either token does
-        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        common_a, common_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
-        last_a, last_b = np.cumsum(count_a), np.cumsum(count_b)
-        owner = np.searchsorted(last_a, at_a, "right")
-        found = np.column_stack([np.bincount(owner, minlength=len(new)), count_a, count_b, np.diff(np.r_[0, np.cumsum(common_a)][np.r_[0, last_a]])])
-        found[~np.array(same), 0] = -1
+        pair, raw = self.pair, [c.encode() for c in new]
+        a, b = pair.encode_a(new), pair.encode_b(new)
+        fine = [x and y and SPACE not in c for x, y, c in zip(
+            self._kept(pair.a_bytes, self.size_a, a, raw), self._kept(pair.b_bytes, self.size_b, b, raw), new)]
+        a, b = ([x if ok else [] for x, ok in zip(side, fine)] for side in (a, b))
+        (ids_a, cut_a), (ids_b, cut_b) = (
+            (np.array(list(chain.from_iterable(side)), np.int64), np.cumsum([0, *map(len, side)])) for side in (a, b))
+        at_a, at_b, *_ = linked(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]))
         self.links.append(ids_a[at_a] << 32 | ids_b[at_b])
-        self.sizes.append(found)
-        text_a = [f"{i}{'|' if c else ','}" for i, c in zip(ids_a.tolist(), common_a.tolist())]
-        text_b = [f"{i}{';' if c else ','}" for i, c in zip(ids_b.tolist(), common_b.tolist())]
-        # Tokens in the order of their groups, those of the first tokenizer in front.
-        group_a, group_b = np.cumsum(common_a) - common_a, np.cumsum(common_b) - common_b
-        order = np.lexsort((np.r_[np.zeros(len(text_a)), np.ones(len(text_b))], np.r_[group_a, group_b]))
-        texts = text_a + text_b
-        texts = [texts[i] for i in order.tolist()]
-        borders = np.r_[0, last_a + last_b].tolist()
-        for c, begin, end in zip(new, borders[:-1], borders[1:]):
-            self.numbers[c] = len(self.shown)
-            self.shown.append("".join(texts[begin:end]))
-            self.held += 3 * len(c) + len(self.shown[-1]) + 300
-        # A chunk's links are 8 bytes each, at most one a byte.
-
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all chunks of the texts, and how many come before each text (one more than texts)."""
+        self.sizes.append(np.bincount(np.searchsorted(cut_a, at_a, "right") - 1, minlength=len(new)))
+        for out, ids, cuts in ((self.a, ids_a, cut_a), (self.b, ids_b, cut_b)):
+            whole, cuts = ids.astype(ID).tobytes(), (cuts * ID.itemsize).tolist()
+            out += [whole[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
+        self.fine += fine
+        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new))))
+        self.held += sum(map(len, raw)) * 8 + 300 * len(new)
+
+    def of(self, texts: list[str | None]) -> list[list[int]]:
+        """The numbers of each text's chunks."""
         split = [self.pair.chunks(t) if t else [] for t in texts]
-        if self.held > KEPT_BYTES:
-            self.reset()
-        self.meet(list({c for cs in split for c in cs}.difference(self.numbers)))
+        if new := list({c for cs in split for c in cs}.difference(self.numbers)):
+            self.meet(new)
         look = self.numbers.__getitem__
-        before = np.r_[0, np.cumsum([len(cs) for cs in split])].astype(np.int64)
-        return np.fromiter((look(c) for cs in split for c in cs), np.int64, before[-1]), before
-
-    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Links of all chunks, how many come before each chunk, and the chunks' sizes."""
-        self.links, self.sizes = [np.concatenate(self.links or [np.zeros(0, np.int64)])], [np.concatenate(self.sizes or [np.zeros((0, 4), np.int64)])]
-        sizes = self.sizes[0]
-        return self.links[0], np.r_[0, np.cumsum(np.maximum(sizes[:, 0], 0))], sizes
-
+        return [list(map(look, cs)) for cs in split]
 
-def whole(numbers: np.ndarray, before: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Whether each text has tokens: it isn't empty, and both tokenizers keep the bytes of all its chunks."""
-    bad = np.r_[0, np.cumsum(sizes[numbers, 0] < 0)]
-    return (np.diff(before) > 0) & (np.diff(bad[before]) == 0)
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """The links of all chunks, and how many each chunk has."""
+        return np.concatenate(self.links or [np.zeros(0, np.int64)]), np.concatenate(self.sizes or [np.zeros(0, np.int64)])
 
 
 # ---------------------------------------------------------------- minimal perfect hash
@@ -229,40 +260,51 @@ class PerfectHash:
 
 # ---------------------------------------------------------------- first pass
 
-def _pairs_of_tasks(texts: DataFrame, fetch) -> DataFrame:
-    """slot, task, pairs, counts: each task's distinct pairs and how many links hold them."""
+FIRST = "id long, known boolean, a binary, b binary, slot int, task long, pairs binary, counts binary"
+FIRST_TYPES = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+FIRST_NAMES = ["id", "known", "a", "b", "slot", "task", "pairs", "counts"]
+
+
+def _first_pass(texts: DataFrame, fetch) -> DataFrame:
+    """Two kinds of rows. Documents: id, known (true), and their ids by both tokenizers (null where there are no tokens).
+    Each task's distinct pairs and how many links hold them: slot, task, pairs, counts."""
+    def rows(size: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[n], t) if n in columns else pa.nulls(size, t) for n, t in zip(FIRST_NAMES, FIRST_TYPES)], FIRST_NAMES)
+
+    def sent(found: Chunks, times: np.ndarray) -> pa.RecordBatch:
+        links, sizes = found.table()
+        weight = np.repeat(np.pad(times, (0, len(sizes) - len(times))), sizes)
+        pairs, at = np.unique(links[weight > 0], return_inverse=True)
+        counts = np.bincount(at, weight[weight > 0], len(pairs)).astype(np.int64)
+        slot = slot_of(pairs)
+        order = np.argsort(slot, kind="stable")  # pairs stay in order
+        pairs, counts = pairs[order], counts[order]
+        cuts = np.searchsorted(slot[order], np.arange(SLOTS + 1))
+        some = np.flatnonzero(np.diff(cuts)).tolist()
+        return rows(
+            len(some), slot=some, task=[TaskContext.get().partitionId()] * len(some),
+            pairs=[pairs[cuts[s] : cuts[s + 1]].tobytes() for s in some], counts=[counts[cuts[s] : cuts[s + 1]].tobytes() for s in some])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligned = Aligned(Pair(*fetch()))
-        number = TaskContext.get().partitionId()
-        times = np.zeros(0, np.int64)
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            links, begin, _ = aligned.table()
-            weight = np.repeat(np.pad(times, (0, len(begin) - 1 - len(times))), np.diff(begin))
-            pairs, at = np.unique(links[weight > 0], return_inverse=True)
-            counts = np.bincount(at, weight[weight > 0], len(pairs)).astype(np.int64)
-            slot = slot_of(pairs)
-            order = np.argsort(slot, kind="stable")  # pairs stay in order
-            pairs, counts = pairs[order], counts[order]
-            cuts = np.searchsorted(slot[order], np.arange(SLOTS + 1))
-            some = np.flatnonzero(np.diff(cuts)).tolist()
-            yield pa.RecordBatch.from_arrays([
-                pa.array(some, pa.int32()), pa.array([number] * len(some), pa.int64()),
-                pa.array([pairs[cuts[s] : cuts[s + 1]].tobytes() for s in some], pa.binary()),
-                pa.array([counts[cuts[s] : cuts[s + 1]].tobytes() for s in some], pa.binary())], ["slot", "task", "pairs", "counts"])
-
-        for batch in arrays.blocks(batches, "text", 6 << 20):
-            if aligned.held > KEPT_BYTES:
-                yield from sent()
-                aligned.reset()
+        found, times = Chunks(Pair(*fetch())), np.zeros(0, np.int64)
+        for batch in arrays.blocks(batches, "text", BLOCK_BYTES):
+            if found.held > KEPT_BYTES:
+                yield sent(found, times)
+                found.reset()
                 times = np.zeros(0, np.int64)
-            numbers, before = aligned.of(batch.column("text").to_pylist())
-            sizes = aligned.table()[2]
-            ok = np.repeat(whole(numbers, before, sizes), np.diff(before))
-            times = np.pad(times, (0, len(sizes) - len(times))) + np.bincount(numbers[ok], minlength=len(sizes))
-        yield from sent()
+            texts = found.of(batch.column("text").to_pylist())
+            fine, a, b = found.fine.__getitem__, found.a.__getitem__, found.b.__getitem__
+            ok = [bool(own) and all(map(fine, own)) for own in texts]
+            inside = np.array(list(chain.from_iterable(own for own, good in zip(texts, ok) if good)), np.int64)
+            times = np.pad(times, (0, len(found.fine) - len(times))) + np.bincount(inside, minlength=len(found.fine))
+            yield rows(
+                len(ok), id=batch.column("id"), known=[True] * len(ok),
+                a=[b"".join(map(a, own)) if good else None for own, good in zip(texts, ok)],
+                b=[b"".join(map(b, own)) if good else None for own, good in zip(texts, ok)])
+        yield sent(found, times)
 
-    return texts.select("text").mapInArrow(task, "slot int, task long, pairs binary, counts binary")
+    return texts.mapInArrow(task, FIRST)
 
 
 def _groups(rows: DataFrame, fan: int) -> int:
@@ -378,16 +420,24 @@ def _best(table: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def pair_counts(docs: DataFrame, first: bytes, second: bytes, text: str = "text", fan: int = FAN) -> DataFrame:
-    """slot, hash, keys, counts: how many links of the corpus hold each id pair (first id times 2^32 plus second)."""
-    fetch = arrays.shared(docs.sparkSession, (first, second))  # the vocabularies
-    partials = cut(_pairs_of_tasks(docs.select(F.col(text).cast("string").alias("text")), fetch))
+def pair_counts(partials: DataFrame, fan: int = FAN) -> DataFrame:
+    """slot, hash, keys, counts: how many links of the corpus hold each id pair (first id times 2^32 plus second), from the
+    tasks' rows (slot, task, pairs, counts)."""
     return _added(partials, _hashed(partials, fan), fan)
 
 
 DOCUMENT = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
+def _spellings(sizes: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes, and how many, of every id in decimal digits with what follows it: a comma inside its group, a bar or a
+    semicolon at its end. First ids with a comma, with a bar, then second ids with a comma, with a semicolon."""
+    words = [f"{i}{end}".encode() for size, last in zip(sizes, "|;") for end in (",", last) for i in range(size)]
+    lengths = np.array([len(w) for w in words])
+    width = lengths.max()
+    return np.frombuffer(b"".join(w.ljust(width) for w in words), np.uint8).reshape(-1, width), lengths
+
+
 def align(docs: DataFrame, first: bytes, second: bytes, key: str = "doc_id", text: str = "text", fan: int = FAN,
           pack_bytes: int = PACK_BYTES, spelled: bool = False) -> DataFrame:
     """key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups (with ``spelled``) or groups_sha256 of every document.
@@ -397,47 +447,40 @@ def align(docs: DataFrame, first: bytes, second: bytes, key: str = "doc_id", tex
     null or empty, or isn't given back by both tokenizers byte for byte, has no tokens: zeros and an empty string. Rows
     that repeat count each. A null key stays null; other columns aren't read; an empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark, pair, ranks = docs.sparkSession, Pair(first, second), merge_ranks(first)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    table = pair_counts(docs, first, second, text, fan)
-    files = arrays.shared(spark, (first, second))
-    best = arrays.shared(spark, _best(table, len(Pair(first, second).b_bytes)))
+    passed = cut(_first_pass(rows, arrays.shared(spark, (first, second, ranks))), "zstd")  # the vocabularies
+    table = pair_counts(passed.where("slot IS NOT NULL").select("slot", "task", "pairs", "counts"), fan)
+    n_a, n_b = len(pair.a_bytes), len(pair.b_bytes)
+    vocabulary = arrays.shared(spark, (
+        *(np.array([len(x) for x in names]) for names in (pair.a_bytes, pair.b_bytes)), _best(table, n_b)))
     known = Counts(spark, table, pack_bytes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligned, highest = Aligned(Pair(*files())), best()
-        per_chunk = np.zeros((0, 2), np.int64)  # links that are best, and the sum of counts, of chunks in whole texts
-        for batch in arrays.blocks(batches, "text", 6 << 20):
-            if aligned.held > KEPT_BYTES:
-                per_chunk = np.zeros((0, 2), np.int64)
-            numbers, before = aligned.of(batch.column("text").to_pylist())
-            links, begin, sizes = aligned.table()
-            ok = whole(numbers, before, sizes)
-            inside = numbers[np.repeat(ok, np.diff(before))]
-            if len(per_chunk) < len(sizes):
-                per_chunk = np.pad(per_chunk, ((0, len(sizes) - len(per_chunk)), (0, 0)), constant_values=-1)
-            new = np.unique(inside)
-            new = new[per_chunk[new, 0] < 0]  # chunks of texts without tokens may hold pairs that weren't counted
-            size = np.maximum(sizes[new, 0], 0)
-            at = np.repeat(begin[new] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            pairs, back = np.unique(links[at], return_inverse=True)
+        size_a, size_b, highest = vocabulary()
+        letters, lengths = _spellings((n_a, n_b))
+        for batch in arrays.blocks(batches, "a", BLOCK_BYTES):
+            (ids_a, cut_a), (ids_b, cut_b) = (
+                (x.view(ID).astype(np.int64), before // ID.itemsize) for x, before in (arrays.flat(batch.column(c)) for c in "ab"))
+            at_a, at_b, last_a, last_b = linked(np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b]))
+            pairs, back = np.unique(ids_a[at_a] << 32 | ids_b[at_b], return_inverse=True)
             counts = known.of(pairs)
-            is_best = counts == highest[pairs & 0xFFFFFFFF]
-            owner = np.repeat(np.arange(len(new)), size)
-            total = np.zeros(len(new), np.int64)
-            np.add.at(total, owner, counts[back])
-            per_chunk[new] = np.column_stack([np.bincount(owner, is_best[back], len(new)).astype(np.int64), total])
-            values = np.column_stack([sizes[:, 1:], sizes[:, :1], per_chunk])
-            sums = np.zeros((len(numbers) + 1, 6), np.int64)
-            np.cumsum(values[numbers], axis=0, out=sums[1:])
-            sums = np.diff(sums[before], axis=0) * ok[:, None]
-            shown = aligned.shown
-            spelt = ["".join([shown[i] for i in numbers[a:b].tolist()])[:-1] if good else "" for a, b, good in zip(before[:-1], before[1:], ok)]
-            out = spelt if spelled else [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in spelt]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(sums[:, i]) for i in range(6)), pa.array(out, pa.string())], ["id", *DOCUMENT, "groups"])
+            best = counts == highest[pairs & 0xFFFFFFFF]
+            cuts = np.searchsorted(at_a, cut_a)  # the links of each document
+            per = lambda values, borders: np.diff(np.r_[0, np.cumsum(values)][borders])
+            sums = [np.diff(cut_a), np.diff(cut_b), per(last_a, cut_a), np.diff(cuts), per(best[back], cuts), per(counts[back], cuts)]
+            # Tokens in the order of their groups, those of the first tokenizer in front.
+            code = np.r_[ids_a + n_a * last_a, ids_b + n_b * last_b + 2 * n_a]
+            order = np.argsort(np.r_[2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1], kind="stable")
+            code = code[order]
+            whole = letters[code][np.arange(letters.shape[1]) < lengths[code][:, None]].tobytes()
+            begin = np.r_[0, np.cumsum(lengths[code])][cut_a + cut_b].tolist()
+            spelt = (whole[x : max(x, y - 1)] for x, y in zip(begin[:-1], begin[1:]))
+            out = [s.decode() if spelled or not s else hashlib.sha256(s).hexdigest() for s in spelt]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x.astype(np.int64)) for x in sums), pa.array(out, pa.string())], ["id", *DOCUMENT, "groups"])
 
     fields = ", ".join(f"{c} long" for c in DOCUMENT)
-    found = rows.mapInArrow(task, f"id long, {fields}, groups string")
+    found = passed.where("known").select("id", "a", "b").mapInArrow(task, f"id long, {fields}, groups string")
     return found.select(F.col("id").alias(key), *DOCUMENT, F.col("groups").alias("groups" if spelled else "groups_sha256"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslens.llm import bpe, chat, decontaminate, exact, jaccard, license, lines, quality, substring, toxicity
+from accesslens.llm import align, bpe, chat, codes, decontaminate, exact, jaccard, license, lines, quality, substring, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_copies": exact.query,
         "op9_toxicity": toxicity.query,
         "op10_substring": substring.query,
+        "op11_vector_codes": codes.query,
+        "op12_warc_bundles": warc.query,
+        "op13_align": align.query,
     }
 
 
@@ -32,4 +35,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_ngram_jaccard": jaccard.SQL,
         "op8_exact_copies": exact.SQL,
         "op10_substring": substring.SQL,
+        "op11_vector_codes": codes.SQL,
+        "op12_warc_bundles": warc.SQL,
     }

@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{tempfile.gettempdir()}/accesslens-checkpoints"
 
 
-def cut(rows: DataFrame) -> DataFrame:
+def cut(rows: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows, written as Parquet under the shared folder and read again.
 
     Unlike checkpoint(), this works the rows out once. The folder is the job's scratch space: whoever runs the job
@@ -28,7 +28,7 @@ def cut(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.option("compression", compression).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
