@@ -32,8 +32,8 @@ from accesslens.llm.components import cut
 
 SLOTS = 256
 FAN = 64  # rows of a slot merged or added up by one task
-KEPT_BYTES = 160 << 20  # of chunks kept by a task, about; beyond, it starts anew
-BLOCK_BYTES = 6 << 20  # of texts, or of a tokenizer's ids, worked on together
+KEPT_BYTES = 96 << 20  # of chunks kept by a task, about; beyond, it starts anew
+BLOCK_BYTES = 4 << 20  # of texts, or of a tokenizer's ids, worked on together
 ID = np.dtype("<u4")
 PACK_BYTES = 32 << 20  # of keys and counts in one broadcast
 SPACE = "▁"  # fixed: how the second tokenizer writes a space
@@ -76,26 +76,32 @@ def merge_ranks(first: bytes) -> dict[bytes, int] | None:
 
 
 class Pair:
-    """Both tokenizers, loaded from the files' bytes in every task that needs them. ``ranks``: of ``merge_ranks``."""
+    """Both tokenizers, loaded in every task that needs them: from the files' bytes, the first one from its
+    ``merge_ranks`` if it has them."""
 
     def __init__(self, first: bytes, second: bytes, ranks: dict[bytes, int] | None = None):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         import sentencepiece
-        import tokenizers
 
-        self.a = tokenizers.Tokenizer.from_buffer(first)
-        self.a.encode_special_tokens = True
-        self.ranked = None
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         if ranks:
             import tiktoken
 
-            self.ranked = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
-        letters = byte_alphabet()
-        size = max(self.a.get_vocab().values()) + 1
-        self.a_bytes = [b""] * size
-        for token, i in self.a.get_vocab().items():
-            self.a_bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+            self.a = tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.encode_a = lambda found: list(map(self.a.encode_ordinary, found))
+            self.a_bytes = [b""] * (max(ranks.values()) + 1)
+            for token, i in ranks.items():
+                self.a_bytes[i] = token
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
+            import tokenizers
+
+            self.a = tokenizers.Tokenizer.from_buffer(first)
+            self.a.encode_special_tokens = True
+            self.encode_a = lambda found: [e.ids for e in self.a.encode_batch(found, add_special_tokens=False)]
+            letters, vocabulary = byte_alphabet(), self.a.get_vocab()
+            self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+            for token, i in vocabulary.items():
+                self.a_bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -111,11 +117,6 @@ class Pair:
         tokenizer makes a token across the cut."""
         return [c for c in self.split(" " + text) if c]
 
-    def encode_a(self, found: list[str]) -> list[list[int]]:
-        if self.ranked:
-            return list(map(self.ranked, found))
-        return [e.ids for e in self.a.encode_batch(found, add_special_tokens=False)]
-
     def encode_b(self, found: list[str]) -> list[list[int]]:
         """The second tokenizer puts a space in front by itself: it gets chunks without their first one. A chunk with
         other white space in front gets a token for a space that isn't there."""
@@ -447,9 +448,10 @@ def align(docs: DataFrame, first: bytes, second: bytes, key: str = "doc_id", tex
     null or empty, or isn't given back by both tokenizers byte for byte, has no tokens: zeros and an empty string. Rows
     that repeat count each. A null key stays null; other columns aren't read; an empty table gives no rows.
     """
-    spark, pair, ranks = docs.sparkSession, Pair(first, second), merge_ranks(first)
+    spark, ranks = docs.sparkSession, merge_ranks(first)
+    pair = Pair(first, second, ranks)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    passed = cut(_first_pass(rows, arrays.shared(spark, (first, second, ranks))), "zstd")  # the vocabularies
+    passed = cut(_first_pass(rows, arrays.shared(spark, (b"" if ranks else first, second, ranks))), "zstd")  # the vocabularies
     table = pair_counts(passed.where("slot IS NOT NULL").select("slot", "task", "pairs", "counts"), fan)
     n_a, n_b = len(pair.a_bytes), len(pair.b_bytes)
     vocabulary = arrays.shared(spark, (

@@ -6,6 +6,8 @@ polynomials over random 64-bit values, wrapped to 64 bits, taken from prefix sum
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -42,7 +44,8 @@ def lower_table() -> np.ndarray:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts of each piece have ``most`` bytes or are one row."""
+    """The batches, cut so that the texts of each piece have ``most`` bytes or are one row. At the end, memory that is
+    free goes back to the system: Python workers live on, and those of earlier stages would keep it."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -54,6 +57,16 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYT
             end = max(at + 1, int(np.searchsorted(total, before + most, "right")))
             yield batch.slice(at, end - at)
             at = end
+    release()
+
+
+def release() -> None:
+    """Gives free memory back to the system, where its C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

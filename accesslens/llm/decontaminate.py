@@ -17,8 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from accesslens.llm import arrays
+from accesslens.llm.components import cut
 
 WINDOW = 10
 SAMPLED = 8
@@ -186,25 +188,39 @@ def occurrences(symbols: np.ndarray, rows: np.ndarray, windows: Windows) -> tupl
     return where[index.locate(suffix)], pattern
 
 
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str, width: int, most: int) -> Iterator[Windows]:
-    """The items, at most so many words (one item at least) at a time on the driver."""
+    """The items with words, at most so many words (one item at least) in a block. Spark counts the words and deals the
+    items into portions of about half a block, of which the driver holds one at a time."""
+    rows = benchmark.select(benchmark[item].cast("string").alias("item"), benchmark[text].cast("string").alias("words"))
+    lowered = F.translate("words", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sized = cut(rows.withColumn("n", F.size(F.regexp_extract_all(lowered, F.lit(WORDS), F.lit(0)))).where("n > 0"))
+    portions = max(1, -(-2 * (sized.agg(F.sum("n")).first()[0] or 0) // most))
     items, size = [], 0
-    for row in benchmark.select(benchmark[item].cast("string"), benchmark[text].cast("string")).toLocalIterator():
-        if row[1] is None:
-            continue
-        n = row[1].count(" ") + row[1].count("\n") + 1
-        if items and size + n > most:
-            yield Windows(items, width)
-            items, size = [], 0
-        items.append((row[0], row[1]))
-        size += n
+    for number in range(portions):
+        own = sized.where(F.pmod(F.xxhash64("item", "words"), F.lit(portions)) == number)
+        for row in own.orderBy("item", "words").toLocalIterator():
+            if items and size + row.n > most:
+                yield Windows(items, width)
+                items, size = [], 0
+            items.append((row[0], row[1]))
+            size += row.n
     if items:
         yield Windows(items, width)
 
 
+def _with_last(blocks: Iterator[Windows], width: int) -> Iterator[tuple[Windows, bool]]:
+    """Each block, and whether it is the last one; without any, an empty one."""
+    held = next(blocks, None)
+    for block in blocks:
+        yield held, False
+        held = block
+    yield held or Windows([], width), True
+
+
 NAMES = ["rest", "id", "text", "n_words", "spans", "items"]
-SCHEMA = ("id long, text string, n_words long, spans array<struct<start: long, end: long>>, "
-          "items array<string>")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -223,12 +239,11 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         F.struct(*others).alias("rest"), docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"),
         F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans"),
         F.array().cast("array<string>").alias("items"))
-    schema = f"rest {rows.schema['rest'].dataType.simpleString()}, {SCHEMA}"
-    blocks = list(_blocks(benchmark, item, item_text, width, block_words)) or [Windows([], width)]
-    for i, block in enumerate(blocks):
+    whole = rows.schema
+    for block, last in _with_last(_blocks(benchmark, item, item_text, width, block_words), width):
         fetch = arrays.shared(docs.sparkSession, block)  # bounded by block_words
-        text_too = keep_text or i < len(blocks) - 1
-        rows = rows.mapInArrow(_task(fetch, text_too), schema if text_too else schema.replace("text string, n_words", "n_words"))
+        text_too = keep_text or not last
+        rows = rows.mapInArrow(_task(fetch, text_too), whole if text_too else StructType([f for f in whole if f.name != "text"]))
     return (rows if rest else rows.drop("rest")).withColumnRenamed("id", key)
 
 

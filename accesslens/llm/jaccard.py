@@ -39,6 +39,7 @@ BLOCK_BYTES = 2 << 20  # of texts worked on together
 PACK = 400_000  # fingerprints worked on together in a task
 PACK_BUCKET = 400_000  # fingerprints of a bucket, about
 FILTER_BITS = 1 << 23
+DEALS = 3  # finer and finer, before every token becomes a part of its own
 
 
 def sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +63,7 @@ def sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 class Scheme:
     """Classes of set sizes, and into how many parts the sets of each class are dealt."""
 
-    def __init__(self, percent: int, spread: float, largest: int = 1 << 40):
+    def __init__(self, percent: int, spread: float, largest: int = 1 << 40, alone: bool = False):
         self.percent = percent
         ratio = max(1.41, 1.02 * 100 / percent)  # linked sets lie in one class or in neighbouring ones
         low = [1]
@@ -70,8 +71,14 @@ class Scheme:
             low.append(max(low[-1], int(ratio * low[-1])) + 1)
         self.low = np.array(low, np.int64)
         top = self.differing(self.low[1:] - 1, self.low[1:] - 1)
-        self.needed = np.r_[(top + 1) // 4 + 1, 1]  # parts in which linked sets agree at least, as many more are shown
-        self.parts = np.r_[np.ceil(spread * (top + self.needed[:-1])).astype(np.int64) + 3, 1]
+        needed = (top + 1) // 4 + 1  # parts in which linked sets agree at least, as many more are shown
+        # Where sets would have to show most of their tokens, each token is a part of its own: a set shows the first ones,
+        # all if it has no more. Linked sets agree in as many, or in all that they share.
+        least = -(-self.low[:-1] * percent // 100)
+        shared = -(-2 * percent * least // (100 + percent))
+        self.alone = np.r_[(4 * (self.differing(least, self.low[1:] - 1) + needed) > 3 * least) | alone, True]
+        self.needed = np.r_[np.where(self.alone[:-1], np.maximum(1, np.minimum(needed, shared)), needed), 1]
+        self.parts = np.where(self.alone, 1, np.r_[np.ceil(spread * (top + needed)).astype(np.int64) + 3, 1])
 
     def differing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """In how many tokens linked sets of these sizes differ at most."""
@@ -96,20 +103,30 @@ class Scheme:
             differ = self.differing(sizes, reach)
             # Sets that can't differ from any partner are classes already.
             takes = (sizes > 0) & (differ > 0) & (largest >= self.low[kind])
-            at = np.flatnonzero(takes[rows])
+            most = differ + self.needed[kind]
+            at = np.flatnonzero((takes & self.alone[kind])[rows])
+            if len(at):
+                order = np.lexsort((spread[at], rows[at]))
+                r, w = rows[at][order], weight[at][order]
+                first = np.searchsorted(r, np.arange(n_rows + 1))
+                shown = np.arange(len(r)) - first[r] < most[r]
+                out_rows.append(r[shown])
+                deal = kind[r[shown]].astype(np.uint64)
+                out.append(arrays.mixed(w[shown] + arrays.mixed(deal << np.uint64(40))) & ~np.uint64(127) | deal)
+            dealt = takes & ~self.alone[kind]
+            at = np.flatnonzero(dealt[rows])
             if not len(at):
                 continue
             r = rows[at]
             part = ((spread[at] >> np.uint64(32)) * self.parts[kind[r]].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-            cell = r * (int(self.parts[kind[takes]].max()) + 1) + part
+            cell = r * (int(self.parts[kind[dealt]].max()) + 1) + part
             order = np.argsort(cell, kind="stable")
             cell, r, part, w = cell[order], r[order], part[order], weight[at][order]
             begin = np.flatnonzero(np.r_[True, np.diff(cell) != 0])
             sums, r, part = np.add.reduceat(w, begin), r[begin], part[begin]
             first = np.searchsorted(r, np.arange(n_rows + 1))
-            most = differ + self.needed[kind]
             shown = np.arange(len(r)) - first[r] < most[r]
-            lacking += int((np.diff(first)[takes] < most[takes]).sum())
+            lacking += int((np.diff(first)[dealt] < most[dealt]).sum())
             out_rows.append(r[shown])
             deal = kind[r[shown]].astype(np.uint64)
             prints = arrays.mixed(sums[shown] + arrays.mixed(deal << np.uint64(40) | part[shown].astype(np.uint64)))
@@ -375,31 +392,62 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str =
     nothing and has a null component. Rows that repeat with one key are one document; rows with one key
     and different texts join what both link to. An empty table gives no rows.
     """
-    spark, rows = docs.sparkSession, _source(docs, key, text)
+    rows = _source(docs, key, text)
     slim = cut(_slim(rows, words))
+    doubled = cut(slim.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("id"))
+    if doubled.isEmpty():
+        linked, groups, between = _found(rows, slim, percent, words, spread)
+        final = groups if between.isEmpty() else components(linked.unionByName(between))
+    else:
+        final = _found_by_text(rows, doubled, percent, words, spread)
+    return slim.join(final.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(
+            F.col("id")).alias("component_id"))
+
+
+def _found_by_text(rows: DataFrame, doubled: DataFrame, percent: int, words: int, spread: float) -> DataFrame:
+    """Components where some ids have several sets: each text of these ids goes under a name of its own, and the names
+    of an id are joined at the end."""
+    for seed in range(8):
+        name = -(F.lit(1 << 62) + F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(1 << 62)))
+        named = rows.join(doubled.withColumn("several", F.lit(True)), "id", "left").select(
+            F.col("id").alias("whole"), F.when(F.col("several"), name).otherwise(F.col("id")).alias("id"), "text", "several")
+        same = cut(named.where("several").select("whole", "id", F.md5("text").alias("print")).distinct())
+        clash = same.groupBy("id").agg(F.min("print").alias("a"), F.max("print").alias("b"), F.min("whole").alias("c"), F.max("whole").alias("d")).where("a <> b OR c <> d")
+        taken = rows.select("id").join(same.select("id"), "id", "left_semi")
+        if clash.isEmpty() and taken.isEmpty():
+            break
+    else:
+        raise ValueError("ids take up the names that texts would get")
+    own = named.select("id", "text")
+    linked, _, between = _found(own, cut(_slim(own, words)), percent, words, spread)
+    edges = linked.unionByName(between).unionByName(same.select(F.col("whole").alias("a"), F.col("id").alias("b")))
+    found = cut(components(edges).join(same.select(F.col("id").alias("node"), F.lit(True).alias("name")), "node", "left"))
+    least = found.groupBy("component").agg(F.min(F.when(F.col("name").isNull(), F.col("node"))).alias("least"))
+    return found.where("name IS NULL").join(least, "component").select("node", F.col("least").alias("component"))
+
+
+def _found(rows: DataFrame, slim: DataFrame, percent: int, words: int, spread: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b), the components they make, and the links between those. An id has one set."""
+    spark = rows.sparkSession
     total = slim.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(0.4 * total) // PACK_BUCKET))
     whole = slim.where("n > 0 AND id IS NOT NULL")
     classes = whole.groupBy("digest").agg(F.min("id").alias("class"))
     member = cut(whole.select("digest", "id").distinct().join(classes, "digest").select("id", "class"))
-    while True:
+    for deal in range(DEALS + 1):
         lacking = spark.sparkContext.accumulator(0)
-        scheme = Scheme(percent, spread)
+        scheme = Scheme(percent, spread * 2**deal, alone=deal == DEALS)
         shared = cut(_shared(_shown(rows, words, scheme, lacking), buckets))
         if not lacking.value:
-            break
-        spread *= 2  # some set has too few parts that aren't empty: deal all more finely
+            break  # else some set has too few parts that aren't empty: deal all more finely, in the end by tokens
     shared = cut(shared.join(_enough(shared, ["id"], scheme), "id", "left_semi"))
     pairs = _enough(shared.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"), "print"), ["a", "b"], scheme)
     tokens = cut(_tokens(rows, shared.select("id").distinct(), words).dropDuplicates(["id"]))
     same = member.where("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
     linked = cut(_verified(pairs, tokens, percent).unionByName(same))
     groups = cut(components(linked))
-    between = cut(_between(shared, groups, tokens, scheme, percent))
-    final = groups if between.isEmpty() else components(linked.unionByName(between))
-    return slim.join(final.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(
-            F.col("id")).alias("component_id"))
+    return linked, groups, cut(_between(shared, groups, tokens, scheme, percent))
 
 
 def one_each(docs: DataFrame, percent: int, words: int, key: str = "doc_id", text: str = "text") -> DataFrame:

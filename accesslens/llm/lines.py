@@ -1,12 +1,16 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last ``ROLL`` lines ends a chunk where it is 0 modulo ``DIVISOR``, so
-borders depend on nearby lines only and move with them. Chunks of two lines and more that stand twice in
-the corpus are compared byte by byte; the first stays, the others go. Chunk rows are slim, hashes are folded in
-each map task first, and texts are shuffled once, for the comparison and the cut alike.
+A rolling hash over the hashes of the last ``ROLL`` lines ends a chunk where it is 0 modulo ``DIVISOR``; of borders
+that follow each other line by line the first holds, so a chunk has two lines at least. Borders depend on nearby
+lines only and move with them. Every line of a text of two lines or more lies in one chunk.
 
-Chunks alone lose the border pieces of a repeated block in every new context. With ``runs`` each pair of
-neighbouring lines is a piece of its own beside them, so no repeated block of two lines or more is missed.
+Chunks whose hash stands twice in the corpus are compared byte by byte with the first one, their keeper; the others
+go. A chunk that goes takes lines around it along, as far as the lines around its keeper are equal by their bytes: a
+repeated block loses its borders too, though they lie in chunks that aren't repeated as a whole. What is removed
+always stays somewhere in one piece: chunks don't overlap, a keeper's lines stay, and so do the lines around a
+keeper that others were compared with.
+
+Chunk rows are slim; texts are shuffled by their row once, for the comparison and the cut alike.
 """
 
 from __future__ import annotations
@@ -16,30 +20,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from accesslens.llm import arrays
 from accesslens.llm.components import cut
+from accesslens.llm.skew import attached
 
 ROLL = 2
 DIVISOR = 4
+SALT_ROWS = 500  # occurrences that meet one copy of their keeper
 
 
-def chunk_ends(hashes: np.ndarray, rows: np.ndarray, roll: int, divisor: int) -> np.ndarray:
-    """Whether a chunk ends after each line: by the rolling hash, or as the text ends."""
+def rolled(hashes: np.ndarray, rows: np.ndarray, roll: int) -> np.ndarray:
+    """A hash over each line and the ``roll`` - 1 lines before it in its text."""
     total = np.zeros(len(hashes), np.uint64)
     for back in range(roll):
         part = np.zeros(len(hashes), np.uint64)
         part[back:] = hashes[: len(hashes) - back] * np.uint64(pow(arrays.SEEDS[0], back + 1, 1 << 64))
-        part[:back] = 0
         part[back:][rows[back:] != rows[: len(rows) - back]] = 0
         total += part
-    ends = arrays.mixed(total) % np.uint64(divisor) == 0
-    ends[:-1] |= rows[1:] != rows[:-1]
-    ends[-1:] = True
-    return ends
+    return arrays.mixed(total)
+
+
+def chunk_ends(hashes: np.ndarray, rows: np.ndarray, roll: int, divisor: int) -> np.ndarray:
+    """Whether a chunk ends after each line."""
+    border = rolled(hashes, rows, roll) % np.uint64(divisor) == 0
+    last = np.r_[rows[1:] != rows[:-1], True][: len(rows)]
+    first = np.r_[True, last[:-1]][: len(rows)]
+    after = np.r_[False, border[:-1]][: len(rows)] & ~first  # the line before has a border
+    before = np.r_[last[1:], False][: len(rows)] & ~last  # only one line is left
+    return border & ~first & ~after & ~before | last
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,149 +62,202 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(breaks, offsets) + np.arange(len(offsets))
 
 
-KEYS = ["id", "print"]  # a row is its key and the MD5 of its text: rows with one key may differ
+class Texts:
+    """The lines of a column of texts, and their chunks of two lines or more that aren't blank."""
 
+    def __init__(self, column: pa.Array, roll: int, divisor: int):
+        data, offsets = arrays.flat(column)
+        self.starts, self.ends, self.firsts = lines_of(data, offsets)
+        self.data, owner = data.tobytes(), arrays.rows_of(self.firsts)
+        last = np.flatnonzero(chunk_ends(arrays.word_hashes(data, self.starts, self.ends), owner, roll, divisor))
+        self.begin = np.r_[0, last[:-1] + 1][: len(last)]
+        self.size = last - self.begin + 1
+        seen = np.r_[0, np.cumsum(arrays.not_space()[data])]
+        self.counts = (self.size > 1) & (seen[self.ends[last]] > seen[self.starts[self.begin]])
+        self.row = owner[self.begin]
 
-def _pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray, hashes: np.ndarray, full: np.ndarray) -> np.ndarray:
-    """begin, size, span of the pairs of neighbouring lines that aren't blank both; ``span`` lines are compared.
+    def lines(self, begin: int, size: int) -> bytes:
+        return self.data[self.starts[begin] : self.ends[begin + size - 1]] if size else b""
 
-    A run of an equal line is one piece, found by its first two lines, and a second one from its third line on if
-    it has four, since these repeat the first two. Two lines around three blank ones or more are a piece too.
-    """
-    if len(hashes) < 2:
-        return np.zeros((0, 3), np.int64)
-    near = owner[1:] == owner[:-1]
-    equal = near & full[1:] & (hashes[1:] == hashes[:-1]) & (np.diff(ends - starts) == 0)
-    for i in np.flatnonzero(equal).tolist():
-        equal[i] = (data[starts[i] : ends[i]] == data[starts[i + 1] : ends[i + 1]]).all()
-    plain = np.flatnonzero(near & ~equal & (full[1:] | full[:-1]))
-    steps = np.diff(np.r_[False, equal, False].astype(np.int8))
-    begin = np.flatnonzero(steps == 1)
-    size = np.flatnonzero(steps == -1) - begin + 1
-    long = size >= 4
-    inner = np.flatnonzero(full)
-    apart = (np.diff(inner) > 3) & (owner[inner[1:]] == owner[inner[:-1]])
-    around, wide = inner[:-1][apart], np.diff(inner)[apart] + 1
-    found = [(plain, np.full(len(plain), 2), 2), (begin, size, 2), (begin[long] + 2, size[long] - 2, 2), (around, wide, wide)]
-    return np.concatenate([np.column_stack(np.broadcast_arrays(*f)) for f in found]).astype(np.int64)
-
-
-def _chunks(rows: DataFrame, roll: int, divisor: int, runs: bool) -> DataFrame:
-    """id, print, begin, size, span, hash: the chunks of two lines and more that aren't blank, with ``runs`` pairs too.
-
-    The hash is that of the first ``span`` lines, which are all but in runs of an equal line.
-    """
-    kind = pa.list_(pa.struct([("begin", pa.int32()), ("size", pa.int32()), ("span", pa.int32()), ("hash", pa.binary())]))
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """rest (the other columns), id, text and row: the MD5 of key and text, which rows that repeat share."""
+    others = [F.col(c) for c in docs.columns if c != text]
+    rows = docs.select(
+        F.struct(*others).alias("rest"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    named = F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))))
+    return rows.withColumn("row", F.coalesce(F.unhex(named), F.lit(bytearray())))
+
+
+def _chunks(rows: DataFrame, roll: int, divisor: int) -> DataFrame:
+    """row, id, begin, size, hash of all chunks."""
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("size", pa.int32()), ("hash", pa.binary())]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.blocks(batches, "text"):
-            data, offsets = arrays.flat(batch.column("text"))
-            starts, ends, firsts = lines_of(data, offsets)
-            owner, hashes = arrays.rows_of(firsts), arrays.word_hashes(data, starts, ends)
-            last = np.flatnonzero(chunk_ends(hashes, owner, roll, divisor))
-            begin = np.r_[0, last[:-1] + 1]
-            seen = np.r_[0, np.cumsum(arrays.not_space()[data])]
-            # Chunks of two lines are pairs.
-            many = (last > begin + int(runs)) & (seen[ends[last]] > seen[starts[begin]])
-            size = last[many] - begin[many] + 1
-            pieces = np.column_stack([begin[many], size, size])
-            if runs:
-                pieces = np.concatenate([pieces, _pairs(data, starts, ends, owner, hashes, seen[ends] > seen[starts])])
-                pieces = pieces[np.argsort(pieces[:, 0], kind="stable")]
-            text = data.tobytes()
-            digests = [
-                hashlib.blake2b(text[a:b], digest_size=16).digest()
-                for a, b in zip(starts[pieces[:, 0]].tolist(), ends[pieces[:, 0] + pieces[:, 2] - 1].tolist())]
-            row = owner[pieces[:, 0]]
-            fields = [pa.array(x, pa.int32()) for x in (pieces[:, 0] - firsts[row], pieces[:, 1], pieces[:, 2])]
+            found = Texts(batch.column("text"), roll, divisor)
+            begin, size, row = (x[found.counts] for x in (found.begin, found.size, found.row))
+            digests = [hashlib.blake2b(found.lines(b, n), digest_size=16).digest() for b, n in zip(begin.tolist(), size.tolist())]
+            fields = [pa.array(x, pa.int32()) for x in (begin - found.firsts[row], size)]
             out = pa.ListArray.from_arrays(
                 pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32()),
                 pa.StructArray.from_arrays([*fields, pa.array(digests, pa.binary())], fields=list(kind.value_type)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("print"), out], ["id", "print", "chunks"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), out], ["row", "id", "chunks"])
 
-    listed = rows.mapInArrow(task, "id long, print binary, chunks array<struct<begin: int, size: int, span: int, hash: binary>>")
-    return listed.select("id", "print", F.explode("chunks").alias("c")).select("id", "print", "c.begin", "c.size", "c.span", "c.hash")
+    listed = rows.select("row", "id", "text").mapInArrow(task, "row binary, id long, chunks array<struct<begin: int, size: int, hash: binary>>")
+    return listed.select("row", "id", F.explode("chunks").alias("c")).select("row", "id", "c.begin", "c.size", "c.hash")
 
 
-def _bytes(texts: DataFrame) -> DataFrame:
-    """hash, bytes: what each piece of ``chunks`` is compared by."""
+PLACED = "hash binary, n long, keeper boolean, row binary, begin int, size int, body binary, before binary, n_before int, after binary, n_after int"
 
+
+def _placed(texts: DataFrame, roll: int, divisor: int) -> DataFrame:
+    """The bytes of repeated chunks, and of the lines around them that may repeat too: those of the chunk next to it if
+    that isn't repeated, around a keeper also those of another keeper."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.blocks(batches, "text"):
-            data, offsets = arrays.flat(batch.column("text"))
-            starts, ends, firsts = lines_of(data, offsets)
-            chunks = batch.column("chunks")
-            found = chunks.flatten()
-            begin = firsts[pc.list_parent_indices(chunks).to_numpy()] + found.field("begin").to_numpy()
-            last = begin + found.field("span").to_numpy() - 1
-            text = data.tobytes()
-            parts = [text[a:b] for a, b in zip(starts[begin].tolist(), ends[last].tolist())]
-            yield pa.RecordBatch.from_arrays([found.field("hash"), pa.array(parts, pa.binary())], ["hash", "bytes"])
-
-    return texts.select("text", "chunks").mapInArrow(task, "hash binary, bytes binary")
-
-
-def _joined(marked: DataFrame) -> DataFrame:
-    """id, print, gone (begin, size): the pieces that go, overlapping and touching ones as one."""
-    sets = marked.groupBy(*KEYS).agg(F.collect_set(F.struct("begin", "size")).alias("gone"))
-    each = sets.select(*KEYS, F.explode("gone").alias("g")).select(*KEYS, "g.begin", (F.col("g.begin") + F.col("g.size")).alias("end"))
-    row = Window.partitionBy(*KEYS).orderBy("begin", "end")
-    before = F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1))
-    opens = each.withColumn("opens", F.coalesce((F.col("begin") > before).cast("int"), F.lit(0)))
-    part = opens.withColumn("part", F.sum("opens").over(row.rowsBetween(Window.unboundedPreceding, 0)))
-    whole = part.groupBy(*KEYS, "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
-    return whole.groupBy(*KEYS).agg(F.collect_list(F.struct("begin", (F.col("end") - F.col("begin")).alias("size"))).alias("gone"))
+            found, out = Texts(batch.column("text"), roll, divisor), []
+            cuts = np.searchsorted(found.row, np.arange(batch.num_rows + 1)).tolist()
+            for i, (row, marks) in enumerate(zip(batch.column("row").to_pylist(), batch.column("marks").to_pylist())):
+                first, own = found.firsts[i], {m["begin"]: m for m in marks}
+                borders = [*(found.begin[cuts[i] : cuts[i + 1]] - first).tolist(), int(found.firsts[i + 1] - first)]
+                place = {b: k for k, b in enumerate(borders)}
+                for m in marks:
+                    def around(begin: int, end: int, keeper: bool = m["keeper"]) -> tuple[bytes, int]:
+                        other = own.get(begin)
+                        if begin == end or other and not (keeper and other["keeper"]):
+                            return b"", 0
+                        return found.lines(first + begin, end - begin), end - begin
+
+                    k, end = place[m["begin"]], m["begin"] + m["size"]
+                    before = around(borders[k - 1], m["begin"]) if k else (b"", 0)
+                    after = around(end, borders[k + 2]) if k + 2 < len(borders) else (b"", 0)
+                    out.append((m["hash"], m["n"], m["keeper"], row, m["begin"], m["size"], found.lines(first + m["begin"], m["size"]), *before, *after))
+            if out:
+                types = [pa.binary(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], [f.split()[0] for f in PLACED.split(", ")])
+
+    return texts.mapInArrow(task, PLACED)
+
+
+def _split(lines: bytes, n: int) -> list[bytes]:
+    return lines.split(b"\n") if n else []
+
+
+def _equal(a: list[bytes], b: list[bytes]) -> int:
+    """How many items at the start are equal."""
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+GROWN = "row binary, begin int, size int, up int, down int, keeper_row binary, keeper_begin int"
+
+
+def _grown(placed: DataFrame) -> DataFrame:
+    """row, begin, size of each chunk equal to its keeper; how many lines above and below it are equal too; the keeper."""
+    salts = F.ceil(F.col("n") / SALT_ROWS)
+    keepers = placed.where("keeper").select(
+        "hash", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.col("row").alias("keeper_row"),
+        F.col("begin").alias("keeper_begin"), *[F.col(c).alias(f"k_{c}") for c in ("body", "before", "n_before", "after", "n_after")]).dropDuplicates(["hash", "salt"])
+    others = placed.where("NOT keeper").withColumn("salt", F.pmod(F.xxhash64("row", "begin"), salts))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if r["body"] != r["k_body"]:
+                    continue  # another text with the same hash
+                up = _equal(_split(r["before"], r["n_before"])[::-1], _split(r["k_before"], r["k_n_before"])[::-1])
+                down = _equal(_split(r["after"], r["n_after"]), _split(r["k_after"], r["k_n_after"]))
+                out.append((r["row"], r["begin"], r["size"], up, down, r["keeper_row"], r["keeper_begin"]))
+            if out:
+                types = [pa.binary(), *[pa.int32()] * 4, pa.binary(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], [f.split()[0] for f in GROWN.split(", ")])
+
+    return others.drop("keeper").join(keepers, ["hash", "salt"]).mapInArrow(task, GROWN)
+
+
+def _without(text: str | None, gone: list[dict] | None, held: list[dict] | None) -> tuple[str, int, int]:
+    """The text without what goes, how many lines it had, and how many went. Chunks that go take lines along up to the
+    first that is held."""
+    lines = (text or "").split("\n")
+    if not gone:
+        return text or "", len(lines), 0
+    stays, kept = np.ones(len(lines), bool), np.zeros(len(lines), bool)
+    for h in held or ():
+        kept[h["begin"] - h["up"] : h["begin"] + h["size"] + h["down"]] = True
+    for g in gone:
+        begin, end = g["begin"], g["begin"] + g["size"]
+        stays[begin:end] = False
+        for at in range(begin - 1, begin - 1 - g["up"], -1):
+            if kept[at]:
+                break
+            stays[at] = False
+        for at in range(end, end + g["down"]):
+            if kept[at]:
+                break
+            stays[at] = False
+    return "\n".join([x for x, s in zip(lines, stays.tolist()) if s]), len(lines), int((~stays).sum())
+
+
+def _cut(docs: DataFrame, key: str, text: str, roll: int, divisor: int) -> DataFrame:
+    """rest (the other columns of ``docs``), id, text, done (kept, n_lines, n_removed)."""
+    rows = _rows(docs, key, text)
+    chunks = cut(_chunks(rows, roll, divisor))
+    place = F.struct("id", "row", "begin")
+    repeated = chunks.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    found = attached(chunks, repeated, ["hash"], "row").where("n IS NOT NULL")
+    marks = cut(found.groupBy("row").agg(F.collect_set(F.struct(
+        "begin", "size", "hash", "n", place.eqNullSafe(F.col("first")).alias("keeper"))).alias("marks")))
+    placed = _placed(rows.join(marks, "row").select("row", "text", "marks"), roll, divisor)
+    grown = cut(_grown(placed))
+    none = F.lit(0)
+    held = grown.groupBy(F.col("keeper_row").alias("row"), F.col("keeper_begin").alias("begin"), "size").agg(F.max("up").alias("up"), F.max("down").alias("down"))
+    keepers = marks.select("row", F.explode("marks").alias("m")).where("m.keeper").select("row", "m.begin", "m.size", none.alias("up"), none.alias("down"))
+    piece = F.struct("begin", "size", "up", "down")
+    goes = grown.groupBy("row").agg(F.collect_set(piece).alias("gone"))
+    stays = held.unionByName(keepers).groupBy("row").agg(F.collect_set(piece).alias("held"))
+    both = goes.join(stays, "row", "left")
+
+    def remove(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        kind = pa.struct([("kept", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())])
+        for texts, gone, held in batches:
+            out = [_without(*x) for x in zip(texts.to_pylist(), gone.to_pylist(), held.to_pylist())]
+            columns = list(zip(*out)) or [()] * 3
+            yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], fields=list(kind))
+
+    done = F.arrow_udf(remove, "kept string, n_lines long, n_removed long", ArrowUDFType.SCALAR_ITER)
+    return rows.join(both, "row", "left").select("rest", "id", "text", done("text", "gone", "held").alias("done"))
 
 
 def remove_repeated(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR, runs: bool = False,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR,
 ) -> DataFrame:
     """key, kept, n_lines, n_removed: each text without its repeated chunks, and its lines before and gone.
 
-    Lines are parted by \\n. Of equal chunks the one with the smallest key stays, then the earliest; kept lines
-    are joined by \\n. A chunk whose hash belongs to different bytes stays. Single lines and blank chunks
-    stay. Null and empty texts are one empty line; kept is then empty. Rows that repeat with one key and text
-    share their fate; rows with one key and different texts are documents of their own, and of their equal
-    chunks none goes that lies at the first place. A null key is the smallest. An empty table gives no rows.
+    Lines are parted by \\n. Of equal chunks the one with the smallest key stays, then the earliest (rows with one key
+    and different texts come in the order of their digests); a null key is the smallest. Kept lines are joined by \\n.
+    A chunk whose hash belongs to different bytes stays. Texts of one line and blank chunks stay. Null and empty
+    texts are one empty line; kept is then empty. Rows that repeat with one key and text share their fate. An empty
+    table gives no rows.
     """
-    return _cut(docs, key, text, roll, divisor).select(F.col("id").alias(key), "kept", "n_lines", "n_removed")
+    return _cut(docs, key, text, roll, divisor).select(F.col("id").alias(key), "done.*")
 
 
 def cleaned(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR, runs: bool = False,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", roll: int = ROLL, divisor: int = DIVISOR,
 ) -> DataFrame:
     """All columns of ``docs`` with the text as ``remove_repeated`` keeps it; unchanged texts, null ones too, stay
     as they are. Documents of which no line but blank ones is left by the removal go."""
-    found = _cut(docs, key, text, roll, divisor, runs)
-    left = found.where((F.col("n_removed") == 0) | (F.trim(F.translate("kept", "\n\t\r", "   ")) != ""))
-    now = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    found = _cut(docs, key, text, roll, divisor)
+    kept, gone = F.col("done.kept"), F.col("done.n_removed")
+    left = found.where((gone == 0) | (F.trim(F.translate(kept, "\n\t\r", "   ")) != ""))
+    now = F.when(gone > 0, kept).otherwise(F.col("text"))
     return left.select(*[now.alias(c) if c == text else F.col("rest")[c].alias(c) for c in docs.columns])
 
 
-def _cut(docs: DataFrame, key: str, text: str, roll: int, divisor: int, runs: bool) -> DataFrame:
-    """rest (the other columns of ``docs``), id, text, kept, n_lines, n_removed."""
-    others = [F.col(c) for c in docs.columns if c != text]
-    whole = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.struct(*others).alias("rest"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("print", F.unhex(F.md5(whole)))
-    chunks = cut(_chunks(rows.select("id", "print", "text"), roll, divisor, runs))
-    repeated = chunks.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "begin")).alias("first")).where("n > 1")
-    marked = chunks.join(repeated.select("hash", "first"), "hash")
-    by_row = marked.groupBy(*KEYS).agg(F.collect_set(F.struct("begin", "span", "hash")).alias("chunks"))
-    texts = rows.join(by_row, [rows.id.eqNullSafe(by_row.id), rows.print == by_row.print], "left").select(
-        rows.id, rows.print, "text", "chunks")
-    lines = F.split(whole, "\n", -1)
-    bytes_of = _bytes(texts.where("chunks IS NOT NULL"))
-    equal = bytes_of.groupBy("hash").agg((F.min("bytes") == F.max("bytes")).alias("equal")).where("equal").select("hash")
-    gone = _joined(marked.where(~F.struct("id", "begin").eqNullSafe(F.col("first"))).join(equal, "hash"))
-    found = rows.join(gone, [rows.id.eqNullSafe(gone.id), rows.print == gone.print], "left").select("rest", rows.id, "text", "gone")
-    stays = F.filter(lines, lambda line, i: ~F.exists("gone", lambda g: (i >= g["begin"]) & (i < g["begin"] + g["size"])))
-    removed = F.aggregate(F.coalesce("gone", F.array().cast("array<struct<begin:int,size:int>>")), F.lit(0), lambda n, g: n + g["size"])
-    return found.select(
-        "rest", "id", "text", F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(stays, "\n")).alias("kept"),
-        F.size(lines).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeated(spark.read.parquet(f"{sf_dir}/documents.parquet"), runs=True)
+    found = remove_repeated(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

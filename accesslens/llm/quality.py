@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
@@ -157,8 +157,8 @@ def train(x: np.ndarray, before: np.ndarray, labels: np.ndarray, epochs: int = 4
 def fit(sample: DataFrame, most_passages: int = SAMPLE_PASSAGES) -> Attention:
     """The model of a sample (id, text, label), which its maker bounds.
 
-    Vectors are made in tasks; the driver takes documents in order of their hash while their passages fit
-    into ``most_passages``, and trains.
+    Vectors are made in tasks. In order of their hash documents are taken up to the first whose passages would go beyond
+    ``most_passages``, so the sample doesn't lean to short texts; the driver gets their vectors, and trains.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.blocks(batches, "text", 2 << 20):
@@ -169,16 +169,14 @@ def fit(sample: DataFrame, most_passages: int = SAMPLE_PASSAGES) -> Attention:
                 pa.array([half[a:b].tobytes() for a, b in zip(before[:-1], before[1:])], pa.binary()),
             ], ["id", "label", "n", "x"])
 
-    coded = sample.mapInArrow(encode, "id long, label int, n long, x binary").orderBy(F.xxhash64("id"), "id", "n")
-    size, bags, labels, total = SHAPES + PAIRS, [], [], 0
-    for row in coded.toLocalIterator():
-        if total + row.n > most_passages:
-            continue
-        bags.append(np.frombuffer(row.x, np.float16).reshape(-1, size))
-        labels.append(row.label)
-        total += row.n
+    order = Window.orderBy(F.xxhash64("id"), "id", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    coded = sample.mapInArrow(encode, "id long, label int, n long, x binary").withColumn("total", F.sum("n").over(order))
+    rows = coded.where(F.col("total") <= most_passages).orderBy("total", "id").select("label", "x").toArrow()
+    size = SHAPES + PAIRS
+    bags = [np.frombuffer(x, np.float16).reshape(-1, size) for x in rows.column("x").to_pylist()]
+    labels = rows.column("label").to_numpy()
     x = np.concatenate(bags).astype(np.float32) if bags else np.zeros((0, size), np.float32)
-    return train(x, np.r_[0, np.cumsum([len(b) for b in bags])].astype(np.int64), np.array(labels, np.float64))
+    return train(x, np.r_[0, np.cumsum([len(b) for b in bags])].astype(np.int64), np.asarray(labels, np.float64))
 
 
 def score(docs: DataFrame, model: Attention, text: str = "text", name: str = "score") -> DataFrame:

@@ -171,7 +171,7 @@ def _dealt(docs: DataFrame, key: str, text: str, part_bytes: int) -> tuple[DataF
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, -(-size // part_bytes))
-    return rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), parts
+    return rows.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int")), parts
 
 
 def remove_repeated(docs: DataFrame, window: int = WINDOW, first: int = FIRST, key: str = "doc_id", text: str = "text",
@@ -181,7 +181,7 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, first: int = FIRST, k
     Words are ``[^\\x20\\x09-\\x0D]+``. Every word that is covered by a window of ``window`` words whose words
     also start anywhere else, in any document, goes, in all its places; kept words are joined by one
     space. Windows are those of the input. Null and empty texts have no words; shorter texts lose none. Rows
-    that repeat are documents of their own and so repeat each other; null keys share a part. An empty table
+    that repeat are documents of their own and so repeat each other. An empty table
     gives no rows. Hashes decide: 96 bits at the last level.
     """
     lengths = levels(window, first)

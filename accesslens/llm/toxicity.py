@@ -158,11 +158,12 @@ def _vocabulary(sample: DataFrame, most: int) -> np.ndarray:
     size = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     n, ones = float(size[0]), float(size[1])
     counts = sample.mapInArrow(count, "term long, ones long, total long").groupBy("term").agg(
-        F.sum("ones").alias("ones"), F.sum("total").alias("total")).where("ones >= 3")
+        F.sum("ones").alias("ones"), F.sum("total").alias("total")).where(F.col("ones") >= min(3.0, ones / 10))
     share = ones / max(n, 1.0)
     expected = F.col("total") * share
     chi = (F.col("ones") - expected) ** 2 / (expected * (1 - share) * (1 - F.col("total") / F.lit(n)) + 1e-9)
-    best = counts.where((F.col("ones") > expected) & (chi > 15)).orderBy(chi.desc(), "term").limit(most).select("term").collect()
+    # The largest value is n, for a term that is the label itself: of few rows a tenth of that is asked for.
+    best = counts.where((F.col("ones") > expected) & (chi > min(15.0, n / 10))).orderBy(chi.desc(), "term").limit(most).select("term").collect()
     return np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
 
 

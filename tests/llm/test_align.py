@@ -98,7 +98,7 @@ def test_chunks_are_cut_where_neither_tokenizer_joins(files, pair, ranks):
         assert (ids == pair.b.encode(text)) if whole else (-1 in ids or b"".join(pair.b_bytes[i] for i in ids) != raw)
 
 
-@pytest.mark.parametrize("fan, kept, pack", [(64, 160 << 20, 32 << 20), (3, 30000, 20000)])
+@pytest.mark.parametrize("fan, kept, pack", [(64, 96 << 20, 32 << 20), (3, 30000, 20000)])
 def test_alignment(spark, files, pair, monkeypatch, fan, kept, pack):
     """The second case merges in several levels, forgets chunks and sends several packs."""
     monkeypatch.setattr(align, "KEPT_BYTES", kept)

@@ -239,6 +239,29 @@ def test_jaccard_components(spark, nothing, percent, size, spread, monkeypatch):
         assert jaccard.link(nothing, percent, size).collect() == []
 
 
+def test_one_id_may_have_several_texts(spark):
+    one, two = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    texts = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join([*one[:-1], "x"])), (3, " ".join([*two[:-1], "y"])), (9, "three other words here"),
+             (9, "three other words here"), (None, " ".join(one)), (20, " ".join(two)), (30, "c " * 9), (30, None)]
+    got = jaccard.link(spark.createDataFrame(rows(texts), SCHEMA).repartition(3), 85, 4)
+    same([tuple(r) for r in got.collect()], linked(texts, 85, 4))
+
+
+def test_small_sets_show_all_their_tokens():
+    import numpy as np
+
+    for percent in (50, 60, 70, 85):
+        scheme = jaccard.Scheme(percent, 1.3)
+        sizes = np.r_[np.arange(1, 80), 150, 400]
+        rows_ = np.repeat(np.arange(len(sizes)), sizes)
+        tokens = np.random.default_rng(0).integers(1, 1 << 63, len(rows_)).astype(np.uint64)
+        own, prints, lacking = jaccard.Scheme(percent, 1.3, alone=True).fingerprints(rows_, tokens, len(sizes))
+        assert lacking == 0 and len(own) == len(prints)
+        assert scheme.parts.max() < 1 << 62 and (scheme.needed >= 1).all()
+        if percent >= 80:
+            assert not scheme.alone[3:-1].any()
+
+
 def test_one_of_each_group_stays(spark):
     texts = [*near_copies(), (None, "one"), (None, "one"), (7000, None), (7001, "")]
     frame = spark.createDataFrame(rows(texts), SCHEMA)
@@ -268,32 +291,88 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def order_of(key, text):
+    """Null keys first, then by key; rows with one key by the digest of key and text."""
+    return (key is not None, key or 0, hashlib.md5(f"{'' if key is None else key}:{text or ''}".encode()).digest())
+
+
 def cut_lines(texts, roll, divisor):
-    """Chunks from the same rolling hash, compared as strings."""
+    """Chunks from the same rolling hash, compared as strings; lines grown and held by the docstring's rule."""
     import numpy as np
 
     from accesslens.llm import arrays
 
-    chunks, first = [], {}
+    split, chunks, keeper = {}, {}, {}
     for key, text in texts:
-        own = (text or "").split("\n")
+        row, own = order_of(key, text), (text or "").split("\n")
         data = np.frombuffer((text or "").encode(), np.uint8)
         starts, ends, _ = lines.lines_of(data, np.array([0, len(data)]))
-        last = lines.chunk_ends(arrays.word_hashes(data, starts, ends), np.zeros(len(own), int), roll, divisor)
-        begin, found = 0, []
-        for i, end in enumerate(last):
-            if end:
-                body = "\n".join(own[begin : i + 1])
-                if i > begin and NOT_SPACE.search(body):
-                    found.append((begin, i + 1, body))
-                    place = (key is not None, key or 0, begin)
-                    first[body] = min(first.get(body, place), place)
-                begin = i + 1
-        chunks.append(found)
-    for (key, text), found in zip(texts, chunks):
-        gone = {j for a, b, body in found if first[body] != (key is not None, key or 0, a) for j in range(a, b)}
+        last = np.flatnonzero(lines.chunk_ends(arrays.word_hashes(data, starts, ends), np.zeros(len(own), int), roll, divisor))
+        split[row], chunks[row] = own, [(b, e + 1) for b, e in zip([0, *(last[:-1] + 1)], last)]
+        assert len(own) == 1 or all(e - b > 1 for b, e in chunks[row])
+    places = defaultdict(list)
+    for row in sorted(split):
+        for b, e in chunks[row]:
+            body = "\n".join(split[row][b:e])
+            if e - b > 1 and NOT_SPACE.search(body):
+                places[body].append((row, b))
+    counts = Counter("\n".join(split[order_of(k, t)][b:e]) for k, t in texts for b, e in chunks[order_of(k, t)])
+    marked = {p: (found[0] == p) for body, found in places.items() if counts[body] > 1 for p in found}
+
+    def around(row, i, step, keeper):
+        """Lines of the chunk next to chunk i, from it away."""
+        if not 0 <= i + step < len(chunks[row]):
+            return []
+        b, e = chunks[row][i + step]
+        if (row, b) in marked and not (keeper and marked[row, b]):
+            return []
+        return split[row][b:e][::step]
+
+    goes, held = defaultdict(list), defaultdict(set)
+    for body, found in places.items():
+        if counts[body] > 1:
+            kr, kb = found[0]
+            ki = [b for b, _ in chunks[kr]].index(kb)
+            ke = chunks[kr][ki][1]
+            held[kr] |= set(range(kb, ke))
+            for row, b in found[1:]:
+                i = [x for x, _ in chunks[row]].index(b)
+                grow = []
+                for step in (-1, 1):
+                    n = 0
+                    for x, y in zip(around(row, i, step, False), around(kr, ki, step, True)):
+                        if x != y:
+                            break
+                        n += 1
+                    grow.append(n)
+                goes[row].append((b, chunks[row][i][1], *grow))
+                held[kr] |= set(range(kb - grow[0], ke + grow[1]))
+    for key, text in texts:
+        row = order_of(key, text)
+        gone = set()
+        for b, e, up, down in goes[row]:
+            gone |= set(range(b, e))
+            for start, step, n in ((b - 1, -1, up), (e, 1, down)):
+                for j in range(start, start + step * n, step):
+                    if j in held[row]:
+                        break
+                    gone.add(j)
+        assert not gone & held[row]
+        yield key, "\n".join(x for j, x in enumerate(split[row]) if j not in gone), len(split[row]), len(gone)
+
+
+def nothing_is_lost(texts, got):
+    """Every line that went still stands beside the same neighbour in some text. Knows nothing of chunks."""
+    left = Counter(pair for r in got for pair in zip(r.kept.split("\n"), r.kept.split("\n")[1:]))
+    kept = defaultdict(list)
+    for r in got:
+        kept[r.doc_id, r.n_lines].append(r.kept.split("\n"))
+    for key, text in texts:
         own = (text or "").split("\n")
-        yield key, "\n".join(x for j, x in enumerate(own) if j not in gone), len(own), len(gone)
+        rest = Counter(own)
+        rest.subtract(max(kept[key, len(own)], key=lambda k: sum((Counter(k) & Counter(own)).values())))
+        for line in +rest:
+            assert any(left[p] for i, x in enumerate(own) if x == line for p in (tuple(own[i : i + 2]), tuple(own[max(i - 1, 0) : i + 1])) if len(p) == 2), (key, line)
 
 
 @pytest.mark.parametrize("divisor", [4, 2])
@@ -301,6 +380,7 @@ def test_line_chunks(docs, nothing, divisor):
     got = lines.remove_repeated(docs, divisor=divisor).collect()
     want = list(cut_lines(awkward(), lines.ROLL, divisor))
     same([tuple(r) for r in got], want)
+    nothing_is_lost(awkward(), got)
     assert sum(r.n_removed for r in got) > 10
     kept = lines.cleaned(docs, divisor=divisor)
     assert kept.columns == docs.columns
@@ -309,37 +389,32 @@ def test_line_chunks(docs, nothing, divisor):
     assert lines.remove_repeated(nothing).collect() == []
 
 
-def repeated_runs(texts):
-    """Lines of blocks of two lines and more that stand earlier too; pairs of neighbours are all such blocks."""
-    first = {}
-    order = sorted(range(len(texts)), key=lambda row: (texts[row][0] is not None, texts[row][0] or 0))
-    for row in order:
-        own = (texts[row][1] or "").split("\n")
-        gone = set()
-        for i, pair in enumerate(zip(own, own[1:])):
-            if NOT_SPACE.search("".join(pair)):
-                where, at = first.setdefault(pair, (row, i))
-                if where != row or i >= at + 2:
-                    gone |= {i, i + 1}
-        yield texts[row][0], "\n".join(x for j, x in enumerate(own) if j not in gone), len(own), len(gone)
+def test_a_pair_that_stands_elsewhere_is_kept_once(spark):
+    texts = [(1, "Beta\nAlpha"), (2, "Alpha\nBeta\nAlpha"), (3, "Alpha\nBeta")]
+    got = lines.remove_repeated(spark.createDataFrame(rows(texts), SCHEMA)).collect()
+    nothing_is_lost(texts, got)
+    assert any("Alpha\nBeta" in r.kept for r in got) and any("Beta\nAlpha" in r.kept for r in got)
 
 
-def test_no_repeated_run_is_lost(spark):
+def test_repeated_blocks_go_with_their_borders(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SALT_ROWS", 7)
     rng = random.Random(7)
-    blocks = [[f"block {b} line {i} {rng.random()}" for i in range(rng.choice([2, 2, 3, 4, 9]))] for b in range(12)]
+    blocks = [[f"block {b} line {i} {rng.random()}" for i in range(rng.choice([2, 3, 6, 9, 20]))] for b in range(12)]
     texts = [(1, "x\n" * 50), (2, "y\nx\nx\nz"), (3, "y\ny\ny"), (4, None), (5, "a\n\n\n\n\nb"), (6, "\n\n\n"), (8, "y\nx"), (9, "c d\na b\na b")]
     for key in range(10, 90):
         own = [f"own {key} {i}" for i in range(rng.randrange(5))]
         for block in rng.sample(blocks, 2):
             cut = rng.randrange(len(block) - 1)
-            own += [*block[cut:], f"own {key}"] if rng.random() < 0.7 else [*block, *block[:1] * rng.randrange(5)]
+            own += [*block[cut:], f"own {key}"] if rng.random() < 0.4 else [*block, *block[:1] * rng.randrange(5)]
         texts.append((key, "\n".join(own)))
-    texts += [(None, "\n".join(blocks[0])), (100, "head\na\n\n\n\n\nb\ntail")]
+    texts += [(None, "\n".join(blocks[0])), (100, "head\na\n\n\n\n\nb\ntail"), (11, "\n".join(blocks[1])), (11, "\n".join(blocks[1]))]
     frame = spark.createDataFrame(rows(texts), SCHEMA).repartition(4)
-    got = {r.doc_id: r for r in lines.remove_repeated(frame, runs=True).collect()}
-    assert (got[100].kept, got[100].n_removed) == ("head\ntail", 6)
-    same([tuple(r) for k, r in got.items() if k != 100], [w for w in repeated_runs(texts) if w[0] != 100])
-    assert sum(r.n_removed for r in got.values()) > sum(r.n_removed for r in lines.remove_repeated(frame).collect())
+    got = lines.remove_repeated(frame).collect()
+    same([tuple(r) for r in got], cut_lines(texts, lines.ROLL, lines.DIVISOR))
+    nothing_is_lost(texts, got)
+    for block in blocks:  # no block is left whole twice where it was long enough for a chunk of its own
+        assert sum("\n".join(block) in r.kept for r in got) >= 1
+    assert sum(r.n_removed for r in got) > 400
 
 
 def test_borders_move_with_the_lines():
@@ -349,4 +424,5 @@ def test_borders_move_with_the_lines():
     hashes = rng.integers(1, 1 << 64, 400, np.uint64)
     plain = lines.chunk_ends(hashes, np.zeros(400, int), 2, 4)
     moved = lines.chunk_ends(np.r_[rng.integers(1, 1 << 64, 3, np.uint64), hashes], np.zeros(403, int), 2, 4)
-    assert (plain[1:] == moved[4:]).all()
+    assert (plain[2:] == moved[5:]).all()
+    assert np.diff(np.flatnonzero(np.r_[True, plain])).min() > 1
