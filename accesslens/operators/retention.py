@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from accesslens.functions import times
+from accesslens.sources.store import TableSet
 
 
 def retain(
@@ -25,6 +26,14 @@ def retain(
     return kept
 
 
+def retain_tables(found: TableSet, days: dict[str, int], now: datetime, ts: dict[str, str] | None = None) -> None:
+    """Keep each table of a set for its own number of days, to the second: whole days leave the log, and the day of
+    the cut-off is written anew without its older rows. Readers see a table before or after, never in between."""
+    for relation, kept in days.items():
+        cutoff = (now - timedelta(days=kept)).replace(microsecond=0)
+        found.retain(relation, cutoff, (ts or {}).get(relation, "ts"))
+
+
 def drop_days(spark: SparkSession, path: str, days: int, now: datetime) -> list[date]:
     """Delete the day directories of a stored table that lie wholly before the cut-off; returns
     their days. Only ``dt=YYYY-MM-DD`` directories directly below ``path`` are ever touched, and no

@@ -10,7 +10,7 @@ Hot keys need no salting: Spark aggregates on the map side first, so one task se
 per key whatever share of the rows that key holds.
 """
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -90,6 +90,11 @@ class Rollup:
     def compute(self, detail: DataFrame) -> DataFrame:
         return final(self, self.partial(detail))
 
+    def by_day(self) -> "Rollup":
+        """The same rollup over stored partials, with the day of its buckets as a key: a day belongs to one bucket, so
+        groups are the same, and a report's filter on the day reaches the directories."""
+        return self if "dt" in self.keys else replace(self, keys={**self.keys, "dt": "dt"})
+
 
 _BUCKET = "window(ts, '10 minutes').start"
 # Challenges count as requests only.
@@ -247,7 +252,11 @@ def acct_rollup_1h_exact(deltas: DataFrame) -> DataFrame:
     Rows are first reduced to one per (group, session), so a hot group never gathers its sessions
     in one task.
     """
-    by_session = ACCT_1H_BY_SESSION.partial(deltas)
+    return exact_sessions(ACCT_1H_BY_SESSION.partial(deltas))
+
+
+def exact_sessions(by_session: DataFrame) -> DataFrame:
+    """Hourly traffic from partials by session, or from their folded form."""
     return by_session.groupBy(*_ACCT_1H_KEYS).agg(
         *[_added(c) for c in _ACCT_1H_SUMS],
         F.count("session").alias("sessions"), F.max("last_seen").alias("last_seen"),
@@ -256,12 +265,12 @@ def acct_rollup_1h_exact(deltas: DataFrame) -> DataFrame:
 
 def final(rollup: Rollup, partial: DataFrame) -> DataFrame:
     """Report form of a partial, including the columns that need more than unwrapping."""
-    if rollup is USER_SUMMARY:
+    if rollup.name == USER_SUMMARY.name:
         return _final_user_summary(partial)
     out = rollup.final(partial)
-    if rollup is WIDE_10M:
+    if rollup.name == WIDE_10M.name:
         bucket_text = F.concat(F.col("bucket_start").cast("string"), F.lit(".000"))
-        rest = [F.col(c) for c in rollup.keys if c != "bucket_start"]
+        rest = [F.col(c) for c in WIDE_10M.keys if c != "bucket_start"]
         out = out.withColumn("rollup_key", stable_key(bucket_text, *rest))
     return out
 

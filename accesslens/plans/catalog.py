@@ -1,6 +1,7 @@
 """Named queries over the test tables: one entry per operator and report."""
 
 from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +12,8 @@ from accesslens.operators import (
 )
 from accesslens.plans import ingest, reports
 from accesslens.sources import fixtures, packets, sinks, tables
-from accesslens.streaming import stateful, windows, writes
+from accesslens.sources.store import TableSet
+from accesslens.streaming import ingest as stream_ingest, ordered, stateful, windows, writes
 from accesslens.sources.fixtures import NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,7 +273,7 @@ def _stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     auth, base = fixtures.auth_log(_stream_events(spark, sf_dir)), staging.scratch(spark)
     writer = writes.stream_merge(auth, f"{base}/out", rollups.USER_MAC_10M, f"{base}/state")
     writer.trigger(availableNow=True).start().awaitTermination()
-    return sinks.load_rollup(spark, f"{base}/out", rollups.USER_MAC_10M)
+    return sinks.load_rollup(spark, f"{base}/out", rollups.USER_MAC_10M).drop("dt")
 
 
 def _stream_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,7 +285,7 @@ def _stream_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     auth, base = fixtures.auth_log(_stream_events(spark, sf_dir)), staging.scratch(spark)
     writer = writes.stream_writes(auth, f"{base}/out", f"{base}/state")
     writer.trigger(availableNow=True).start().awaitTermination()
-    return sinks.load_rollup(spark, f"{base}/out/{rollups.STAT_10M.name}", rollups.STAT_10M)
+    return sinks.load_rollup(spark, f"{base}/out/{rollups.STAT_10M.name}", rollups.STAT_10M).drop("dt")
 
 
 STREAMING: dict[str, Query] = {
@@ -296,6 +298,160 @@ STREAMING: dict[str, Query] = {
 }
 
 
+# --- Streams in the order of event time, over slices of which some rows come late -----------------
+
+
+def _in_order(
+    rows: DataFrame, step: ordered.Step, ts: str = "ts", delay: timedelta = timedelta(minutes=10), **delivery,
+) -> TableSet:
+    spark, base = rows.sparkSession, staging.scratch(rows.sparkSession)
+    fixtures.delivered(rows, f"{base}/in", ts, **delivery)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    found = TableSet(spark, f"{base}/out")
+    ordered.in_order(stream, found, step, f"{base}/state", ts, delay).trigger(availableNow=True).start().awaitTermination()
+    ordered.flush(found, step, delay)
+    return found
+
+
+def _with_late(found: TableSet, emitted: DataFrame, key: str) -> DataFrame:
+    """What a stream emitted and, marked, the keys in its side table."""
+    late = found.read(ordered.LATE).select(F.col(key), F.lit(True).alias("is_late"))
+    return emitted.withColumn("is_late", F.lit(False)).unionByName(late, allowMissingColumns=True)
+
+
+def _late_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _in_order(fixtures.acct_log(fixtures.events(spark, sf_dir)), ordered.deltas())
+    return _with_late(found, found.read("deltas").select(
+        "id", "input_total", "output_total", "input_delta", "output_delta", "counter_rollback"), "id")
+
+
+def _late_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _in_order(fixtures.acct_log(fixtures.events(spark, sf_dir), 600), ordered.sample(interval_s=300), minutes=24)
+    return _with_late(found, found.read("sampled").select("id", "ts", "username", "acct_status_type"), "id")
+
+
+def _late_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fixtures.events(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "event_id")
+    decoded = ingest.decode_stage(packets.capture(fixtures.all_rows(ev.filter("event_type IN ('signup', 'purchase', 'error')"))))
+    found = _in_order(pairing.auth_packets(decoded), ordered.pair(), "at", timedelta(seconds=10), key="seq", delayed="{key} div 8 % 40 = 0")
+    return _with_late(found, found.read("exchanges").select(
+        "seq", F.col("matched").isNotNull().alias("is_matched"), "is_expired"), "seq")
+
+
+def _late_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a rollup emitted once, and late rows per interval."""
+    found = _in_order(fixtures.auth_log(fixtures.events(spark, sf_dir)), ordered.rollup(rollups.USER_10M))
+    late = ordered.late_counts(found).select(F.col("interval").alias("bucket_start"), F.lit(None).cast("string").alias("username"), "late_rows")
+    return found.read(rollups.USER_10M.name).drop("dt").unionByName(late, allowMissingColumns=True)
+
+
+def _late_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _in_order(fixtures.auth_log(fixtures.events(spark, sf_dir), 600), ordered.spans(), minutes=24)
+    return found.read("spans").drop("dt")
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> TableSet:
+    frames = _frames(spark, sf_dir)
+    return _in_order(frames, stream_ingest.packets(), "pkt_time", key="seq",
+                     delayed="{key} % 7 = 0 AND pmod(unix_micros(cast({ts} AS timestamp)), 14400000000) >= 14100000000")
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest of every table that the packet stream has filled: one row per detail row or group."""
+    found = _ingested(spark, sf_dir)
+    text_of = lambda *cs: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cs])
+
+    def part(relation: str, rows: DataFrame, keys: list[str], *numbers: str) -> DataFrame:
+        counted = [F.coalesce(F.col(n).cast("bigint"), F.lit(0)) if n else F.lit(0).cast("bigint") for n in (*numbers, "", "", "")[:3]]
+        return rows.select(F.lit(relation).alias("relation"), text_of(*keys).alias("key"), *[c.alias(f"n{i}") for i, c in enumerate(counted)])
+
+    hourly = found.read("aaa_events").groupBy("event_type", F.col("username")).agg(
+        F.count("*").alias("n"), F.sum("input_delta").alias("traffic"), F.sum("result_code").alias("codes"))
+    counts = ("request_count", "accept_count", "reject_count")
+    parts = [
+        part("auth_log", found.read("auth_log"), ["id", "username", "reason_zh"], "result", "latency_ms"),
+        part("acct_log", found.read("acct_log"), ["id", "username", "acct_session_id"], "acct_status_type", "input_octets"),
+        part("aaa_events", hourly, ["event_type", "username"], "n", "traffic", "codes"),
+    ]
+    for spec, keys in (
+        (rollups.STAT_10M, []), (rollups.NAS_10M, ["nas_ip"]), (rollups.USER_10M, ["username", "main_reason"]),
+        (rollups.USER_MAC_10M, ["username", "mac_addr", "nas_port_id"]),
+        (rollups.WIDE_10M, ["username", "src_ip", "mac_addr", "nas_port_id", "result", "framed_ip"]),
+    ):
+        parts.append(part(spec.name, stream_ingest.rollup(found, spec), ["bucket_start", *keys], *counts))
+    parts.append(part(rollups.REASON_10M.name, stream_ingest.rollup(found, rollups.REASON_10M), ["bucket_start", "result", "reason_zh"], "request_count"))
+    parts.append(part(rollups.AUTH_STATES_10M.name, stream_ingest.rollup(found, rollups.AUTH_STATES_10M),
+                      ["bucket", "username", "mac_addr", "nas_ip", "reason_zh"], "requests", "accepts", "challenges"))
+    parts.append(part(rollups.ACCT_1H.name, stream_ingest.sessions(found), ["bucket", "username", "mac_addr", "nas_ip"], "input_bytes", "starts", "sessions"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _sketch_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored sketches merged on read: the exact number of sessions, and whether the estimate is within 5 % and one of it."""
+    found = _ingested(spark, sf_dir)
+    both = stream_ingest.sessions(found)
+    near = F.abs(F.col("sessions_estimate") - F.col("sessions")) <= F.greatest(F.lit(1), F.col("sessions") * 0.05)
+    return both.select("bucket", "username", "mac_addr", "nas_ip", "sessions", near.alias("is_near"))
+
+
+ORDERED: dict[str, Query] = {
+    "late_deltas": _late_deltas,
+    "late_sample": _late_sample,
+    "late_pair": _late_pair,
+    "late_rollup": _late_rollup,
+    "late_spans": _late_spans,
+    "stream_ingest": _stream_ingest,
+    "acct_rollup_1h_stored": _sketch_bound,
+}
+
+
+# --- Tables kept by commits ----------------------------------------------------------------------
+
+
+def _compacted_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup over a month from three batches: read, with its first half compacted and a batch delivered again, and
+    read once more; both readings side by side."""
+    auth = fixtures.auth_log(fixtures.events(spark, sf_dir), factor=1)
+    found, spec = TableSet(spark, staging.scratch(spark)), rollups.USER_10M
+
+    def deliver(batch: int) -> None:
+        if not found.has(batch):
+            found.stage(spec.partial(auth.filter(F.col("id") % 3 == batch)), spec.name, day="bucket_start")
+            found.commit(batch)
+
+    for batch in (0, 1):
+        deliver(batch)
+    first = staging.staged(stream_ingest.rollup(found, spec))
+    stream_ingest.compact(found, spec, date(2024, 1, 15))
+    for batch in (1, 2):
+        deliver(batch)
+    stream_ingest.compact(found, spec, date(2024, 1, 20))
+    found.vacuum(spec.name)
+    keys = list(spec.keys)
+    before = first.select(*keys, F.col("request_count").alias("before_count"))
+    after = stream_ingest.rollup(found.refresh(), spec).drop("dt")
+    return after.join(before, keys, "left")
+
+
+#: Days that each table is kept, in the named query.
+RETAIN = {"auth_log": 10, "acct_log": 20}
+
+
+def _retention_border(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables of a month with cut-offs in the middle of a day; cutting twice is harmless."""
+    ev, found = fixtures.events(spark, sf_dir), TableSet(spark, staging.scratch(spark))
+    found.stage(fixtures.auth_log(ev, factor=1), "auth_log", day="ts")
+    found.stage(fixtures.acct_log(ev, factor=1), "acct_log", day="ts")
+    found.commit("month")
+    for _ in range(2):
+        retention.retain_tables(found, RETAIN, datetime(2024, 1, 25, 12))
+    kept = [found.read(t).select(F.lit(t).alias("relation"), "id", "ts") for t in RETAIN]
+    return kept[0].unionByName(kept[1])
+
+
 def _record_search_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging.scratch(spark)
     sinks.append(fixtures.auth_log(fixtures.events(spark, sf_dir)), path)
@@ -334,7 +490,46 @@ def _range_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("dt").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
+def _stored_month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A month of stored days: authentication, accounting, and the totals rollup."""
+    base, ev = staging.scratch(spark), fixtures.events(spark, sf_dir)
+    auth = fixtures.auth_log(ev, factor=1)
+    sinks.append(auth, f"{base}/auth")
+    sinks.append(fixtures.acct_log(ev, factor=1), f"{base}/acct")
+    sinks.store_partial(rollups.STAT_10M.partial(auth), f"{base}/stat", 0)
+    return tables.auth_log(spark, f"{base}/auth"), tables.acct_log(spark, f"{base}/acct"), sinks.load_rollup(spark, f"{base}/stat", rollups.STAT_10M)
+
+
+def _recent_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.recent(_stored_month(spark, sf_dir)[0], 700)
+
+
+def _ingest_status_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, acct, stat = _stored_month(spark, sf_dir)
+    return reports.ingest_status(stat, acct, NOW)
+
+
+def _risk_accounts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three pages by cursor and one behind the end."""
+    users = rollups.rollup_user_10m(fixtures.auth_log(fixtures.events(spark, sf_dir)))
+    pages, cursor = [], None
+    for number in range(1, 4):
+        page = reports.risk_accounts_after(users, NOW, cursor, page_size=30, min_count=30)
+        pages.append(page.withColumn("page", F.lit(number)))
+        cursor = reports.cursor_of(page) or cursor
+    behind = reports.risk_accounts_after(users, NOW, (-1, -1, NOW, ""), page_size=30, min_count=30)
+    out = behind.withColumn("page", F.lit(99))
+    for page in pages:
+        out = out.unionByName(page)
+    return out
+
+
 STORED: dict[str, Query] = {
+    "recent_stored": _recent_stored,
+    "ingest_status_stored": _ingest_status_stored,
+    "risk_accounts_pages": _risk_accounts_pages,
+    "compacted_store": _compacted_store,
+    "retention_border": _retention_border,
     "retention_stored": _retention_stored,
     "range_stored": _range_stored,
     "record_search_stored": _record_search_stored,
@@ -344,4 +539,4 @@ STORED: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return {**ROLLUPS, **REPORTS, **STATEFUL, **DECODING, **STREAMING, **STORED}
+    return {**ROLLUPS, **REPORTS, **STATEFUL, **DECODING, **STREAMING, **ORDERED, **STORED}

@@ -584,8 +584,104 @@ STREAMING = {
     "stream_writes": AUTH["rollup_stat_10m"],
 }
 
+# Streams in order: rows late by the rule are left out before the operator's own definition applies.
+def _judged(source: str, ts: str, minutes: int, delayed: str, delay: str) -> str:
+    """CTEs that tell for each row of ``source`` whether it came late: slices of the time axis, delayed rows one later."""
+    start = "TIMESTAMP '2024-01-01 00:00:00'"
+    return f"""sliced AS (SELECT *, CAST(floor((epoch_us({ts}) - epoch_us({start})) / {minutes * 60000000}) AS INTEGER)
+    + CASE WHEN {delayed} THEN 1 ELSE 0 END AS slice FROM {source}),
+  slices AS (SELECT slice, max({ts}) AS high FROM sliced GROUP BY 1),
+  marks AS (SELECT slice, max(high) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM slices),
+  judged AS (SELECT s.* EXCLUDE (slice), coalesce(s.{ts} <= m.mark - {delay}, false) AS is_late FROM sliced s JOIN marks m USING (slice))"""
+
+
+def _on_time(name: str, minutes: int = 240) -> str:
+    return _judged(f"{name}_all", "ts", minutes, "id % 40 = 0", "INTERVAL 10 MINUTE") + f""",
+  {name} AS (SELECT * EXCLUDE (is_late) FROM judged WHERE NOT is_late)"""
+
+
+_LATE_IDS = "SELECT id, true AS is_late FROM judged WHERE is_late"
+_LATE_WIRE = _WIRE.replace("  flow AS (", "  flow_all AS (").replace(
+    "  seen AS (", "  " + _judged("flow_all", "sent_at", 240, "id % 40 = 0", "INTERVAL 10 SECOND")
+    + ",\n  flow AS (SELECT * FROM judged WHERE NOT is_late),\n  seen AS (")
+
+
+def _part(relation: str, source: str, keys: str, *numbers: str) -> str:
+    names = (*numbers, "0", "0", "0")[:3]
+    columns = ", ".join(f"CAST(coalesce({n}, 0) AS BIGINT) AS n{i}" for i, n in enumerate(names))
+    text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys.split())
+    return f"SELECT '{relation}' AS relation, {text} AS key, {columns} FROM {source}"
+
+
+_LOGGED = """auth_logged AS (SELECT seq AS id, resp_ts AS ts, CAST((epoch_us(resp_ts) - epoch_us(req_ts)) // 1000 AS INTEGER) AS latency_ms,
+    username, result_code AS result, coalesce(reason_zh, '') AS reason_zh, mac_addr, nas_ip, nas_port, nas_identifier, nas_port_id,
+    framed_ip, src_ip FROM paired),
+  bucketed AS (SELECT *, time_bucket(INTERVAL 10 MINUTE, ts) AS bucket_start FROM auth_logged)"""
+_REQUESTS = "count(*) AS r, count(*) FILTER (result = 2) AS a, count(*) FILTER (result = 3) AS j"
+_TABLES = "\nUNION ALL ".join([
+    _part("auth_log", "auth_logged", "id username reason_zh", "result", "latency_ms"),
+    _part("acct_log", "acct_kept", "seq username acct_session_id", "acct_status_type", "input_octets"),
+    _part("aaa_events", f"(SELECT event_type, username, count(*) AS n, sum(input_delta) AS d, sum(result_code) AS c FROM ({_EVENTS}) GROUP BY 1, 2)",
+          "event_type username", "n", "d", "c"),
+    _part("auth_stat_10m", f"(SELECT bucket_start, {_REQUESTS} FROM bucketed GROUP BY 1)", "bucket_start", "r", "a", "j"),
+    _part("auth_nas_10m", f"(SELECT bucket_start, coalesce(nas_ip, '') AS nas_ip, {_REQUESTS} FROM bucketed GROUP BY 1, 2)", "bucket_start nas_ip", "r", "a", "j"),
+    _part("auth_user_10m", f"(SELECT bucket_start, username, {_REQUESTS}, {_MAIN} FROM bucketed GROUP BY 1, 2)", "bucket_start username main_reason", "r", "a", "j"),
+    _part("auth_user_mac_10m", f"""(SELECT bucket_start, username, coalesce(mac_addr, '') AS mac_addr, {_REQUESTS},
+      arg_max(nas_port_id, (ts, id)) FILTER (nas_port_id IS NOT NULL) AS nas_port_id FROM bucketed GROUP BY 1, 2, 3)""",
+          "bucket_start username mac_addr nas_port_id", "r", "a", "j"),
+    _part("auth_rollup_10m", f"""(SELECT bucket_start, username, src_ip, mac_addr, nas_port_id, result, {_REQUESTS},
+      max((ts, id, framed_ip))[3] AS framed_ip FROM bucketed GROUP BY 1, 2, 3, 4, 5, 6)""",
+          "bucket_start username src_ip mac_addr nas_port_id result framed_ip", "r", "a", "j"),
+    _part("auth_reason_10m", "(SELECT bucket_start, result, reason_zh, count(*) AS r FROM bucketed GROUP BY 1, 2, 3)", "bucket_start result reason_zh", "r"),
+    _part("auth_rollup_states", """(SELECT bucket_start, username, coalesce(mac_addr, '') AS mac_addr, coalesce(nas_ip, '') AS nas_ip, reason_zh,
+      count(*) AS r, count(*) FILTER (result = 2) AS a, count(*) FILTER (result = 11) AS c FROM bucketed GROUP BY 1, 2, 3, 4, 5)""",
+          "bucket_start username mac_addr nas_ip reason_zh", "r", "a", "c"),
+    _part("acct_rollup_1h", """(SELECT date_trunc('hour', ts) AS bucket, username, coalesce(mac_addr, '') AS mac_addr, coalesce(nas_ip, '') AS nas_ip,
+      sum(input_delta) AS b, count(*) FILTER (acct_status_type = 1) AS s, count(DISTINCT nullif(acct_session_id, '')) AS d
+      FROM deltas GROUP BY 1, 2, 3, 4)""", "bucket username mac_addr nas_ip", "b", "s", "d"),
+])
+
+ORDERED = {
+    "late_deltas": _with(_acct("acct_all"), _on_time("acct"), _DELTAS, body=f"""SELECT id, input_total, output_total,
+      input_delta, output_delta, counter_rollback, false AS is_late FROM deltas
+      UNION ALL BY NAME {_LATE_IDS}"""),
+    "late_sample": "WITH RECURSIVE " + ",\n".join([_acct("acct_all", factor=600), _on_time("acct", 24), _INTERIM]) + f"""
+      SELECT id, ts, username, acct_status_type, false AS is_late FROM acct
+      WHERE acct_status_type <> 3 OR id IN (SELECT id FROM kept)
+      UNION ALL BY NAME {_LATE_IDS}""",
+    "late_pair": _with(_auth(), _LATE_WIRE, body="""SELECT s.seq, a.seq IS NOT NULL AS is_matched,
+      s.is_request AND coalesce(s.n_at - s.sent_at > INTERVAL 30 SECOND, true) AS is_expired, false AS is_late
+      FROM seen s LEFT JOIN answered a USING (seq)
+      UNION ALL BY NAME SELECT seq, true AS is_late FROM judged WHERE is_late"""),
+    "late_rollup": _with(_auth("auth_all"), _on_time("auth"), _USER10, body=f"""SELECT * FROM users
+      UNION ALL BY NAME SELECT {_BUCKET} AS bucket_start, count(*) AS late_rows FROM judged WHERE is_late GROUP BY 1"""),
+    "late_spans": STATEFUL["event_spans"].replace(_auth(factor=600), ",\n".join([_auth("auth_all", factor=600), _on_time("auth", 24)])),
+    "stream_ingest": _with_recursive(
+        _auth(), _acct(), _WIRE, _PAIRED, _ACCT_WIRE, _CONTROL_WIRE, _INTERIM_60, _KEPT,
+        _KEPT_DELTAS, _LOGGED, body=_TABLES),
+    "acct_rollup_1h_stored": _with_recursive(_acct(), _ACCT_WIRE, _INTERIM_60, _KEPT, _KEPT_DELTAS, body="""
+      SELECT date_trunc('hour', ts) AS bucket, username, coalesce(mac_addr, '') AS mac_addr, coalesce(nas_ip, '') AS nas_ip,
+        count(DISTINCT nullif(acct_session_id, '')) AS sessions, true AS is_near FROM deltas GROUP BY 1, 2, 3, 4"""),
+}
+
 # Reports over stored tables give what they give over the rows that were stored.
 STORED = {
+    "recent_stored": AUTH["recent"].replace(_auth(), _auth(factor=1)).replace("LIMIT 100", "LIMIT 700"),
+    "ingest_status_stored": AUTH["ingest_status"].replace(_auth(), _auth(factor=1)).replace(_acct(), _acct(factor=1)),
+    "risk_accounts_pages": _with(_auth(), _USER10, f"""hits AS (SELECT username,
+      {_sums(total_cnt='request_count', reject_cnt='reject_count', accept_cnt='accept_count')},
+      max(last_seen) AS last_seen FROM users WHERE bucket_start >= {_since(24)} GROUP BY 1
+      HAVING sum(request_count) > 30),
+      ranked AS (SELECT *, row_number() OVER (ORDER BY reject_cnt DESC, total_cnt DESC, last_seen DESC, username) AS rank FROM hits)""",
+      body="""SELECT CAST((rank - 1) // 30 + 1 AS INTEGER) AS page, CAST((rank - 1) % 30 + 1 AS INTEGER) AS page_rank, username, total_cnt, reject_cnt,
+        accept_cnt, last_seen, CAST(NULL AS BIGINT) AS total, CAST(NULL AS BOOLEAN) AS has_next FROM ranked WHERE rank <= 90
+      UNION ALL BY NAME SELECT CAST(p AS INTEGER) AS page, 0 AS page_rank, (SELECT count(*) FROM hits) AS total,
+        (SELECT count(*) FROM hits) > last AS has_next FROM (VALUES (1, 30), (2, 60), (3, 90), (99, 1000000)) v(p, last)"""),
+    "compacted_store": _with(_auth(factor=1), _USER10, body=f"""SELECT u.*, b.before_count FROM users u LEFT JOIN (
+      SELECT {_BUCKET} AS bucket_start, username, count(*) AS before_count FROM auth WHERE id % 3 < 2 GROUP BY 1, 2) b
+      USING (bucket_start, username)"""),
+    "retention_border": _with(_auth(factor=1), _acct(factor=1), body="""SELECT 'auth_log' AS relation, id, ts FROM auth
+      WHERE ts >= TIMESTAMP '2024-01-15 12:00:00' UNION ALL SELECT 'acct_log', id, ts FROM acct WHERE ts >= TIMESTAMP '2024-01-05 12:00:00'"""),
     "retention_stored": _with(_auth(factor=1), body="SELECT id, ts FROM auth WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'"),
     "range_stored": _with(_auth(factor=1), body="""SELECT CAST(ts AS DATE) AS dt, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
       FROM auth WHERE ts >= TIMESTAMP '2024-01-05 12:00:00' AND ts < TIMESTAMP '2024-01-25 12:00:00' GROUP BY 1"""),
@@ -618,5 +714,5 @@ def _narrowed(name: str, sql: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    every = {**AUTH, **ACCOUNTING, **STATEFUL, **DECODING, **STREAMING, **STORED}
+    every = {**AUTH, **ACCOUNTING, **STATEFUL, **DECODING, **STREAMING, **ORDERED, **STORED}
     return {name: _narrowed(name, sql) for name, sql in every.items()}

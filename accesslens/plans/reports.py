@@ -6,12 +6,12 @@ literals, so they prune partitions and reach the Parquet scan. Sort orders end i
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from accesslens.functions import times
 from accesslens.functions.counters import octet_total
 from accesslens.functions.text import normalize_mac, strip
-from accesslens.operators.latest import latest_per_session, newest
+from accesslens.operators.latest import latest_per_session, newest, newest_value
 
 _RECENT = [
     "username", "raw_username", "result", "reason_zh", "mac_addr", "nas_ip", "nas_identifier",
@@ -211,6 +211,45 @@ def risk_accounts(
     ).orderBy("page_rank")
 
 
+Cursor = tuple[int, int, datetime, str]
+
+
+def risk_accounts_after(
+    user10m: DataFrame, now: datetime, after: Cursor | None = None, hours: int = 24, start: date | None = None,
+    end: date | None = None, page_size: int = 100, min_count: int = 100, valid_from=None,
+) -> DataFrame:
+    """The page of accounts behind a cursor: the last row of the page before, as (reject_cnt, total_cnt, last_seen,
+    username); the first page without one.
+
+    Any page costs the same: the cursor is a predicate, and each task keeps one page at most. Row 0 of a page is a
+    summary that exists for empty pages, too: ``total``, the number of all such accounts, and ``has_next``.
+    """
+    size = times.at_least(page_size, 1, "page_size")
+    window = times.in_report_window(F.col("bucket_start"), now, hours, start, end, valid_from, day=times.stored_day(user10m))
+    totals = user10m.filter(window).groupBy("username").agg(
+        F.sum("request_count").alias("total_cnt"), F.sum("reject_count").alias("reject_cnt"),
+        F.sum("accept_count").alias("accept_cnt"), F.max("last_seen").alias("last_seen"),
+    ).filter(F.col("total_cnt") > times.at_least(min_count, 0, "min_count"))
+    behind = F.lit(True)
+    if after is not None:
+        rejects, requests, seen, name = after
+        place = F.struct(-F.col("reject_cnt"), -F.col("total_cnt"), -times.epoch_ms(F.col("last_seen")), F.col("username"))
+        cursor = F.struct(F.lit(-rejects).cast("bigint"), F.lit(-requests).cast("bigint"), -times.epoch_ms(times.ntz(seen)), F.lit(name))
+        behind = place > cursor
+    order = [F.desc("reject_cnt"), F.desc("total_cnt"), F.desc("last_seen"), F.asc("username")]
+    rows = totals.filter(behind).orderBy(*order).limit(size)  # a page of rows from here on
+    ranked = rows.withColumn("page_rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
+    summary = totals.agg(F.count("*").alias("total"), (F.count_if(behind) > size).alias("has_next"))
+    return ranked.unionByName(summary.withColumn("page_rank", F.lit(0)), allowMissingColumns=True).select(
+        "page_rank", "username", "total_cnt", "reject_cnt", "accept_cnt", "last_seen", "total", "has_next")
+
+
+def cursor_of(page: DataFrame) -> Cursor | None:
+    """The cursor for the page behind this one; None if this one is empty."""
+    last = page.filter("page_rank > 0").orderBy(F.desc("page_rank")).limit(1).collect()
+    return (last[0].reject_cnt, last[0].total_cnt, last[0].last_seen, last[0].username) if last else None
+
+
 def _terminals(user_mac10m: DataFrame, window) -> DataFrame:
     return user_mac10m.filter(window & (F.col("mac_addr") != ""))
 
@@ -317,8 +356,9 @@ def ingest_status(stat10m: DataFrame, acct: DataFrame, now: datetime) -> DataFra
     def lag(c: str):
         return (times.ntz(now) - F.col(c)).cast("interval second").cast("bigint")
 
-    both = stat10m.agg(F.max("last_seen").alias("last_response_ts")).withColumn(
-        "last_accounting_ts", acct.agg(F.max("ts")).scalar()
+    # Times of a row lie within the bucket, or on the day, that the table is stored by.
+    both = newest_value(stat10m, "last_seen").withColumnRenamed("last_seen", "last_response_ts").withColumn(
+        "last_accounting_ts", newest_value(acct, "ts").scalar()
     )
     return both.select(
         times.ntz(now).alias("db_now"), "last_response_ts",

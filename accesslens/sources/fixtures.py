@@ -8,7 +8,7 @@ makes the DuckDB comparison possible.
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from accesslens.constants import REPLY_REASONS
 from accesslens.functions.keys import reply_reason
@@ -103,6 +103,18 @@ def with_duplicates(df: DataFrame, id_col: str = "id") -> DataFrame:
     return df.unionByName(df.filter(f"{id_col} % 50 = 0"))
 
 
+def delivered(rows: DataFrame, path: str, ts: str = "ts", minutes: int = 240, key: str = "id", delayed: str = "{key} % 40 = 0") -> None:
+    """Store rows as slices of the time axis, a file each, in the order in which a stream gets them. Rows for which
+    ``delayed`` holds come one slice later."""
+    late = delayed.format(key=key, ts=ts)
+    piece = f"cast(floor(cast(cast({ts} - {_BASE} AS INTERVAL SECOND) AS DECIMAL(20, 6)) / {minutes * 60}) + if({late}, 1, 0) AS INT)"
+    sliced = rows.withColumn("slice", F.expr(piece)).persist()
+    numbers = [r[0] for r in sliced.select("slice").distinct().orderBy("slice").collect()]
+    for number in numbers:
+        sliced.filter(F.col("slice") == number).drop("slice").coalesce(1).write.mode("append").parquet(path)
+    sliced.unpersist()
+
+
 def snapshots(auth: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Terminal-path snapshots, one per hour and terminal seen in it, and their batches.
 

@@ -56,17 +56,20 @@ def store_partial(partial: DataFrame, path: str, batch_id: int | str, bucket: st
 
 
 def load_partials(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """Stored partials with their day ``dt``, on which filters prune directories."""
     rows = spark.read.parquet(path)
     if since is not None:
         rows = rows.filter(F.col("dt") >= F.lit(since))
-    return rows.drop("dt", "batch")
+    return rows.drop("batch")
 
 
 def load_rollup(spark: SparkSession, path: str, rollup: Rollup, since: date | None = None) -> DataFrame:
-    """The rollup as of all stored batches: partials folded on read."""
-    return final(rollup, rollup.merge(load_partials(spark, path, since)))
+    """The rollup as of all stored batches: partials folded on read. Its day ``dt`` stays a column, so the range of a
+    report reaches the directories."""
+    by_day = rollup.by_day()
+    return final(by_day, by_day.merge(load_partials(spark, path, since)))
 
 
 def compact_rollup(spark: SparkSession, source: str, target: str, rollup: Rollup, bucket: str = "bucket_start") -> None:
     """Fold all stored batches into one, in a new place, for readers to switch to."""
-    store_partial(rollup.merge(load_partials(spark, source)), target, "compacted", bucket)
+    store_partial(rollup.merge(load_partials(spark, source).drop("dt")), target, "compacted", bucket)
