@@ -659,7 +659,7 @@ ORDERED = {
     "stream_ingest": _with_recursive(
         _auth(), _acct(), _WIRE, _PAIRED, _ACCT_WIRE, _CONTROL_WIRE, _INTERIM_60, _KEPT,
         _KEPT_DELTAS, _LOGGED, body=_TABLES),
-    "acct_rollup_1h_stored": _with_recursive(_acct(), _ACCT_WIRE, _INTERIM_60, _KEPT, _KEPT_DELTAS, body="""
+    "acct_rollup_1h_stored": _with(_acct(), _DELTAS, body="""
       SELECT date_trunc('hour', ts) AS bucket, username, coalesce(mac_addr, '') AS mac_addr, coalesce(nas_ip, '') AS nas_ip,
         count(DISTINCT nullif(acct_session_id, '')) AS sessions, true AS is_near FROM deltas GROUP BY 1, 2, 3, 4"""),
 }

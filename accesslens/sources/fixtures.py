@@ -105,8 +105,8 @@ def with_duplicates(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 def delivered(rows: DataFrame, path: str, ts: str = "ts", minutes: int = 240, key: str = "id", delayed: str = "{key} % 40 = 0") -> None:
     """Store rows as slices of the time axis, a file each, in the order in which a stream gets them. Rows for which
-    ``delayed`` holds come one slice later."""
-    late = delayed.format(key=key, ts=ts)
+    ``delayed`` holds come one slice later; ``{us}`` there are microseconds since the start."""
+    late = delayed.format(key=key, us=f"cast(cast(({ts} - {_BASE}) * 1000000 AS INTERVAL SECOND) AS BIGINT)")
     piece = f"cast(floor(cast(cast({ts} - {_BASE} AS INTERVAL SECOND) AS DECIMAL(20, 6)) / {minutes * 60}) + if({late}, 1, 0) AS INT)"
     sliced = rows.withColumn("slice", F.expr(piece)).persist()
     numbers = [r[0] for r in sliced.select("slice").distinct().orderBy("slice").collect()]

@@ -26,7 +26,7 @@ _ENTRY = T.StructType([
     T.StructField("covers", T.ArrayType(T.StringType())), T.StructField("layout", T.StringType()),
     T.StructField("by_day", T.BooleanType()), T.StructField("mark", T.TimestampNTZType()),
 ])
-ADD, REPLACE, FOLD, NOTE = "add", "replace", "fold", "note"
+ADD, REPLACE, FOLD, DROP, NOTE = "add", "replace", "fold", "drop", "note"
 
 
 @dataclass
@@ -79,6 +79,9 @@ class TableSet:
                 for c in e.covers:
                     if c in s.commits:
                         s.commits[c] = max(e.until, s.commits[c] or e.until)
+            if e.kind == DROP:
+                for c in e.covers:
+                    s.commits.pop(c, None)
             if e.commit:
                 s.commits[e.commit] = None
         return found
@@ -176,12 +179,12 @@ class TableSet:
         """Empty the directories of commits that no longer count at all; returns how many. Not while an older state is
         still being read."""
         state = self._states().get(relation, _State())
-        base, emptied = f"{self.path}/tables/{relation}", 0
-        for commit in [*state.retired, *(c for c, s in state.commits.items() if s is not None)]:
-            only = _State(state.layout, state.by_day, {commit: state.commits.get(commit)})
-            if commit in state.retired or self._read(relation, only).isEmpty():
-                nothing = self.spark.createDataFrame([], T.StructType.fromJson(json.loads(state.layout)))
-                nothing.write.mode("overwrite").parquet(f"{base}/commit={commit}")
-                emptied += 1
-        return emptied
-
+        only = lambda c: _State(state.layout, state.by_day, {c: state.commits[c]})
+        over = [c for c, since in state.commits.items() if since is not None and self._read(relation, only(c)).isEmpty()]
+        if over:
+            self._publish(None, [(relation, DROP, None, None, over, state.layout, state.by_day)])
+        nothing = [*sorted(state.retired), *over]
+        for commit in nothing:
+            empty = self.spark.createDataFrame([], T.StructType.fromJson(json.loads(state.layout)))
+            empty.write.mode("overwrite").parquet(f"{self.path}/tables/{relation}/commit={commit}")
+        return len(nothing)
