@@ -46,6 +46,7 @@ class TableSet:
         self.spark, self.path = spark, path.rstrip("/")
         self._pending: list[tuple] = []
         self._known: list | None = None
+        self._working: list[tuple[str, T.StructType]] = []
 
     # --- The log --------------------------------------------------------------------------------
 
@@ -128,6 +129,19 @@ class TableSet:
         """Forget what was staged and not committed; no reader has seen it."""
         self._pending = []
 
+    def worked_out(self, rows: DataFrame) -> DataFrame:
+        """The rows, stored as working data and read again; ``tidy`` empties it."""
+        path = f"{self.path}/work/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        self._working.append((path, rows.schema))
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def tidy(self) -> None:
+        """Empty the working data, once nothing reads it any more."""
+        for path, schema in self._working:
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        self._working.clear()
+
     # --- Reading --------------------------------------------------------------------------------
 
     def read(self, relation: str, schema: T.StructType | None = None) -> DataFrame:
@@ -137,7 +151,8 @@ class TableSet:
         if state is None or not state.commits:
             if state is None and schema is None:
                 raise ValueError(f"there is no table {relation}")
-            return self.spark.createDataFrame([], schema or T.StructType.fromJson(json.loads(state.layout)))
+            # limit(0) lets the optimizer drop what is joined or united with it.
+            return self.spark.createDataFrame([], schema or T.StructType.fromJson(json.loads(state.layout))).limit(0)
         return self._read(relation, state)
 
     def _read(self, relation: str, state: _State) -> DataFrame:

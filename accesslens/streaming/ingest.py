@@ -27,25 +27,18 @@ def packets(ports: list[int] | None = None, sample_s: int = C.INTERIM_INTERVAL_S
     """The step that :func:`ordered.in_order` runs over rows of captured packets, ``ts="pkt_time"``."""
 
     def step(ready: DataFrame, turn: Turn) -> None:
-        decoded = ingest.decode_stage(ready, ports).persist()
-        acct = None
-        try:
-            auth = accounting.identifiable_auth(pairing.paired_records(exchanged(pairing.auth_packets(decoded), turn))).persist()
-            thin = thinned(accounting.identifiable_accounting(decode.project_accounting(decoded)), turn, sample_s, tie="seq")
-            acct = thin.persist()
-            control = accounting.identifiable_control(decode.project_control(decoded))
-            _store(turn, auth, acct, control, scale)
-            auth.unpersist()
-        finally:
-            if acct is not None:
-                acct.unpersist()
-            decoded.unpersist()
+        decoded = turn.once(ingest.decode_stage(ready, ports))
+        auth = turn.once(pairing.auth_packets(decoded))
+        acct = turn.once(accounting.identifiable_accounting(decode.project_accounting(decoded)))
+        control = accounting.identifiable_control(decode.project_control(decoded))
+        pairs = turn.once(accounting.identifiable_auth(pairing.paired_records(exchanged(auth, turn))))
+        _store(turn, pairs, thinned(acct, turn, sample_s, tie="seq"), control, scale)
 
     return step
 
 
 def _store(turn: Turn, auth: DataFrame, acct: DataFrame, control: DataFrame, scale: int) -> None:
-    log = detail.to_auth_log(auth)
+    log = turn.once(detail.to_auth_log(auth))
     turn.tables.stage(log, "auth_log", day="ts")
     turn.tables.stage(detail.to_acct_log(acct), "acct_log", day="ts")
     for spec in AUTH_ROLLUPS:
@@ -54,14 +47,12 @@ def _store(turn: Turn, auth: DataFrame, acct: DataFrame, control: DataFrame, sca
     def once(rows: DataFrame, ts: str, kind: str) -> DataFrame:
         return unseen(events.identify(rows), turn, ts, memory=f"seen_{kind}")
 
-    new = once(acct, "ts", "accounting").persist()
-    deltas = counted(new, turn, scale, tie="event_id").persist()
+    new = turn.once(once(acct, "ts", "accounting"))
+    deltas = turn.once(counted(new, turn, scale, tie="event_id"))
     turn.tables.stage(events.aaa_events(once(auth, "resp_ts", "auth"), deltas, once(control, "ts", "control")), "aaa_events", day="event_time")
     timed = deltas.withColumn("event_time", F.col("ts"))
     for spec in ACCT_ROLLUPS:
         turn.tables.stage(spec.partial(timed), spec.name, day=next(iter(spec.keys)))
-    deltas.unpersist()
-    new.unpersist()
 
 
 def rollup(tables: TableSet, spec: Rollup) -> DataFrame:

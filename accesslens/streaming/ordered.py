@@ -38,6 +38,10 @@ class Turn:
     tables: TableSet
     after: datetime | None
     until: datetime | None
+    def once(self, rows: DataFrame) -> DataFrame:
+        """Rows that the turn reads several times: stored beside the tables and read again, so they survive executors
+        and what follows has a short plan."""
+        return self.tables.worked_out(rows)
 
     def memory(self, relation: str, schema: T.StructType) -> DataFrame:
         return self.tables.read(relation, schema)
@@ -56,6 +60,13 @@ class Turn:
 Step = Callable[[DataFrame, Turn], None]
 
 
+def _turn(step: Step, ready: DataFrame, turn: Turn) -> None:
+    try:
+        step(ready, turn)
+    finally:
+        turn.tables.tidy()
+
+
 def take(rows: DataFrame, batch: object, tables: TableSet, step: Step, ts: str, delay: timedelta, interval: str = "10 minutes") -> None:
     """One micro-batch. Rows without a time are late, too."""
     if tables.has(batch):
@@ -78,7 +89,7 @@ def take(rows: DataFrame, batch: object, tables: TableSet, step: Step, ts: str,
         else:
             until = now - delay
             ready = F.col(ts) <= times.ntz(until)
-            step(open_.filter(ready), Turn(tables, None if mark is None else mark - delay, until))
+            _turn(step, open_.filter(ready), Turn(tables, None if mark is None else mark - delay, until))
             tables.stage(open_.filter(~ready), WAITING, replace=True)
         tables.commit(batch, now)
     finally:
@@ -92,7 +103,7 @@ def flush(tables: TableSet, step: Step, delay: timedelta) -> None:
     tables.discard()
     mark = tables.mark()
     waiting = tables.read(WAITING)
-    step(waiting, Turn(tables, None if mark is None else mark - delay, None))
+    _turn(step, waiting, Turn(tables, None if mark is None else mark - delay, None))
     tables.stage(waiting.limit(0), WAITING, replace=True)
     tables.commit("flush")
 
@@ -141,6 +152,7 @@ def thinned(ready: DataFrame, turn: Turn, interval_s: int = INTERIM_INTERVAL_SEC
     before = _remembered(turn, memory, keyed, ["sampling_key"], [ts, tie])
     both = ready.withColumn("is_old", F.lit(False)).unionByName(before.drop("sampling_key").withColumn("is_old", F.lit(True)))
     kept = accounting.sample_interim(both, interval_s, ts, tie).filter("NOT is_old").drop("is_old")
+    kept = turn.once(kept)
     again = kept.filter(accounting.sampled(kept)).withColumn("sampling_key", accounting.interim_key())
     turn.tables.stage(_newest(again, ["sampling_key"], [ts, tie]), memory)
     return kept
@@ -160,6 +172,7 @@ def exchanged(ready: DataFrame, turn: Turn, ttl_s: int = PAIRING_TTL_SECONDS, me
 def unseen(ready: DataFrame, turn: Turn, ts: str = "ts", hours: int = DEDUP_HOURS, memory: str = "seen") -> DataFrame:
     """Rows whose ``event_id`` hasn't come within the horizon. Remembers ids by day, so that old days aren't read."""
     once = accounting.dedup_events(ready)
+    once = turn.once(once)
     ids = once.select("event_id", F.col(ts).alias("seen_at"))
     known = turn.memory(memory, ids.schema)
     if turn.after is not None:
@@ -193,10 +206,9 @@ def rollup(spec: Rollup, width: timedelta = timedelta(minutes=10)) -> Step:
 
     def step(ready: DataFrame, turn: Turn) -> None:
         fresh = spec.partial(ready)
-        both = spec.merge(turn.memory(f"{spec.name}_open", fresh.schema), fresh).persist()
+        both = turn.once(spec.merge(turn.memory(f"{spec.name}_open", fresh.schema), fresh))
         turn.tables.stage(final(spec, both.filter(turn.passed(end))), spec.name, day=bucket)
         turn.tables.stage(both.filter(~turn.passed(end)), f"{spec.name}_open", replace=True)
-        both.unpersist()
 
     return step
 
@@ -215,10 +227,9 @@ def spans(gap_minutes: int = SPAN_GAP_MINUTES) -> Step:
         numbered = both.withColumn("opens", opens.cast("int")).withColumn("span", F.sum("opens").over(order)).drop("opens")
         last = F.max("piece").over(Window.partitionBy(*SPAN_KEYS, "span"))
         folding = replace(pieces, keys={**plain, "span": "span", "piece": "piece"})
-        folded = folding.merge(numbered.withColumn("piece", last)).drop("span").persist()
+        folded = turn.once(folding.merge(numbered.withColumn("piece", last)).drop("span"))
         closed = turn.passed(F.col("last_seen") + gap)
         turn.tables.stage(finish(replace(pieces, keys={**plain, "piece": "piece"}), folded.filter(closed)).drop("piece"), "spans", day="first_seen")
         turn.tables.stage(folded.filter(~closed), "spans_open", replace=True)
-        folded.unpersist()
 
     return step
