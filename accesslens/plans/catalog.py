@@ -506,6 +506,58 @@ def _stored_month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return tables.auth_log(spark, f"{base}/auth"), tables.acct_log(spark, f"{base}/acct"), sinks.load_rollup(spark, f"{base}/stat", rollups.STAT_10M)
 
 
+def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest records, written as CSV with a header and read back as text."""
+    path, auth = staging.scratch(spark), fixtures.auth_log(fixtures.events(spark, sf_dir))
+    sinks.export_csv(auth, path, 500)
+    names = ("ts first_seen last_seen request_count username raw_username result reason_zh mac_addr nas_ip nas_identifier "
+             "nas_port_id nas_port_type nas_port latency_ms reply_msg").split()
+    rows = spark.read.schema(", ".join(f"{n} string" for n in names)).option("header", True).option("enforceSchema", False).csv(path)
+    return rows.select(*[F.coalesce(n, F.lit("")).alias(n) for n in names])
+
+
+def _top_reject_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of dates, given in the wrong order, over a stored month: days outside aren't read."""
+    path, auth = staging.scratch(spark), fixtures.auth_log(fixtures.events(spark, sf_dir), factor=1)
+    sinks.store_partial(rollups.USER_10M.partial(auth), path, 0)
+    users = sinks.load_rollup(spark, path, rollups.USER_10M)
+    return reports.top_reject(users, NOW, start=date(2024, 1, 9), end=date(2024, 1, 5), limit=None)
+
+
+def _identifiable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which records name somebody: accounts, device reports and control records with names left out by turns."""
+    acct = fixtures.acct_log(fixtures.events(spark, sf_dir)).withColumns({
+        "username": F.expr("CASE id % 5 WHEN 0 THEN '' WHEN 1 THEN '(未匹配)' WHEN 2 THEN NULL ELSE username END"),
+        "nas_ip": F.expr("CASE WHEN id % 3 = 0 THEN nas_ip WHEN id % 3 = 1 THEN ' ' END"),
+        "src_ip": F.expr("CASE WHEN id % 4 = 0 THEN src_ip END"), "mac_addr": F.expr("CASE WHEN id % 7 = 0 THEN mac_addr END"),
+        "acct_session_id": F.expr("CASE WHEN id % 6 = 0 THEN acct_session_id END"),
+        "acct_status_type": F.expr("CASE WHEN id % 4 < 2 THEN 7 + 8 * (id % 2) ELSE acct_status_type END"),
+    })
+    kinds = {"auth": accounting.identifiable_auth, "accounting": accounting.identifiable_accounting, "control": accounting.identifiable_control}
+    found = [keep(acct).select("id", F.lit(kind).alias("kind")) for kind, keep in kinds.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def _multi_mac_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested list as text, in its order."""
+    macs = rollups.rollup_user_mac_10m(fixtures.auth_log(fixtures.events(spark, sf_dir)))
+    entry = lambda d: F.concat_ws("|", d["mac_addr"], d["total_cnt"].cast("string"), d["reject_cnt"].cast("string"), d["nas_port_id"])
+    return reports.multi_mac(macs, NOW, min_mac=3).select(
+        "username", "mac_count", "total_cnt", F.array_join(F.transform("mac_details", entry), ";").alias("details"))
+
+
+def _stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets that the watermark has passed when the input is through."""
+    auth = fixtures.auth_log(_stream_events(spark, sf_dir))
+    found = _drain(windows.stream_rollup(auth, rollups.USER_10M))
+    return rollups.final(rollups.USER_10M, found)
+
+
+def _stream_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    auth = fixtures.auth_log(_stream_events(spark, sf_dir), 600)
+    return _drain(windows.stream_spans(auth))
+
+
 def _recent_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.recent(_stored_month(spark, sf_dir)[0], 700)
 
@@ -532,6 +584,14 @@ def _risk_accounts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STORED: dict[str, Query] = {
     "recent_stored": _recent_stored,
+    "export_csv": _export_csv,
+    "top_reject_range": _top_reject_range,
+    "identifiable": _identifiable,
+    "multi_mac_nested": _multi_mac_nested,
+    "stream_rollup": _stream_rollup,
+    "stream_spans": _stream_spans,
+    "port_filter": lambda spark, sf_dir: decode.filter_ports(decode.extract_udp(_frames(spark, sf_dir)), [1812, 51000]).select(
+        "seq", "src_port", "dst_port"),
     "ingest_status_stored": _ingest_status_stored,
     "risk_accounts_pages": _risk_accounts_pages,
     "compacted_store": _compacted_store,

@@ -668,6 +668,28 @@ ORDERED = {
 STORED = {
     "recent_stored": AUTH["recent"].replace(_auth(), _auth(factor=1)).replace("LIMIT 100", "LIMIT 700"),
     "ingest_status_stored": AUTH["ingest_status"].replace(_auth(), _auth(factor=1)).replace(_acct(), _acct(factor=1)),
+    "export_csv": _with(_auth(), body="""SELECT s AS ts, s AS first_seen, s AS last_seen, '1' AS request_count, username, raw_username, CAST(result AS VARCHAR) AS result,
+      coalesce(reason_zh, '') AS reason_zh, coalesce(mac_addr, '') AS mac_addr, nas_ip, nas_identifier, nas_port_id, CAST(nas_port_type AS VARCHAR) AS nas_port_type,
+      CAST(nas_port AS VARCHAR) AS nas_port, coalesce(CAST(latency_ms AS VARCHAR), '') AS latency_ms, reply_msg
+      FROM (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS s FROM auth ORDER BY ts DESC, id DESC LIMIT 500)"""),
+    "top_reject_range": AUTH["top_reject"].replace(_auth(), _auth(factor=1)).replace(
+        f"bucket_start >= {_since(24)}", "bucket_start >= TIMESTAMP '2024-01-05 00:00:00' AND bucket_start < TIMESTAMP '2024-01-10 00:00:00'").replace(" LIMIT 20", ""),
+    "identifiable": _with(_acct(), """named AS (SELECT id, CASE id % 5 WHEN 0 THEN '' WHEN 1 THEN '(未匹配)' WHEN 2 THEN '' ELSE username END NOT IN ('', '(未匹配)') AS who,
+        id % 4 < 2 AS device, id % 3 < 2 OR id % 4 = 0 AS reporter,
+        (id % 6 = 0 AND acct_session_id IS NOT NULL) OR (id % 7 = 0 AND mac_addr IS NOT NULL) OR id % 3 < 2 AS other,
+        id % 4 >= 2 AND acct_status_type = 7 AS device_anyway FROM acct)""", body="""SELECT id, 'auth' AS kind FROM named WHERE who
+      UNION ALL SELECT id, 'accounting' FROM named WHERE CASE WHEN device OR device_anyway THEN reporter ELSE who END
+      UNION ALL SELECT id, 'control' FROM named WHERE who OR other"""),
+    "multi_mac_nested": _with(_auth(), _USER_MAC10, _PER_MAC, _TOP_USERS, """details AS (SELECT username, mac_addr,
+        CAST(sum(total_cnt) AS BIGINT) AS t, CAST(sum(accept_cnt) AS BIGINT) AS a, CAST(sum(reject_cnt) AS BIGINT) AS r,
+        max(nas_port_id) AS p, max(last_seen) AS l FROM per_mac GROUP BY 1, 2)""", body="""SELECT u.username, u.mac_count, u.total_cnt,
+      (SELECT string_agg(concat_ws('|', mac_addr, t, r, p), ';' ORDER BY l DESC, mac_addr DESC) FROM details d WHERE d.username = u.username) AS details
+      FROM top_users u"""),
+    "stream_rollup": _with(_auth(), _USER10, body="""SELECT * FROM users
+      WHERE bucket_start + INTERVAL 10 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM auth)"""),
+    "stream_spans": STATEFUL["event_spans"] + " WHERE last_seen + INTERVAL 10 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM auth)",
+    "port_filter": _with(_auth(), _acct(), _WIRE, _LENGTHS, body="""SELECT seq, CAST(src_port AS INTEGER) AS src_port, CAST(dst_port AS INTEGER) AS dst_port
+      FROM lengths WHERE src_port IN (1812, 51000) OR dst_port IN (1812, 51000)"""),
     "risk_accounts_pages": _with(_auth(), _USER10, f"""hits AS (SELECT username,
       {_sums(total_cnt='request_count', reject_cnt='reject_count', accept_cnt='accept_count')},
       max(last_seen) AS last_seen FROM users WHERE bucket_start >= {_since(24)} GROUP BY 1

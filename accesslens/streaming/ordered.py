@@ -67,7 +67,7 @@ def _turn(step: Step, ready: DataFrame, turn: Turn) -> None:
         turn.tables.tidy()
 
 
-def take(rows: DataFrame, batch: object, tables: TableSet, step: Step, ts: str, delay: timedelta, interval: str = "10 minutes") -> None:
+def take(rows: DataFrame, batch: object, tables: TableSet, step: Step, ts: str, delay: timedelta, interval: timedelta = timedelta(minutes=10)) -> None:
     """One micro-batch. Rows without a time are late, too."""
     if tables.has(batch):
         return
@@ -82,7 +82,10 @@ def take(rows: DataFrame, batch: object, tables: TableSet, step: Step, ts: str,
             on_time &= F.col(ts) > times.ntz(mark - delay)
         late = rows.filter(~on_time)
         tables.stage(late, LATE)
-        tables.stage(late.groupBy(times.bucket(F.col(ts), interval).alias("interval")).agg(F.count("*").alias("late_rows")), LATE_COUNTS)
+        ms, width = times.epoch_ms(F.col(ts)), F.lit(int(interval.total_seconds() * 1000))
+        # Not F.window: that leaves out rows without a time.
+        counts = late.groupBy(times.from_epoch_ms(ms - F.pmod(ms, width)).alias("interval")).agg(F.count("*").alias("late_rows"))
+        tables.stage(counts, LATE_COUNTS)
         open_ = tables.read(WAITING, rows.schema).unionByName(rows.filter(on_time))
         if now is None:
             tables.stage(open_, WAITING, replace=True)
