@@ -20,6 +20,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{tempfile.gettempdir()}/accesslens-checkpoints"
 
 
+def named(column: str) -> str:
+    """A column's name in quotes, as names may hold dots and blanks."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def cut(rows: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows, written as Parquet under the shared folder and read again.
 

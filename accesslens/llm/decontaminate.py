@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from accesslens.llm import arrays
-from accesslens.llm.components import cut
+from accesslens.llm.components import cut, named
 
 WINDOW = 10
 SAMPLED = 8
@@ -234,9 +234,9 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     texts have no words, nor windows. Rows that repeat are judged each; a null key stays null. Empty
     tables give no rows, or rows without spans. With ``rest`` the other columns go along as a struct of this name.
     """
-    others = [docs[c] for c in docs.columns if c != text] if rest else [F.lit(0).alias("none")]
+    others = [docs[named(c)] for c in docs.columns if c != text] if rest else [F.lit(0).alias("none")]
     rows = docs.select(
-        F.struct(*others).alias("rest"), docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"),
+        F.struct(*others).alias("rest"), docs[named(key)].cast("long").alias("id"), docs[named(text)].cast("string").alias("text"),
         F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans"),
         F.array().cast("array<string>").alias("items"))
     whole = rows.schema

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslens.llm import arrays
-from accesslens.llm.components import components, cut
+from accesslens.llm.components import components, cut, named
 
 PERCENT = 85
 WORDS = 4
@@ -410,16 +410,16 @@ def _found_by_text(rows: DataFrame, doubled: DataFrame, percent: int, words: int
     of an id are joined at the end."""
     for seed in range(8):
         name = -(F.lit(1 << 62) + F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(1 << 62)))
-        named = rows.join(doubled.withColumn("several", F.lit(True)), "id", "left").select(
+        renamed = rows.join(doubled.withColumn("several", F.lit(True)), "id", "left").select(
             F.col("id").alias("whole"), F.when(F.col("several"), name).otherwise(F.col("id")).alias("id"), "text", "several")
-        same = cut(named.where("several").select("whole", "id", F.md5("text").alias("print")).distinct())
+        same = cut(renamed.where("several").select("whole", "id", F.md5("text").alias("print")).distinct())
         clash = same.groupBy("id").agg(F.min("print").alias("a"), F.max("print").alias("b"), F.min("whole").alias("c"), F.max("whole").alias("d")).where("a <> b OR c <> d")
         taken = rows.select("id").join(same.select("id"), "id", "left_semi")
         if clash.isEmpty() and taken.isEmpty():
             break
     else:
         raise ValueError("ids take up the names that texts would get")
-    own = named.select("id", "text")
+    own = renamed.select("id", "text")
     linked, _, between = _found(own, cut(_slim(own, words)), percent, words, spread)
     edges = linked.unionByName(between).unionByName(same.select(F.col("whole").alias("a"), F.col("id").alias("b")))
     found = cut(components(edges).join(same.select(F.col("id").alias("node"), F.lit(True).alias("name")), "node", "left"))
@@ -454,7 +454,7 @@ def one_each(docs: DataFrame, percent: int, words: int, key: str = "doc_id", tex
     """All columns of the documents that stay: of each component the one with the smallest key. Null keys stay."""
     linked = link(docs, percent, words, key, text)
     others = linked.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(others, key, "left_anti").select(*docs.columns)
+    return docs.join(others, key, "left_anti").select(*map(named, docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

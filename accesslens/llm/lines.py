@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
 from accesslens.llm import arrays
-from accesslens.llm.components import cut
+from accesslens.llm.components import cut, named
 from accesslens.llm.skew import attached
 
 ROLL = 2
@@ -82,11 +82,11 @@ class Texts:
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     """rest (the other columns), id, text and row: the MD5 of key and text, which rows that repeat share."""
-    others = [F.col(c) for c in docs.columns if c != text]
+    others = [F.col(named(c)) for c in docs.columns if c != text]
     rows = docs.select(
         F.struct(*others).alias("rest"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    named = F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))))
-    return rows.withColumn("row", F.coalesce(F.unhex(named), F.lit(bytearray())))
+    tag = F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))))
+    return rows.withColumn("row", F.coalesce(F.unhex(tag), F.lit(bytearray())))
 
 
 def _chunks(rows: DataFrame, roll: int, divisor: int) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
 from accesslens.llm import arrays
+from accesslens.llm.components import named
 from accesslens.llm.labelled import remainder, training_sample
 
 SAMPLE = 4000  # labelled documents to learn from, at most
@@ -196,7 +197,7 @@ def score(docs: DataFrame, model: Attention, text: str = "text", name: str = "sc
             yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     scored = docs.withColumn(name, F.arrow_udf(scores, "double", ArrowUDFType.SCALAR_ITER)(F.col(text).cast("string")))
-    return scored.select(*names, name) if name not in names else scored
+    return scored.select(*map(named, [*names, name])) if name not in names else scored
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Attention:

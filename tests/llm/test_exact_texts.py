@@ -120,6 +120,14 @@ def test_decontamination(spark, docs, nothing, block):
     assert decontaminate.find(docs, bench.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_columns_of_any_name_pass_through_decontamination(spark):
+    docs = spark.createDataFrame([(1, "the of and more", 2.5, [1]), (2, None, None, None)], "doc_id long, text string, `my col` double, `a.b` array<int>")
+    bench = spark.createDataFrame([(1, "the of")], "item_id long, text string")
+    kept = decontaminate.decontaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r["my col"]) for r in kept.collect()} == {(1, 2.5), (2, None)}
+
+
 def test_suffixes_and_ranks():
     import numpy as np
 

@@ -40,5 +40,5 @@ def test_stages_bear_awkward_documents(spark):
 
 def test_one_query_a_number():
     names = sorted(int(n[2:].split("_")[0]) for n in catalog.queries())
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
