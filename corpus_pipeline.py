@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslens.llm import bpe, decontaminate, jaccard, lines, quality
-from accesslens.llm.components import cut
+from accesslens.llm.components import cut, named
 
 LEAST_QUALITY = 0.3
 SIMILAR_PERCENT, SHINGLE_WORDS = 80, 5
@@ -34,7 +34,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     _small_batches(spark)
     model = quality.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     name = "score" + "_" * max(map(len, docs.columns))
-    return quality.score(docs, model, name=name).where(F.col(name) >= LEAST_QUALITY).select(*docs.columns)
+    return quality.score(docs, model, name=name).where(F.col(name) >= LEAST_QUALITY).select(*map(named, docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
