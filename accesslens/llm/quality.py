@@ -174,10 +174,15 @@ def fit(sample: DataFrame, most_passages: int = SAMPLE_PASSAGES) -> Attention:
     coded = sample.mapInArrow(encode, "id long, label int, n long, x binary").withColumn("total", F.sum("n").over(order))
     rows = coded.where(F.col("total") <= most_passages).orderBy("total", "id").select("label", "x").toArrow()
     size = SHAPES + PAIRS
-    bags = [np.frombuffer(x, np.float16).reshape(-1, size) for x in rows.column("x").to_pylist()]
-    labels = rows.column("label").to_numpy()
-    x = np.concatenate(bags).astype(np.float32) if bags else np.zeros((0, size), np.float32)
-    return train(x, np.r_[0, np.cumsum([len(b) for b in bags])].astype(np.int64), np.asarray(labels, np.float64))
+    labels = rows.column("label").to_numpy().astype(np.float64)
+    bags = [np.frombuffer(x.as_buffer(), np.float16).reshape(-1, size) for x in rows.column("x")]  # views, not copies
+    before = np.r_[0, np.cumsum([len(b) for b in bags])].astype(np.int64)
+    x = np.concatenate(bags, dtype=np.float32, casting="unsafe") if bags else np.zeros((0, size), np.float32)
+    del bags, rows
+    model = train(x, before, labels)
+    del x
+    arrays.release()  # the driver lives on
+    return model
 
 
 def score(docs: DataFrame, model: Attention, text: str = "text", name: str = "score") -> DataFrame:
