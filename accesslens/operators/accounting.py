@@ -25,17 +25,23 @@ def identifiable_auth(auth: DataFrame) -> DataFrame:
 
 def identifiable_accounting(acct: DataFrame) -> DataFrame:
     """Accounting records of known accounts, and device on/off reports of known devices."""
+    return acct.filter(known_accounting())
+
+
+def known_accounting() -> Column:
     device = F.col("acct_status_type").isin(ACCT_DEVICE_STATUSES)
     known_device = or_else(F.col("nas_ip"), F.col("src_ip")).isNotNull()
-    return acct.filter(
-        F.when(F.coalesce(device, F.lit(False)), known_device).otherwise(_named_user())
-    )
+    return F.when(F.coalesce(device, F.lit(False)), known_device).otherwise(_named_user())
 
 
 def identifiable_control(control: DataFrame) -> DataFrame:
     """Control records that name an account, a session, a terminal or an access server."""
+    return control.filter(known_control())
+
+
+def known_control() -> Column:
     other = or_else(F.col("acct_session_id"), F.col("mac_addr"), F.col("nas_ip"))
-    return control.filter(_named_user() | other.isNotNull())
+    return _named_user() | other.isNotNull()
 
 
 def business_only(df: DataFrame) -> DataFrame:
@@ -75,16 +81,27 @@ def sample_interim(
 
     The rule is greedy, so whether a row stays depends on all rows before it. To spread one busy
     session over many tasks its time line is cut into chunks. Each chunk is first summarised as a
-    step function "may keep again from" -> "may keep again from after this chunk"; the functions of
-    a session are chained, which gives every chunk its starting point; then chunks are thinned out
-    independently.
+    step function "may keep again from" -> "may keep again from after this chunk". The functions are
+    composed level by level into those of longer and longer spans; going back down, each span's start
+    gives the starts of its parts, and chunks are thinned out independently.
+
+    At most one row per session and slot of the interval's length stays, so a row meets its verdict
+    by session and slot.
     """
     if interval_s <= 0:
         return acct
-    kept = kept_interims(acct, interval_s, ts, tie, chunk_ms).select(tie)
-    flagged = acct.join(kept.withColumn("is_kept", F.lit(True)), tie, "left")
-    stays = ~sampled(acct) | F.coalesce("is_kept", F.lit(False))
-    return flagged.filter(stays).select(*acct.columns)
+    interval = int(interval_s) * 1000
+    slot = F.floor(F.col("ms") / interval).cast("bigint")
+    kept = kept_interims(acct, interval_s, ts, tie, chunk_ms).select(
+        F.col("key").alias("kept_key"), slot.alias("kept_slot"), F.col(tie).alias("kept_tie")
+    )
+    own = F.floor(times.epoch_ms(F.col(ts)) / interval).cast("bigint")
+    # Rows that aren't subject to the rule meet nothing; they are spread by their own number.
+    met = (F.col("kept_key") == F.when(sampled(acct), interim_key()).otherwise(F.lit(""))) & (
+        F.col("kept_slot") == F.when(sampled(acct), own).otherwise(F.xxhash64(F.col(tie)))
+    )
+    stays = ~sampled(acct) | F.coalesce(F.col("kept_tie") == F.col(tie), F.lit(False))
+    return acct.join(kept, met, "left").filter(stays).select(*acct.columns)
 
 
 def sampled(acct: DataFrame) -> Column:
@@ -97,11 +114,16 @@ def kept_interims(
     acct: DataFrame, interval_s: int = INTERIM_INTERVAL_SECONDS, ts: str = "ts", tie: str = "id",
     chunk_ms: int = _CHUNK_MS,
 ) -> DataFrame:
-    """Tie and time (epoch ms) of the interim updates that stay."""
-    interval = int(interval_s) * 1000
+    """Key, time (epoch ms) and tie of the interim updates that stay."""
     slim = acct.filter(sampled(acct)).select(
         interim_key().alias("key"), times.epoch_ms(F.col(ts)).alias("ms"), F.col(tie).alias("tie")
     )
+    return greedily_kept(slim, interval_s, chunk_ms).withColumnRenamed("tie", tie)
+
+
+def greedily_kept(slim: DataFrame, interval_s: int, chunk_ms: int = _CHUNK_MS) -> DataFrame:
+    """Of rows (key, ms, tie) those that stay."""
+    interval = int(interval_s) * 1000
     # Of rows at the same time only the first can stay.
     distinct = slim.groupBy("key", "ms").agg(F.min("tie").alias("tie"))
     chunk = F.floor(F.col("ms") / chunk_ms).cast("bigint")
@@ -109,16 +131,19 @@ def kept_interims(
         F.array_sort(F.collect_list(F.struct("ms", "tie"))).alias("rows")
     )
     starts = _chunk_starts(chunks.select("key", "chunk", F.col("rows.ms").alias("ms")), interval, chunk_ms)
-    entry = f"struct<ms: bigint, tie: {acct.schema[tie].dataType.simpleString()}>"
+    entry = f"struct<ms: bigint, tie: {slim.schema['tie'].dataType.simpleString()}>"
     kept = F.expr(
         f"""aggregate(rows, named_struct('resume', resume, 'kept', cast(array() AS array<{entry}>)),
           (s, r) -> if(r.ms >= s.resume,
             named_struct('resume', r.ms + {interval}L, 'kept', array_append(s.kept, r)), s),
           s -> s.kept)"""
     )
-    return chunks.join(starts, ["key", "chunk"]).select(F.inline(kept)).select(
-        "ms", F.col("tie").alias(tie)
-    )
+    return chunks.join(starts, ["key", "chunk"]).select("key", F.inline(kept))
+
+
+# Chunks of a span, and how many levels of spans there are: with chunks of two hours the topmost spans
+# are 85 days long, and only these are ever chained over a session's whole life.
+_FAN, _LEVELS = 32, 2
 
 
 def _chunk_starts(chunks: DataFrame, interval: int, chunk_ms: int) -> DataFrame:
@@ -140,12 +165,28 @@ def _chunk_starts(chunks: DataFrame, interval: int, chunk_ms: int) -> DataFrame:
                 break
             last = jumped
         first = min(int(np.searchsorted(t, reach)) + 1, n)
-        bound, resume = t[:first], t[last[:first]] + interval
+        return merged(t[:first], t[last[:first]] + interval)
+
+    def merged(bound: np.ndarray, resume: np.ndarray):
         ends = np.append(resume[1:] != resume[:-1], True)
         return bound[ends], resume[ends]
 
-    def chain_of(parts) -> list:
-        at, out = np.iinfo(np.int64).min, []
+    def composed_of(parts, unit: int):
+        """One step function for all parts in a row; it has no more steps than starts can tell apart."""
+        reach = int(parts[0]["chunk"]) * unit + interval
+        bound, resume = (np.asarray(parts[0]["f"][c], np.int64) for c in ("bound", "resume"))
+        for part in parts[1:]:
+            b, r = (np.asarray(part["f"][c], np.int64) for c in ("bound", "resume"))
+            step = np.searchsorted(b, resume)
+            moved = np.where(step < len(b), r[np.minimum(step, len(b) - 1)], resume)
+            # A start behind every row so far reaches this part as it is.
+            lower = np.maximum(np.append(bound[-1], b[:-1]), bound[-1])
+            rest = (b > bound[-1]) & (lower < reach)
+            bound, resume = merged(np.concatenate([bound, b[rest]]), np.concatenate([moved, r[rest]]))
+        return bound, resume
+
+    def chain_of(at, parts) -> list:
+        out = []
         for part in parts:
             out.append({"chunk": part["chunk"], "resume": at})
             f = part["f"]
@@ -154,22 +195,39 @@ def _chunk_starts(chunks: DataFrame, interval: int, chunk_ms: int) -> DataFrame:
                 at = int(f["resume"][step])
         return out
 
-    @F.pandas_udf("struct<bound: array<bigint>, resume: array<bigint>>")
-    def steps(chunk: pd.Series, ms: pd.Series) -> pd.DataFrame:
-        found = [
-            steps_of(np.asarray(t), int(c) * chunk_ms + interval) for c, t in zip(chunk, ms)
-        ]
+    def as_frame(found) -> pd.DataFrame:
         return pd.DataFrame({"bound": [f[0] for f in found], "resume": [f[1] for f in found]})
 
-    @F.pandas_udf("array<struct<chunk: bigint, resume: bigint>>")
-    def chain(parts: pd.Series) -> pd.Series:
-        return pd.Series([chain_of(p) for p in parts])
+    function = "struct<bound: array<bigint>, resume: array<bigint>>"
 
-    summary = chunks.select("key", "chunk", steps("chunk", "ms").alias("f"))
-    chained = summary.groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("chunk", "f"))).alias("parts")
-    )
-    return chained.select("key", F.inline(chain("parts")))
+    @F.pandas_udf(function)
+    def steps(chunk: pd.Series, ms: pd.Series) -> pd.DataFrame:
+        return as_frame([steps_of(np.asarray(t), int(c) * chunk_ms + interval) for c, t in zip(chunk, ms)])
+
+    @F.pandas_udf(function)
+    def composed(parts: pd.Series, unit: pd.Series) -> pd.DataFrame:
+        return as_frame([composed_of(p, int(u)) for p, u in zip(parts, unit)])
+
+    @F.pandas_udf("array<struct<chunk: bigint, resume: bigint>>")
+    def chain(at: pd.Series, parts: pd.Series) -> pd.Series:
+        return pd.Series([chain_of(int(a), p) for a, p in zip(at, parts)])
+
+    def in_order(functions: DataFrame, *by) -> DataFrame:
+        return functions.groupBy("key", *by).agg(F.array_sort(F.collect_list(F.struct("chunk", "f"))).alias("parts"))
+
+    functions, spans = chunks.select("key", "chunk", steps("chunk", "ms").alias("f")), []
+    for level in range(_LEVELS):
+        spans.append(in_order(functions, F.floor(F.col("chunk") / _FAN).cast("bigint").alias("span")))
+        unit = F.lit(chunk_ms * _FAN**level).cast("bigint")
+        functions = spans[-1].select("key", F.col("span").alias("chunk"), composed("parts", unit).alias("f"))
+    # No row has been kept before a session's first span.
+    earliest = F.lit(np.iinfo(np.int64).min).cast("bigint")
+    starts = in_order(functions).select("key", F.inline(chain(earliest, "parts")))
+    for parts in reversed(spans):
+        starts = parts.join(starts.withColumnRenamed("chunk", "span"), ["key", "span"]).select(
+            "key", F.inline(chain("resume", "parts"))
+        )
+    return starts
 
 
 # --- Counter deltas ---------------------------------------------------------------------------

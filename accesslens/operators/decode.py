@@ -242,14 +242,14 @@ def _identity(fallback_ip: Column) -> list[Column]:
     ]
 
 
-_IDENTITY = ["username", "raw_username", "subscriber_id", "nas_ip", "mac_addr"]
+IDENTITY = ["username", "raw_username", "subscriber_id", "nas_ip", "mac_addr"]
 
 
-def _with_identity(rows: DataFrame, fallback_ip: Column) -> DataFrame:
+def with_identity(rows: DataFrame, fallback_ip: Column) -> DataFrame:
     """Add who and where, worked out in a projection, which shares common parts, and then passed
     through a generator: accounting and control records are filtered on the account name, and the
     filter would otherwise repeat the most expensive column."""
-    columns = dict(zip(_IDENTITY, _identity(fallback_ip)))
+    columns = dict(zip(IDENTITY, _identity(fallback_ip)))
     found = rows.select("*", *[c.alias(f"found_{n}") for n, c in columns.items()])
     passed = F.struct(*[F.col(f"found_{n}").alias(n) for n in columns])
     return found.select(*rows.columns, F.inline_outer(F.array(passed)))
@@ -293,8 +293,8 @@ def project_response(decoded: DataFrame) -> DataFrame:
 def project_accounting(decoded: DataFrame) -> DataFrame:
     """Accounting requests."""
     rows = decoded.filter(f"NOT is_malformed AND code = {C.ACCOUNTING_REQUEST}")
-    return _with_identity(rows, F.col("src_ip")).select(
-        "seq", F.lit("accounting").alias("record_type"), *_IDENTITY, *_common(),
+    return with_identity(rows, F.col("src_ip")).select(
+        "seq", F.lit("accounting").alias("record_type"), *IDENTITY, *_common(),
         *[attr_text(a).alias(n) for n, a in _ACCT_TEXTS.items()],
         *[attr_uint(a).alias(n) for n, a in _ACCT_NUMBERS.items()],
         vsa_uint(C.VENDOR_ID, C.VSA_INPUT_AVERAGE_RATE).alias("input_average_rate"),
@@ -304,15 +304,19 @@ def project_accounting(decoded: DataFrame) -> DataFrame:
     )
 
 
+def access_server() -> Column:
+    """The end of a packet that is the access server: control requests travel towards it."""
+    return F.when(F.col("code").isin(40, 43), F.col("dst_ip")).otherwise(F.col("src_ip"))
+
+
 def project_control(decoded: DataFrame) -> DataFrame:
     """Disconnect and change-of-authorization packets.
 
     Requests of this kind travel towards the access server, answers come from it.
     """
     rows = decoded.filter(F.col("code").isin(C.CONTROL_CODES) & ~F.col("is_malformed"))
-    server = F.when(F.col("code").isin(40, 43), F.col("dst_ip")).otherwise(F.col("src_ip"))
-    return _with_identity(rows, server).select(
-        "seq", F.lit("control").alias("record_type"), *_IDENTITY, *_common(),
+    return with_identity(rows, access_server()).select(
+        "seq", F.lit("control").alias("record_type"), *IDENTITY, *_common(),
         *[attr_text(a).alias(n) for n, a in _ACCT_TEXTS.items()],
         attr_uint(C.ATTR_ERROR_CAUSE).alias("error_cause"),
         attr_uint(C.ATTR_EVENT_TIMESTAMP).alias("event_timestamp"),

@@ -24,8 +24,11 @@ _OVERRIDDEN_TEXTS = ["framed_ip", "framed_ip_netmask", "class_attr", "connect_in
 _OVERRIDDEN_NUMBERS = ["service_type", "framed_protocol"]
 
 
-def auth_packets(decoded: DataFrame) -> DataFrame:
-    """Requests and responses as one table of flow, time, and a struct for either role.
+def auth_packets(
+    decoded: DataFrame, request: list[Column] | None = None, response: list[Column] | None = None
+) -> DataFrame:
+    """Requests and responses as one table of flow, time, and a struct for either role, of all its
+    columns or of those given.
 
     A request comes from the client, so its source is the client; a response is the reverse. Both
     roles are cut out of one pass over the packets.
@@ -42,8 +45,8 @@ def auth_packets(decoded: DataFrame) -> DataFrame:
         "seq", F.col("pkt_time").alias("at"), "packet_identifier",
         end("src_ip", "dst_ip").alias("client_ip"), end("src_port", "dst_port").alias("client_port"),
         end("dst_ip", "src_ip").alias("server_ip"), end("dst_port", "src_port").alias("server_port"),
-        F.when(is_request, F.struct(*request_columns())).alias("request"),
-        F.when(~is_request, F.struct(*response_columns())).alias("response"),
+        F.when(is_request, F.struct(*(request or request_columns()))).alias("request"),
+        F.when(~is_request, F.struct(*(response or response_columns()))).alias("response"),
     )
 
 

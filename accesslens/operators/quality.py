@@ -1,5 +1,6 @@
 """Counters that describe the quality of the packet stream, per interval."""
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -22,31 +23,52 @@ def _counts(rows: DataFrame, at: str, interval: str, **flags: str) -> DataFrame:
     ])
 
 
+def packet_facts(datagrams: DataFrame) -> DataFrame:
+    """What the counters have to know of each datagram, from one walk over its attributes: endpoints, code,
+    account name, whether it is an accounting or a control record, and the session that sampling goes by."""
+    rows = decode.with_identity(decode.decode_packets(datagrams), decode.access_server()).withColumns({
+        "acct_status_type": decode.attr_uint(C.ATTR_ACCT_STATUS_TYPE),
+        "acct_session_id": decode.attr_text(C.ATTR_ACCT_SESSION_ID),
+        "framed_ip": decode.attr_ip(C.ATTR_FRAMED_IP),
+    })
+    whole = ~F.col("is_malformed")
+    is_accounting = whole & (F.col("code") == C.ACCOUNTING_REQUEST) & accounting.known_accounting()
+    is_control = whole & F.col("code").isin(C.CONTROL_CODES) & accounting.known_control()
+    return rows.select(
+        "seq", "pkt_time", "packet_identifier", "src_ip", "src_port", "dst_ip", "dst_port", "code", "is_malformed", "username",
+        F.coalesce(is_accounting, F.lit(False)).alias("is_accounting"), F.coalesce(is_control, F.lit(False)).alias("is_control"),
+        F.when(is_accounting & accounting.sampled(rows), accounting.interim_key()).alias("sampling_key"),
+    )
+
+
 def stream_quality(
     packets: DataFrame, interval: str = "10 minutes", ports: list[int] | None = None,
-    sample_s: int = C.INTERIM_INTERVAL_SECONDS,
+    sample_s: int = C.INTERIM_INTERVAL_SECONDS, keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per interval with capture, decode, pairing and sampling counters.
 
-    Every source of counters is reduced to one row per interval before they are brought together.
+    Every datagram becomes one narrow row of facts; pairing and sampling work on these. ``keep`` stores
+    them, so that packets are decoded once; without it they are decoded for each of the three readers.
+    Every reader's rows are reduced to one per interval before they are brought together.
     """
-    datagrams = decode.filter_ports(decode.extract_udp(packets), ports)
-    decoded = decode.decode_packets(datagrams)
-    exchanges = pairing.auth_exchanges(pairing.auth_packets(decoded))
+    facts = packet_facts(decode.filter_ports(decode.extract_udp(packets), ports))
+    facts = keep(facts) if keep else facts
+    exchanges = pairing.auth_exchanges(pairing.auth_packets(
+        facts, [F.col("username")], [F.col("code").alias("result_code")]
+    ))
     named = f"coalesce(matched.username, '') NOT IN ('', '{C.UNMATCHED_USER}')"
-    acct = accounting.identifiable_accounting(decode.project_accounting(decoded))
-    control = accounting.identifiable_control(decode.project_control(decoded))
-    kept = accounting.kept_interims(acct, sample_s, tie="seq").select(
-        times.from_epoch_ms(F.col("ms")).alias("ts")
+    updates = facts.filter("sampling_key IS NOT NULL").select(
+        F.col("sampling_key").alias("key"), times.epoch_ms(F.col("pkt_time")).alias("ms"), F.col("seq").alias("tie")
     )
-    thinned = acct.select("ts", accounting.sampled(acct).alias("thinned"))
     known = ", ".join(str(c) for c in C.CODE_NAMES)
     parts = [
         _counts(packets, "pkt_time", interval, captured_packets="true"),
         _counts(
-            decode.decode_header(datagrams), "pkt_time", interval, malformed_packets="is_malformed",
+            facts, "pkt_time", interval, malformed_packets="is_malformed",
             accounting_responses=f"NOT is_malformed AND code = {C.ACCOUNTING_RESPONSE}",
             unknown_codes=f"NOT is_malformed AND code NOT IN ({known})",
+            parsed_records="is_accounting OR is_control", control_records="is_control",
+            accounting_records="is_accounting AND sampling_key IS NULL", interim_sampled_out="sampling_key IS NOT NULL",
         ),
         _counts(
             exchanges, "at", interval, parsed_records=named, auth_records=named,
@@ -54,15 +76,14 @@ def stream_quality(
             unmatched_auth_responses="response IS NOT NULL AND matched IS NULL",
             expired_auth_requests="is_expired",
         ),
-        _counts(
-            thinned, "ts", interval, parsed_records="true", accounting_records="NOT thinned",
-            interim_sampled_out="thinned",
-        ),
-        # A kept update moves from the sampled-out count to the records.
-        _counts(kept, "ts", interval, accounting_records="true").withColumn(
-            "interim_sampled_out", -F.col("accounting_records")
-        ),
-        _counts(control, "ts", interval, parsed_records="true", control_records="true"),
     ]
+    if sample_s > 0:
+        kept = accounting.greedily_kept(updates, sample_s).select(times.from_epoch_ms(F.col("ms")).alias("ts"))
+    else:
+        kept = updates.select(times.from_epoch_ms(F.col("ms")).alias("ts"))
+    # A kept update moves from the sampled-out count to the records.
+    parts.append(_counts(kept, "ts", interval, accounting_records="true").withColumn(
+        "interim_sampled_out", -F.col("accounting_records")
+    ))
     rows = reduce(DataFrame.unionByName, parts)
     return rows.groupBy("metric_time").agg(*[F.sum(c).alias(c) for c in COUNTERS])

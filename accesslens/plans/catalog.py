@@ -11,7 +11,7 @@ from accesslens.operators import (
     terminal,
 )
 from accesslens.plans import ingest, reports
-from accesslens.sources import fixtures, packets, sinks, tables
+from accesslens.sources import fixtures, metrics, packets, sinks, tables
 from accesslens.sources.store import TableSet
 from accesslens.streaming import ingest as stream_ingest, ordered, stateful, windows, writes
 from accesslens.sources.fixtures import NOW
@@ -219,7 +219,7 @@ DECODING: dict[str, Query] = {
     "expired_requests": _over_decoded(
         lambda d: pairing.expired_requests(d).select("seq", "req_ts", "username", "src_ip")
     ),
-    "stream_quality": lambda spark, sf_dir: quality.stream_quality(_frames(spark, sf_dir)),
+    "stream_quality": lambda spark, sf_dir: quality.stream_quality(_frames(spark, sf_dir), keep=staging.staged),
     "decode_requests": _over_decoded(decode.project_request),
     "business_auth_log": lambda spark, sf_dir: accounting.business_only(
         tables.to_auth_log(pairing.pair_auth(_decoded(spark, sf_dir)))
@@ -442,6 +442,25 @@ def _compacted_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after.join(before, keys, "left")
 
 
+def _metric_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a month in two versions: the first of two thirds of the records, then all of the days up to the 20th
+    again; the second is delivered twice and the first half of the month compacted. The newest versions, from noon of the
+    3rd on."""
+    auth = fixtures.auth_log(fixtures.events(spark, sf_dir), factor=1)
+
+    def counters(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.window("ts", "10 minutes").getField("start").alias("metric_time")).agg(
+            F.count("*").alias("auth_records"), F.count_if(F.col("result") == 11).alias("challenge_records"))
+
+    found = TableSet(spark, staging.scratch(spark))
+    metrics.record(found, counters(auth.filter("id % 3 > 0")), "first", datetime(2024, 2, 1))
+    metrics.compact(found, date(2024, 1, 10))
+    for _ in range(2):
+        metrics.record(found, counters(auth.filter(F.col("ts") < times.ntz(datetime(2024, 1, 21)))), "second", datetime(2024, 2, 2))
+    metrics.compact(found, date(2024, 1, 16))
+    return metrics.current(found.refresh(), datetime(2024, 1, 3, 12))
+
+
 #: Days that each table is kept, in the named query.
 RETAIN = {"auth_log": 10, "acct_log": 20}
 
@@ -595,6 +614,7 @@ STORED: dict[str, Query] = {
     "ingest_status_stored": _ingest_status_stored,
     "risk_accounts_pages": _risk_accounts_pages,
     "compacted_store": _compacted_store,
+    "metric_versions": _metric_versions,
     "retention_border": _retention_border,
     "retention_stored": _retention_stored,
     "range_stored": _range_stored,

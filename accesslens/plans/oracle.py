@@ -699,6 +699,15 @@ STORED = {
         accept_cnt, last_seen, CAST(NULL AS BIGINT) AS total, CAST(NULL AS BOOLEAN) AS has_next FROM ranked WHERE rank <= 90
       UNION ALL BY NAME SELECT CAST(p AS INTEGER) AS page, 0 AS page_rank, (SELECT count(*) FROM hits) AS total,
         (SELECT count(*) FROM hits) > last AS has_next FROM (VALUES (1, 30), (2, 60), (3, 90), (99, 1000000)) v(p, last)"""),
+    "metric_versions": _with(_auth(factor=1), body="""SELECT metric_time,
+      sha256('metrics||' || strftime(metric_time, '%Y-%m-%d %H:%M:%S.%g')) AS event_id,
+      CASE WHEN metric_time < TIMESTAMP '2024-01-21' THEN every_n ELSE first_n END AS auth_records,
+      CASE WHEN metric_time < TIMESTAMP '2024-01-21' THEN every_c ELSE first_c END AS challenge_records,
+      CASE WHEN metric_time < TIMESTAMP '2024-01-21' THEN TIMESTAMP '2024-02-02' ELSE TIMESTAMP '2024-02-01' END AS ingested_at
+      FROM (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS metric_time, count(*) AS every_n,
+        count(*) FILTER (result = 11) AS every_c, count(*) FILTER (id % 3 > 0) AS first_n,
+        count(*) FILTER (id % 3 > 0 AND result = 11) AS first_c FROM auth GROUP BY 1)
+      WHERE metric_time >= TIMESTAMP '2024-01-03 12:00:00' AND (metric_time < TIMESTAMP '2024-01-21' OR first_n > 0)"""),
     "compacted_store": _with(_auth(factor=1), _USER10, body=f"""SELECT u.*, b.before_count FROM users u LEFT JOIN (
       SELECT {_BUCKET} AS bucket_start, username, count(*) AS before_count FROM auth WHERE id % 3 < 2 GROUP BY 1, 2) b
       USING (bucket_start, username)"""),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from accesslens.operators import accounting, retention, rollups, spans
 from accesslens.schemas import ACCT_LOG
-from accesslens.sources import fixtures
+from accesslens.sources import fixtures, metrics
 from accesslens.sources.store import TableSet
 from accesslens.streaming import ordered
 
@@ -141,3 +141,24 @@ def test_empty_streams(spark, tables):
     for batch in range(2):
         ordered.take(spark.createDataFrame([], ACCT_LOG), batch, tables, ordered.deltas(), "ts", timedelta(minutes=1))
     assert tables.read("late").count() == 0 and tables.mark() is None
+
+
+def test_newest_version_of_counters(spark, tables):
+    def counters(*found):
+        return spark.createDataFrame([(datetime(2024, 1, d, h), n) for d, h, n in found], "metric_time timestamp_ntz, auth_records long")
+
+    def seen(*bounds):
+        return sorted((r.metric_time.day, r.metric_time.hour, r.auth_records) for r in metrics.current(tables, *bounds).collect())
+
+    first = counters((1, 0, 5), (1, 12, 6), (2, 0, 7))
+    assert metrics.record(tables, first, "a", datetime(2024, 1, 3))
+    assert metrics.record(tables, counters((1, 12, 8)), "b", datetime(2024, 1, 4))
+    assert not metrics.record(tables, counters((1, 12, 9)), "b", datetime(2024, 1, 5))  # delivered again
+    assert metrics.record(tables, counters((2, 0, 1)), "c", datetime(2024, 1, 1))  # an older version comes late
+    assert metrics.record(tables, counters((2, 0, 30)), "d", datetime(2024, 1, 1), collector="other")
+    want = [(1, 0, 5), (1, 12, 8), (2, 0, 7), (2, 0, 30)]
+    assert seen() == want
+    metrics.compact(tables, date(2024, 1, 2))
+    assert seen() == want and tables.read(metrics.RELATION).filter("dt = '2024-01-01'").count() == 2
+    assert tables.read(metrics.RELATION).filter("dt = '2024-01-02'").count() == 3  # not folded yet
+    assert seen(datetime(2024, 1, 1, 12), datetime(2024, 1, 2)) == [(1, 12, 8)]
