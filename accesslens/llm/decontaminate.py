@@ -25,6 +25,7 @@ from accesslens.llm.components import cut, named
 WINDOW = 10
 SAMPLED = 8
 BLOCK_WORDS = 1_000_000
+SHARD_BYTES = 2 << 20  # of texts under one index
 
 
 class Windows:
@@ -250,7 +251,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
 def _task(fetch, text_too: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, lower, keep = fetch(), arrays.lower_table(), arrays.alphanumeric()
-        for batch in arrays.blocks(batches, "text"):
+        for batch in arrays.blocks(batches, "text", SHARD_BYTES):
             data, offsets = arrays.flat(batch.column("text"))
             low = lower[data]
             starts, ends, firsts = arrays.borders(low, offsets, keep)
@@ -312,7 +313,7 @@ def clean(found: DataFrame, text: str = "text") -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lower, keep = arrays.lower_table(), arrays.alphanumeric()
-        for batch in arrays.blocks(batches, text):
+        for batch in arrays.blocks(batches, text, SHARD_BYTES):
             texts, spans = batch.column(text).to_pylist(), batch.column("spans").to_pylist()
             data, offsets = arrays.flat(batch.column(text))
             starts, ends, firsts = arrays.borders(lower[data], offsets, keep)
