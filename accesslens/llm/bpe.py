@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from accesslens.llm import arrays
 
-KEPT_BYTES = 16 << 20  # of words and their ids kept by a task; beyond, it starts anew
+KEPT_BYTES = 32 << 20  # of words and their ids kept by a task; beyond, it starts anew
+BLOCK_BYTES = 2 << 20  # of texts whose words are replayed together
 SCHEMA = "id long, n_tokens long, ids binary, decoded binary"
 
 
@@ -189,7 +190,7 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str, tex
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = fetch()
         encoder, decoder = Encoder(merges, pattern), Decoder(merges.ids)
-        for batch in arrays.blocks(batches, "text", 1 << 20):
+        for batch in arrays.blocks(batches, "text", BLOCK_BYTES):
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(*made(batch.column("id"), list(encoder.encode(texts)), decoder))
 
