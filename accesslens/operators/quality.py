@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from accesslens import constants as C
 from accesslens.functions import times
-from accesslens.operators import accounting, decode, pairing
+from accesslens.operators import accounting, decode, pairing, staging
 
 COUNTERS = [
     "captured_packets", "parsed_records", "auth_records", "accounting_records", "control_records",
@@ -47,12 +47,12 @@ def stream_quality(
 ) -> DataFrame:
     """One row per interval with capture, decode, pairing and sampling counters.
 
-    Every datagram becomes one narrow row of facts; pairing and sampling work on these. ``keep`` stores
-    them, so that packets are decoded once; without it they are decoded for each of the three readers.
+    Every datagram becomes one narrow row of facts; pairing and sampling work on these. ``keep`` may store
+    them; without it their readers share a shuffle of them, and nothing runs here.
     Every reader's rows are reduced to one per interval before they are brought together.
     """
     facts = packet_facts(decode.filter_ports(decode.extract_udp(packets), ports))
-    facts = keep(facts) if keep else facts
+    facts = keep(facts) if keep else staging.shared(facts, "seq")
     exchanges = pairing.auth_exchanges(pairing.auth_packets(
         facts, [F.col("username")], [F.col("code").alias("result_code")]
     ))

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -18,6 +18,17 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows that several later steps of one query read. Nothing runs here: the rows are shuffled by ``keys`` (all
+    columns by default), and Spark uses the shuffle again for every reader.
+
+    It does so for equal shuffles only, and each reader would prune columns and push filters of its own below it. They
+    stop at the generator.
+    """
+    dealt = df.repartition(*[F.col(k) for k in keys or df.columns])
+    return dealt.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder next to the checkpoints, for the state and output of a streaming run."""
     return f"{_base(spark)}/{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from accesslens import constants as C
-from accesslens.operators import accounting, decode, events, pairing
+from accesslens.operators import accounting, decode, events, pairing, staging
 
 Keep = Callable[[DataFrame], DataFrame]
 
@@ -18,9 +18,11 @@ class Records:
     control: DataFrame
 
 
-def decode_stage(packets: DataFrame, ports: list[int] | None = None) -> DataFrame:
-    """Frames to decoded packets; a narrow projection, no shuffle."""
-    return decode.decode_packets(decode.filter_ports(decode.extract_udp(packets), ports))
+def decode_stage(packets: DataFrame, ports: list[int] | None = None, keep: Keep | None = None) -> DataFrame:
+    """Frames to decoded packets; a narrow projection, no shuffle unless ``keep`` makes one: it gets the datagrams,
+    whose attributes each kind of record walks for its own packets only."""
+    datagrams = decode.filter_ports(decode.extract_udp(packets), ports)
+    return decode.decode_packets(keep(datagrams) if keep else datagrams)
 
 
 def records(
@@ -28,14 +30,15 @@ def records(
 ) -> Records:
     """Identifiable records; interim updates are thinned out here, before any delta is taken.
 
-    The sampler reads accounting records twice. They are decoded twice, unless ``keep`` stores them
-    (such as ``staging.staged``, or a function that writes and rereads a table). Without it nothing
-    runs here.
+    The sampler reads accounting records several times. ``keep`` may store them (such as
+    ``staging.staged``, or a function that writes and rereads a table). Without it nothing runs
+    here, and readers share shuffles of the records where Spark finds them equal (:func:`staging.shared`).
     """
     acct = accounting.identifiable_accounting(decode.project_accounting(decoded))
+    kept = keep(acct) if keep else staging.shared(acct, "seq")
     return Records(
         accounting.identifiable_auth(pairing.pair_auth(decoded)),
-        accounting.sample_interim(keep(acct) if keep else acct, sample_s, tie="seq"),
+        accounting.sample_interim(kept, sample_s, tie="seq"),
         accounting.identifiable_control(decode.project_control(decoded)),
     )
 
@@ -46,5 +49,6 @@ def unified(rec: Records, scale: int = C.COUNTER_SCALE, keep: Keep | None = None
         return accounting.dedup_events(events.identify(df))
 
     acct = once(rec.accounting)
-    deltas = accounting.accounting_deltas(keep(acct) if keep else acct, scale, tie="event_id")
+    kept = keep(acct) if keep else staging.shared(acct, "event_id")
+    deltas = accounting.accounting_deltas(kept, scale, tie="event_id")
     return events.aaa_events(once(rec.auth), deltas, once(rec.control))
