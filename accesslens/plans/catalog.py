@@ -101,16 +101,26 @@ REPORTS: dict[str, Query] = {
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Encoding is heavy and the test file is one small split, so the rows are spread first.
-    width = spark.sparkContext.defaultParallelism
-    ev = fixtures.events(spark, sf_dir).repartition(width, "event_id")
-    return packets.capture(fixtures.all_rows(ev))
+    return packets.capture(fixtures.all_rows(_spread(fixtures.events(spark, sf_dir))))
+
+
+def _spread(ev: DataFrame) -> DataFrame:
+    """Encoding is heavy and splits are few, so the rows are dealt first: to as many tasks as shuffles have, which
+    grows with the cluster that an input needs, not only with its cores."""
+    spark = ev.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return ev.repartition(width, "event_id")
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.decode_stage(_frames(spark, sf_dir))
 
 
+def _decoded_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For several kinds of records: their readers share the datagrams."""
+    return ingest.decode_stage(_frames(spark, sf_dir), keep=lambda d: staging.shared(d, "seq"))
+
+
 def _over_decoded(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(_decoded(spark, sf_dir))
 
@@ -219,15 +229,15 @@ DECODING: dict[str, Query] = {
     "expired_requests": _over_decoded(
         lambda d: pairing.expired_requests(d).select("seq", "req_ts", "username", "src_ip")
     ),
-    "stream_quality": lambda spark, sf_dir: quality.stream_quality(_frames(spark, sf_dir), keep=staging.staged),
+    "stream_quality": lambda spark, sf_dir: quality.stream_quality(staging.shared(_frames(spark, sf_dir), "seq")),
     "decode_requests": _over_decoded(decode.project_request),
     "business_auth_log": lambda spark, sf_dir: accounting.business_only(
         tables.to_auth_log(pairing.pair_auth(_decoded(spark, sf_dir)))
     ).select("id", "username", "result"),
-    "event_views": _over_decoded(_event_views),
-    "aaa_events": _over_decoded(
-        lambda d: ingest.unified(ingest.records(d)).drop("event_id")
-    ),
+    "event_views": lambda spark, sf_dir: _event_views(_decoded_once(spark, sf_dir)),
+    "aaa_events": lambda spark, sf_dir: ingest.unified(
+        ingest.records(_decoded_once(spark, sf_dir))
+    ).drop("event_id"),
     "auth_log_from_packets": _over_decoded(
         lambda d: tables.to_auth_log(ingest.records(d).auth)
     ),
@@ -277,7 +287,7 @@ def _stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captured = packets.capture(fixtures.all_rows(_stream_events(spark, sf_dir)))
+    captured = packets.capture(fixtures.all_rows(_spread(_stream_events(spark, sf_dir))))
     return _drain(stateful.stream_pair(ingest.decode_stage(captured)))
 
 
@@ -305,10 +315,11 @@ def _in_order(
     rows: DataFrame, step: ordered.Step, ts: str = "ts", delay: timedelta = timedelta(minutes=10), **delivery,
 ) -> TableSet:
     spark, base = rows.sparkSession, staging.scratch(rows.sparkSession)
-    fixtures.delivered(rows, f"{base}/in", ts, **delivery)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    found = TableSet(spark, f"{base}/out")
-    ordered.in_order(stream, found, step, f"{base}/state", ts, delay).trigger(availableNow=True).start().awaitTermination()
+    stream, found = None, TableSet(spark, f"{base}/out")
+    for _ in fixtures.delivered(rows, f"{base}/in", ts, **delivery):
+        # A slice is many files, so it is delivered as the one micro-batch of all that is new.
+        stream = stream or spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        ordered.in_order(stream, found, step, f"{base}/state", ts, delay).trigger(availableNow=True).start().awaitTermination()
     ordered.flush(found, step, delay)
     return found
 
@@ -331,7 +342,7 @@ def _late_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _late_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = fixtures.events(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "event_id")
+    ev = _spread(fixtures.events(spark, sf_dir))
     decoded = ingest.decode_stage(packets.capture(fixtures.all_rows(ev.filter("event_type IN ('signup', 'purchase', 'error')"))))
     found = _in_order(pairing.auth_packets(decoded), ordered.pair(), "at", timedelta(seconds=10), key="seq", delayed="{key} div 8 % 40 = 0")
     return _with_late(found, found.read("exchanges").select(

@@ -6,6 +6,7 @@ buckets and spans hold several rows each. Every rule can be restated in plain SQ
 makes the DuckDB comparison possible.
 """
 
+from collections.abc import Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -103,15 +104,17 @@ def with_duplicates(df: DataFrame, id_col: str = "id") -> DataFrame:
     return df.unionByName(df.filter(f"{id_col} % 50 = 0"))
 
 
-def delivered(rows: DataFrame, path: str, ts: str = "ts", minutes: int = 240, key: str = "id", delayed: str = "{key} % 40 = 0") -> None:
-    """Store rows as slices of the time axis, a file each, in the order in which a stream gets them. Rows for which
-    ``delayed`` holds come one slice later; ``{us}`` there are microseconds since the start."""
+def delivered(rows: DataFrame, path: str, ts: str = "ts", minutes: int = 240, key: str = "id", delayed: str = "{key} % 40 = 0") -> Iterator[int]:
+    """Store rows as slices of the time axis, written by all their tasks, in the order in which a stream gets them; hands
+    out the number of each slice stored. Rows for which ``delayed`` holds come one slice later; ``{us}`` there are
+    microseconds since the start."""
     late = delayed.format(key=key, us=f"cast(cast(({ts} - {_BASE}) * 1000000 AS INTERVAL SECOND) AS BIGINT)")
     piece = f"cast(floor(cast(cast({ts} - {_BASE} AS INTERVAL SECOND) AS DECIMAL(20, 6)) / {minutes * 60}) + if({late}, 1, 0) AS INT)"
     sliced = rows.withColumn("slice", F.expr(piece)).persist()
     numbers = [r[0] for r in sliced.select("slice").distinct().orderBy("slice").collect()]
     for number in numbers:
-        sliced.filter(F.col("slice") == number).drop("slice").coalesce(1).write.mode("append").parquet(path)
+        sliced.filter(F.col("slice") == number).drop("slice").write.mode("append").parquet(path)
+        yield number
     sliced.unpersist()
 
 
