@@ -86,23 +86,31 @@ def decode_header(df: DataFrame) -> DataFrame:
     ))
 
 
+# Entries that the first pass over a list has room for; a second one, over what is left then, is mostly empty.
+_FEW = 16
+
+
 def _walk(data: str, start: int, entry: str, entry_type: str, least: int) -> str:
     """Fold over a type-length-value list that stops at the first bad length.
 
     ``start`` is the one-based position of the first entry's type byte and ``least`` the smallest
     valid length byte. The length of the next entry is read once and kept in the state. There are
-    at most half as many entries as bytes.
+    at most half as many entries as bytes, but mostly far fewer, and a fold can't end early: the
+    first pass takes ``_FEW`` steps, the second as many as the bytes behind it can need.
     """
     length_at = f"coalesce(cast({_uint_at(data, '{at}', 1)} AS INT), 0)"
-    return f"""aggregate(
-      if(length({data}) >= 2, sequence(1, length({data}) div 2), cast(array() AS ARRAY<INT>)),
-      named_struct('pos', {start}, 'len', {length_at.format(at=start)},
-        'out', cast(array() AS ARRAY<{entry_type}>)),
-      (s, i) -> if(s.len >= {least} AND s.pos + s.len - 1 <= length({data}),
+    going = f"s.len >= {least} AND s.pos + s.len - 1 <= length({data})"
+    step = f"""(s, i) -> if({going},
         named_struct('pos', s.pos + s.len, 'len', {length_at.format(at='s.pos + s.len')},
           'out', array_prepend(s.out, {entry})),
-        named_struct('pos', s.pos, 'len', 0, 'out', s.out)),
-      s -> s.out)"""
+        named_struct('pos', s.pos, 'len', 0, 'out', s.out))"""
+    nothing = "cast(array() AS ARRAY<INT>)"
+    first = f"""aggregate(
+      if(length({data}) >= 2, sequence(1, least({_FEW}, length({data}) div 2)), {nothing}),
+      named_struct('pos', {start}, 'len', {length_at.format(at=start)},
+        'out', cast(array() AS ARRAY<{entry_type}>)), {step})"""
+    return f"""get(transform(array({first}), s -> aggregate(
+      if({going}, sequence(1, (length({data}) - s.pos + 1) div 2), {nothing}), s, {step}, s -> s.out)), 0)"""
 
 
 _ATTR_TYPE = "STRUCT<t: INT, v: BINARY>"
@@ -157,7 +165,8 @@ def _value(attr: int) -> str:
 
 
 def _as_text(value: str) -> str:
-    return rf"regexp_replace(make_valid_utf8(cast({value} AS STRING)), '^\\x00+|\\x00+$', '')"
+    text = f"make_valid_utf8(cast({value} AS STRING))"
+    return rf"if(instr({text}, '\0') > 0, regexp_replace({text}, '^\\x00+|\\x00+$', ''), {text})"
 
 
 def attr_text(attr: int) -> Column:
@@ -230,6 +239,11 @@ def decode_packets(datagrams: DataFrame) -> DataFrame:
     return decode_vsa(decode_attributes(decode_header(datagrams)))
 
 
+def walked(packets: DataFrame) -> DataFrame:
+    """Packets with the lists of their attributes, whether they had them or only a header."""
+    return packets if "attrs" in packets.columns else decode_vsa(decode_attributes(packets))
+
+
 def _identity(fallback_ip: Column) -> list[Column]:
     raw = F.coalesce(attr_text(C.ATTR_USER_NAME), F.lit(""))
     subscriber = vsa_text(C.VENDOR_ID, C.VSA_SUBSCRIBER_ID)
@@ -280,20 +294,31 @@ def response_columns() -> list[Column]:
 
 def project_request(decoded: DataFrame) -> DataFrame:
     """Access requests with their identity and access attributes."""
-    rows = decoded.filter(f"NOT is_malformed AND code = {C.ACCESS_REQUEST}")
-    return rows.select(*request_columns())
+    return as_requests(decoded.filter(f"NOT is_malformed AND code = {C.ACCESS_REQUEST}"))
+
+
+def as_requests(packets: DataFrame, *also: str) -> DataFrame:
+    """Rows that are access requests, as :func:`request_columns`, behind the columns named in ``also``."""
+    found = with_identity(walked(packets), F.col("src_ip"))
+    return found.select(
+        *also, "seq", times.to_ms_precision(F.col("pkt_time")).alias("req_ts"), *IDENTITY, *_common(), *_ENDPOINTS,
+    )
 
 
 def project_response(decoded: DataFrame) -> DataFrame:
     """Access responses (accept, reject, challenge) with the attributes that may override the request."""
-    rows = decoded.filter(F.col("code").isin(C.AUTH_RESPONSE_CODES) & ~F.col("is_malformed"))
-    return rows.select(*response_columns())
+    return as_responses(decoded.filter(F.col("code").isin(C.AUTH_RESPONSE_CODES) & ~F.col("is_malformed")))
+
+
+def as_responses(packets: DataFrame, *also: str) -> DataFrame:
+    """Rows that are access responses, as :func:`response_columns`, behind the columns named in ``also``."""
+    return walked(packets).select(*also, *response_columns())
 
 
 def project_accounting(decoded: DataFrame) -> DataFrame:
     """Accounting requests."""
     rows = decoded.filter(f"NOT is_malformed AND code = {C.ACCOUNTING_REQUEST}")
-    return with_identity(rows, F.col("src_ip")).select(
+    return with_identity(walked(rows), F.col("src_ip")).select(
         "seq", F.lit("accounting").alias("record_type"), *IDENTITY, *_common(),
         *[attr_text(a).alias(n) for n, a in _ACCT_TEXTS.items()],
         *[attr_uint(a).alias(n) for n, a in _ACCT_NUMBERS.items()],
@@ -315,7 +340,7 @@ def project_control(decoded: DataFrame) -> DataFrame:
     Requests of this kind travel towards the access server, answers come from it.
     """
     rows = decoded.filter(F.col("code").isin(C.CONTROL_CODES) & ~F.col("is_malformed"))
-    return with_identity(rows, access_server()).select(
+    return with_identity(walked(rows), access_server()).select(
         "seq", F.lit("control").alias("record_type"), *IDENTITY, *_common(),
         *[attr_text(a).alias(n) for n, a in _ACCT_TEXTS.items()],
         attr_uint(C.ATTR_ERROR_CAUSE).alias("error_cause"),

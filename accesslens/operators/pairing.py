@@ -16,10 +16,15 @@ from accesslens import constants as C
 from accesslens.functions import times
 from accesslens.functions.keys import code_name, reply_reason
 from accesslens.functions.text import blank_to_null
-from accesslens.operators.decode import request_columns, response_columns
+from accesslens.operators import decode, staging
 
 _CHUNK_SECONDS = 300
 _FLOW = ["client_ip", "client_port", "server_ip", "server_port", "packet_identifier"]
+# What a packet is decoded from.
+_PACKET = [
+    "seq", "pkt_time", "code", "is_malformed", "packet_identifier", "packet_length", "src_ip", "dst_ip", "src_port",
+    "dst_port", "payload",
+]
 _OVERRIDDEN_TEXTS = ["framed_ip", "framed_ip_netmask", "class_attr", "connect_info"]
 _OVERRIDDEN_NUMBERS = ["service_type", "framed_protocol"]
 
@@ -38,6 +43,9 @@ def auth_packets(
         F.col("code").isin(C.ACCESS_REQUEST, *C.AUTH_RESPONSE_CODES) & ~F.col("is_malformed")
     )
 
+    if request is None or response is None:
+        rows = decode.walked(rows)
+
     def end(client: str, server: str) -> Column:
         return F.when(is_request, F.col(client)).otherwise(F.col(server))
 
@@ -45,11 +53,18 @@ def auth_packets(
         "seq", F.col("pkt_time").alias("at"), "packet_identifier",
         end("src_ip", "dst_ip").alias("client_ip"), end("src_port", "dst_port").alias("client_port"),
         end("dst_ip", "src_ip").alias("server_ip"), end("dst_port", "src_port").alias("server_port"),
-        F.when(is_request, F.struct(*(request or request_columns()))).alias("request"),
-        F.when(~is_request, F.struct(*(response or response_columns()))).alias("response"),
+        F.when(is_request, F.struct(*(request or decode.request_columns()))).alias("request"),
+        F.when(~is_request, F.struct(*(response or decode.response_columns()))).alias("response"),
     )
 
 
+def undecoded_packets(decoded: DataFrame) -> DataFrame:
+    """:func:`auth_packets` with the packet itself in either role. Pairing needs headers only, so attributes can wait
+    until it is known which packets are wanted."""
+    packet = [F.col(c) for c in _PACKET]
+    return auth_packets(decoded, packet, packet)
+
+
 def auth_exchanges(
     packets: DataFrame, ttl_s: int = C.PAIRING_TTL_SECONDS, chunk_s: int = _CHUNK_SECONDS
 ) -> DataFrame:
@@ -65,6 +80,7 @@ def auth_exchanges(
     spread = placed.withColumn(
         "chunk", F.explode(F.array_compact(F.array("home", near_end, near_start)))
     )
+    spread = staging.dealt(spread, *_FLOW, "chunk")
     order = Window.partitionBy(*_FLOW, "chunk").orderBy("at", "seq")
     limit = F.expr(f"INTERVAL {ttl_s} SECOND")
     previous, following = F.lag(F.struct("at", "request")).over(order), F.lead("at").over(order)
@@ -80,8 +96,13 @@ def auth_exchanges(
 
 
 def paired_records(exchanges: DataFrame) -> DataFrame:
-    """Authentication records of the matched responses. Attributes in the response win."""
-    return record_columns(exchanges.filter("matched IS NOT NULL"))
+    """Authentication records of the matched responses of :func:`undecoded_packets`. Attributes in the response win."""
+    def packed(rows: DataFrame, name: str, other: str) -> DataFrame:
+        return rows.select(other, F.struct(*[c for c in rows.columns if c != other]).alias(name))
+
+    pairs = exchanges.filter("matched IS NOT NULL").select("response", "matched.*")
+    pairs = packed(decode.as_requests(pairs, "response"), "matched", "response").select("matched", "response.*")
+    return record_columns(packed(decode.as_responses(pairs, "matched"), "response", "matched").select("response.seq", "matched", "response"))
 
 
 def record_columns(pairs: DataFrame) -> DataFrame:
@@ -109,15 +130,16 @@ def record_columns(pairs: DataFrame) -> DataFrame:
 
 
 def pair_auth(decoded: DataFrame, ttl_s: int = C.PAIRING_TTL_SECONDS) -> DataFrame:
-    return paired_records(auth_exchanges(auth_packets(decoded), ttl_s))
+    return paired_records(auth_exchanges(undecoded_packets(decoded), ttl_s))
 
 
 def unmatched_responses(decoded: DataFrame, ttl_s: int = C.PAIRING_TTL_SECONDS) -> DataFrame:
     """Responses with no open request."""
-    rows = auth_exchanges(auth_packets(decoded), ttl_s)
-    return rows.filter("response IS NOT NULL AND matched IS NULL").select("response.*")
+    rows = auth_exchanges(undecoded_packets(decoded), ttl_s)
+    return decode.as_responses(rows.filter("response IS NOT NULL AND matched IS NULL").select("response.*"))
 
 
 def expired_requests(decoded: DataFrame, ttl_s: int = C.PAIRING_TTL_SECONDS) -> DataFrame:
     """Requests whose flow stayed silent for the time limit."""
-    return auth_exchanges(auth_packets(decoded), ttl_s).filter("is_expired").select("request.*")
+    rows = auth_exchanges(undecoded_packets(decoded), ttl_s)
+    return decode.as_requests(rows.filter("is_expired").select("request.*"))

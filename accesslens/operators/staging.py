@@ -18,6 +18,14 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows, shuffled by ``keys`` to as many tasks as shuffles have, and as cores at least. Spark would join small
+    shuffles into about as many tasks as cores; where rows are heavy to work on, some cores then get twice the work."""
+    spark = df.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(width, *[F.col(k) for k in keys])
+
+
 def shared(df: DataFrame, *keys: str) -> DataFrame:
     """Rows that several later steps of one query read. Nothing runs here: the rows are shuffled by ``keys`` (all
     columns by default), and Spark uses the shuffle again for every reader.
@@ -25,8 +33,7 @@ def shared(df: DataFrame, *keys: str) -> DataFrame:
     It does so for equal shuffles only, and each reader would prune columns and push filters of its own below it. They
     stop at the generator.
     """
-    dealt = df.repartition(*[F.col(k) for k in keys or df.columns])
-    return dealt.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    return dealt(df, *(keys or df.columns)).select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def scratch(spark: SparkSession) -> str:

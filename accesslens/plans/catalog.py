@@ -107,9 +107,7 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _spread(ev: DataFrame) -> DataFrame:
     """Encoding is heavy and splits are few, so the rows are dealt first: to as many tasks as shuffles have, which
     grows with the cluster that an input needs, not only with its cores."""
-    spark = ev.sparkSession
-    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return ev.repartition(width, "event_id")
+    return staging.dealt(ev, "event_id")
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,10 @@ class Records:
 
 
 def decode_stage(packets: DataFrame, ports: list[int] | None = None, keep: Keep | None = None) -> DataFrame:
-    """Frames to decoded packets; a narrow projection, no shuffle unless ``keep`` makes one: it gets the datagrams,
-    whose attributes each kind of record walks for its own packets only."""
+    """Frames to packets with their header; a narrow projection, no shuffle unless ``keep`` makes one: it gets the
+    datagrams. Each kind of record walks the attributes of its own packets only."""
     datagrams = decode.filter_ports(decode.extract_udp(packets), ports)
-    return decode.decode_packets(keep(datagrams) if keep else datagrams)
+    return decode.decode_header(keep(datagrams) if keep else datagrams)
 
 
 def records(

@@ -28,7 +28,7 @@ def packets(ports: list[int] | None = None, sample_s: int = C.INTERIM_INTERVAL_S
 
     def step(ready: DataFrame, turn: Turn) -> None:
         decoded = turn.once(ingest.decode_stage(ready, ports))
-        auth = turn.once(pairing.auth_packets(decoded))
+        auth = turn.once(pairing.undecoded_packets(decoded))
         acct = turn.once(accounting.identifiable_accounting(decode.project_accounting(decoded)))
         control = accounting.identifiable_control(decode.project_control(decoded))
         pairs = turn.once(accounting.identifiable_auth(pairing.paired_records(exchanged(auth, turn))))

@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from accesslens.operators import staging
+from accesslens.operators import pairing, staging
 from accesslens.plans import catalog, ingest
 from accesslens.sources import fixtures, packets
 
@@ -54,3 +54,16 @@ def test_encoding_has_at_least_as_many_tasks_as_shuffles(spark):
         assert catalog._frames(spark, SF).rdd.getNumPartitions() == 50
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_only_paired_packets_are_decoded(spark):
+    decoded = ingest.decode_stage(packets.capture(fixtures.all_rows(fixtures.events(spark, SF))))
+    for rows in (pairing.pair_auth(decoded), pairing.unmatched_responses(decoded), pairing.expired_requests(decoded)):
+        above, _, below = _plan(spark, rows).partition("Window [")
+        assert "attrs#" in above and "attrs#" not in below
+
+
+def test_pairing_has_as_many_tasks_as_shuffles(spark):
+    decoded = ingest.decode_stage(packets.capture(fixtures.all_rows(fixtures.events(spark, SF))))
+    _, _, below = _plan(spark, pairing.pair_auth(decoded)).partition("Window [")
+    assert "REPARTITION_BY_NUM" in below.split("Generate")[0]
