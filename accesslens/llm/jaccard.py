@@ -367,7 +367,7 @@ def _between(shared: DataFrame, groups: DataFrame, tokens: DataFrame, scheme: Sc
         "id", "cluster", "chunk", F.coalesce("component", "id").alias("g")))
     entries = shared.select("print", "id").distinct().join(rows, "id")
     several = entries.groupBy("print").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("print")
-    entries = cut(entries.join(several, "print", "left_semi"))
+    entries = cut(entries.join(several, "print", "left_semi"), "zstd")
     places = entries.groupBy("print", "cluster", "chunk").agg(F.min("g").alias("low"), F.max("g").alias("high"))
     asking = entries.select("print", F.col("id").alias("q"), F.col("g").alias("own"), F.struct("cluster", "chunk").alias("at"))
     # Of two rows the later one asks the earlier; a fingerprint counts where others than the own component show it.
@@ -438,12 +438,12 @@ def _found(rows: DataFrame, slim: DataFrame, percent: int, words: int, spread: f
     for deal in range(DEALS + 1):
         lacking = spark.sparkContext.accumulator(0)
         scheme = Scheme(percent, spread * 2**deal, alone=deal == DEALS)
-        shared = cut(_shared(_shown(rows, words, scheme, lacking), buckets))
+        shared = cut(_shared(_shown(rows, words, scheme, lacking), buckets), "zstd")
         if not lacking.value:
             break  # else some set has too few parts that aren't empty: deal all more finely, in the end by tokens
-    shared = cut(shared.join(_enough(shared, ["id"], scheme), "id", "left_semi"))
+    shared = cut(shared.join(_enough(shared, ["id"], scheme), "id", "left_semi"), "zstd")
     pairs = _enough(shared.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"), "print"), ["a", "b"], scheme)
-    tokens = cut(_tokens(rows, shared.select("id").distinct(), words).dropDuplicates(["id"]))
+    tokens = cut(_tokens(rows, shared.select("id").distinct(), words).dropDuplicates(["id"]), "zstd")
     same = member.where("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
     linked = cut(_verified(pairs, tokens, percent).unionByName(same))
     groups = cut(components(linked))
