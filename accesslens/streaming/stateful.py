@@ -24,6 +24,7 @@ from accesslens.operators.pairing import auth_packets, record_columns
 
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _TIMEOUT = GroupStateTimeout.EventTimeTimeout
+SAMPLE_BUCKETS = 1024  # of sessions that are thinned out together
 
 
 def _packed(*columns) -> Column:
@@ -96,34 +97,46 @@ def stream_deltas(
 
 def stream_sample(
     acct: DataFrame, interval_s: int = INTERIM_INTERVAL_SECONDS, delay: str = "10 minutes",
-    ts: str = "ts", tie: str = "id",
+    ts: str = "ts", tie: str = "id", buckets: int = SAMPLE_BUCKETS,
 ) -> DataFrame:
     """Streaming :func:`accounting.sample_interim`. Rows that aren't subject to it need no state and
-    pass beside it."""
+    pass beside it; of those that are, rows without a time are left out, as they are there.
+
+    Calling Python for a group costs far more than thinning out a session does, so sessions are put
+    into ``buckets`` by their hash and a bucket's state lists the sessions that may still drop a row:
+    those kept within the interval before the watermark. The number of buckets belongs to the
+    checkpoint; it bounds the calls of a micro-batch, and rows per call are its rows over ``buckets``.
+    """
     interval = int(interval_s) * 1000
     rows = _marked(acct.filter(accounting.sampled(acct)), ts, delay).select(
-        "mark", F.col(ts).alias("at"), times.epoch_ms(F.col(ts)).alias("ms"), F.col(tie).alias("tie"),
+        "mark", times.epoch_ms(F.col(ts)).alias("ms"), F.col(tie).alias("tie"),
         accounting.interim_key().alias("key"), _packed(*acct.columns).alias("record"),
-    )
+    ).filter(F.col("ms").isNotNull()).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         rows = pd.concat(list(batches)).sort_values(["ms", "tie"], kind="stable")
-        last = state.get[0] if state.exists else None
+        last = dict(zip(*state.get)) if state.exists else {}
         kept = []
-        for r in rows.itertuples(index=False):
-            if last is None or r.ms - last >= interval:
-                kept.append(r.record)
-                last = int(r.ms)
-        state.update((last,))
+        for session, ms, record in zip(rows["key"], rows["ms"].tolist(), rows["record"]):
+            before = last.get(session)
+            if before is None or ms - before >= interval:
+                kept.append(record)
+                last[session] = ms
         # Once the watermark is past this point every row that can still come is kept anyway.
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + interval + 1)
+        watermark = state.getCurrentWatermarkMs()
+        last = {session: ms for session, ms in last.items() if ms + interval >= watermark}
+        if last:
+            state.update((list(last), list(last.values())))
+            state.setTimeoutTimestamp(max(*last.values(), watermark) + interval + 1)
+        elif state.exists:
+            state.remove()
         yield pd.DataFrame({"record": kept})
 
-    out = rows.groupBy("key").applyInPandasWithState(
-        step, "record string", "ms long", "append", _TIMEOUT
+    out = rows.groupBy("bucket").applyInPandasWithState(
+        step, "record string", "sessions array<string>, ms array<long>", "append", _TIMEOUT
     )
     kept = out.select(_unpacked("record", acct.schema).alias("r")).select("r.*")
     return kept.unionByName(acct.filter(~accounting.sampled(acct)))

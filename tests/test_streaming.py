@@ -93,6 +93,34 @@ def test_sample(spark, acct, tmp_path):
     assert _rows(got.select(want.columns)) == _rows(want)
 
 
+def test_sessions_are_sampled_by_bucket(spark, tmp_path):
+    # 3000 sessions: times 0, 5, 11 and 30 minutes of each; the last one comes in a turn of its own.
+    rows = spark.range(3000).selectExpr("concat('s', id) AS acct_session_id", "explode(array(0, 5, 11, 30)) AS minute", "id AS n").selectExpr(
+        "n * 100 + minute AS id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + minute * INTERVAL '60' SECOND AS ts", "acct_session_id",
+        "3 AS acct_status_type", "'u' AS username", "cast(NULL AS string) AS framed_ip", "cast(NULL AS string) AS mac_addr",
+        "'10.0.0.1' AS nas_ip", "'10.0.0.1' AS src_ip")
+    for later in (False, True):
+        rows.filter(F.col("ts").cast("string").endswith("00:30:00") == later).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (
+        stateful.stream_sample(stream, 600).writeStream.format("memory").queryName("s_buckets")
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(240)
+    assert _rows(spark.table("s_buckets"), ["id"]) == _rows(rows.filter("id % 100 <> 5"), ["id"])
+    assert 0 < max(p.stateOperators[0].numRowsUpdated for p in query.recentProgress) <= 1024
+
+
+def test_sample_in_one_bucket(spark, acct, tmp_path):
+    # Slices follow each other, so sessions leave the bucket's state while others are added to it.
+    timeless = acct.limit(1).withColumns({"ts": F.lit(None).cast("timestamp_ntz"), "acct_status_type": F.lit(3)})
+    stream = _stream(spark, acct.unionByName(timeless), str(tmp_path / "in"), "ts", slices=6)
+    got = _run(stateful.stream_sample(stream, 60, "1 minute", buckets=1), tmp_path, "s_bucket")
+    want = accounting.sample_interim(acct, 60)
+    assert want.count() < acct.count()
+    assert _rows(got.select(want.columns)) == _rows(want)
+
+
 def test_pairing(spark, tmp_path):
     captured = packets.datagrams(fixtures.all_rows(fixtures.events(spark, SF)))
     datagrams = captured.filter("src_port = 1812 OR dst_port = 1812").persist()
