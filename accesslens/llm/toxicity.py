@@ -11,6 +11,7 @@ go through a logistic curve fitted on the examples, each left out in turn.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,10 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     low = arrays.lower_table()[data]
     starts, ends, firsts = arrays.borders(low, offsets, arrays.alphanumeric())
     rows = arrays.rows_of(firsts)
-    found, owners = [arrays.word_hashes(low, starts, ends)], [rows]
-    for size in PREFIXES:
-        long = ends - starts > size
-        found.append(arrays.word_hashes(low, starts[long], starts[long] + size) ^ np.uint64(size))
-        owners.append(rows[long])
+    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for words, size, hashes in arrays.prefix_hashes(low, starts, ends, PREFIXES):
+        found.append(hashes ^ np.uint64(size))
+        owners.append(rows[words])
     return np.concatenate(owners), np.concatenate(found)
 
 
@@ -47,6 +47,11 @@ def term_counts(column: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, n
     rows, found = terms(column)
     if not len(vocabulary):
         return (np.zeros(0, np.int64),) * 3
+    # Few terms of a text are known, and most others differ from all of these in their first 16 bits.
+    first = np.zeros(1 << 16, bool)
+    first[vocabulary >> np.uint64(48)] = True
+    some = np.flatnonzero(first[found >> np.uint64(48)])
+    rows, found = rows[some], found[some]
     at = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
     known = vocabulary[at] == found
     pairs, counts = np.unique(rows[known] * len(vocabulary) + at[known], return_counts=True)
@@ -75,29 +80,46 @@ class Examples:
         self.ids, self.labels = ids[place], labels[place].astype(np.float64)
         owners = rank[owners]
         self.blocks = -(-len(ids) // BLOCK)
-        self.dense = np.zeros((self.blocks * BLOCK, n_terms), np.float32)  # postings of every block, by term
-        self.dense[owners, numbers] = weights
-        self.most = self.dense.reshape(self.blocks, BLOCK, n_terms).max(1).T.copy() if len(ids) else np.zeros((n_terms, 0), np.float32)
+        dense = np.zeros((self.blocks * BLOCK, n_terms), np.float32)
+        dense[owners, numbers] = weights
+        # Postings of every term, block by block, so that what one term has in a block lies side by side.
+        self.postings = dense.T.reshape(n_terms, self.blocks, BLOCK).copy()
+        self.most = self.postings.max(2)
+
+    @property
+    def dense(self) -> np.ndarray:
+        """The weights, examples by terms; the last block is filled up with zeros."""
+        return self.postings.reshape(len(self.postings), self.blocks * BLOCK).T
 
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples with a cosine above 0; ties go to the lower place."""
         bounds = weights @ self.most[numbers]
         order = np.argsort(-bounds, kind="stable")
-        bounds = bounds[order]
+        falling = -bounds[order].astype(np.float64)
+        end = int(np.searchsorted(falling, -1e-9))
+        # Rounding may lift a sum of several products above its bound, but not a single product.
+        slack = 1e-6 if len(numbers) > 1 else 0.0
         places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        at = 0
-        while at < len(order) and bounds[at] > 1e-9:
-            # A bound that equals the k-th best may hide a tie at a lower place, so it's opened too.
-            if len(cosines) >= k and bounds[at] < cosines[k - 1] - 1e-6:
-                break
-            opened = order[at : at + 4]
+        at, width = 0, 4
+        while at < end:
+            opened = order[at : min(at + width, end)]
             rows = (opened[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            got = self.dense[np.ix_(rows, numbers)] @ weights
+            got = np.ascontiguousarray(self.postings[numbers[:, None], opened].reshape(len(numbers), -1).T) @ weights
             keep = (got > 1e-9) & (rows != without)
-            places, cosines = np.r_[places, rows[keep]], np.r_[cosines, got[keep]]
+            if len(cosines) >= k:
+                keep &= got >= cosines[k - 1]
+            keep = np.flatnonzero(keep)
+            places, cosines = np.concatenate([places, rows[keep]]), np.concatenate([cosines, got[keep]])
             best = np.lexsort((places, -cosines))[:k]
             places, cosines = places[best], cosines[best]
-            at += 4
+            at, width = at + width, width * 2
+            if len(cosines) >= k:
+                # A bound that equals the k-th best may hide a tie at a lower place, so it's opened too; among equal
+                # bounds the blocks are in order, and a block behind the k-th best's place has no lower one.
+                end = min(end, int(np.searchsorted(falling, slack - cosines[k - 1], "right")))
+                if not slack:
+                    equal = int(np.searchsorted(falling, -cosines[k - 1]))
+                    end = min(end, equal + int(np.searchsorted(order[equal:end], places[k - 1] // BLOCK, "right")))
         return places, cosines
 
     def features(self, places: np.ndarray, cosines: np.ndarray) -> tuple[float, float]:
@@ -134,8 +156,8 @@ class Model:
             if near is None or not len(near[0]):
                 yield self.otherwise, [], []
                 continue
-            z = float(np.r_[self.examples.features(*near), 1.0] @ self.curve)
-            yield 1 / (1 + np.exp(-np.clip(z, -30, 30))), self.examples.ids[near[0]].tolist(), near[1].tolist()
+            z = float(np.array([*self.examples.features(*near), 1.0]) @ self.curve)
+            yield 1 / (1 + np.exp(-min(max(z, -30.0), 30.0))), self.examples.ids[near[0]].tolist(), near[1].tolist()
 
 
 def _vocabulary(sample: DataFrame, most: int) -> np.ndarray:
@@ -207,8 +229,9 @@ def fit(docs: DataFrame, sample: DataFrame, most_terms: int = TERMS, most_exampl
         np.array([x for r in some for x in r.numbers], np.int64), np.array([x for r in some for x in r.weights]), len(vocabulary))
     x, y = [], []
     for place in range(len(some)):
-        numbers = np.flatnonzero(examples.dense[place])
-        places, cosines = examples.nearest(numbers, examples.dense[place][numbers], k, without=place)
+        weights = examples.dense[place]
+        numbers = np.flatnonzero(weights)
+        places, cosines = examples.nearest(numbers, weights[numbers], k, without=place)
         if len(places):
             x.append(examples.features(places, cosines))
             y.append(examples.labels[place])
@@ -222,15 +245,15 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     documents of the sample, and no evidence. Rows that repeat score alike; a null key stays null.
     """
     fetch = arrays.shared(docs.sparkSession, model)  # bounded by terms times examples
-    kind = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64())]))
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = fetch()
         for batch in arrays.blocks(batches, "text"):
-            found = list(model.score(batch.column("text"), k))
-            evidence = [[{"id": i, "cosine": c} for i, c in zip(ids, cosines)] for _, ids, cosines in found]
+            scores, ids, cosines = zip(*model.score(batch.column("text"), k))
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            near = pa.StructArray.from_arrays(
+                [pa.array(chain.from_iterable(x), t) for x, t in ((ids, pa.int64()), (cosines, pa.float64()))], ["id", "cosine"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([s for s, *_ in found], pa.float64()), pa.array(evidence, kind)],
+                [batch.column("id"), pa.array(scores, pa.float64()), pa.ListArray.from_arrays(ends, near)],
                 ["id", "score", "evidence"])
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))

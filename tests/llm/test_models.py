@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from accesslens.llm import labelled, quality, toxicity
+from accesslens.llm import arrays, labelled, quality, toxicity
 from tests.llm.cases import SCHEMA, awkward, rows
 
 SF = "/root/testdata/sf0.01"
@@ -91,6 +91,48 @@ def test_neighbours_are_exact():
         assert np.allclose(whole[places], cosines, atol=1e-6)
 
 
+def test_equal_examples_are_not_all_opened(monkeypatch):
+    # 3000 examples of term 0 alone, 3000 of terms 0 and 1: ties fill 94 blocks each.
+    n, terms = 6000, 3
+    dense = np.zeros((n, terms))
+    dense[::2, 0] = 1
+    dense[1::2, :2] = 0.8, 0.6
+    owners, numbers = np.nonzero(dense)
+    index = toxicity.Examples(np.arange(n), np.arange(n) % 2, owners, numbers, dense[owners, numbers], terms)
+    merges, sort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda *a: merges.append(1) or sort(*a))
+    for without in (-1, 3):
+        places, cosines = index.nearest(np.array([0]), np.ones(1, np.float32), 12, without)
+        whole = index.dense[:, 0].copy()
+        whole[max(without, 0)] *= without < 0
+        assert places.tolist() == sort((np.arange(len(whole)), -whole))[:12].tolist() and set(cosines) == {1.0}
+    assert len(merges) == 2
+    places, cosines = index.nearest(np.array([0, 1]), np.array([0.8, 0.6], np.float32), 12)
+    whole = index.dense[:, :2] @ np.array([0.8, 0.6], np.float32)
+    assert np.allclose(cosines, np.sort(whole)[::-1][:12]) and np.allclose(whole[places], cosines)
+
+
+def test_terms_are_words_and_their_first_bytes():
+    texts = ["Abcdefgh abcd, abcde", None, "", "\u00e4\u00e4\u00e4 x", "q" * 3_000_000 + " abcdefg", "word " * 400_000]
+    rows, found = toxicity.terms(pa.array(texts))
+
+    def one(word, size):
+        data = np.frombuffer(word, np.uint8)
+        return int(arrays.word_hashes(data, np.array([0]), np.array([len(data)]))[0]) ^ size
+
+    want = []
+    for row, text in enumerate(texts):
+        for word in (text or "").lower().replace(",", "").encode().split():
+            sizes = [p for p in toxicity.PREFIXES if len(word) > p]
+            want += [(row, word, 0)] + [(row, word[:p], p) for p in sizes]
+    hashes = {(w, p): one(w, p) for _, w, p in set(want)}
+    assert sorted(zip(rows.tolist(), found.tolist())) == sorted((r, hashes[w, p]) for r, w, p in want)
+    vocabulary = np.sort(np.array([one(b"abcd", 4), one(b"abcd", 0), one(b"word", 0), 7, 1 << 63], np.uint64))
+    owners, numbers, counts = toxicity.term_counts(pa.array(texts), vocabulary)
+    got = sorted((r, int(vocabulary[t]), c) for r, t, c in zip(owners.tolist(), numbers.tolist(), counts.tolist()))
+    assert got == sorted([(0, one(b"abcd", 4), 2), (0, one(b"abcd", 0), 1), (4, one(b"abcd", 4), 1), (5, one(b"word", 0), 400_000)])
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = spark.createDataFrame(rows(awkward()), SCHEMA)
     nothing = spark.createDataFrame([], "id long, text string, label int")
