@@ -84,6 +84,33 @@ class Scheme:
         """In how many tokens linked sets of these sizes differ at most."""
         return (100 - self.percent) * (a + b) // (100 + self.percent)
 
+    def _steps(self, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For a set's own class and the next one: the class, whether the set shows parts there, and how many."""
+        own = np.searchsorted(self.low, sizes, "right") - 1
+        largest = sizes * 100 // self.percent
+        for step in (0, 1):
+            kind = np.maximum(own, 0) + step
+            differ = self.differing(sizes, np.minimum(largest, self.low[kind + 1] - 1))
+            # Sets that can't differ from any partner are classes already.
+            yield kind, (sizes > 0) & (differ > 0) & (largest >= self.low[kind]), differ + self.needed[kind]
+
+    def _part(self, spread: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        return ((spread >> np.uint64(32)) * self.parts[kind].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+
+    def enough(self, rows: np.ndarray, tokens: np.ndarray, n_rows: int) -> np.ndarray:
+        """Whether each set has as many parts that aren't empty as it has to show."""
+        spread = arrays.mixed(tokens ^ np.uint64(arrays.SEEDS[1]))
+        out = np.ones(n_rows, bool)
+        for kind, takes, most in self._steps(np.bincount(rows, minlength=n_rows)):
+            dealt = takes & ~self.alone[kind]
+            parts = np.where(dealt, self.parts[kind], 0)
+            at = np.flatnonzero(dealt[rows])
+            r = rows[at]
+            filled = np.zeros(int(parts.sum()), bool)
+            filled[(np.cumsum(parts) - parts)[r] + self._part(spread[at], kind[r])] = True
+            out &= ~dealt | (np.bincount(np.repeat(np.arange(n_rows), parts)[filled], minlength=n_rows) >= most)
+        return out
+
     def fingerprints(self, rows: np.ndarray, tokens: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(row, fingerprint) of the parts that each set has to show, and how many sets have too few parts.
 
@@ -92,18 +119,10 @@ class Scheme:
         bits of a fingerprint tell the deal.
         """
         sizes = np.bincount(rows, minlength=n_rows)
-        own = np.searchsorted(self.low, sizes, "right") - 1
-        largest = sizes * 100 // self.percent
         spread = arrays.mixed(tokens ^ np.uint64(arrays.SEEDS[1]))
         weight = arrays.mixed(tokens)
         out_rows, out, lacking = [], [], 0
-        for step in (0, 1):
-            kind = np.maximum(own, 0) + step
-            reach = np.minimum(largest, self.low[kind + 1] - 1)
-            differ = self.differing(sizes, reach)
-            # Sets that can't differ from any partner are classes already.
-            takes = (sizes > 0) & (differ > 0) & (largest >= self.low[kind])
-            most = differ + self.needed[kind]
+        for kind, takes, most in self._steps(sizes):
             at = np.flatnonzero((takes & self.alone[kind])[rows])
             if len(at):
                 order = np.lexsort((spread[at], rows[at]))
@@ -118,7 +137,7 @@ class Scheme:
             if not len(at):
                 continue
             r = rows[at]
-            part = ((spread[at] >> np.uint64(32)) * self.parts[kind[r]].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+            part = self._part(spread[at], kind[r])
             cell = r * (int(self.parts[kind[dealt]].max()) + 1) + part
             order = np.argsort(cell, kind="stable")
             cell, r, part, w = cell[order], r[order], part[order], weight[at][order]
@@ -140,16 +159,22 @@ def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
 
 
-def _slim(rows: DataFrame, words: int) -> DataFrame:
-    """id, n, and a 128-bit digest of each set."""
+def _schemes(percent: int, spread: float) -> list[Scheme]:
+    """The deals, finer and finer; in the last one every token is a part of its own, which suits all sets."""
+    return [Scheme(percent, spread * 2**deal, alone=deal == DEALS) for deal in range(DEALS + 1)]
+
+
+def _slim(rows: DataFrame, words: int, schemes: list[Scheme]) -> DataFrame:
+    """id, n, a 128-bit digest of each set, and a bit for each deal in which the set has enough parts."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.blocks(batches, "text", BLOCK_BYTES):
             own, tokens = sets(batch.column("text"), words)
+            deals = sum(s.enough(own, tokens, batch.num_rows).astype(np.int32) << i for i, s in enumerate(schemes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.bincount(own, minlength=batch.num_rows).astype(np.int64)),
-                 pa.array(_digests(own, tokens, batch.num_rows), pa.binary())], ["id", "n", "digest"])
+                 pa.array(_digests(own, tokens, batch.num_rows), pa.binary()), pa.array(deals, pa.int32())], ["id", "n", "digest", "deals"])
 
-    return rows.mapInArrow(task, "id long, n long, digest binary")
+    return rows.mapInArrow(task, "id long, n long, digest binary, deals int")
 
 
 def _digests(rows: np.ndarray, tokens: np.ndarray, n_rows: int) -> list[bytes]:
@@ -162,14 +187,12 @@ def _digests(rows: np.ndarray, tokens: np.ndarray, n_rows: int) -> list[bytes]:
     return [whole[16 * i : 16 * i + 16] for i in range(n_rows)]
 
 
-def _shown(rows: DataFrame, words: int, scheme: Scheme, lacking) -> DataFrame:
+def _shown(rows: DataFrame, words: int, scheme: Scheme) -> DataFrame:
     """digest, id and fingerprints of every set, one row a digest."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.blocks(batches, "text", BLOCK_BYTES):
             own, tokens = sets(batch.column("text"), words)
-            r, prints, few = scheme.fingerprints(own, tokens, batch.num_rows)
-            if few:
-                lacking.add(few)
+            r, prints, _ = scheme.fingerprints(own, tokens, batch.num_rows)
             order = np.argsort(r, kind="stable")
             r, prints = r[order], prints[order]
             cuts = np.searchsorted(r, np.arange(batch.num_rows + 1)).tolist()
@@ -393,19 +416,20 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, key: str =
     and different texts join what both link to. An empty table gives no rows.
     """
     rows = _source(docs, key, text)
-    slim = cut(_slim(rows, words))
+    schemes = _schemes(percent, spread)
+    slim = cut(_slim(rows, words, schemes))
     doubled = cut(slim.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("id"))
     if doubled.isEmpty():
-        linked, groups, between = _found(rows, slim, percent, words, spread)
+        linked, groups, between = _found(rows, slim, percent, words, schemes)
         final = groups if between.isEmpty() else components(linked.unionByName(between))
     else:
-        final = _found_by_text(rows, doubled, percent, words, spread)
+        final = _found_by_text(rows, doubled, percent, words, schemes)
     return slim.join(final.select(F.col("node").alias("id"), "component"), "id", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(
             F.col("id")).alias("component_id"))
 
 
-def _found_by_text(rows: DataFrame, doubled: DataFrame, percent: int, words: int, spread: float) -> DataFrame:
+def _found_by_text(rows: DataFrame, doubled: DataFrame, percent: int, words: int, schemes: list[Scheme]) -> DataFrame:
     """Components where some ids have several sets: each text of these ids goes under a name of its own, and the names
     of an id are joined at the end."""
     for seed in range(8):
@@ -420,27 +444,23 @@ def _found_by_text(rows: DataFrame, doubled: DataFrame, percent: int, words: int
     else:
         raise ValueError("ids take up the names that texts would get")
     own = renamed.select("id", "text")
-    linked, _, between = _found(own, cut(_slim(own, words)), percent, words, spread)
+    linked, _, between = _found(own, cut(_slim(own, words, schemes)), percent, words, schemes)
     edges = linked.unionByName(between).unionByName(same.select(F.col("whole").alias("a"), F.col("id").alias("b")))
     found = cut(components(edges).join(same.select(F.col("id").alias("node"), F.lit(True).alias("name")), "node", "left"))
     least = found.groupBy("component").agg(F.min(F.when(F.col("name").isNull(), F.col("node"))).alias("least"))
     return found.where("name IS NULL").join(least, "component").select("node", F.col("least").alias("component"))
 
 
-def _found(rows: DataFrame, slim: DataFrame, percent: int, words: int, spread: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _found(rows: DataFrame, slim: DataFrame, percent: int, words: int, schemes: list[Scheme]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links (a, b), the components they make, and the links between those. An id has one set."""
     spark = rows.sparkSession
-    total = slim.agg(F.sum("n")).first()[0] or 0
+    total, deals = slim.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.bit_and("deals"), F.lit(1))).first()
+    scheme = next(s for i, s in enumerate(schemes) if deals >> i & 1)  # the first in which no set has too few parts
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(0.4 * total) // PACK_BUCKET))
     whole = slim.where("n > 0 AND id IS NOT NULL")
     classes = whole.groupBy("digest").agg(F.min("id").alias("class"))
     member = cut(whole.select("digest", "id").distinct().join(classes, "digest").select("id", "class"))
-    for deal in range(DEALS + 1):
-        lacking = spark.sparkContext.accumulator(0)
-        scheme = Scheme(percent, spread * 2**deal, alone=deal == DEALS)
-        shared = cut(_shared(_shown(rows, words, scheme, lacking), buckets), "zstd")
-        if not lacking.value:
-            break  # else some set has too few parts that aren't empty: deal all more finely, in the end by tokens
+    shared = cut(_shared(_shown(rows, words, scheme), buckets), "zstd")
     shared = cut(shared.join(_enough(shared, ["id"], scheme), "id", "left_semi"), "zstd")
     pairs = _enough(shared.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b"), "print"), ["a", "b"], scheme)
     tokens = cut(_tokens(rows, shared.select("id").distinct(), words).dropDuplicates(["id"]), "zstd")

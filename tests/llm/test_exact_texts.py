@@ -1,13 +1,18 @@
 """Operators with one right answer, against brute force."""
 
+import glob
 import hashlib
+import os
 import random
+import tempfile
+import time
 from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
 import regex
 import tiktoken
+from pyspark.sql import functions as F
 
 from accesslens.llm import bpe, components, decontaminate, exact, jaccard, license, lines, substring
 from tests.llm.cases import ALNUM, NOT_SPACE, SCHEMA, awkward, lower, rows
@@ -270,6 +275,43 @@ def test_small_sets_show_all_their_tokens():
             assert not scheme.alone[3:-1].any()
 
 
+def test_the_deal_is_known_before_anything_is_shuffled(spark, monkeypatch):
+    """Fingerprints are made, and shuffled, in one deal only, however many are too coarse."""
+    import numpy as np
+
+    made, plain = [], jaccard._shown
+    monkeypatch.setattr(jaccard, "_shown", lambda *args: made.append(args[2]) or plain(*args))
+    texts = near_copies()
+    same([tuple(r) for r in jaccard.link(spark.createDataFrame(rows(texts), SCHEMA), 80, 5, spread=0.4).collect()], linked(texts, 80, 5))
+    assert len(made) == 1
+
+    sizes = np.r_[0, np.arange(1, 300), 0, 4000]
+    rows_ = np.repeat(np.arange(len(sizes)), sizes)
+    tokens = np.random.default_rng(1).integers(1, 1 << 63, len(rows_)).astype(np.uint64)
+    few = []
+    for scheme in jaccard._schemes(80, 0.4):
+        enough = scheme.enough(rows_, tokens, len(sizes))
+        few.append(int((~enough).sum()))
+        assert enough.all() == (scheme.fingerprints(rows_, tokens, len(sizes))[2] == 0)
+    assert few[0] > 0 and few[-1] == 0
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    frame = spark.range(20000).select((F.col("id") % 5000).alias("k"), "id").groupBy("k").agg(F.max("id").alias("id"))
+    base = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    files = lambda: {f for d in base.split(",") for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    frame.count()
+    before = files()
+    assert before
+    kept = components.cut(frame)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    same([tuple(r) for r in kept.collect()], [(k, 15000 + k) for k in range(5000)])
+    assert spark.conf.get(components.CLEANUP, None) is None
+
+
 def test_one_of_each_group_stays(spark):
     texts = [*near_copies(), (None, "one"), (None, "one"), (7000, None), (7001, "")]
     frame = spark.createDataFrame(rows(texts), SCHEMA)
